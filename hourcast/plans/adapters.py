@@ -92,9 +92,79 @@ SQL_CTES = {
 }
 
 
+
+
+
+# ---- wide raw observation (46 columns) from events ------------------------------------------------
+# Every numeric column i (its position in WEATHER_COLUMNS) is ((k * i + event_id) % 61 - 8) / 2 where
+# k is the integer in props; GustTime is null when k % 10 = 0; SnowDepth3Hr is all null;
+# WeatherCode is '-' for error events; CloudType cycles '-', 'Sc', 'Cu' with k.
+def _wide_numeric_sql(i: int) -> str:
+    return f"CAST(((k * {i} + event_id) % 61) - 8 AS DOUBLE) / 2"
+
+
+def obs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hourcast.schema import RAW_SCHEMA, WEATHER_COLUMNS
+    e = read(spark, sf_dir, "events").withColumn(
+        "k", F.get_json_object("props", "$.k").cast("bigint"))
+    cols = []
+    for i, f in enumerate(RAW_SCHEMA.fields):
+        n = f.name
+        if n == "ObservationTime":
+            c = F.col("ts")
+        elif n == "StationID":
+            c = (F.col("user_id") % N_STATIONS).cast("string")
+        elif n == "Temperature":
+            c = F.col("value")
+        elif n == "WeatherCode":
+            c = F.when(F.col("event_type") == "error", F.lit("-")).otherwise(F.col("event_type"))
+        elif n == "CloudType":
+            c = F.element_at(F.array(F.lit("-"), F.lit("Sc"), F.lit("Cu")), (F.col("k") % 3 + 1).cast("int"))
+        elif n == "SnowDepth3Hr":
+            c = F.lit(None).cast("double")
+        elif n == "GustTime":
+            c = F.when(F.col("k") % 10 != 0, F.expr(_wide_numeric_sql(i)))
+        else:
+            c = F.expr(_wide_numeric_sql(i))
+        cols.append(c.cast(f.dataType).alias(n))
+    assert [c for c in WEATHER_COLUMNS] == [f.name for f in RAW_SCHEMA.fields]
+    return e.select(F.col("event_id"), *cols).withColumns(tf.time_parts("ObservationTime"))
+
+
+def _obs_wide_sql() -> str:
+    from hourcast.schema import RAW_SCHEMA
+    cols = []
+    for i, f in enumerate(RAW_SCHEMA.fields):
+        n = f.name
+        if n == "ObservationTime":
+            c = "ts"
+        elif n == "StationID":
+            c = f"CAST(user_id % {N_STATIONS} AS VARCHAR)"
+        elif n == "Temperature":
+            c = "value"
+        elif n == "WeatherCode":
+            c = "CASE WHEN event_type = 'error' THEN '-' ELSE event_type END"
+        elif n == "CloudType":
+            c = "CASE k % 3 WHEN 0 THEN '-' WHEN 1 THEN 'Sc' ELSE 'Cu' END"
+        elif n == "SnowDepth3Hr":
+            c = "CAST(NULL AS DOUBLE)"
+        elif n == "GustTime":
+            c = f"CASE WHEN k % 10 <> 0 THEN {_wide_numeric_sql(i)} END"
+        else:
+            c = _wide_numeric_sql(i)
+        cols.append(f'{c} AS "{n}"')
+    return ("obs_wide AS (SELECT event_id, " + ", ".join(cols) +
+            ", CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,"
+            " CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour"
+            " FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events))")
+
+
+SQL_CTES["obs_wide"] = _obs_wide_sql()
+
+
 def with_ctes(*names: str) -> str:
     """``WITH a AS (...), b AS (...)`` for the named adapters (dependencies first)."""
-    order = ["obs_events", "obs_hourly", "forecast"]
+    order = ["obs_events", "obs_hourly", "forecast", "obs_wide"]
     need = set(names)
     if "forecast" in need:
         need.add("obs_hourly")
