@@ -64,7 +64,7 @@ def register(name: str, oracle: str | None = None, note: str | None = None, raw:
 def sql_norm(inner: str, doubles=(), ints=(), ts=(), dates=(), digits: int = DIGITS, with_: str = "") -> str:
     """Wrap oracle SQL so its result follows the shared result convention."""
     rep = []
-    rep += [f'round(CAST("{c}" AS DOUBLE), {digits}) AS "{c}"' for c in doubles]
+    rep += [f'(round(CAST("{c}" AS DOUBLE), {digits}) + 0.0) AS "{c}"' for c in doubles]
     rep += [f'CAST("{c}" AS BIGINT) AS "{c}"' for c in ints]
     rep += [f"strftime(\"{c}\", '%Y-%m-%d %H:%M:%S') AS \"{c}\"" for c in ts]
     rep += [f"strftime(\"{c}\", '%Y-%m-%d') AS \"{c}\"" for c in dates]
