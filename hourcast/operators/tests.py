@@ -1,0 +1,198 @@
+"""Statistical tests against a target (A12-A15, A17) and correlation-based selection (M1, M2).
+
+Each test turns the frame into long form once, does the per-column work as grouped aggregations
+(ranks via ``ranks.average_ranks``), and ends with a one-row-per-feature table; only there do the
+p-value tails run (pandas UDF on a handful of rows).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from hourcast.functions.pvalues import chi2_sf_udf, t_two_sided_udf
+from hourcast.operators.profile import to_long
+from hourcast.operators.ranks import average_ranks
+from hourcast.schema import categorical_columns, numeric_columns
+
+ALPHA = 0.05
+
+
+def safe_corr(x: Column, y: Column) -> Column:
+    """Pearson r as an aggregate; null (not an error) when either side is constant."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
+def _t_stat(r: Column, n: Column) -> Column:
+    return r * F.sqrt(F.try_divide(n - 2, (F.lit(1.0) - r) * (F.lit(1.0) + r)))
+
+
+def with_target_rank(df: DataFrame, target: str, rank_col: str = "_rt") -> DataFrame:
+    """Attach the average rank of the target to every row (join on the target value)."""
+    t = df.select(F.lit("t").alias("_k"), F.col(target).cast("double").alias("value"))
+    rt = average_ranks(t, ["_k"]).select(F.col("value").alias("_tv"), F.col("rank").alias(rank_col))
+    return df.withColumn("_tv", F.col(target).cast("double")).join(rt, "_tv", "left").drop("_tv")
+
+
+def rank_long(df: DataFrame, features, carry=()) -> DataFrame:
+    """Long form (carry..., column, value, rank) with per-column average ranks."""
+    long = to_long(df, features, ids=carry)
+    ranks = average_ranks(long, ["column"]).select("column", "value", "rank")
+    return long.join(ranks, ["column", "value"], "left")
+
+
+def spearman(df: DataFrame, target: str, features=None) -> DataFrame:
+    """Spearman rho of each numeric feature vs the target, with t and n.
+
+    A feature (or target) with any null gives rho = null (pandas 'propagate'); a constant column
+    gives null as well. Sorted by correlation descending.
+    """
+    feats = features or numeric_columns(df.schema, exclude=(target,))
+    base = with_target_rank(df, target)
+    j = rank_long(base, feats, carry=["_rt"])
+    agg = j.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("rank").isNull() | F.col("_rt").isNull()).alias("_nulls"),
+        safe_corr(F.col("rank"), F.col("_rt")).alias("_r"))
+    r = F.when(F.col("_nulls") == 0, F.col("_r"))
+    out = agg.select(F.col("column").alias("Feature"), r.alias("Correlation"), "n")
+    return out.withColumn("t", _t_stat(F.col("Correlation"), F.col("n"))).orderBy(F.desc("Correlation"))
+
+
+def spearman_test(df: DataFrame, target: str, features=None) -> DataFrame:
+    """A12 with p-values (two-sided t with n - 2 degrees of freedom)."""
+    s = spearman(df, target, features)
+    p = F.when(F.abs(F.col("Correlation")) >= 1.0, F.lit(0.0)).otherwise(
+        t_two_sided_udf(F.col("t"), (F.col("n") - 2).cast("double")))
+    return s.withColumn("P-value", p).orderBy(F.desc("Correlation"))
+
+
+def insignificant(report: DataFrame, name_col: str, p_col: str, alpha: float = ALPHA) -> DataFrame:
+    """P10: features whose p >= alpha; NaN / null p is *not* >= alpha (pandas comparison rule)."""
+    p = F.col(p_col)
+    return report.filter(p.isNotNull() & ~F.isnan(p) & (p >= alpha)).select(name_col)
+
+
+def pearson_with_target(df: DataFrame, target: str, features=None, threshold: float = 0.0,
+                        method: str = "pearson") -> DataFrame:
+    """Correlation with the target, |r| >= threshold, sorted descending (pearson or spearman)."""
+    feats = features or numeric_columns(df.schema, exclude=(target,))
+    if method == "spearman":
+        r = spearman(df, target, feats).select(F.col("Feature").alias("column"), F.col("Correlation").alias("r"))
+    else:
+        wide = df.agg(*[safe_corr(F.col(f"`{c}`").cast("double"), F.col(target).cast("double")).alias(c) for c in feats])
+        r = wide.unpivot([], feats, "column", "r")
+    return r.filter(F.abs("r") >= threshold).orderBy(F.desc("r"))
+
+
+def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None) -> DataFrame:
+    """Correlation of every feature pair (f1 before f2 in ``features`` order) in long form.
+
+    Pearson: one aggregation pass with one expression per pair (features^2 expressions, not rows).
+    Spearman: per-column ranks in long form, pivoted back per row id, then the same pass.
+    """
+    feats = list(features)
+    src = df
+    if method == "spearman":
+        ids = list(id_cols) if id_cols else None
+        if ids is None:
+            # no unique key given: number the rows and pin the numbering in the shared checkpoint
+            # folder, so a recomputed partition can never renumber rows
+            from hourcast.session import cut_lineage
+            src = cut_lineage(src.select(*feats).withColumn("_rid", F.monotonically_increasing_id()))
+            ids = ["_rid"]
+        rl = rank_long(src, feats, carry=ids)
+        src = rl.groupBy(*ids).pivot("column", feats).agg(F.first("rank"))
+    pairs = [(i, j) for i in range(len(feats)) for j in range(i + 1, len(feats))]
+    cols = [F.col(f"`{c}`").cast("double") for c in feats]
+    wide = src.agg(*[safe_corr(cols[i], cols[j]).alias(f"{i}__{j}") for i, j in pairs])
+    entries = [F.struct(F.lit(feats[i]).alias("f1"), F.lit(feats[j]).alias("f2"),
+                        F.lit(i).alias("i1"), F.lit(j).alias("i2"), F.col(f"`{i}__{j}`").alias("r"))
+               for i, j in pairs]
+    return wide.select(F.inline(F.array(*entries)))
+
+
+def high_corr_drop(df: DataFrame, target: str, features=None, threshold: float = 0.95,
+                   method: str = "spearman", id_cols=None) -> DataFrame:
+    """M2: for each pair with |r| > threshold keep the feature closer to the target.
+
+    If |r(f1, target)| >= |r(f2, target)| drop f2, else drop f1 (NaN comparisons are false).
+    Works on the features^2 pair table and the per-feature target table only.
+    """
+    feats = features or numeric_columns(df.schema, exclude=(target,))
+    pairs = corr_matrix(df, feats, method, id_cols).filter(F.coalesce(F.abs("r") > threshold, F.lit(False)))
+    ct = pearson_with_target(df, target, feats, 0.0, method).select("column", F.abs("r").alias("ct"))
+    ct = ct.unionByName(df.sparkSession.createDataFrame([], "column string, ct double"))
+    j = (pairs.join(F.broadcast(ct.withColumnsRenamed({"column": "f1", "ct": "ct1"})), "f1", "left")
+         .join(F.broadcast(ct.withColumnsRenamed({"column": "f2", "ct": "ct2"})), "f2", "left"))
+    drop = F.when(F.coalesce(F.col("ct1") >= F.col("ct2"), F.lit(False)), F.col("f2")).otherwise(F.col("f1"))
+    return j.select(drop.alias("Feature")).distinct()
+
+
+def kruskal(df: DataFrame, target: str, features=None, min_group_size: int = 5) -> DataFrame:
+    """Kruskal-Wallis H of the target grouped by each categorical column.
+
+    Groups below ``min_group_size`` rows are dropped; columns with fewer than two groups left are
+    not reported. Ranks are taken over the surviving rows of each column, ties corrected:
+    H = [12 / (N (N + 1)) * sum(R_j^2 / n_j) - 3 (N + 1)] / [1 - sum(t^3 - t) / (N^3 - N)].
+    """
+    feats = features or categorical_columns(df.schema, exclude=(target,))
+    base = df.filter(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
+    long = base.select(F.col(target).cast("double").alias("_y"),
+                       *[F.col(f"`{c}`").cast("string").alias(c) for c in feats]).unpivot(
+        ["_y"], feats, "column", "grp").filter(F.col("grp").isNotNull())
+    sizes = long.groupBy("column", "grp").agg(F.count(F.lit(1)).alias("n_j")).filter(F.col("n_j") >= min_group_size)
+    kept = long.join(sizes.select("column", "grp"), ["column", "grp"], "left_semi")
+    ranks = average_ranks(kept.select("column", F.col("_y").alias("value")), ["column"])
+    ties = ranks.groupBy("column").agg(F.sum(F.pow(F.col("cnt"), 3) - F.col("cnt")).alias("_ties"))
+    j = kept.join(ranks.select("column", F.col("value").alias("_y"), "rank"), ["column", "_y"])
+    g = j.groupBy("column", "grp").agg(F.sum("rank").alias("R_j"), F.count(F.lit(1)).alias("n_j"))
+    per = g.groupBy("column").agg(F.sum("n_j").alias("N"), F.count(F.lit(1)).alias("k"),
+                                  F.sum(F.col("R_j") * F.col("R_j") / F.col("n_j")).alias("_s"))
+    per = per.filter(F.col("k") >= 2).join(ties, "column")
+    N = F.col("N").cast("double")
+    h_raw = F.lit(12.0) / (N * (N + 1)) * F.col("_s") - F.lit(3.0) * (N + 1)
+    h = F.try_divide(h_raw, F.lit(1.0) - F.col("_ties") / (N * N * N - N))
+    return per.select(F.col("column").alias("feature"), h.alias("H-statistic"), "k", "N")
+
+
+def kruskal_test(df: DataFrame, target: str, features=None, min_group_size: int = 5) -> DataFrame:
+    """A15 with p = chi-square upper tail with k - 1 degrees of freedom, sorted by p."""
+    k = kruskal(df, target, features, min_group_size)
+    return k.withColumn("p-value", chi2_sf_udf(F.col("H-statistic"), (F.col("k") - 1).cast("double"))).orderBy("p-value")
+
+
+def jarque_bera(df: DataFrame, features=None) -> DataFrame:
+    """A17 (re-aimed normality test): JB = n / 6 * (S^2 + K^2 / 4) with population skewness S and
+    excess kurtosis K (Spark's streaming central-moment aggregates)."""
+    feats = features or numeric_columns(df.schema)
+    long = to_long(df, feats).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    m = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.skewness("value").alias("skew"),
+                                   F.kurtosis("value").alias("kurt"))
+    jb = F.col("n") / F.lit(6.0) * (F.col("skew") * F.col("skew") + F.col("kurt") * F.col("kurt") / F.lit(4.0))
+    return m.withColumn("JB", jb)
+
+
+def normality_test(df: DataFrame, features=None, alpha: float = ALPHA) -> DataFrame:
+    """JB p-value = exp(-JB / 2) (chi-square, 2 df) and the split at p > alpha."""
+    j = jarque_bera(df, features)
+    p = F.exp(-F.col("JB") / F.lit(2.0))
+    return j.withColumn("p-value", p).withColumn("normal", F.coalesce(p > alpha, F.lit(False)))
+
+
+def feature_selection(df: DataFrame, target: str, fixed_exclude, protect, alpha: float = ALPHA,
+                      min_group_size: int = 5, high_corr: float | None = None, id_cols=None) -> tuple[DataFrame, list[str]]:
+    """M1: drop Spearman-insignificant, Kruskal-insignificant (and, optionally, highly correlated)
+    features plus the fixed list; never the protected columns; leading columns first.
+
+    The test reports are feature-sized; their names are collected to build the projection.
+    """
+    from hourcast.operators.clean import drop_existing, lead_columns
+    sp = insignificant(spearman_test(df, target), "Feature", "P-value", alpha)
+    kw = insignificant(kruskal_test(df, target, min_group_size=min_group_size), "feature", "p-value", alpha)
+    names = [r[0] for r in sp.collect()] + [r[0] for r in kw.collect()]
+    if high_corr is not None:
+        names += [r[0] for r in high_corr_drop(df, target, threshold=high_corr, id_cols=id_cols).collect()]
+    names += list(fixed_exclude)
+    dropped = [c for c in dict.fromkeys(names) if c in df.columns and c not in protect]
+    return lead_columns(drop_existing(df, dropped, protect)), dropped

@@ -1 +1,204 @@
-"""Query module (filled in by wave)."""
+"""Wave 4 queries: average ranks, Spearman, Pearson to target, correlation pairs, Kruskal-Wallis,
+Jarque-Bera, high-correlation drop, feature selection. Oracles check r, t, H, JB; the p-value
+variants are rows-only here and checked against known values in the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hourcast.operators import tests as st
+from hourcast.operators.profile import to_long
+from hourcast.operators.ranks import average_ranks
+from hourcast.plans import adapters as ad
+from hourcast.plans.catalog import register, sql_norm
+from hourcast.schema import FIXED_EXCLUDE_COLUMNS, LEADING_COLUMNS, RAW_SCHEMA, numeric_columns
+
+WIDE = ad.with_ctes("obs_wide")
+LI_FEATS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+LI_TARGET = "l_extendedprice"
+OBS_FEATS = numeric_columns(RAW_SCHEMA, exclude=("Temperature",))
+
+
+def _qc(cols):
+    return ", ".join(f'"{c}"' for c in cols)
+
+
+def _avg_rank_sql(part: str, order: str) -> str:
+    p = f"PARTITION BY {part} " if part else ""
+    pv = f"PARTITION BY {part + ', ' if part else ''}{order}"
+    return f"(rank() OVER ({p}ORDER BY {order}) + (count(*) OVER ({pv}) - 1) / 2.0)"
+
+
+@register("avg_rank", oracle=sql_norm(
+    f"""SELECT "column", value, count(*) AS cnt, min(r) AS rank FROM (
+  SELECT "column", value, {_avg_rank_sql('"column"', 'value')} AS r
+  FROM (FROM (SELECT l_quantity, l_extendedprice, l_discount FROM lineitem) UNPIVOT (value FOR "column" IN (l_quantity, l_extendedprice, l_discount))))
+GROUP BY 1, 2""", doubles=["value", "rank"], ints=["cnt"]))
+def q_avg_rank(spark, sf_dir):
+    li = ad.read(spark, sf_dir, "lineitem")
+    long = to_long(li, ["l_quantity", "l_extendedprice", "l_discount"])
+    return average_ranks(long, ["column"]).select("column", "value", "cnt", "rank")
+
+
+def spearman_sql(src: str, target: str, feats, with_: str = "") -> str:
+    casted = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in feats)
+    rt = _avg_rank_sql("y IS NULL", "y")
+    rf = _avg_rank_sql('"column", value IS NULL', "value")
+    inner = f"""SELECT "column" AS "Feature",
+       CASE WHEN count_if(value IS NULL) = 0 AND count_if(y IS NULL) = 0
+            THEN covar_pop(rf, rt) / nullif(stddev_pop(rf) * stddev_pop(rt), 0) END AS "Correlation",
+       count(*) AS n
+FROM (SELECT *, CASE WHEN value IS NOT NULL THEN {rf} END AS rf
+      FROM (FROM (SELECT *, CASE WHEN y IS NOT NULL THEN {rt} END AS rt
+                  FROM (SELECT CAST("{target}" AS DOUBLE) AS y, {casted} FROM {src}))
+            UNPIVOT INCLUDE NULLS (value FOR "column" IN ({_qc(feats)}))))
+GROUP BY 1"""
+    outer = f"""SELECT "Feature", "Correlation", n,
+       "Correlation" * sqrt((n - 2) / ((1 - "Correlation") * (1 + "Correlation"))) AS t FROM ({inner})"""
+    return sql_norm(outer, doubles=["Correlation", "t"], ints=["n"], with_=with_)
+
+
+@register("spearman", oracle=spearman_sql("lineitem", LI_TARGET, LI_FEATS))
+def q_spearman(spark, sf_dir):
+    return st.spearman(ad.read(spark, sf_dir, "lineitem"), LI_TARGET, LI_FEATS)
+
+
+@register("spearman_observations", oracle=spearman_sql("obs_wide", "Temperature", OBS_FEATS, WIDE))
+def q_spearman_observations(spark, sf_dir):
+    """A12 over 41 observation columns: nulls give a null rho, as pandas propagates NaN."""
+    return st.spearman(ad.obs_wide(spark, sf_dir), "Temperature", OBS_FEATS)
+
+
+@register("spearman_test", note="p-values need the t tail; checked in tests")
+def q_spearman_test(spark, sf_dir):
+    return st.spearman_test(ad.read(spark, sf_dir, "lineitem"), LI_TARGET, LI_FEATS)
+
+
+@register("pearson_target", oracle=sql_norm("\nUNION ALL ".join(
+    f"""SELECT * FROM (SELECT '{c}' AS "column", covar_pop(CAST("{c}" AS DOUBLE), {LI_TARGET}) /
+        nullif(stddev_pop(CAST("{c}" AS DOUBLE)) * stddev_pop({LI_TARGET}), 0) AS r FROM lineitem) WHERE abs(r) >= 0.0"""
+    for c in LI_FEATS), doubles=["r"]))
+def q_pearson_target(spark, sf_dir):
+    return st.pearson_with_target(ad.read(spark, sf_dir, "lineitem"), LI_TARGET, LI_FEATS, threshold=0.0)
+
+
+PAIR_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "qty_x2"]
+
+
+def _li_pairs(spark, sf_dir):
+    li = ad.read(spark, sf_dir, "lineitem")
+    return li.withColumn("qty_x2", F.col("l_quantity") * 2 + 1)
+
+
+def _pairs_sql(rank: bool) -> str:
+    src = "(SELECT *, l_quantity * 2 + 1 AS qty_x2 FROM lineitem)"
+    if rank:
+        cols = ", ".join(f'{_avg_rank_sql("", c)} AS "{c}"' for c in PAIR_FEATS)
+        src = f"(SELECT {cols} FROM {src})"
+    parts = []
+    for i, a in enumerate(PAIR_FEATS):
+        for j in range(i + 1, len(PAIR_FEATS)):
+            b = PAIR_FEATS[j]
+            parts.append(f"""SELECT '{a}' AS f1, '{b}' AS f2, {i} AS i1, {j} AS i2,
+       covar_pop("{a}", "{b}") / nullif(stddev_pop("{a}") * stddev_pop("{b}"), 0) AS r FROM {src}""")
+    return "\nUNION ALL ".join(parts)
+
+
+@register("corr_pairs", oracle=sql_norm(_pairs_sql(False), doubles=["r"], ints=["i1", "i2"]))
+def q_corr_pairs(spark, sf_dir):
+    return st.corr_matrix(_li_pairs(spark, sf_dir), PAIR_FEATS, "pearson")
+
+
+@register("corr_pairs_spearman", oracle=sql_norm(_pairs_sql(True), doubles=["r"], ints=["i1", "i2"]))
+def q_corr_pairs_spearman(spark, sf_dir):
+    return st.corr_matrix(_li_pairs(spark, sf_dir), PAIR_FEATS, "spearman")
+
+
+@register("high_corr_drop", oracle=sql_norm(f"""
+WITH src AS (SELECT *, l_quantity * 2 + 1 AS qty_x2 FROM lineitem),
+rk AS (SELECT {", ".join(f'{_avg_rank_sql("", c)} AS "{c}"' for c in ["l_extendedprice"] + [c for c in PAIR_FEATS if c != "l_extendedprice"])} FROM src),
+pairs AS ({_pairs_sql(True).replace("FROM (SELECT", "FROM (SELECT", 1)}),
+ct AS ({" UNION ALL ".join(f"SELECT '{c}' AS f, abs(covar_pop(\"{c}\", l_extendedprice) / nullif(stddev_pop(\"{c}\") * stddev_pop(l_extendedprice), 0)) AS ct FROM rk" for c in PAIR_FEATS if c != "l_extendedprice")})
+SELECT DISTINCT CASE WHEN coalesce(a.ct >= b.ct, false) THEN p.f2 ELSE p.f1 END AS "Feature"
+FROM pairs p LEFT JOIN ct a ON a.f = p.f1 LEFT JOIN ct b ON b.f = p.f2
+WHERE abs(p.r) > 0.95 AND p.f1 <> 'l_extendedprice' AND p.f2 <> 'l_extendedprice'"""))
+def q_high_corr_drop(spark, sf_dir):
+    feats = [c for c in PAIR_FEATS if c != "l_extendedprice"]
+    return st.high_corr_drop(_li_pairs(spark, sf_dir), "l_extendedprice", feats, 0.95, "spearman")
+
+
+def kruskal_sql(src: str, target: str, feats, with_: str = "") -> str:
+    cols = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in feats)
+    pre = (with_ + ",\n" if with_ else "WITH ")
+    body = pre + f"""long AS (FROM (SELECT CAST("{target}" AS DOUBLE) AS y, {cols} FROM {src} WHERE "{target}" IS NOT NULL)
+             UNPIVOT (grp FOR "column" IN ({_qc(feats)}))),
+sz AS (SELECT "column", grp FROM long GROUP BY 1, 2 HAVING count(*) >= 5),
+kept AS (SELECT l.* FROM long l SEMI JOIN sz ON l."column" = sz."column" AND l.grp = sz.grp),
+rk AS (SELECT *, {_avg_rank_sql('"column"', 'y')} AS r FROM kept),
+ties AS (SELECT "column", sum(c * c * c - c) AS tt FROM (SELECT "column", y, CAST(count(*) AS DOUBLE) AS c FROM kept GROUP BY 1, 2) GROUP BY 1),
+g AS (SELECT "column", grp, sum(r) AS rj, count(*) AS nj FROM rk GROUP BY 1, 2),
+per AS (SELECT "column", CAST(sum(nj) AS DOUBLE) AS nn, count(*) AS k, sum(rj * rj / nj) AS s FROM g GROUP BY 1 HAVING count(*) >= 2)"""
+    return sql_norm(f"""SELECT "column" AS feature,
+       (12.0 / (nn * (nn + 1)) * s - 3.0 * (nn + 1)) / nullif(1 - tt / (nn * nn * nn - nn), 0) AS "H-statistic",
+       k, nn AS "N" FROM per JOIN ties USING ("column")""", doubles=["H-statistic"], ints=["k", "N"], with_=body)
+
+
+ORD_CATS = ["o_orderpriority", "o_orderstatus"]
+
+
+@register("kruskal", oracle=kruskal_sql("orders", "o_totalprice", ORD_CATS))
+def q_kruskal(spark, sf_dir):
+    return st.kruskal(ad.read(spark, sf_dir, "orders"), "o_totalprice", ORD_CATS)
+
+
+OBS_CATS = ["StationID", "WeatherCode", "CloudType"]
+
+
+@register("kruskal_observations", oracle=kruskal_sql("obs_wide", "Temperature", OBS_CATS, WIDE))
+def q_kruskal_observations(spark, sf_dir):
+    return st.kruskal(ad.obs_wide(spark, sf_dir), "Temperature", OBS_CATS)
+
+
+@register("kruskal_test", note="p-values need the chi-square tail; checked in tests")
+def q_kruskal_test(spark, sf_dir):
+    return st.kruskal_test(ad.read(spark, sf_dir, "orders"), "o_totalprice", ORD_CATS)
+
+
+def jb_sql(src: str, feats, with_: str = "") -> str:
+    casted = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in feats)
+    pre = (with_ + ",\n" if with_ else "WITH ")
+    body = pre + f"""long AS (FROM (SELECT {casted} FROM {src}) UNPIVOT (value FOR "column" IN ({_qc(feats)}))),
+mu AS (SELECT "column", avg(value) AS m FROM long GROUP BY 1),
+mom AS (SELECT l."column", count(*) AS n, avg(power(value - m, 2)) AS m2, avg(power(value - m, 3)) AS m3,
+               avg(power(value - m, 4)) AS m4 FROM long l JOIN mu ON l."column" = mu."column" GROUP BY 1),
+sk AS (SELECT "column", n, m3 / power(nullif(m2, 0), 1.5) AS skew, m4 / power(nullif(m2, 0), 2) - 3 AS kurt FROM mom)"""
+    return sql_norm("""SELECT "column", n, skew, kurt, n / 6.0 * (skew * skew + kurt * kurt / 4.0) AS "JB" FROM sk""",
+                    doubles=["skew", "kurt", "JB"], ints=["n"], with_=body)
+
+
+@register("jarque_bera", oracle=jb_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
+def q_jarque_bera(spark, sf_dir):
+    return st.jarque_bera(ad.read(spark, sf_dir, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+
+
+@register("jarque_bera_observations", oracle=jb_sql("obs_wide", numeric_columns(RAW_SCHEMA), WIDE))
+def q_jarque_bera_observations(spark, sf_dir):
+    return st.jarque_bera(ad.obs_wide(spark, sf_dir), numeric_columns(RAW_SCHEMA))
+
+
+@register("normality_test", note="p = exp(-JB/2); checked in tests")
+def q_normality_test(spark, sf_dir):
+    return st.normality_test(ad.obs_wide(spark, sf_dir), numeric_columns(RAW_SCHEMA))
+
+
+@register("feature_selection", note="depends on p-values; rows-only")
+def q_feature_selection(spark, sf_dir):
+    """M1 on the observations: drop insignificant and fixed columns, leading columns first."""
+    df = ad.obs_wide(spark, sf_dir).drop("event_id")
+    kept, dropped = st.feature_selection(df, "Temperature", FIXED_EXCLUDE_COLUMNS, LEADING_COLUMNS)
+    rows = [(i, c, True) for i, c in enumerate(kept.columns)] + [(None, c, False) for c in dropped]
+    counts = kept.agg(F.count(F.lit(1)).alias("n_rows"))
+    meta = spark.createDataFrame(rows, "position int, column string, kept boolean")
+    return meta.withColumn("n_rows", F.lit(None).cast("long")).unionByName(
+        counts.select(F.lit(None).cast("int").alias("position"), F.lit("__rows__").alias("column"),
+                      F.lit(True).alias("kept"), "n_rows"))
