@@ -9,32 +9,56 @@ key holding a smaller value). Then
 
 How it scales: ``groupBy(keys, value)`` combines duplicates map-side (a value holding a third of all
 rows becomes one row). The running count over values would need one window per key; instead the
-distinct values of each key are cut into ``n_buckets`` ranges by ``percentile_approx`` bounds (a
-lazy aggregate, no driver round trip), bucket totals (keys x buckets rows) get prefix sums, and the
+distinct values of each key are cut into ``n_buckets`` ranges by ``percentile_approx`` cut points
+(collected once as literals, so every branch of the plan buckets identically), bucket totals (keys x buckets rows) get prefix sums, and the
 final running sum runs per (key, bucket). No step sees all values of a key in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 N_BUCKETS = 64
 
 
+def bucket_bounds(counts: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS) -> dict:
+    """Approximate equal-count cut points of the distinct values, per key, as driver literals.
+
+    The result is schema-sized (keys x (n_buckets - 1) doubles). Collecting it once pins the
+    bucketing: every later use sees the same cut points, whatever the merge order of the sketch.
+    """
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    rows = counts.groupBy(*keys).agg(F.percentile_approx(value_col, probs, 10000).alias("_b")).collect()
+    return {tuple(r[k] for k in keys): sorted(set(x for x in (r["_b"] or []) if x is not None)) for r in rows}
+
+
+def bucket_expr(bounds: dict, keys, value_col: str = "value") -> Column:
+    """Bucket index of each value: the number of cut points of its key below the value."""
+    v = F.col(value_col)
+    expr = None
+    for key, cuts in bounds.items():
+        cond = None
+        for k, kv in zip(keys, key):
+            c = F.col(k).isNull() if kv is None else (F.col(k) == F.lit(kv))
+            cond = c if cond is None else cond & c
+        arr = F.array(*[F.lit(float(x)) for x in cuts]) if cuts else F.array().cast("array<double>")
+        b = F.size(F.filter(arr, lambda x: x < v))
+        expr = F.when(cond, b) if expr is None else expr.when(cond, b)
+    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
+
+
 def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS) -> DataFrame:
     keys = list(keys)
     counts = (long_df.filter(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
               .groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("cnt")))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = counts.groupBy(*keys).agg(
-        F.percentile_approx(value_col, probs, 10000).alias("_bounds"))
-    c = counts.join(bounds, keys)
-    c = c.withColumn("_bk", F.size(F.filter(F.col("_bounds"), lambda b: b < F.col(value_col)))).drop("_bounds")
+    bounds = bucket_bounds(counts, keys, value_col, n_buckets)
+    c = counts.withColumn("_bk", bucket_expr(bounds, keys, value_col))
     tot = c.groupBy(*keys, "_bk").agg(F.sum("cnt").alias("_bn"))
     w_tot = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    # keys x buckets rows: bounded by the schema, broadcast back
     tot = tot.select(*keys, "_bk", F.coalesce(F.sum("_bn").over(w_tot), F.lit(0)).alias("_boff"))
-    c = c.join(tot, keys + ["_bk"])
+    c = c.join(F.broadcast(tot), keys + ["_bk"])
     w_in = Window.partitionBy(*keys, "_bk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
     c = c.withColumn("less", (F.col("_boff") + F.coalesce(F.sum("cnt").over(w_in), F.lit(0))).cast("long"))
     return c.select(*keys, value_col, F.col("cnt").cast("long").alias("cnt"), "less")
