@@ -131,14 +131,19 @@ def hourly_mean(df: DataFrame, value_col: str, hour_col: str = "hour", alias: st
     return df.groupBy(hour_col).agg(F.avg(value_col).alias(alias or f"mean_{value_col}"))
 
 
-def compare_hourly(frames: dict[str, DataFrame], hour_col: str = "hour") -> DataFrame:
-    """Inner join of several hour-of-day tables on ``hour``.
+def compare_hourly(frames: dict[str, DataFrame], keys=("hour",)) -> DataFrame:
+    """Inner join of several hour-of-day tables on ``keys`` (``hour``, or series + hour).
 
-    Each side has at most 24 rows (one per hour of day), so broadcasting them is bounded.
+    With ``hour`` alone each side has at most 24 rows and is broadcast; with series keys the sides
+    grow with the number of series and the join strategy is left to AQE.
     """
+    keys = [keys] if isinstance(keys, str) else list(keys)
     out = None
     for _, f in frames.items():
-        out = f if out is None else out.join(F.broadcast(f), hour_col)
+        if out is None:
+            out = f
+        else:
+            out = out.join(F.broadcast(f) if keys == ["hour"] else f, keys)
     return out
 
 

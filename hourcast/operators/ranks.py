@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 N_BUCKETS = 64
 
@@ -48,12 +49,25 @@ def bucket_expr(bounds: dict, keys, value_col: str = "value") -> Column:
     return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
 
 
-def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS) -> DataFrame:
+def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS,
+                  distinct_only: bool = False) -> DataFrame:
+    """(keys, value, cnt, less) per distinct value; ``distinct_only`` counts each value once, so
+    ``less`` becomes the 0-based index of the value among the sorted distinct values.
+
+    Text values are bucketed by their first two characters, an order-preserving cut (a string's
+    prefix orders it before any string with a greater prefix), so no cut points are needed.
+    """
     keys = list(keys)
-    counts = (long_df.filter(F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
-              .groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("cnt")))
-    bounds = bucket_bounds(counts, keys, value_col, n_buckets)
-    c = counts.withColumn("_bk", bucket_expr(bounds, keys, value_col))
+    is_text = isinstance(long_df.schema[value_col].dataType, T.StringType)
+    valid = F.col(value_col).isNotNull() if is_text else (F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
+    counts = long_df.filter(valid).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("cnt"))
+    if distinct_only:
+        counts = counts.withColumn("cnt", F.lit(1).cast("long"))
+    if is_text:
+        c = counts.withColumn("_bk", F.substring(F.col(value_col), 1, 2))
+    else:
+        bounds = bucket_bounds(counts, keys, value_col, n_buckets)
+        c = counts.withColumn("_bk", bucket_expr(bounds, keys, value_col))
     tot = c.groupBy(*keys, "_bk").agg(F.sum("cnt").alias("_bn"))
     w_tot = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     # keys x buckets rows: bounded by the schema, broadcast back
