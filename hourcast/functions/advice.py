@@ -7,6 +7,7 @@ reproduce exactly, so they are written out verbatim below.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,9 +148,19 @@ def sensitivity_shift(level) -> Column:
     return F.element_at(F.create_map(*pairs), _c(level))
 
 
+@F.pandas_udf(T.StringType())
+def _format_1f_udf(x: pd.Series) -> pd.Series:
+    return pd.Series([None if pd.isna(v) else f"{v:.1f}" for v in x], dtype="object")
+
+
 def format_1f(x) -> Column:
-    """``{x:.1f}`` of a double: round half-even on the decimal value, then print one digit."""
-    return F.format_string("%.1f", F.bround(_c(x), 1))
+    """``{x:.1f}``: rounds the exact binary value (half-even on exact ties), as Python and C printf do.
+
+    Java's formatter rounds the shortest decimal form half-up instead (0.35 -> 0.4 where the double
+    is 0.34999...), so this text helper runs as an Arrow-batched pandas UDF; it is only applied to
+    summary / forecast-sized tables.
+    """
+    return _format_1f_udf(_c(x).cast("double"))
 
 
 def clothing_sentence(temp, sensitivity) -> Column:

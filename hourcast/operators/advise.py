@@ -92,11 +92,15 @@ def statistics_table(fc: DataFrame, unit: str = "C", temp_col: str = "pred_Tempe
     k = _keys(fc, keys) + [date_col]
     txt = lambda c, unit_txt: F.concat(adv.format_1f(c), F.lit(unit_txt))
     hour_txt = lambda c: F.concat(c.cast("string"), F.lit("시"))
+    def row(pos, label, value, at):
+        return F.struct(F.lit(pos).alias("pos"), F.lit(label).alias("label"),
+                        value.alias("value"), at.cast("string").alias("at"))
+
     rows = F.array(
-        F.struct(F.lit(1).alias("pos"), F.lit("최고기온").alias("label"), txt(f(F.col("max_temp")), u).alias("value"), hour_txt(F.col("max_hour")).alias("at")),
-        F.struct(F.lit(2), F.lit("최저기온"), txt(f(F.col("min_temp")), u), hour_txt(F.col("min_hour"))),
-        F.struct(F.lit(3), F.lit("평균기온"), txt(f(F.col("avg_temp")), u), F.lit("-")),
-        F.struct(F.lit(4), F.lit("일교차"), txt(F.col("_range"), "°C"), F.lit("-")),
+        row(1, "최고기온", txt(f(F.col("max_temp")), u), hour_txt(F.col("max_hour"))),
+        row(2, "최저기온", txt(f(F.col("min_temp")), u), hour_txt(F.col("min_hour"))),
+        row(3, "평균기온", txt(f(F.col("avg_temp")), u), F.lit("-")),
+        row(4, "일교차", txt(F.col("_range"), "°C"), F.lit("-")),
     )
     return ex.select(*k, F.inline(rows))
 
