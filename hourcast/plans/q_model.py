@@ -1 +1,108 @@
-"""Query module (filled in by wave)."""
+"""Wave 7 queries: seasonal-naive forecast and its RMSE (full oracles); tree models, the 168-hour
+forecast, model ranking and batch inference with advice (rows-only: model fits)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hourcast.functions import advice as adv
+from hourcast.operators import models as md
+from hourcast.operators import split
+from hourcast.plans import adapters as ad
+from hourcast.plans.catalog import register, sql_norm
+from hourcast.session import cut_lineage
+from hourcast.session_paths import scratch, tag
+from hourcast.sources import files
+
+HOURLY = ad.with_ctes("obs_hourly")
+KEYS = ["StationID"]
+T = "ObservationTime"
+
+NAIVE_SQL = """
+o AS (SELECT StationID, max(ObservationTime) - INTERVAL 168 HOUR AS origin FROM obs_hourly GROUP BY 1),
+steps AS (SELECT StationID, origin, h, origin + h * INTERVAL 1 HOUR AS target_time,
+                 origin + h * INTERVAL 1 HOUR - (24 * CAST(ceil(h / 24.0) AS BIGINT)) * INTERVAL 1 HOUR AS src
+          FROM o, range(1, 169) r(h)),
+pred AS (SELECT s.StationID, s.origin, s.h, s.target_time, x.Temperature AS prediction
+         FROM steps s LEFT JOIN obs_hourly x ON x.StationID = s.StationID AND x.ObservationTime = s.src)"""
+
+
+@register("seasonal_naive", oracle=sql_norm(
+    "SELECT StationID, origin AS ObservationTime, h, target_time, prediction FROM pred",
+    doubles=["prediction"], ints=["h"], ts=["ObservationTime", "target_time"], with_=HOURLY + "," + NAIVE_SQL))
+def q_seasonal_naive(spark, sf_dir):
+    """Baseline forecast of the last 168 hours of each series from the origin before them."""
+    h = ad.obs_hourly(spark, sf_dir)
+    origin = md.backtest_origin(h, KEYS, T)
+    return md.seasonal_naive(h, KEYS, T, "Temperature", origin).select(KEYS[0], T, "h", "target_time", "prediction")
+
+
+@register("rmse", oracle=sql_norm("""
+SELECT p.StationID, sqrt(avg((a.Temperature - p.prediction) * (a.Temperature - p.prediction))) AS "RMSE", count(*) AS n
+FROM pred p JOIN obs_hourly a ON a.StationID = p.StationID AND a.ObservationTime = p.target_time
+WHERE p.prediction IS NOT NULL GROUP BY 1""", doubles=["RMSE"], ints=["n"], with_=HOURLY + "," + NAIVE_SQL))
+def q_rmse(spark, sf_dir):
+    """RMSE of the seasonal-naive backtest per series (cells with both values)."""
+    h = ad.obs_hourly(spark, sf_dir)
+    origin = md.backtest_origin(h, KEYS, T)
+    p = md.with_actuals(md.seasonal_naive(h, KEYS, T, "Temperature", origin), h, KEYS, T, "Temperature")
+    p = p.filter(F.col("prediction").isNotNull())
+    d = F.col("label") - F.col("prediction")
+    return p.groupBy(*KEYS).agg(F.sqrt(F.avg(d * d)).alias("RMSE"), F.count(F.lit(1)).alias("n"))
+
+
+def _train_val(spark, sf_dir, horizon=24, stride=6):
+    h = ad.obs_hourly(spark, sf_dir)
+    parts = split.tail_split_frames(h.select(*KEYS, T, "Temperature"), KEYS, T, seq_len=0, horizon=168)
+    rows_tr = md.training_rows(parts["train"], KEYS, T, "Temperature", horizon, anchor_stride=stride)
+    rows_va = md.training_rows(parts["val"], KEYS, T, "Temperature", horizon, anchor_stride=stride)
+    # iterative fits read these many times: materialise them once in the shared checkpoint folder
+    return h, cut_lineage(rows_tr), cut_lineage(rows_va)
+
+
+@register("tree_models", note="model fits; rows-only")
+def q_tree_models(spark, sf_dir):
+    """M6 + M9: fit linear / tree / forest / boosted regressors (day-ahead, anchors every 6 h),
+    score RMSE on the held-out last week, rank."""
+    _, tr, va = _train_val(spark, sf_dir)
+    fitted = md.fit_models(tr, md.feature_columns(), md.regressors(n_estimators=20))
+    report = md.evaluate_models(fitted, va)
+    path = scratch(spark, "model_report", tag(sf_dir))
+    files.write_csv(report, path)
+    return spark.read.option("header", "true").schema(report.schema).csv(path)
+
+
+@register("top_models", note="model fits; rows-only")
+def q_top_models(spark, sf_dir):
+    """O3 / M9: the three best models by RMSE."""
+    _, tr, va = _train_val(spark, sf_dir)
+    fitted = md.fit_models(tr, md.feature_columns(), {k: v for k, v in md.regressors(n_estimators=20).items()})
+    return md.top_models(md.evaluate_models(fitted, va), 3)
+
+
+@register("forecast_168", note="model fit; rows-only")
+def q_forecast_168(spark, sf_dir):
+    """M8 + S12: 168-hour forecast per series from its last observation with a random forest
+    fitted on all history, written run-stamped and read back as the newest run."""
+    h = ad.obs_hourly(spark, sf_dir).select(*KEYS, T, "Temperature")
+    rows = cut_lineage(md.training_rows(h, KEYS, T, "Temperature", md.HORIZON, anchor_stride=24))
+    model = md.fit_models(rows, md.feature_columns(), {"rf": md.regressors(n_estimators=20)["RandomForest"]})["rf"][0]
+    fc = md.forecast(model, h, KEYS, T, "Temperature", md.HORIZON)
+    root = scratch(spark, "forecast168", tag(sf_dir))
+    files.write_forecast(fc, root, "20240131_0000")
+    return files.latest_forecast(spark, root).drop("run_ts")
+
+
+@register("batch_inference", note="model fit; rows-only")
+def q_batch_inference(spark, sf_dir):
+    """M7 + P14 + S16: predict the held-out week with a linear model, add the clothing sentence,
+    keep (year, month, day, hour, pred_temp, cloth_rec) and write the result."""
+    _, tr, va = _train_val(spark, sf_dir, horizon=1, stride=1)
+    model = md.fit_models(tr, md.feature_columns(), {"lr": md.regressors()["LinearRegression"]})["lr"][0]
+    p = model.transform(va)
+    t = F.col("target_time")
+    out = p.select(*KEYS, F.year(t).alias("year"), F.month(t).alias("month"), F.dayofmonth(t).alias("day"),
+                   F.hour(t).alias("hour"), F.col("prediction").alias("pred_temp"),
+                   adv.clothing_sentence(F.col("prediction"), F.lit("normal")).alias("cloth_rec"))
+    path = scratch(spark, "inference", tag(sf_dir))
+    return files.round_trip(out, path)
