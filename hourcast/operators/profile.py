@@ -28,9 +28,16 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     """
     cols = columns or numeric_columns(df.schema)
     long = to_long(df, cols)
-    base = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
+    # one global aggregation row (present even for an empty frame), then one struct per column
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.col(f"`{c}`").cast("double")
+        aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
+                 F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
+    entries = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
+                        F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+               for i, c in enumerate(cols)]
+    base = df.agg(*aggs).select(F.inline(F.array(*entries)))
     q = exact_quantiles(long, ["column"], [0.25, 0.5, 0.75])
     qw = q.groupBy("column").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("q"))
     qw = qw.withColumnsRenamed({"0.25": "p25", "0.5": "p50", "0.75": "p75"})
