@@ -74,7 +74,8 @@ def sql_norm(inner: str, doubles=(), ints=(), ts=(), dates=(), digits: int = DIG
 
 def _load_all() -> None:
     # Importing the query modules fills the registry.
-    from hourcast.plans import q_advice, q_clean, q_features, q_profile, q_tests, q_model_input, q_model, q_ingest  # noqa: F401
+    from hourcast.plans import (q_advice, q_clean, q_features, q_ingest, q_model, q_model_input,  # noqa: F401
+                                q_pipelines, q_profile, q_tests)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -235,3 +235,88 @@ FROM forecast GROUP BY StationID, date""",
     doubles=["max_temp", "min_temp"], with_=ad.with_ctes("forecast")))
 def q_embedded_json(spark, sf_dir):
     return html.weekly_forecast(weekly_pages(spark, sf_dir), keep=("StationID",))
+
+
+# ---- S10 / A1: snapshot named by min / max time ----------------------------------------------------------
+@register("snapshot", oracle=sql_norm(
+    """SELECT min(ObservationTime) AS min_time, max(ObservationTime) AS max_time,
+       strftime(min(ObservationTime), '%Y.%m.%d_%H%M') || '_' || strftime(max(ObservationTime), '%Y.%m.%d_%H%M') AS snapshot,
+       count(*) AS n_rows
+FROM obs_wide WHERE CAST(ObservationTime AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'""",
+    ts=["min_time", "max_time"], ints=["n_rows"], with_=WIDE))
+def q_snapshot(spark, sf_dir):
+    """Scan the 30-day lookback, write the snapshot folder named by its time span, read it back."""
+    df = lake.scan_lookback(spark, lake_root(spark, sf_dir), "2024-01-30", 29)
+    path = files.write_snapshot(df, scratch(spark, "snapshot", tag(sf_dir)))
+    snap = spark.read.parquet(path)
+    name = os.path.basename(path)
+    return snap.agg(F.min("ObservationTime").alias("min_time"), F.max("ObservationTime").alias("max_time"),
+                    F.count(F.lit(1)).alias("n_rows")).withColumn("snapshot", F.lit(name)).select(
+        "min_time", "max_time", "snapshot", "n_rows")
+
+
+# ---- S6 inference mode: the lexicographically last file only --------------------------------------------
+@register("recursive_scan_latest", oracle=sql_norm(
+    """SELECT StationID, count(*) AS n_rows FROM obs_wide
+WHERE CAST(ObservationTime AS DATE) = (SELECT max(CAST(ObservationTime AS DATE)) FROM obs_wide) GROUP BY 1""",
+    ints=["n_rows"], with_=WIDE))
+def q_recursive_scan_latest(spark, sf_dir):
+    """S6 / O5 by path: with one file per day, the last path is the newest day."""
+    root = scratch(spark, "lake_one_file", tag(sf_dir))
+    if not os.path.exists(root + "/_SUCCESS"):
+        obs = ad.obs_wide(spark, sf_dir).drop("event_id")
+        lake.write_days(obs.repartition("year", "month", "day"), root)
+    df = lake.scan_recursive(spark, root, latest_file_only=True)
+    return df.groupBy("StationID").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---- O5 by modification time ------------------------------------------------------------------------------
+@register("latest_forecast_mtime", oracle=sql_norm(
+    "SELECT StationID, count(*) AS n_rows, sum(pred_Temperature) AS sum_pred FROM forecast GROUP BY 1",
+    doubles=["sum_pred"], ints=["n_rows"], with_=ad.with_ctes("forecast")))
+def q_latest_forecast_mtime(spark, sf_dir):
+    """S13 with ``by='mtime'``: two runs written one after the other, the newer file wins."""
+    import time as _t
+    root = scratch(spark, "forecast_mtime", tag(sf_dir))
+    fc = ad.forecast(spark, sf_dir).coalesce(1)
+    files.write_forecast(fc.withColumn("pred_Temperature", F.col("pred_Temperature") - 50.0), root, "b_old")
+    _t.sleep(1.1)  # file modification times have second resolution on some stores
+    files.write_forecast(fc, root, "a_new")
+    d = files.latest_forecast(spark, root, by="mtime")
+    return d.groupBy("StationID").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("pred_Temperature").alias("sum_pred"))
+
+
+# ---- P15: first rows ----------------------------------------------------------------------------------------
+@register("first_rows", oracle=sql_norm(
+    "SELECT event_id, ObservationTime, StationID, Temperature FROM obs_wide ORDER BY ObservationTime, event_id LIMIT 5",
+    doubles=["Temperature"], ints=["event_id"], ts=["ObservationTime"], with_=WIDE))
+def q_first_rows(spark, sf_dir):
+    """A head() of the time-ordered observations (the limit is the feature: a top-k)."""
+    return ad.obs_wide(spark, sf_dir).select("event_id", "ObservationTime", "StationID", "Temperature").orderBy(
+        "ObservationTime", "event_id").limit(5)
+
+
+# ---- A4: distinct values; P8 casts; F26 zero-padded path parts ------------------------------------------------
+@register("distinct_values", oracle=sql_norm(
+    "SELECT DISTINCT o_orderpriority FROM orders"))
+def q_distinct_values(spark, sf_dir):
+    from hourcast.operators import profile
+    return profile.distinct_values(ad.read(spark, sf_dir, "orders"), "o_orderpriority")
+
+
+@register("casts_and_paths", oracle=sql_norm(
+    """SELECT event_id, CAST(user_id % 4 AS VARCHAR) AS StationID, CAST(year(ts) AS INTEGER) AS year,
+       CAST(CAST(value AS FLOAT) AS DOUBLE) AS value_f32, TRY_CAST(props AS DOUBLE) AS props_num,
+       'year=' || CAST(year(ts) AS VARCHAR) || '/month=' || lpad(CAST(month(ts) AS VARCHAR), 2, '0')
+         || '/day=' || lpad(CAST(day(ts) AS VARCHAR), 2, '0') AS path
+FROM events""", doubles=["value_f32", "props_num"], ints=["event_id", "year"]))
+def q_casts_and_paths(spark, sf_dir):
+    """P8 (string / int / float32 / text->number casts) and F26 (zero-padded partition path)."""
+    from hourcast.functions.text import zero_pad
+    e = ad.read(spark, sf_dir, "events")
+    c = clean.cast_columns(e.select("event_id", "user_id", "ts", "value", "props").withColumn("user_id", F.col("user_id") % 4),
+                           {"user_id": "string", "value": "float", "props": "double"})
+    return c.select("event_id", F.col("user_id").alias("StationID"), F.year("ts").alias("year"),
+                    F.col("value").cast("double").alias("value_f32"), F.col("props").alias("props_num"),
+                    F.concat(F.lit("year="), F.year("ts").cast("string"), F.lit("/month="), zero_pad(F.month("ts"), 2),
+                             F.lit("/day="), zero_pad(F.dayofmonth("ts"), 2)).alias("path"))

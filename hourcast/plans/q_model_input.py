@@ -159,3 +159,18 @@ def q_week_compare(spark, sf_dir):
     rec = wk.filter(F.col("period") == "recent").groupBy("StationID", "hour").agg(F.avg("Temperature").alias("Actual_Recent"))
     prev = wk.filter(F.col("period") == "previous").groupBy("StationID", "hour").agg(F.avg("Temperature").alias("Actual_Prev"))
     return advise.compare_hourly({"pred": pred, "recent": rec, "prev": prev}, ["StationID", "hour"])
+
+
+@register("split_write", oracle=sql_norm(f"""SELECT 'val' AS split_name, StationID, count(*) AS n_rows FROM ({POS_SQL}) WHERE n - pos < 504 GROUP BY 2
+UNION ALL SELECT 'latest', StationID, count(*) FROM ({POS_SQL}) WHERE n - pos < 336 GROUP BY 2
+UNION ALL SELECT 'train', StationID, count(*) FROM ({POS_SQL}) WHERE n - pos >= 504 GROUP BY 2""",
+    ints=["n_rows"], with_=HOURLY))
+def q_split_write(spark, sf_dir):
+    """S11 + P5: write train / val / latest run-stamped (time parts dropped), read back the counts."""
+    from hourcast.session_paths import scratch, tag
+    from hourcast.sources import files
+    h = ad.obs_hourly(spark, sf_dir)
+    parts = {k: clean.drop_time_parts(v) for k, v in split.tail_split_frames(h, KEYS, "ObservationTime").items()}
+    root = files.write_splits(parts, scratch(spark, "splits", tag(sf_dir)), "20240131_0000")
+    d = spark.read.parquet(root)
+    return d.groupBy(F.col("split").alias("split_name"), "StationID").agg(F.count(F.lit(1)).alias("n_rows"))

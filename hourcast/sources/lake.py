@@ -98,8 +98,11 @@ def scan_recursive(spark: SparkSession, root: str, year: int | None = None, mont
     if month is not None:
         df = df.filter(F.col("month") == month)
     if latest_file_only:
+        # Spark writes day=9, not day=09, so the path text alone does not sort by time: take the
+        # newest (year, month, day) partition, then the last path inside it. One-row broadcast.
         df = df.withColumn("_file", F.col("_metadata.file_path"))
-        last = df.agg(F.max("_file").alias("_file"))
+        key = F.struct(*[F.col(c) for c in PARTITION_COLUMNS if c in df.columns], F.col("_file"))
+        last = df.agg(F.max_by(F.col("_file"), key).alias("_file"))
         df = df.join(F.broadcast(last), "_file").drop("_file")
     return df
 
@@ -172,8 +175,8 @@ def incremental_load(spark: SparkSession, source: DataFrame, root: str, keys=("S
     """Full load into an empty lake, else load rows after the high-water mark (minus an
     optional re-delivery overlap, made harmless by the merge). No-op when up to date."""
     if not has_data(spark, root):
-        write_days(source, root, time_col, mode="dynamic")
-        return -1
+        # first load: the same merge (one row per key and time) into an empty lake
+        return merge_days(spark, source, root, keys, time_col)
     mark = high_water_mark(spark, root, time_col).first()["high_water_mark"]
     start = mark - dt.timedelta(hours=overlap_hours)
     fresh = source.filter(F.col(time_col) > F.lit(start).cast("timestamp_ntz")) if overlap_hours else \
