@@ -6,11 +6,11 @@ import os
 
 from pyspark.sql import functions as F
 
-from hourcast.functions import timefeat as tf
 from hourcast.operators import clean
 from hourcast.plans import adapters as ad
 from hourcast.plans.catalog import register, sql_norm
 from hourcast.schema import RAW_SCHEMA, WEATHER_COLUMNS, WEATHER_KOREAN_COLUMNS
+from hourcast.session import path_exists
 from hourcast.session_paths import scratch, tag
 from hourcast.sources import files, html, lake, text
 
@@ -21,8 +21,7 @@ RAW_DOUBLES = [f.name for f in RAW_SCHEMA.fields if f.dataType.typeName() == "do
 def lake_root(spark, sf_dir: str) -> str:
     """Day-partitioned lake of the wide observations for ``sf_dir`` (written on first use per app)."""
     root = scratch(spark, "lake", tag(sf_dir))
-    marker = root + "/_SUCCESS"
-    if not os.path.exists(marker):
+    if not path_exists(spark, root + "/_SUCCESS"):
         lake.write_days(ad.obs_wide(spark, sf_dir).drop("event_id"), root, mode="dynamic")
     return root
 
@@ -263,7 +262,7 @@ WHERE CAST(ObservationTime AS DATE) = (SELECT max(CAST(ObservationTime AS DATE))
 def q_recursive_scan_latest(spark, sf_dir):
     """S6 / O5 by path: with one file per day, the last path is the newest day."""
     root = scratch(spark, "lake_one_file", tag(sf_dir))
-    if not os.path.exists(root + "/_SUCCESS"):
+    if not path_exists(spark, root + "/_SUCCESS"):
         obs = ad.obs_wide(spark, sf_dir).drop("event_id")
         lake.write_days(obs.repartition("year", "month", "day"), root)
     df = lake.scan_recursive(spark, root, latest_file_only=True)

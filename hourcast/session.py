@@ -42,11 +42,16 @@ def build_session(master: str | None = None, app: str = "hourcast",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a scratch one only when none is configured."""
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: the server owns the checkpoint folder)
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         # Only reached in local tests: a cluster names a shared folder in spark.checkpoint.dir.
         conf_dir = tempfile.mkdtemp(prefix="hourcast-ckpt-")
@@ -54,6 +59,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Does ``path`` exist on its file system (local, HDFS, object store)?"""
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    except Exception:  # noqa: BLE001  (no JVM handle: ask the reader instead)
+        try:
+            spark.read.text(path).limit(1).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
