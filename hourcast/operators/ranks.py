@@ -8,10 +8,12 @@ key holding a smaller value). Then
 * the i-th smallest value (0-based)        = value with less <= i < less + cnt.
 
 How it scales: ``groupBy(keys, value)`` combines duplicates map-side (a value holding a third of all
-rows becomes one row). The running count over values would need one window per key; instead the
-distinct values of each key are cut into ``n_buckets`` ranges by ``percentile_approx`` cut points
-(collected once as literals, so every branch of the plan buckets identically), bucket totals (keys x buckets rows) get prefix sums, and the
-final running sum runs per (key, bucket). No step sees all values of a key in one task.
+rows becomes one row). The running count over values would need one window per key; instead each
+key's values are cut into ``n_buckets`` equal-row ranges by ``percentile_approx`` cut points
+(a map-side sketch, collected once as literals so every branch of the plan buckets identically;
+text values use pivots from a bounded hash sample of their distinct values), bucket totals (keys x buckets
+rows) get prefix sums, and the final running sum runs per (key, bucket). No step sees all values
+of a key in one task.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ N_BUCKETS = 64
 
 
 def bucket_bounds(counts: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS) -> dict:
-    """Approximate equal-count cut points of the distinct values, per key, as driver literals.
+    """Approximate equal-count cut points of ``value_col``, per key, as driver literals.
 
     The result is schema-sized (keys x (n_buckets - 1) doubles). Collecting it once pins the
     bucketing: every later use sees the same cut points, whatever the merge order of the sketch.
@@ -34,6 +36,38 @@ def bucket_bounds(counts: DataFrame, keys, value_col: str = "value", n_buckets:
     return {tuple(r[k] for k in keys): sorted(set(x for x in (r["_b"] or []) if x is not None)) for r in rows}
 
 
+def text_pivots(counts: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS,
+                per_bucket: int = 32) -> dict:
+    """Order-preserving cut points for text values: a hash sample of about
+    ``n_buckets * per_bucket`` distinct values per key (rate from an HLL distinct count), sorted on
+    the driver (code-point order = Spark's UTF-8 byte order), every ``per_bucket``-th kept.
+    Both collections are bounded by ``keys x n_buckets x per_bucket`` values."""
+    want = n_buckets * per_bucket
+    nd = {tuple(r[k] for k in keys): r["_nd"] for r in
+          counts.groupBy(*keys).agg(F.approx_count_distinct(value_col).alias("_nd")).collect()}
+    if not nd:
+        return {}
+    rate = None
+    for key, n in nd.items():
+        cond = None
+        for k, kv in zip(keys, key):
+            c = F.col(k).isNull() if kv is None else (F.col(k) == F.lit(kv))
+            cond = c if cond is None else cond & c
+        r = F.lit(min(1.0, want / max(n, 1)))
+        rate = F.when(cond, r) if rate is None else rate.when(cond, r)
+    u = (F.pmod(F.xxhash64(F.col(value_col)), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+    sample = counts.filter(u < rate).select(*keys, value_col).collect()
+    by_key: dict = {}
+    for r in sample:
+        by_key.setdefault(tuple(r[k] for k in keys), []).append(r[value_col])
+    out = {}
+    for key, vals in by_key.items():
+        vals = sorted(vals)
+        step = max(1, len(vals) // n_buckets)
+        out[key] = vals[step::step][: n_buckets - 1]
+    return out
+
+
 def bucket_expr(bounds: dict, keys, value_col: str = "value") -> Column:
     """Bucket index of each value: the number of cut points of its key below the value."""
     v = F.col(value_col)
@@ -43,7 +77,10 @@ def bucket_expr(bounds: dict, keys, value_col: str = "value") -> Column:
         for k, kv in zip(keys, key):
             c = F.col(k).isNull() if kv is None else (F.col(k) == F.lit(kv))
             cond = c if cond is None else cond & c
-        arr = F.array(*[F.lit(float(x)) for x in cuts]) if cuts else F.array().cast("array<double>")
+        if cuts and isinstance(cuts[0], str):
+            arr = F.array(*[F.lit(x) for x in cuts])
+        else:
+            arr = F.array(*[F.lit(float(x)) for x in cuts]) if cuts else F.array().cast("array<double>")
         b = F.size(F.filter(arr, lambda x: x < v))
         expr = F.when(cond, b) if expr is None else expr.when(cond, b)
     return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
@@ -54,19 +91,21 @@ def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets:
     """(keys, value, cnt, less) per distinct value; ``distinct_only`` counts each value once, so
     ``less`` becomes the 0-based index of the value among the sorted distinct values.
 
-    Text values are bucketed by their first two characters, an order-preserving cut (a string's
-    prefix orders it before any string with a greater prefix), so no cut points are needed.
+    Text values are bucketed by pivots drawn from a bounded hash sample of their distinct values.
     """
     keys = list(keys)
     is_text = isinstance(long_df.schema[value_col].dataType, T.StringType)
     valid = F.col(value_col).isNotNull() if is_text else (F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
-    counts = long_df.filter(valid).groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("cnt"))
+    rows = long_df.filter(valid)
+    counts = rows.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("cnt"))
     if distinct_only:
         counts = counts.withColumn("cnt", F.lit(1).cast("long"))
     if is_text:
-        c = counts.withColumn("_bk", F.substring(F.col(value_col), 1, 2))
+        c = counts.withColumn("_bk", bucket_expr(text_pivots(counts, keys, value_col, n_buckets), keys, value_col))
     else:
-        bounds = bucket_bounds(counts, keys, value_col, n_buckets)
+        # equal-row cut points from the raw values (a map-side sketch): a bucket then holds at most
+        # ~1/n_buckets of the rows, hence of the distinct values, plus any single hot value
+        bounds = bucket_bounds(rows, keys, value_col, n_buckets)
         c = counts.withColumn("_bk", bucket_expr(bounds, keys, value_col))
     tot = c.groupBy(*keys, "_bk").agg(F.sum("cnt").alias("_bn"))
     w_tot = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)

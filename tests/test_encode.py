@@ -34,3 +34,11 @@ def test_one_hot_rows_sum_to_one(spark):
     df = spark.range(50).select((F.col("id") % 4).cast("string").alias("c"))
     out = encode.apply_encoders(df, encode.fit_encoders(df, ["c"]))
     assert out.select(sum(F.col(c) for c in out.columns).alias("s")).distinct().collect()[0]["s"] == 1.0
+
+
+def test_label_index_many_shared_prefix_matches_sorted(spark):
+    labels = [f"Brand#{i}" for i in range(700)] + ["", "Z", "ä", "Brand"]
+    df = spark.createDataFrame([(v,) for v in labels for _ in range(2)], "c string")
+    fitted = encode.fit_encoders(df, ["c"])
+    got = {r["label"]: r["idx"] for r in fitted.collect()}
+    assert got == {v: i for i, v in enumerate(sorted(set(labels)))}
