@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 N_BUCKETS = 64
+SKETCH_ACCURACY = 1000
 
 
 def bucket_bounds(counts: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS) -> dict:
@@ -32,7 +33,8 @@ def bucket_bounds(counts: DataFrame, keys, value_col: str = "value", n_buckets:
     bucketing: every later use sees the same cut points, whatever the merge order of the sketch.
     """
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    rows = counts.groupBy(*keys).agg(F.percentile_approx(value_col, probs, 10000).alias("_b")).collect()
+    # 64 buckets need ~1/64 rank resolution: a 1/1000 sketch is ample and much cheaper than the default
+    rows = counts.groupBy(*keys).agg(F.percentile_approx(value_col, probs, SKETCH_ACCURACY).alias("_b")).collect()
     return {tuple(r[k] for k in keys): sorted(set(x for x in (r["_b"] or []) if x is not None)) for r in rows}
 
 
@@ -68,28 +70,28 @@ def text_pivots(counts: DataFrame, keys, value_col: str = "value", n_buckets: in
     return out
 
 
-def bucket_expr(bounds: dict, keys, value_col: str = "value") -> Column:
-    """Bucket index of each value: the number of cut points of its key below the value."""
+def with_bucket(counts: DataFrame, bounds: dict, keys, value_col: str = "value") -> DataFrame:
+    """Add ``_bk`` = number of the key's cut points below the value.
+
+    The cut points travel as a tiny literal table (one row per key, built from the collected
+    values, so it is identical in every branch of the plan) joined by broadcast: the expression
+    per row stays small whatever the number of keys.
+    """
+    keys = list(keys)
+    spark = counts.sparkSession
+    vtype = counts.schema[value_col].dataType
+    fields = [counts.schema[k] for k in keys] + [T.StructField("_cuts", T.ArrayType(vtype))]
+    rows = [tuple(key) + ([float(x) for x in cuts] if not isinstance(vtype, T.StringType) else list(cuts),)
+            for key, cuts in bounds.items()]
+    table = spark.createDataFrame(rows, T.StructType(fields))
     v = F.col(value_col)
-    expr = None
-    for key, cuts in bounds.items():
-        cond = None
-        for k, kv in zip(keys, key):
-            c = F.col(k).isNull() if kv is None else (F.col(k) == F.lit(kv))
-            cond = c if cond is None else cond & c
-        if cuts and isinstance(cuts[0], str):
-            arr = F.array(*[F.lit(x) for x in cuts])
-        else:
-            arr = F.array(*[F.lit(float(x)) for x in cuts]) if cuts else F.array().cast("array<double>")
-        b = F.size(F.filter(arr, lambda x: x < v))
-        expr = F.when(cond, b) if expr is None else expr.when(cond, b)
-    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
+    out = counts.join(F.broadcast(table), keys, "left")
+    return out.withColumn("_bk", F.coalesce(F.size(F.filter(F.col("_cuts"), lambda b: b < v)), F.lit(0))).drop("_cuts")
 
 
-def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS,
-                  distinct_only: bool = False) -> DataFrame:
-    """(keys, value, cnt, less) per distinct value; ``distinct_only`` counts each value once, so
-    ``less`` becomes the 0-based index of the value among the sorted distinct values.
+def bucketed_counts(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS,
+                    distinct_only: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(counts with bucket ``_bk``, bucket table with ``_bn`` rows, ``_boff`` rows before, ``_n`` total).
 
     Text values are bucketed by pivots drawn from a bounded hash sample of their distinct values.
     """
@@ -101,20 +103,35 @@ def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets:
     if distinct_only:
         counts = counts.withColumn("cnt", F.lit(1).cast("long"))
     if is_text:
-        c = counts.withColumn("_bk", bucket_expr(text_pivots(counts, keys, value_col, n_buckets), keys, value_col))
+        c = with_bucket(counts, text_pivots(counts, keys, value_col, n_buckets), keys, value_col)
     else:
         # equal-row cut points from the raw values (a map-side sketch): a bucket then holds at most
         # ~1/n_buckets of the rows, hence of the distinct values, plus any single hot value
         bounds = bucket_bounds(rows, keys, value_col, n_buckets)
-        c = counts.withColumn("_bk", bucket_expr(bounds, keys, value_col))
+        c = with_bucket(counts, bounds, keys, value_col)
     tot = c.groupBy(*keys, "_bk").agg(F.sum("cnt").alias("_bn"))
-    w_tot = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    w_prev = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    w_all = Window.partitionBy(*keys)
     # keys x buckets rows: bounded by the schema, broadcast back
-    tot = tot.select(*keys, "_bk", F.coalesce(F.sum("_bn").over(w_tot), F.lit(0)).alias("_boff"))
-    c = c.join(F.broadcast(tot), keys + ["_bk"])
+    tot = tot.select(*keys, "_bk", "_bn", F.coalesce(F.sum("_bn").over(w_prev), F.lit(0)).alias("_boff"),
+                     F.sum("_bn").over(w_all).alias("_n"))
+    return c, tot
+
+
+def _running_less(c: DataFrame, tot: DataFrame, keys, value_col: str) -> DataFrame:
+    c = c.join(F.broadcast(tot), list(keys) + ["_bk"])
     w_in = Window.partitionBy(*keys, "_bk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("less", (F.col("_boff") + F.coalesce(F.sum("cnt").over(w_in), F.lit(0))).cast("long"))
-    return c.select(*keys, value_col, F.col("cnt").cast("long").alias("cnt"), "less")
+    return c.withColumn("less", (F.col("_boff") + F.coalesce(F.sum("cnt").over(w_in), F.lit(0))).cast("long"))
+
+
+def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS,
+                  distinct_only: bool = False) -> DataFrame:
+    """(keys, value, cnt, less) per distinct value; ``distinct_only`` counts each value once, so
+    ``less`` becomes the 0-based index of the value among the sorted distinct values."""
+    keys = list(keys)
+    c, tot = bucketed_counts(long_df, keys, value_col, n_buckets, distinct_only)
+    out = _running_less(c, tot, keys, value_col)
+    return out.select(*keys, value_col, F.col("cnt").cast("long").alias("cnt"), "less")
 
 
 def average_ranks(long_df: DataFrame, keys, value_col: str = "value", rank_col: str = "rank",
@@ -129,12 +146,18 @@ def exact_quantiles(long_df: DataFrame, keys, probs, value_col: str = "value",
     """Exact quantiles with linear interpolation (pandas / numpy default), one row per (keys, p).
 
     h = (n - 1) * p; q = x[floor h] + (h - floor h) * (x[floor h + 1] - x[floor h]).
+    Only the buckets holding floor h or ceil h are ranked (a broadcast semi join on the bucket
+    table), so the running-sum window touches a few buckets per key instead of all of them.
     """
     keys = list(keys)
-    off = value_offsets(long_df, keys, value_col, n_buckets)
-    n = off.groupBy(*keys).agg(F.sum("cnt").alias("_n"))
-    x = off.join(n, keys).withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    x = x.withColumn("_h", (F.col("_n") - 1) * F.col("p"))
+    c, tot = bucketed_counts(long_df, keys, value_col, n_buckets)
+    ps = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
+    t = tot.withColumn("p", ps).withColumn("_h", (F.col("_n") - 1) * F.col("p"))
+    t = t.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
+    inside = lambda i: (F.col("_boff") <= F.col(i)) & (F.col(i) < F.col("_boff") + F.col("_bn"))
+    need = t.filter(inside("_lo") | inside("_hi")).select(*keys, "_bk").distinct()
+    x = _running_less(c.join(F.broadcast(need), keys + ["_bk"], "left_semi"), tot, keys, value_col)
+    x = x.withColumn("p", ps).withColumn("_h", (F.col("_n") - 1) * F.col("p"))
     x = x.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
     hit_lo = (F.col("less") <= F.col("_lo")) & (F.col("_lo") < F.col("less") + F.col("cnt"))
     hit_hi = (F.col("less") <= F.col("_hi")) & (F.col("_hi") < F.col("less") + F.col("cnt"))

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.functions import timefeat as tf
-from hourcast.session import table_path
+from hourcast.session import balanced, table_path
 
 N_STATIONS = 4
 # Forecast scale: pred_Temperature = avg(value) * FORECAST_SCALE + FORECAST_SHIFT.
@@ -27,7 +27,8 @@ FORECAST_SHIFT = -10.0
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """A driver table; single-split files are spread over the session's cores (see ``balanced``)."""
+    return balanced(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def obs_events(spark: SparkSession, sf_dir: str) -> DataFrame:

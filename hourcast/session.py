@@ -81,3 +81,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the session can run in parallel.
+
+    A small file with a single row group is read by one task, and everything before the first
+    shuffle (unpivots, per-row expressions, partial aggregates) would then run serially. Large
+    inputs already split into many partitions and are returned unchanged (no extra shuffle).
+    """
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect: leave it to AQE)
+        return df
+    return df.repartition(target)
