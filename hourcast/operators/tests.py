@@ -16,6 +16,7 @@ from hourcast.operators.ranks import average_ranks
 from hourcast.schema import categorical_columns, numeric_columns
 
 ALPHA = 0.05
+TIE_TOLERANCE = 1e-12
 
 
 def safe_corr(x: Column, y: Column) -> Column:
@@ -41,15 +42,28 @@ def rank_long(df: DataFrame, features, carry=()) -> DataFrame:
     return long.join(ranks, ["column", "value"], "left")
 
 
+TARGET_KEY = "__target__"
+
+
 def spearman(df: DataFrame, target: str, features=None) -> DataFrame:
     """Spearman rho of each numeric feature vs the target, with t and n.
 
+    One rank table serves the target and every feature: the target is ranked as one more
+    "column" of the long form, so one pass of counts / cut points covers all of them.
     A feature (or target) with any null gives rho = null (pandas 'propagate'); a constant column
     gives null as well. Sorted by correlation descending.
     """
     feats = features or numeric_columns(df.schema, exclude=(target,))
-    base = with_target_rank(df, target)
-    j = rank_long(base, feats, carry=["_rt"])
+    cols = list(feats) + [target]
+    src = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).withColumn(
+        "_y", F.col(f"`{target}`"))
+    long_all = to_long(src.drop("_y"), cols)
+    rk = average_ranks(long_all.withColumn("column", F.when(F.col("column") == target, F.lit(TARGET_KEY))
+                                            .otherwise(F.col("column"))), ["column"]).select("column", "value", "rank")
+    rt = rk.filter(F.col("column") == TARGET_KEY).select(F.col("value").alias("_y"), F.col("rank").alias("_rt"))
+    base = src.join(rt, "_y", "left")
+    long = to_long(base, feats, ids=["_rt"])
+    j = long.join(rk.filter(F.col("column") != TARGET_KEY), ["column", "value"], "left")
     agg = j.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("rank").isNull() | F.col("_rt").isNull()).alias("_nulls"),
@@ -125,7 +139,10 @@ def high_corr_drop(df: DataFrame, target: str, features=None, threshold: float =
     ct = ct.unionByName(df.sparkSession.createDataFrame([], "column string, ct double"))
     j = (pairs.join(F.broadcast(ct.withColumnsRenamed({"column": "f1", "ct": "ct1"})), "f1", "left")
          .join(F.broadcast(ct.withColumnsRenamed({"column": "f2", "ct": "ct2"})), "f2", "left"))
-    drop = F.when(F.coalesce(F.col("ct1") >= F.col("ct2"), F.lit(False)), F.col("f2")).otherwise(F.col("f1"))
+    # equal |r| (e.g. identical rank vectors) must tie as in the reference: Spark's per-column sums
+    # may run in different row orders, so compare with a tolerance far below any real difference
+    drop = F.when(F.coalesce(F.col("ct1") >= F.col("ct2") - F.lit(TIE_TOLERANCE), F.lit(False)),
+                  F.col("f2")).otherwise(F.col("f1"))
     return j.select(drop.alias("Feature")).distinct()
 
 

@@ -27,8 +27,7 @@ FORECAST_SHIFT = -10.0
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; single-split files are spread over the session's cores (see ``balanced``)."""
-    return balanced(spark.read.parquet(table_path(sf_dir, name)))
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def obs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +105,8 @@ def _wide_numeric_sql(i: int) -> str:
 
 def obs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourcast.schema import RAW_SCHEMA, WEATHER_COLUMNS
-    e = read(spark, sf_dir, "events").withColumn(
+    # 46 computed columns per row, then wide unpivots downstream: spread a single-split scan first
+    e = balanced(read(spark, sf_dir, "events")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("bigint"))
     cols = []
     for i, f in enumerate(RAW_SCHEMA.fields):
