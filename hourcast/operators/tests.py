@@ -133,10 +133,12 @@ def high_corr_drop(df: DataFrame, target: str, features=None, threshold: float =
     If |r(f1, target)| >= |r(f2, target)| drop f2, else drop f1 (NaN comparisons are false).
     Works on the features^2 pair table and the per-feature target table only.
     """
-    feats = features or numeric_columns(df.schema, exclude=(target,))
-    pairs = corr_matrix(df, feats, method, id_cols).filter(F.coalesce(F.abs("r") > threshold, F.lit(False)))
-    ct = pearson_with_target(df, target, feats, 0.0, method).select("column", F.abs("r").alias("ct"))
-    ct = ct.unionByName(df.sparkSession.createDataFrame([], "column string, ct double"))
+    feats = list(features or numeric_columns(df.schema, exclude=(target,)))
+    # one matrix over features + target: the feature pairs and |r(feature, target)| in one pass
+    m = corr_matrix(df, feats + [target], method, id_cols)
+    pairs = m.filter((F.col("f1") != target) & (F.col("f2") != target)).filter(
+        F.coalesce(F.abs("r") > threshold, F.lit(False)))
+    ct = m.filter(F.col("f2") == target).select(F.col("f1").alias("column"), F.abs("r").alias("ct"))
     j = (pairs.join(F.broadcast(ct.withColumnsRenamed({"column": "f1", "ct": "ct1"})), "f1", "left")
          .join(F.broadcast(ct.withColumnsRenamed({"column": "f2", "ct": "ct2"})), "f2", "left"))
     # equal |r| (e.g. identical rank vectors) must tie as in the reference: Spark's per-column sums

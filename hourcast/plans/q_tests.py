@@ -119,7 +119,7 @@ WITH src AS (SELECT *, l_quantity * 2 + 1 AS qty_x2 FROM lineitem),
 rk AS (SELECT {", ".join(f'{_avg_rank_sql("", c)} AS "{c}"' for c in ["l_extendedprice"] + [c for c in PAIR_FEATS if c != "l_extendedprice"])} FROM src),
 pairs AS ({_pairs_sql(True).replace("FROM (SELECT", "FROM (SELECT", 1)}),
 ct AS ({" UNION ALL ".join(f"SELECT '{c}' AS f, abs(covar_pop(\"{c}\", l_extendedprice) / nullif(stddev_pop(\"{c}\") * stddev_pop(l_extendedprice), 0)) AS ct FROM rk" for c in PAIR_FEATS if c != "l_extendedprice")})
-SELECT DISTINCT CASE WHEN coalesce(a.ct >= b.ct, false) THEN p.f2 ELSE p.f1 END AS "Feature"
+SELECT DISTINCT CASE WHEN coalesce(a.ct >= b.ct - 1e-12, false) THEN p.f2 ELSE p.f1 END AS "Feature"
 FROM pairs p LEFT JOIN ct a ON a.f = p.f1 LEFT JOIN ct b ON b.f = p.f2
 WHERE abs(p.r) > 0.95 AND p.f1 <> 'l_extendedprice' AND p.f2 <> 'l_extendedprice'"""))
 def q_high_corr_drop(spark, sf_dir):
