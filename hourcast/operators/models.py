@@ -121,11 +121,22 @@ def top_models(report: DataFrame, n: int = 3) -> DataFrame:
 
 
 def last_anchor(df: DataFrame, keys, time_col: str, target: str, lags=DEFAULT_LAGS) -> DataFrame:
-    """The newest row of each series with its lag features (forecast origin)."""
+    """The newest row of each series with its lag features (forecast origin).
+
+    Only the last ``max(lags) + 1`` rows of each series are kept before the lag joins, so the
+    work does not grow with the history length.
+    """
     keys = list(keys)
-    a = anchor_features(df, keys, time_col, target, lags)
-    n = series_length(df, keys)
-    return a.join(n, keys).filter(F.col("pos") == F.col("n")).drop("n")
+    depth = max(lags) + 1
+    p = ordinal(df.select(*keys, time_col, target), keys, time_col).join(series_length(df, keys), keys)
+    tail = p.filter(F.col("pos") > F.col("n") - depth)
+    out = tail.withColumnRenamed(target, _lag_name(0))
+    for k in lags:
+        if k == 0:
+            continue
+        out = lag_by_position(out, keys, "pos", [_lag_name(0)], k, f"__l{k}").withColumnRenamed(
+            f"{_lag_name(0)}__l{k}", _lag_name(k))
+    return out.filter(F.col("pos") == F.col("n")).drop("n")
 
 
 def forecast(model, df: DataFrame, keys, time_col: str, target: str, horizon: int = HORIZON,
