@@ -30,6 +30,8 @@ def build_session(master: str | None = None, app: str = "hourcast",
         b = b.master(master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
+    if os.environ.get("HOURCAST_SESSION_TZ"):  # robustness runs: results must not depend on it
+        b = b.config("spark.sql.session.timeZone", os.environ["HOURCAST_SESSION_TZ"])
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():

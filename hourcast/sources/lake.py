@@ -19,6 +19,11 @@ from hourcast.schema import PARTITION_COLUMNS
 EPOCH_MARK = dt.datetime(2000, 1, 1)
 
 
+def ntz_literal(value: dt.datetime) -> Column:
+    """A wall-clock literal that no session or OS time zone can shift (parsed from text)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _day_of(df_cols=("year", "month", "day")) -> Column:
     y, m, d = df_cols
     return F.make_date(F.col(y), F.col(m), F.col(d))
@@ -124,9 +129,9 @@ def high_water_mark(spark: SparkSession, root: str, time_col: str = "Observation
     """
     d = latest_day(spark, root)
     if d is None:
-        return spark.range(1).select(F.lit(EPOCH_MARK).cast("timestamp_ntz").alias("high_water_mark"))
+        return spark.range(1).select(ntz_literal(EPOCH_MARK).alias("high_water_mark"))
     day_df = scan(spark, root, d, d)
-    return day_df.agg(F.coalesce(F.max(time_col), F.lit(EPOCH_MARK).cast("timestamp_ntz"))
+    return day_df.agg(F.coalesce(F.max(time_col), ntz_literal(EPOCH_MARK))
                       .alias("high_water_mark"))
 
 
@@ -179,8 +184,7 @@ def incremental_load(spark: SparkSession, source: DataFrame, root: str, keys=("S
         return merge_days(spark, source, root, keys, time_col)
     mark = high_water_mark(spark, root, time_col).first()["high_water_mark"]
     start = mark - dt.timedelta(hours=overlap_hours)
-    fresh = source.filter(F.col(time_col) > F.lit(start).cast("timestamp_ntz")) if overlap_hours else \
-        source.filter(F.col(time_col) > F.lit(mark).cast("timestamp_ntz"))
+    fresh = source.filter(F.col(time_col) > ntz_literal(start if overlap_hours else mark))
     return merge_days(spark, fresh, root, keys, time_col)
 
 
