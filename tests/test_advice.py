@@ -72,3 +72,22 @@ def test_increment_suffix(spark, name, expected):
     from hourcast.functions.text import increment_suffix
     got = spark.createDataFrame([(name,)], "n string").select(increment_suffix(F.col("n"))).first()[0]
     assert got == expected
+
+
+def test_season_and_segment_edges(spark):
+    from hourcast.functions import timefeat as tf
+    months = spark.createDataFrame([(m,) for m in [1, 2, 3, 5, 6, 8, 9, 11, 12]], "month int")
+    assert [r[0] for r in months.select(tf.season("month")).collect()] == [
+        "Winter", "Winter", "Spring", "Spring", "Summer", "Summer", "Fall", "Fall", "Winter"]
+    hours = spark.createDataFrame([(h,) for h in [0, 5, 6, 11, 12, 17, 18, 21, 22, 23]], "hour int")
+    assert [r[0] for r in hours.select(tf.time_segment("hour")).collect()] == [
+        "Dawn", "Dawn", "Morning", "Morning", "Afternoon", "Afternoon", "Evening", "Evening", "Night", "Night"]
+
+
+def test_weekday_monday_zero_and_names(spark):
+    import datetime as dt
+
+    from hourcast.functions import timefeat as tf
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 1 + i),) for i in range(7)], "t timestamp_ntz")
+    rows = df.select(tf.weekday_index("t"), tf.weekday_name("t")).collect()
+    assert [r[0] for r in rows] == list(range(7)) and rows[0][1] == "Monday" and rows[6][1] == "Sunday"

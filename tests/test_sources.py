@@ -97,3 +97,18 @@ def test_embedded_weekly_json(spark):
     df = spark.createDataFrame([(page,), ("<html>none</html>",)], "html string")
     rows = html.weekly_forecast(df).collect()
     assert [(r["day"], r["max_temp"], r["min_temp"], r["day_of_week"]) for r in rows] == [(5, 7.0, -2.0, "Friday"), (6, 5.0, -4.0, "Saturday")]
+
+
+def test_csv_with_bom(spark):
+    d = _tmp()
+    with open(os.path.join(d, "data.csv"), "w", encoding="utf-8-sig") as f:
+        f.write("날짜,기온,습도\n2022-01-21,2.5,65\n")
+    from pyspark.sql import types as T
+
+    from hourcast.sources import files
+    schema = T.StructType([T.StructField("날짜", T.StringType()), T.StructField("기온", T.DoubleType()),
+                           T.StructField("습도", T.LongType())])
+    r = files.read_csv(spark, d, schema).first()
+    assert tuple(r) == ("2022-01-21", 2.5, 65)
+    back = files.round_trip(files.read_csv(spark, d), os.path.join(d, "rt"))
+    assert back.columns == ["날짜", "기온", "습도"]
