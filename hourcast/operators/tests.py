@@ -45,7 +45,7 @@ def rank_long(df: DataFrame, features, carry=()) -> DataFrame:
 TARGET_KEY = "__target__"
 
 
-def spearman(df: DataFrame, target: str, features=None) -> DataFrame:
+def spearman(df: DataFrame, target: str, features=None, sort: bool = True) -> DataFrame:
     """Spearman rho of each numeric feature vs the target, with t and n.
 
     One rank table serves the target and every feature: the target is ranked as one more
@@ -70,15 +70,17 @@ def spearman(df: DataFrame, target: str, features=None) -> DataFrame:
         safe_corr(F.col("rank"), F.col("_rt")).alias("_r"))
     r = F.when(F.col("_nulls") == 0, F.col("_r"))
     out = agg.select(F.col("column").alias("Feature"), r.alias("Correlation"), "n")
-    return out.withColumn("t", _t_stat(F.col("Correlation"), F.col("n"))).orderBy(F.desc("Correlation"))
+    out = out.withColumn("t", _t_stat(F.col("Correlation"), F.col("n")))
+    return out.orderBy(F.desc("Correlation")) if sort else out
 
 
-def spearman_test(df: DataFrame, target: str, features=None) -> DataFrame:
+def spearman_test(df: DataFrame, target: str, features=None, sort: bool = True) -> DataFrame:
     """A12 with p-values (two-sided t with n - 2 degrees of freedom)."""
-    s = spearman(df, target, features)
+    s = spearman(df, target, features, sort=False)
     p = F.when(F.abs(F.col("Correlation")) >= 1.0, F.lit(0.0)).otherwise(
         t_two_sided_udf(F.col("t"), (F.col("n") - 2).cast("double")))
-    return s.withColumn("P-value", p).orderBy(F.desc("Correlation"))
+    out = s.withColumn("P-value", p)
+    return out.orderBy(F.desc("Correlation")) if sort else out
 
 
 def insignificant(report: DataFrame, name_col: str, p_col: str, alpha: float = ALPHA) -> DataFrame:
@@ -92,7 +94,7 @@ def pearson_with_target(df: DataFrame, target: str, features=None, threshold: fl
     """Correlation with the target, |r| >= threshold, sorted descending (pearson or spearman)."""
     feats = features or numeric_columns(df.schema, exclude=(target,))
     if method == "spearman":
-        r = spearman(df, target, feats).select(F.col("Feature").alias("column"), F.col("Correlation").alias("r"))
+        r = spearman(df, target, feats, sort=False).select(F.col("Feature").alias("column"), F.col("Correlation").alias("r"))
     else:
         wide = df.agg(*[safe_corr(F.col(f"`{c}`").cast("double"), F.col(target).cast("double")).alias(c) for c in feats])
         r = wide.unpivot([], feats, "column", "r")
@@ -175,10 +177,11 @@ def kruskal(df: DataFrame, target: str, features=None, min_group_size: int = 5)
     return per.select(F.col("column").alias("feature"), h.alias("H-statistic"), "k", "N")
 
 
-def kruskal_test(df: DataFrame, target: str, features=None, min_group_size: int = 5) -> DataFrame:
+def kruskal_test(df: DataFrame, target: str, features=None, min_group_size: int = 5, sort: bool = True) -> DataFrame:
     """A15 with p = chi-square upper tail with k - 1 degrees of freedom, sorted by p."""
     k = kruskal(df, target, features, min_group_size)
-    return k.withColumn("p-value", chi2_sf_udf(F.col("H-statistic"), (F.col("k") - 1).cast("double"))).orderBy("p-value")
+    out = k.withColumn("p-value", chi2_sf_udf(F.col("H-statistic"), (F.col("k") - 1).cast("double")))
+    return out.orderBy("p-value") if sort else out
 
 
 def jarque_bera(df: DataFrame, features=None) -> DataFrame:
@@ -207,8 +210,8 @@ def feature_selection(df: DataFrame, target: str, fixed_exclude, protect, alpha:
     The test reports are feature-sized; their names are collected to build the projection.
     """
     from hourcast.operators.clean import drop_existing, lead_columns
-    sp = insignificant(spearman_test(df, target), "Feature", "P-value", alpha)
-    kw = insignificant(kruskal_test(df, target, min_group_size=min_group_size), "feature", "p-value", alpha)
+    sp = insignificant(spearman_test(df, target, sort=False), "Feature", "P-value", alpha)
+    kw = insignificant(kruskal_test(df, target, min_group_size=min_group_size, sort=False), "feature", "p-value", alpha)
     names = [r[0] for r in sp.collect()] + [r[0] for r in kw.collect()]
     if high_corr is not None:
         names += [r[0] for r in high_corr_drop(df, target, threshold=high_corr, id_cols=id_cols).collect()]
