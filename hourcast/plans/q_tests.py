@@ -127,7 +127,7 @@ def q_high_corr_drop(spark, sf_dir):
     return st.high_corr_drop(_li_pairs(spark, sf_dir), "l_extendedprice", feats, 0.95, "spearman")
 
 
-def kruskal_sql(src: str, target: str, feats, with_: str = "") -> str:
+def kruskal_sql(src: str, target: str, feats, with_: str = "", with_p: bool = False) -> str:
     cols = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in feats)
     pre = (with_ + ",\n" if with_ else "WITH ")
     body = pre + f"""long AS (FROM (SELECT CAST("{target}" AS DOUBLE) AS y, {cols} FROM {src} WHERE "{target}" IS NOT NULL)
@@ -137,10 +137,24 @@ kept AS (SELECT l.* FROM long l SEMI JOIN sz ON l."column" = sz."column" AND l.g
 rk AS (SELECT *, {_avg_rank_sql('"column"', 'y')} AS r FROM kept),
 ties AS (SELECT "column", sum(c * c * c - c) AS tt FROM (SELECT "column", y, CAST(count(*) AS DOUBLE) AS c FROM kept GROUP BY 1, 2) GROUP BY 1),
 g AS (SELECT "column", grp, sum(r) AS rj, count(*) AS nj FROM rk GROUP BY 1, 2),
-per AS (SELECT "column", CAST(sum(nj) AS DOUBLE) AS nn, count(*) AS k, sum(rj * rj / nj) AS s FROM g GROUP BY 1 HAVING count(*) >= 2)"""
-    return sql_norm(f"""SELECT "column" AS feature,
+per AS (SELECT "column", CAST(sum(nj) AS DOUBLE) AS nn, count(*) AS k, sum(rj * rj / nj) AS s FROM g GROUP BY 1 HAVING count(*) >= 2),
+hs AS (SELECT "column" AS feature,
        (12.0 / (nn * (nn + 1)) * s - 3.0 * (nn + 1)) / nullif(1 - tt / (nn * nn * nn - nn), 0) AS "H-statistic",
-       k, nn AS "N" FROM per JOIN ties USING ("column")""", doubles=["H-statistic"], ints=["k", "N"], with_=body)
+       k, nn AS "N" FROM per JOIN ties USING ("column"))"""
+    if with_p:
+        return sql_norm(f'SELECT *, {_chi2_sf_even_sql(chr(34) + "H-statistic" + chr(34), "k")} AS "p-value" FROM hs',
+                        doubles=["H-statistic", "p-value"], ints=["k", "N"], with_=body)
+    return sql_norm("SELECT * FROM hs", doubles=["H-statistic"], ints=["k", "N"], with_=body)
+
+
+def _chi2_sf_even_sql(x: str, k: str, max_df: int = 12) -> str:
+    """Chi-square upper tail for even degrees of freedom: exp(-x/2) * sum_{i < df/2} (x/2)^i / i!."""
+    import math
+    whens = []
+    for df in range(2, max_df + 1, 2):
+        terms = " + ".join(f"power({x} / 2.0, {i}) / {float(math.factorial(i))}" for i in range(df // 2))
+        whens.append(f"WHEN {k} - 1 = {df} THEN exp(-{x} / 2.0) * ({terms})")
+    return "CASE " + " ".join(whens) + " END"
 
 
 ORD_CATS = ["o_orderpriority", "o_orderstatus"]
@@ -159,21 +173,24 @@ def q_kruskal_observations(spark, sf_dir):
     return st.kruskal(ad.obs_wide(spark, sf_dir), "Temperature", OBS_CATS)
 
 
-@register("kruskal_test", note="p-values need the chi-square tail; checked in tests")
+@register("kruskal_test", oracle=kruskal_sql("orders", "o_totalprice", ORD_CATS, with_p=True))
 def q_kruskal_test(spark, sf_dir):
     return st.kruskal_test(ad.read(spark, sf_dir, "orders"), "o_totalprice", ORD_CATS)
 
 
-def jb_sql(src: str, feats, with_: str = "") -> str:
+def jb_sql(src: str, feats, with_: str = "", with_p: bool = False) -> str:
     casted = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in feats)
     pre = (with_ + ",\n" if with_ else "WITH ")
     body = pre + f"""long AS (FROM (SELECT {casted} FROM {src}) UNPIVOT (value FOR "column" IN ({_qc(feats)}))),
 mu AS (SELECT "column", avg(value) AS m FROM long GROUP BY 1),
 mom AS (SELECT l."column", count(*) AS n, avg(power(value - m, 2)) AS m2, avg(power(value - m, 3)) AS m3,
                avg(power(value - m, 4)) AS m4 FROM long l JOIN mu ON l."column" = mu."column" GROUP BY 1),
-sk AS (SELECT "column", n, m3 / power(nullif(m2, 0), 1.5) AS skew, m4 / power(nullif(m2, 0), 2) - 3 AS kurt FROM mom)"""
-    return sql_norm("""SELECT "column", n, skew, kurt, n / 6.0 * (skew * skew + kurt * kurt / 4.0) AS "JB" FROM sk""",
-                    doubles=["skew", "kurt", "JB"], ints=["n"], with_=body)
+sk AS (SELECT "column", n, m3 / power(nullif(m2, 0), 1.5) AS skew, m4 / power(nullif(m2, 0), 2) - 3 AS kurt FROM mom),
+jb AS (SELECT "column", n, skew, kurt, n / 6.0 * (skew * skew + kurt * kurt / 4.0) AS "JB" FROM sk)"""
+    if with_p:
+        return sql_norm("""SELECT *, exp(-"JB" / 2.0) AS "p-value", coalesce(exp(-"JB" / 2.0) > 0.05, false) AS normal FROM jb""",
+                        doubles=["skew", "kurt", "JB", "p-value"], ints=["n"], with_=body)
+    return sql_norm("SELECT * FROM jb", doubles=["skew", "kurt", "JB"], ints=["n"], with_=body)
 
 
 @register("jarque_bera", oracle=jb_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
@@ -186,7 +203,7 @@ def q_jarque_bera_observations(spark, sf_dir):
     return st.jarque_bera(ad.obs_wide(spark, sf_dir), numeric_columns(RAW_SCHEMA))
 
 
-@register("normality_test", note="p = exp(-JB/2); checked in tests")
+@register("normality_test", oracle=jb_sql("obs_wide", numeric_columns(RAW_SCHEMA), WIDE, with_p=True))
 def q_normality_test(spark, sf_dir):
     return st.normality_test(ad.obs_wide(spark, sf_dir), numeric_columns(RAW_SCHEMA))
 
