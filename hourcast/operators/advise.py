@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.functions import advice as adv
+from hourcast.functions.numeric import stable_round
 from hourcast.functions.timefeat import to_fahrenheit
 
 
@@ -37,10 +38,10 @@ def daily_advice(fc: DataFrame, temp_col: str = "pred_Temperature", keys=("Stati
     band = adv.temp_band(F.col("_avg"))
     return s.select(
         *k,
-        F.round("_avg", digits).alias("avg_temp"),
-        F.round("_min", digits).alias("min_temp"),
-        F.round("_max", digits).alias("max_temp"),
-        F.round("_diff", digits).alias("temp_difference"),
+        stable_round("_avg", digits).alias("avg_temp"),
+        stable_round("_min", digits).alias("min_temp"),
+        stable_round("_max", digits).alias("max_temp"),
+        stable_round("_diff", digits).alias("temp_difference"),
         band.alias("band"),
         adv.activity_tip(band).alias("activity_tip"),
         adv.layering_tip(F.col("_diff")).alias("layering_tip"),
@@ -118,9 +119,17 @@ def style_items(advice: DataFrame, dim: DataFrame, keys=("StationID",), date_col
 def advice_json(advice: DataFrame, dim: DataFrame, keys=("StationID",), date_col: str = "date") -> DataFrame:
     """the nested day record (summary struct + recommendation struct with a styles map) as JSON."""
     k = _keys(advice, keys)
+    # entries sorted before building each map: collect_list order after a shuffle is arbitrary,
+    # and the JSON text must not change from run to run
+    def by_key(field):
+        return lambda a, b: F.when(a[field] < b[field], -1).when(a[field] > b[field], 1).otherwise(0)
+
     styles = (dim.groupBy("band", "style")
-              .agg(F.map_from_entries(F.collect_list(F.struct("category", "items"))).alias("cats"))
-              .groupBy("band").agg(F.map_from_entries(F.collect_list(F.struct("style", "cats"))).alias("styles")))
+              .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("category", "items")), by_key("category")))
+                   .alias("cats"))
+              .groupBy("band")
+              .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("style", "cats")), by_key("style")))
+                   .alias("styles")))
     j = advice.join(F.broadcast(styles), "band", "left")
     rec = F.struct(
         F.col(date_col).cast("string").alias("target_date"),

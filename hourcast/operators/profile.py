@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourcast.functions.numeric import stable_round
 from hourcast.operators.ranks import exact_quantiles
 from hourcast.schema import MISSING_TOKEN, numeric_columns
 
@@ -67,7 +68,7 @@ def outlier_iqr(df: DataFrame, columns=None, threshold: float = 1.5, digits: int
         F.count(F.lit(1)).alias("n"),
         F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("outlier_count"))
     return (cnt.select(F.col("column").alias("Column"), F.col("outlier_count").alias("Outlier Count"),
-                       F.round(F.col("outlier_count") / F.col("n") * 100, digits).alias("Outlier Ratio (%)"))
+                       stable_round(F.col("outlier_count") / F.col("n") * 100, digits).alias("Outlier Ratio (%)"))
             .orderBy(F.desc("Outlier Ratio (%)")))
 
 

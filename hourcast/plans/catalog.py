@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourcast.functions.numeric import stable_round, stable_round_sql
+
 DIGITS = 6
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,20 +46,6 @@ def normalize(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*cols)
 
 
-def stable_round(c, digits: int = DIGITS):
-    """Round so that two engines agree even when their float sums differ in the last bits.
-
-    Means of decimal data often land exactly on a rounding tie, and a different summation order
-    then tips them either way. Step 1 snaps that noise away (round to 10 decimals); step 2 rounds
-    half-up with plain IEEE arithmetic, identical in every engine. NaN and huge values keep
-    ``round``; ``+ 0.0`` removes negative zero. ``sql_norm`` writes the same rule in SQL.
-    """
-    scale = float(10 ** digits)
-    snapped = F.round(c, 10)
-    fine = F.floor(snapped * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-    return F.when(F.isnan(c) | (F.abs(c) >= F.lit(1e12)), F.round(c, digits)).otherwise(fine) + F.lit(0.0)
-
-
 def register(name: str, oracle: str | None = None, note: str | None = None, raw: bool = False):
     def deco(fn):
         @functools.wraps(fn)
@@ -78,11 +66,7 @@ def register(name: str, oracle: str | None = None, note: str | None = None, raw:
 def sql_norm(inner: str, doubles=(), ints=(), ts=(), dates=(), digits: int = DIGITS, with_: str = "") -> str:
     """Wrap oracle SQL so its result follows the shared result convention."""
     rep = []
-    scale = f"{float(10 ** digits)}"
-    rep += [f'(CASE WHEN isnan(CAST("{c}" AS DOUBLE)) OR abs(CAST("{c}" AS DOUBLE)) >= 1e12 '
-            f'THEN round(CAST("{c}" AS DOUBLE), {digits}) '
-            f'ELSE floor(round(CAST("{c}" AS DOUBLE), 10) * {scale} + 0.5) / {scale} END + 0.0) AS "{c}"'
-            for c in doubles]
+    rep += [f'{stable_round_sql(chr(34) + c + chr(34), digits)} AS "{c}"' for c in doubles]
     rep += [f'CAST("{c}" AS BIGINT) AS "{c}"' for c in ints]
     rep += [f"strftime(\"{c}\", '%Y-%m-%d %H:%M:%S') AS \"{c}\"" for c in ts]
     rep += [f"strftime(\"{c}\", '%Y-%m-%d') AS \"{c}\"" for c in dates]
