@@ -54,3 +54,26 @@ def test_every_query_has_oracle_or_note():
     from hourcast.plans import catalog
     q, o, n = catalog.queries(), catalog.oracle_sql(), catalog.notes()
     assert set(q) == set(o) | set(n)
+
+
+def test_balanced_only_spreads_single_split_inputs(spark):
+    from hourcast.session import balanced
+    wide = spark.range(0, 1000, numPartitions=16)
+    assert balanced(wide) is wide  # already parallel: no extra shuffle
+    narrow = spark.range(0, 1000, numPartitions=1)
+    assert balanced(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_ordinal_with_hour_buckets(spark):
+    import datetime as dt
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from hourcast.operators.series import ordinal
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("A", t0 + dt.timedelta(minutes=7 * i), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, t timestamp_ntz, v int")
+    got = ordinal(df, ["k"], "t", bucket=F.date_trunc("hour", "t"))
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t")))
+    assert got.join(ref, ["k", "t"]).filter(F.col("pos") != F.col("rn")).count() == 0
