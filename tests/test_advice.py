@@ -91,3 +91,17 @@ def test_weekday_monday_zero_and_names(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 1, 1 + i),) for i in range(7)], "t timestamp_ntz")
     rows = df.select(tf.weekday_index("t"), tf.weekday_name("t")).collect()
     assert [r[0] for r in rows] == list(range(7)) and rows[0][1] == "Monday" and rows[6][1] == "Sunday"
+
+
+def test_advice_json_is_stable_across_partitionings(spark):
+    import __spark_entry__ as ent
+    from tests.conftest import SF_SMALL
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        a = sorted(r["advice_json"] for r in ent.queries()["advice_json"](spark, SF_SMALL).collect())
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        b = sorted(r["advice_json"] for r in ent.queries()["advice_json"](spark, SF_SMALL).collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert a == b and len(a) > 0
