@@ -370,12 +370,15 @@ def keep_one(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFra
 
     Rows that repeat a kept ``doc_id`` collapse to one; rows with a null id are kept where no id names their component.
     """
-    comp = components(docs, words, share)
-    stay = (comp.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("row_key").alias("row_key")))
+    comp = cut_lineage(components(docs, words, share))
+    stay = comp.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
+        F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("n"))
     d, s = docs.withColumn("__row_key", row_key()).alias("d"), stay.alias("s")
     kept = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.__row_key") == F.col("s.row_key")), "left_semi")
-    first = Window.partitionBy("doc_id", "__row_key").orderBy("__row_key")
-    return kept.withColumn("__copy", F.row_number().over(first)).where("__copy = 1").drop("__copy", "__row_key")
+    if stay.where("n > 1").limit(1).count():  # else every row that stays is alone already
+        first = Window.partitionBy("doc_id", "__row_key").orderBy("__row_key")
+        kept = kept.withColumn("__copy", F.row_number().over(first)).where("__copy = 1").drop("__copy")
+    return kept.drop("__row_key")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourcast.llm import decontaminate, jaccard_join, quality_rules
+from hourcast.llm import (decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, sharding, suffix_dedup,
+                          toxicity, weak_quality)
 from hourcast.llm.oracles import ORACLE_SQL
 
 
@@ -18,14 +19,25 @@ def _documents(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
     return lambda spark, sf_dir: fn(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_array_dedup": _documents(suffix_dedup.report),
         "op2_ngram_jaccard_join": _documents(jaccard_join.report),
+        "op3_language_id": _documents(language_id.report),
+        "op4_toxicity": op4_toxicity,
+        "op5_quality_classifier": _documents(weak_quality.report),
+        "op6_secret_scan": _documents(secret_scan.report),
+        "op7_histogram_sharding": _documents(sharding.report),
         "op8_quality_rules": _documents(quality_rules.report),
+        "op9_harmonic_packing": _documents(packing.report),
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
 
