@@ -137,8 +137,9 @@ def redact(docs: DataFrame, owner: str = "source", min_owners: int = MIN_OWNERS,
     cut = (judged(docs, owner, min_owners)
            .select("doc_id", "row_key", F.transform(F.filter("spans", lambda s: s["status"] != "example"),
                                                     lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("__cut")))
-    d, c = docs.withColumn("row_key", row_key()).alias("d"), cut.alias("c")
-    rows = d.join(c, _same("d", "c"), "left").select(*[F.col(f"d.`{x}`") for x in docs.columns], "c.__cut")
+    d, c = docs.withColumn("__row_key", row_key()).alias("d"), cut.alias("c")
+    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.__row_key") == F.col("c.row_key"))
+    rows = d.join(c, on, "left").select(*[F.col(f"d.`{x}`") for x in docs.columns], "c.__cut")
 
     def run(batches):
         for batch in batches:

@@ -9,7 +9,8 @@ their slot from the rows before their piece and their place within it.
 
 Defined cases: a null or empty text has size 1. Repeated rows, null ids and equal keys have places in the
 order of (key, doc_id, text hash); rows equal in all of these are interchangeable. An empty table gives an
-empty result. A row larger than a shard makes sizes differ by that row. Further columns stay.
+empty result. A row larger than a shard makes sizes differ by that row. Further columns stay; columns
+named shard or slot are replaced.
 """
 
 from __future__ import annotations
@@ -107,7 +108,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, parts: int | None = None, toler
     rows = rows.withColumn("__piece", piece_of("__key"))
     rows = rows.join(F.broadcast(cut), "__piece")  # shards * parts rows
     place = F.row_number().over(Window.partitionBy("__piece").orderBy("__key", "doc_id", "__tie")) - 1
-    return rows.select(*docs.columns, F.floor(F.col("__piece") / parts).cast("int").alias("shard"), (F.col("__offset") + place).cast("bigint").alias("slot"))
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
+    return rows.select(*own, F.floor(F.col("__piece") / parts).cast("int").alias("shard"), (F.col("__offset") + place).cast("bigint").alias("slot"))
 
 
 def report(docs: DataFrame) -> DataFrame:
