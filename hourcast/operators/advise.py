@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.functions import advice as adv
-from hourcast.functions.numeric import stable_round
+from hourcast.functions.numeric import round_exact
 from hourcast.functions.timefeat import to_fahrenheit
 
 
@@ -38,10 +38,10 @@ def daily_advice(fc: DataFrame, temp_col: str = "pred_Temperature", keys=("Stati
     band = adv.temp_band(F.col("_avg"))
     return s.select(
         *k,
-        stable_round("_avg", digits).alias("avg_temp"),
-        stable_round("_min", digits).alias("min_temp"),
-        stable_round("_max", digits).alias("max_temp"),
-        stable_round("_diff", digits).alias("temp_difference"),
+        round_exact("_avg", digits).alias("avg_temp"),
+        round_exact("_min", digits).alias("min_temp"),
+        round_exact("_max", digits).alias("max_temp"),
+        round_exact("_diff", digits).alias("temp_difference"),
         band.alias("band"),
         adv.activity_tip(band).alias("activity_tip"),
         adv.layering_tip(F.col("_diff")).alias("layering_tip"),

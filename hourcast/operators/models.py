@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.functions import timefeat as tf
-from hourcast.operators.series import lag_by_position, ordinal, series_length
+from hourcast.functions.numeric import round_scaled
+from hourcast.operators.series import ordinal
 
 HORIZON = 168
 DEFAULT_LAGS = (0, 1, 2, 23)
@@ -34,15 +35,18 @@ def _lag_name(k: int) -> str:
 
 def anchor_features(df: DataFrame, keys, time_col: str, target: str, lags=DEFAULT_LAGS) -> DataFrame:
     """Per row (a possible anchor): position and the target ``k`` rows earlier for each lag."""
-    keys = list(keys)
-    p = ordinal(df.select(*keys, time_col, target), keys, time_col)
-    out = p.withColumnRenamed(target, _lag_name(0))
-    for k in lags:
-        if k == 0:
-            continue
-        out = lag_by_position(out, keys, "pos", [_lag_name(0)], k, f"__l{k}").withColumnRenamed(
-            f"{_lag_name(0)}__l{k}", _lag_name(k))
-    return out
+    return _with_lags(ordinal(df.select(*keys, time_col, target), list(keys), time_col), list(keys), time_col, target, lags)
+
+
+def _with_lags(p: DataFrame, keys, time_col: str, target: str, lags, carry=()) -> DataFrame:
+    """All lags in one exchange: each value is sent to the positions that look back at it, and they gather theirs."""
+    ks = sorted({0, *lags})
+    sent = p.select(*keys, time_col, *carry, F.col(target).alias("_v"), "pos", F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"))
+    here = F.col("_k") == 0
+    out = sent.groupBy(*keys, (F.col("pos") + F.col("_k")).alias("pos")).agg(
+        *[F.max(F.when(here, F.col(c))).alias(c) for c in (time_col, *carry)],
+        *[F.max(F.when(F.col("_k") == k, F.col("_v"))).alias(_lag_name(k)) for k in ks])
+    return out.filter(F.col(time_col).isNotNull())
 
 
 def horizon_steps(anchors: DataFrame, horizon: int, time_col: str) -> DataFrame:
@@ -127,16 +131,9 @@ def last_anchor(df: DataFrame, keys, time_col: str, target: str, lags=DEFAULT_LA
     work does not grow with the history length.
     """
     keys = list(keys)
-    depth = max(lags) + 1
-    p = ordinal(df.select(*keys, time_col, target), keys, time_col).join(series_length(df, keys), keys)
-    tail = p.filter(F.col("pos") > F.col("n") - depth)
-    out = tail.withColumnRenamed(target, _lag_name(0))
-    for k in lags:
-        if k == 0:
-            continue
-        out = lag_by_position(out, keys, "pos", [_lag_name(0)], k, f"__l{k}").withColumnRenamed(
-            f"{_lag_name(0)}__l{k}", _lag_name(k))
-    return out.filter(F.col("pos") == F.col("n")).drop("n")
+    p = ordinal(df.select(*keys, time_col, target), keys, time_col, length_col="n")
+    tail = p.filter(F.col("pos") > F.col("n") - (max(lags) + 1))
+    return _with_lags(tail, keys, time_col, target, lags, carry=("n",)).filter(F.col("pos") == F.col("n")).drop("n")
 
 
 def forecast(model, df: DataFrame, keys, time_col: str, target: str, horizon: int = HORIZON,
@@ -149,7 +146,7 @@ def forecast(model, df: DataFrame, keys, time_col: str, target: str, horizon: in
     t = F.col("target_time")
     return pred.select(*keys, "h", F.year(t).alias("year"), F.month(t).alias("month"), F.dayofmonth(t).alias("day"),
                        F.hour(t).alias("hour"), tf.weekday_name(t).alias("day_of_week"),
-                       F.bround(F.col("prediction"), digits).cast("float").alias("pred_Temperature"))
+                       round_scaled("prediction", digits).cast("float").alias("pred_Temperature"))
 
 
 def seasonal_naive(df: DataFrame, keys, time_col: str, target: str, origin: DataFrame,

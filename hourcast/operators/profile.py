@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourcast.functions.numeric import stable_round
+from hourcast.functions.numeric import null_if_nan, round_exact
 from hourcast.operators.ranks import exact_quantiles
 from hourcast.schema import MISSING_TOKEN, numeric_columns
 
 
 def to_long(df: DataFrame, columns, ids=(), value_type: str = "double") -> DataFrame:
-    """Unpivot ``columns`` to (ids..., column, value) with a common value type."""
-    casted = df.select(*ids, *[F.col(f"`{c}`").cast(value_type).alias(c) for c in columns])
+    """Unpivot ``columns`` to (ids..., column, value) with a common value type; NaN is missing."""
+    cast = lambda c: F.col(f"`{c}`").cast(value_type)
+    casted = df.select(*ids, *[(null_if_nan(cast(c)) if value_type == "double" else cast(c)).alias(c) for c in columns])
     return casted.unpivot(list(ids), list(columns), "column", "value")
 
 
@@ -32,7 +33,7 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     # one global aggregation row (present even for an empty frame), then one struct per column
     aggs = []
     for i, c in enumerate(cols):
-        v = F.col(f"`{c}`").cast("double")
+        v = null_if_nan(F.col(f"`{c}`").cast("double"))
         aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
                  F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
     entries = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("count"), F.col(f"m{i}").alias("mean"),
@@ -45,6 +46,27 @@ def describe(df: DataFrame, columns=None) -> DataFrame:
     return base.join(qw, "column", "left").select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def describe_all(df: DataFrame) -> DataFrame:
+    """A9 for every column: count, unique, top and freq (text and other columns), beside the numeric statistics.
+
+    ``top`` is the most frequent value (the least one among equals) and null for numeric columns. Values are
+    counted by (column, value), so a frequent value is combined within tasks first.
+    """
+    numeric = numeric_columns(df.schema)
+    other = [c for c in df.columns if c not in numeric]
+    stats = describe(df, numeric) if numeric else None
+    if not other:
+        return stats.select("column", "count", *[F.lit(None).cast(t).alias(n) for n, t in (("unique", "long"), ("top", "string"), ("freq", "long"))],
+                            *stats.columns[2:])
+    counts = to_long(df, other, value_type="string").where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.groupBy("column").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
+                                       F.min(F.struct((-F.col("n")).alias("n"), "value")).alias("t"))
+    names = df.sparkSession.createDataFrame([(c,) for c in other], "column string")
+    text = names.join(top, "column", "left").select("column", F.coalesce("count", F.lit(0)).alias("count"),
+                                                    F.coalesce("unique", F.lit(0)).alias("unique"), F.col("t.value").alias("top"), (-F.col("t.n")).alias("freq"))
+    return text if stats is None else text.unionByName(stats, allowMissingColumns=True)
+
+
 def iqr_bounds(df: DataFrame, columns=None, threshold: float = 1.5) -> DataFrame:
     """A10 pass 1: q1, q3, lower and upper fences per column."""
     cols = columns or numeric_columns(df.schema)
@@ -68,14 +90,14 @@ def outlier_iqr(df: DataFrame, columns=None, threshold: float = 1.5, digits: int
         F.count(F.lit(1)).alias("n"),
         F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("outlier_count"))
     return (cnt.select(F.col("column").alias("Column"), F.col("outlier_count").alias("Outlier Count"),
-                       stable_round(F.col("outlier_count") / F.col("n") * 100, digits).alias("Outlier Ratio (%)"))
+                       round_exact(F.col("outlier_count") / F.col("n") * 100, digits).alias("Outlier Ratio (%)"))
             .orderBy(F.desc("Outlier Ratio (%)")))
 
 
 def negative_columns(df: DataFrame, columns=None) -> DataFrame:
     """Per numeric column, does any value fall below 0 (one aggregation pass)."""
     cols = columns or numeric_columns(df.schema)
-    wide = df.agg(*[F.coalesce(F.bool_or(F.col(f"`{c}`") < 0), F.lit(False)).alias(c) for c in cols])
+    wide = df.agg(*[F.coalesce(F.bool_or(null_if_nan(F.col(f"`{c}`").cast("double")) < 0), F.lit(False)).alias(c) for c in cols])
     return wide.unpivot([], cols, "column", "has_negative")
 
 

@@ -21,9 +21,12 @@ def _day_bucket(order_col: str) -> Column:
 
 
 def ordinal(df: DataFrame, keys, order_col: str, pos_col: str = "pos", bucket: Column | None = None,
-            tiebreak=()) -> DataFrame:
+            tiebreak=(), length_col: str | None = None) -> DataFrame:
     """Add a 1-based position per ``keys`` ordered by ``order_col`` (then ``tiebreak``).
 
+    ``length_col`` also adds the rows of the series, from the same (keys, bucket) table: no join of
+    rows on the series key alone.
+
     Equal to ``row_number().over(partitionBy(keys).orderBy(order_col, *tiebreak))`` without putting a
     key's rows into one task.
     """
@@ -31,7 +34,8 @@ def ordinal(df: DataFrame, keys, order_col: str, pos_col: str = "pos", bucket: C
     b = df.withColumn("_bk", bucket if bucket is not None else _day_bucket(order_col))
     counts = b.groupBy(*keys, "_bk").agg(F.count(F.lit(1)).alias("_n"))
     w_prev = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_bk", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)).alias("_off"))
+    offsets = counts.select(*keys, "_bk", F.coalesce(F.sum("_n").over(w_prev), F.lit(0)).alias("_off"),
+                            *([F.sum("_n").over(Window.partitionBy(*keys)).alias(length_col)] if length_col else []))
     w_in = Window.partitionBy(*keys, "_bk").orderBy(F.col(order_col), *[F.col(t) for t in tiebreak])
     b = b.withColumn("_rn", F.row_number().over(w_in))
     out = b.join(offsets, keys + ["_bk"])

@@ -7,9 +7,12 @@ p-value tails run (pandas UDF on a handful of rows).
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourcast.functions.numeric import null_if_nan
 from hourcast.functions.pvalues import chi2_sf_udf, t_two_sided_udf
 from hourcast.operators.profile import to_long
 from hourcast.operators.ranks import average_ranks
@@ -20,7 +23,9 @@ TIE_TOLERANCE = 1e-12
 
 
 def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson r as an aggregate; null (not an error) when either side is constant."""
+    """Pearson r over the complete pairs, as an aggregate; null (not an error) when either side is constant."""
+    both = x.isNotNull() & y.isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    x, y = F.when(both, x), F.when(both, y)
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
@@ -28,13 +33,6 @@ def _t_stat(r: Column, n: Column) -> Column:
     return r * F.sqrt(F.try_divide(n - 2, (F.lit(1.0) - r) * (F.lit(1.0) + r)))
 
 
-def with_target_rank(df: DataFrame, target: str, rank_col: str = "_rt") -> DataFrame:
-    """Attach the average rank of the target to every row (join on the target value)."""
-    t = df.select(F.lit("t").alias("_k"), F.col(target).cast("double").alias("value"))
-    rt = average_ranks(t, ["_k"]).select(F.col("value").alias("_tv"), F.col("rank").alias(rank_col))
-    return df.withColumn("_tv", F.col(target).cast("double")).join(rt, "_tv", "left").drop("_tv")
-
-
 def rank_long(df: DataFrame, features, carry=()) -> DataFrame:
     """Long form (carry..., column, value, rank) with per-column average ranks."""
     long = to_long(df, features, ids=carry)
@@ -110,6 +108,11 @@ def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None)
     feats = list(features)
     src = df
     if method == "spearman":
+        gaps = df.agg(*[F.count_if(F.coalesce(F.isnan(F.col(f"`{c}`").cast("double")), F.lit(False)) | F.col(f"`{c}`").isNull()).alias(c)
+                        for c in feats]).first()
+        holed = [c for c in feats if gaps[c]]
+        if holed:
+            return _spearman_with_gaps(df, feats, holed, id_cols)
         ids = list(id_cols) if id_cols else None
         if ids is None:
             # no unique key given: number the rows and pin the numbering in the shared checkpoint
@@ -119,6 +122,40 @@ def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None)
             ids = ["_rid"]
         rl = rank_long(src, feats, carry=ids)
         src = rl.groupBy(*ids).pivot("column", feats).agg(F.first("rank"))
+    return _pairs(src, feats)
+
+
+def _spearman_with_gaps(df: DataFrame, feats: list[str], holed: list[str], id_cols) -> DataFrame:
+    """Pairs with a column that has gaps are ranked over their own complete rows; the others once.
+
+    Equal (pair, x, y) are counted first, so hot values shrink within tasks; ranks come from the counts.
+    """
+    at = {c: i for i, c in enumerate(feats)}
+    pairs = [(a, b) for a, b in itertools.combinations(feats, 2) if a in holed or b in holed]
+    value = lambda c: null_if_nan(F.col(f"`{c}`").cast("double"))
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(at[a]).alias("i1"), F.lit(at[b]).alias("i2"), value(a).alias("x"), value(b).alias("y"))
+                                        for a, b in pairs]))).where("x is not null and y is not null")
+    cells = long.groupBy("i1", "i2", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    key = ["i1", "i2"]
+    rank = lambda v, r: average_ranks(long.select(*key, F.col(v).alias("value")), key).select(*key, F.col("value").alias(v), F.col("rank").alias(r))
+    ranked = cells.join(rank("x", "rx"), [*key, "x"]).join(rank("y", "ry"), [*key, "y"])
+    # Pearson of the ranks with weights n; ranks are centred on their mean (N + 1) / 2 first.
+    total = cells.groupBy(*key).agg(F.sum("n").alias("N"))
+    c = ranked.join(F.broadcast(total), key).withColumns({"rx": F.col("rx") - (F.col("N") + 1) / 2, "ry": F.col("ry") - (F.col("N") + 1) / 2})
+    s = lambda e: F.sum(F.col("n") * e)
+    r = F.try_divide(s(F.col("rx") * F.col("ry")), F.sqrt(s(F.col("rx") * F.col("rx"))) * F.sqrt(s(F.col("ry") * F.col("ry"))))
+    got = c.groupBy(*key).agg(r.alias("r"))
+    names = df.sparkSession.createDataFrame([(a, b, at[a], at[b]) for a, b in pairs], "f1 string, f2 string, i1 int, i2 int")
+    out = names.join(F.broadcast(got), key, "left").select("f1", "f2", "i1", "i2", "r")  # one row per pair
+    whole = [c for c in feats if c not in holed]
+    if len(whole) > 1:
+        rest = corr_matrix(df, whole, "spearman", id_cols).drop("i1", "i2")
+        index = df.sparkSession.createDataFrame([(a, b, at[a], at[b]) for a, b in itertools.combinations(whole, 2)], "f1 string, f2 string, i1 int, i2 int")
+        out = out.unionByName(index.join(F.broadcast(rest), ["f1", "f2"], "left").select("f1", "f2", "i1", "i2", "r"))
+    return out
+
+
+def _pairs(src: DataFrame, feats: list[str]) -> DataFrame:
     pairs = [(i, j) for i in range(len(feats)) for j in range(i + 1, len(feats))]
     cols = [F.col(f"`{c}`").cast("double") for c in feats]
     wide = src.agg(*[safe_corr(cols[i], cols[j]).alias(f"{i}__{j}") for i, j in pairs])

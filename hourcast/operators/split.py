@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourcast.operators.series import ordinal, series_length
+from hourcast.operators.series import ordinal
 
 SEQ_LEN = 336
 HORIZON = 168
@@ -17,9 +17,7 @@ HORIZON = 168
 
 def with_positions(df: DataFrame, keys, order_col: str) -> DataFrame:
     """Add ``pos`` (1-based, time order) and ``n`` (rows in the series)."""
-    keys = list(keys)
-    p = ordinal(df, keys, order_col)
-    return p.join(series_length(df, keys), keys)
+    return ordinal(df, keys, order_col, length_col="n")
 
 
 def tail_split(df: DataFrame, keys, order_col: str, seq_len: int = SEQ_LEN, horizon: int = HORIZON) -> DataFrame:
@@ -74,13 +72,14 @@ def sliding_samples(df: DataFrame, keys, order_col: str, feature_cols, target_co
     block = block_rows or max(4 * total, 2048)
     if block < total - 1:
         raise ValueError("block_rows must be at least seq_len + horizon - 1")
-    p = ordinal(df, keys, order_col).withColumn("_blk", F.floor((F.col("pos") - 1) / block))
+    # A row belongs to its block, and the first rows of a block to the one before as well.
+    blk = F.floor((F.col("pos") - 1) / block)
+    near = (((F.col("pos") - 1) % block) < total - 1) & (blk > 0)
+    p = ordinal(df, keys, order_col).withColumn("_home", blk)
     p = p.withColumn("_vec", F.array(*[F.col(c).cast(dtype) for c in feature_cols])).withColumn(
         "_y", F.col(target_col).cast(dtype))
-    own = p.withColumn("_own", F.lit(True))
-    copy = (p.filter((((F.col("pos") - 1) % block) < total - 1) & (F.col("_blk") > 0))
-            .withColumn("_blk", F.col("_blk") - 1).withColumn("_own", F.lit(False)))
-    u = own.unionByName(copy)
+    u = (p.withColumn("_blk", F.explode(F.when(near, F.array(F.col("_home"), F.col("_home") - 1)).otherwise(F.array("_home"))))
+         .withColumn("_own", F.col("_blk") == F.col("_home")).drop("_home"))
     w = Window.partitionBy(*keys, "_blk").orderBy("pos")
     out = u.select(
         *keys, "pos", "_own", F.col(order_col).alias("start_time"),

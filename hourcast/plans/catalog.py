@@ -74,6 +74,11 @@ def sql_norm(inner: str, doubles=(), ints=(), ts=(), dates=(), digits: int = DIG
     return f"{with_}\n{body}" if with_ else body
 
 
+def printed(expr: str, digits: int) -> str:
+    """Oracle of ``round_exact``: what C's printf prints, read back."""
+    return f"CAST(printf('%.{digits}f', round(CAST({expr} AS DOUBLE), 10)) AS DOUBLE)"
+
+
 def _load_all() -> None:
     # Importing the query modules fills the registry.
     from hourcast.plans import (q_advice, q_clean, q_features, q_ingest, q_model, q_model_input,  # noqa: F401

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hourcast.functions import advice as adv
 from hourcast.operators import advise, clean, encode, features, split
-from hourcast.operators import tests as st
+from hourcast.operators import significance as st
 from hourcast.schema import FIXED_EXCLUDE_COLUMNS, LEADING_COLUMNS, numeric_columns
 from hourcast.session import cut_lineage
 from hourcast.sources import files, lake, text

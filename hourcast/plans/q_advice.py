@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from hourcast.functions import advice as adv
 from hourcast.functions import text as tx
-from hourcast.functions.numeric import stable_round, stable_round_sql
+from hourcast.functions.numeric import round_scaled
 from hourcast.operators import advise
 from hourcast.plans import adapters as ad
-from hourcast.plans.catalog import register, sql_norm
+from hourcast.plans.catalog import printed, register, sql_norm
 
 FC = ad.with_ctes("forecast")
 
@@ -20,10 +20,10 @@ def _fc(spark, sf_dir):
 
 @register("daily_advice", oracle=sql_norm("""
 SELECT StationID, date,
-       """ + stable_round_sql("avg(pred_Temperature)", 2) + """ AS avg_temp,
-       """ + stable_round_sql("min(pred_Temperature)", 2) + """ AS min_temp,
-       """ + stable_round_sql("max(pred_Temperature)", 2) + """ AS max_temp,
-       """ + stable_round_sql("max(pred_Temperature) - min(pred_Temperature)", 2) + """ AS temp_difference,
+       """ + printed("avg(pred_Temperature)", 2) + """ AS avg_temp,
+       """ + printed("min(pred_Temperature)", 2) + """ AS min_temp,
+       """ + printed("max(pred_Temperature)", 2) + """ AS max_temp,
+       """ + printed("max(pred_Temperature) - min(pred_Temperature)", 2) + """ AS temp_difference,
        """ + adv.band_case_sql("avg(pred_Temperature)") + """ AS band,
        """ + adv.activity_case_sql(adv.band_case_sql("avg(pred_Temperature)")) + """ AS activity_tip,
        """ + adv.layering_case_sql("(max(pred_Temperature) - min(pred_Temperature))") + """ AS layering_tip
@@ -156,11 +156,11 @@ def q_forecast_dates(spark, sf_dir):
 
 
 @register("day_detail", oracle=sql_norm("""
-SELECT StationID, hour, CAST(hour AS VARCHAR) || '시' AS hour_text, """ + stable_round_sql("pred_Temperature * 9.0 / 5.0 + 32.0", 1) + """ AS display_temp
+SELECT StationID, hour, CAST(hour AS VARCHAR) || '시' AS hour_text, """ + "round_even(round(pred_Temperature * 9.0 / 5.0 + 32.0, 10) * 10.0, 0) / 10.0" + """ AS display_temp
 FROM forecast WHERE date = DATE '2024-01-15'""", doubles=["display_temp"], ints=["hour"], with_=FC))
 def q_day_detail(spark, sf_dir):
     """P6 + O4 + F17 + F20: one day's rows by hour, shown in Fahrenheit, rounded to 1 digit."""
     from hourcast.functions.timefeat import to_fahrenheit
     d = advise.date_rows(_fc(spark, sf_dir), "2024-01-15")
     return d.select("StationID", "hour", F.concat(F.col("hour").cast("string"), F.lit("시")).alias("hour_text"),
-                    stable_round(to_fahrenheit("pred_Temperature"), 1).alias("display_temp")).orderBy("StationID", "hour")
+                    round_scaled(to_fahrenheit("pred_Temperature"), 1).alias("display_temp")).orderBy("StationID", "hour")

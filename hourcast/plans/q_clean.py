@@ -260,12 +260,8 @@ def q_snapshot(spark, sf_dir):
 WHERE CAST(ObservationTime AS DATE) = (SELECT max(CAST(ObservationTime AS DATE)) FROM obs_wide) GROUP BY 1""",
     ints=["n_rows"], with_=WIDE))
 def q_recursive_scan_latest(spark, sf_dir):
-    """S6 / O5 by path: with one file per day, the last path is the newest day."""
-    root = scratch(spark, "lake_one_file", tag(sf_dir))
-    if not path_exists(spark, root + "/_SUCCESS"):
-        obs = ad.obs_wide(spark, sf_dir).drop("event_id")
-        lake.write_days(obs.repartition("year", "month", "day"), root)
-    df = lake.scan_recursive(spark, root, latest_file_only=True)
+    """S6 / O5 by path: all files of the newest day of the common lake."""
+    df = lake.scan_recursive(spark, lake_root(spark, sf_dir), latest_file_only=True)
     return df.groupBy("StationID").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -277,7 +273,7 @@ def q_latest_forecast_mtime(spark, sf_dir):
     """S13 with ``by='mtime'``: two runs written one after the other, the newer file wins."""
     import time as _t
     root = scratch(spark, "forecast_mtime", tag(sf_dir))
-    fc = ad.forecast(spark, sf_dir).coalesce(1)
+    fc = ad.forecast(spark, sf_dir).repartition(4)  # a run of several files
     files.write_forecast(fc.withColumn("pred_Temperature", F.col("pred_Temperature") - 50.0), root, "b_old")
     _t.sleep(1.1)  # file modification times have second resolution on some stores
     files.write_forecast(fc, root, "a_new")

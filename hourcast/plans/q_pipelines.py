@@ -7,10 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from hourcast.functions import advice as adv
-from hourcast.functions.numeric import stable_round_sql
 from hourcast.plans import adapters as ad
 from hourcast.plans import pipelines as pl
-from hourcast.plans.catalog import register, sql_norm
+from hourcast.plans.catalog import printed, register, sql_norm
 from hourcast.session_paths import scratch
 from hourcast.sources import files, text
 
@@ -55,8 +54,8 @@ def _dim_rows_sql() -> str:
 
 @register("pipeline_day_advice", oracle=sql_norm(f"""
 SELECT a.StationID, a.date, a.band, d.style, d.category, d.item_pos, d.item,
-       {stable_round_sql('a.av', 2)} AS avg_temp, {stable_round_sql('a.mn', 2)} AS min_temp,
-       {stable_round_sql('a.mx', 2)} AS max_temp, {stable_round_sql('a.mx - a.mn', 2)} AS temp_difference,
+       {printed('a.av', 2)} AS avg_temp, {printed('a.mn', 2)} AS min_temp,
+       {printed('a.mx', 2)} AS max_temp, {printed('a.mx - a.mn', 2)} AS temp_difference,
        {adv.activity_case_sql('a.band')} AS activity_tip, {adv.layering_case_sql('(a.mx - a.mn)')} AS layering_tip
 FROM (SELECT StationID, date, avg(pred_Temperature) AS av, min(pred_Temperature) AS mn, max(pred_Temperature) AS mx,
              {adv.band_case_sql('avg(pred_Temperature)')} AS band FROM forecast GROUP BY 1, 2) a

@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourcast.functions.numeric import stable_round_sql
 from hourcast.operators import clean, profile
 from hourcast.plans import adapters as ad
-from hourcast.plans.catalog import register, sql_norm
+from hourcast.plans.catalog import printed, register, sql_norm
 from hourcast.schema import RAW_SCHEMA, numeric_columns
 
 WIDE = ad.with_ctes("obs_wide")
@@ -51,7 +50,7 @@ def _iqr_sql(src, cols, with_=""):
     return sql_norm(
         """SELECT l."column" AS "Column",
        count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) AS "Outlier Count",
-       """ + stable_round_sql("count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) / count(*) * 100", 3) + """ AS "Outlier Ratio (%)"
+       """ + printed("count_if(value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)) / count(*) * 100", 3) + """ AS "Outlier Ratio (%)"
 FROM long l LEFT JOIN (SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
                        FROM long GROUP BY 1) b ON l."column" = b."column"
 GROUP BY 1""", doubles=["Outlier Ratio (%)"], ints=["Outlier Count"], with_=pre)

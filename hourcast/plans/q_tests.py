@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hourcast.operators import tests as st
+from hourcast.operators import significance as st
 from hourcast.operators.profile import to_long
 from hourcast.operators.ranks import average_ranks
 from hourcast.plans import adapters as ad

@@ -55,24 +55,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
-        # Only reached in local tests: a cluster names a shared folder in spark.checkpoint.dir.
-        conf_dir = tempfile.mkdtemp(prefix="hourcast-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        conf_dir = tempfile.mkdtemp(prefix="hourcast-ckpt-")  # one process: its own folder is shared
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` exist on its file system (local, HDFS, object store)?"""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    except Exception:  # noqa: BLE001  (no JVM handle: ask the reader instead)
-        try:
-            spark.read.text(path).limit(1).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+    """Does ``path`` exist on its file system (local, HDFS, object store)? Errors propagate."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -83,19 +76,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
-
-
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the session can run in parallel.
-
-    A small file with a single row group is read by one task, and everything before the first
-    shuffle (unpivots, per-row expressions, partial aggregates) would then run serially. Large
-    inputs already split into many partitions and are returned unchanged (no extra shuffle).
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001  (no RDD access, e.g. Spark Connect: leave it to AQE)
-        return df
-    return df.repartition(target)

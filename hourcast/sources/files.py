@@ -49,20 +49,20 @@ def write_forecast(fc: DataFrame, root: str, run_ts: str | None = None) -> str:
 def latest_forecast(spark: SparkSession, root: str, by: str = "run") -> DataFrame:
     """Rows of the newest forecast run, with ``datetime`` and ``date``, sorted by time.
 
-    ``by='run'`` picks the greatest ``run_ts`` partition; ``by='mtime'`` the newest file by
-    modification time. The choice is a one-row aggregate broadcast back as a filter.
+    ``by='run'`` picks the greatest ``run_ts`` partition; ``by='mtime'`` the run that holds the
+    newest file by modification time. Either way all files of that run are read: its name comes to
+    the driver and prunes the scan as a literal partition filter. A root without runs is one run.
     Raises KeyError when ``pred_Temperature`` is missing.
     """
     df = spark.read.parquet(root)
     if "pred_Temperature" not in df.columns:
         raise KeyError("forecast has no 'pred_Temperature' column")
-    if by == "mtime":
-        df = df.withColumn("_mt", F.col("_metadata.file_modification_time"))
-        newest = df.agg(F.max("_mt").alias("_mt"))
-        df = df.join(F.broadcast(newest), "_mt").drop("_mt")
-    else:
-        newest = df.agg(F.max("run_ts").alias("run_ts"))
-        df = df.join(F.broadcast(newest), "run_ts")
+    if "run_ts" in df.columns:
+        if by == "mtime":
+            run = F.max_by("run_ts", F.struct(F.col("_metadata.file_modification_time"), F.col("run_ts")))
+        else:
+            run = F.max("run_ts")
+        df = df.filter(F.col("run_ts").eqNullSafe(F.lit(df.select(run.alias("r")).first()["r"])))
     dt_col = tf.from_parts("year", "month", "day", "hour")
     return (df.withColumn("datetime", dt_col).withColumn("date", F.to_date("datetime"))
             .orderBy("datetime"))

@@ -15,6 +15,7 @@ from pyspark.sql.utils import AnalysisException
 
 from hourcast.functions import timefeat as tf
 from hourcast.schema import PARTITION_COLUMNS
+from hourcast.session import path_exists
 
 EPOCH_MARK = dt.datetime(2000, 1, 1)
 
@@ -30,19 +31,25 @@ def _day_of(df_cols=("year", "month", "day")) -> Column:
 
 
 def write_days(df: DataFrame, root: str, time_col: str = "ObservationTime", mode: str = "dynamic",
-               files_per_day: int = 1) -> None:
+               files_per_day: int | None = None, rows_per_file: int = 2_000_000) -> None:
     """S3 / A2: write one folder per day; only the days present in ``df`` are replaced.
 
-    ``files_per_day`` > 1 spreads a heavy day over several writer tasks (hash of the time column),
-    so one hot day never lands in a single task.
+    A day gets ``ceil(rows / rows_per_file)`` files (or ``files_per_day``), whatever number of tasks
+    holds its rows: rows are exchanged by (day, salt), so neither thousands of fragments nor one
+    task for a heavy day come out. The row counts are one small row per day.
     """
     out = df
     for k, v in tf.time_parts(time_col).items():
         if k in PARTITION_COLUMNS and k not in out.columns:
             out = out.withColumn(k, v)
-    if files_per_day > 1:
-        out = out.repartition(F.col("year"), F.col("month"), F.col("day"),
-                              F.pmod(F.xxhash64(F.col(time_col)), F.lit(files_per_day)))
+    if files_per_day is None:
+        days = out.groupBy(*PARTITION_COLUMNS).agg(
+            F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / rows_per_file)).alias("_files"))
+        out = out.join(F.broadcast(days), PARTITION_COLUMNS)  # one row per day
+    else:
+        out = out.withColumn("_files", F.lit(files_per_day))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("_files"))
+    out = out.withColumn("_salt", salt).repartition(*PARTITION_COLUMNS, "_salt").drop("_salt", "_files")
     w = out.write.partitionBy(*PARTITION_COLUMNS)
     if mode == "dynamic":
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -52,11 +59,26 @@ def write_days(df: DataFrame, root: str, time_col: str = "ObservationTime", mode
 
 
 def has_data(spark: SparkSession, root: str) -> bool:
-    """Does the lake hold at least one row? A missing root is 'no data'."""
+    """Does the lake hold at least one row? A missing or empty root is 'no data'; errors propagate."""
+    return path_exists(spark, root) and bool(_days(spark, root))
+
+
+def _days(spark: SparkSession, root: str, among: list[int] | None = None) -> list[int]:
+    """Day folders of the lake as yyyymmdd numbers (of ``among`` only), newest first."""
     try:
-        return not spark.read.parquet(root).isEmpty()
-    except AnalysisException:
-        return False
+        df = spark.read.parquet(root)
+    except AnalysisException as e:
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):  # the folder has no data file yet
+            return []
+        raise
+    days = df.select(_day_number().alias("d"))
+    if among is not None:
+        days = days.where(F.col("d").isin(among))
+    return sorted((r["d"] for r in days.distinct().collect()), reverse=True)
+
+
+def _day_number() -> Column:
+    return F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
 
 
 def scan(spark: SparkSession, root: str, start: dt.date | str | None = None,
@@ -96,30 +118,25 @@ def scan_months(spark: SparkSession, root: str, as_of: dt.date | str, start_year
 def scan_recursive(spark: SparkSession, root: str, year: int | None = None, month: int | None = None,
                    latest_file_only: bool = False) -> DataFrame:
     """Optional year / month filter, unreadable files skipped; inference mode keeps the
-    lexicographically last file only (a broadcast of one path)."""
+    newest day: all files of its folder, however many tasks have written them."""
     df = spark.read.option("ignoreCorruptFiles", "true").parquet(root)
     if year is not None:
         df = df.filter(F.col("year") == year)
     if month is not None:
         df = df.filter(F.col("month") == month)
     if latest_file_only:
-        # Spark writes day=9, not day=09, so the path text alone does not sort by time: take the
-        # newest (year, month, day) partition, then the last path inside it. One-row broadcast.
-        df = df.withColumn("_file", F.col("_metadata.file_path"))
-        key = F.struct(*[F.col(c) for c in PARTITION_COLUMNS if c in df.columns], F.col("_file"))
-        last = df.agg(F.max_by(F.col("_file"), key).alias("_file"))
-        df = df.join(F.broadcast(last), "_file").drop("_file")
+        # The newest day is chosen from folder names alone, then read with literal partition filters.
+        last = df.select(F.max(F.struct(*PARTITION_COLUMNS)).alias("d")).first()["d"]
+        if last is not None:
+            for c in PARTITION_COLUMNS:
+                df = df.filter(F.col(c) == F.lit(last[c]))
     return df
 
 
 def latest_day(spark: SparkSession, root: str) -> dt.date | None:
     """Newest day folder (reads only partition values)."""
-    try:
-        df = spark.read.parquet(root)
-    except AnalysisException:
-        return None
-    row = df.select(F.max(_day_of()).alias("d")).first()
-    return row["d"] if row else None
+    days = _days(spark, root) if path_exists(spark, root) else []
+    return dt.datetime.strptime(str(days[0]), "%Y%m%d").date() if days else None
 
 
 def high_water_mark(spark: SparkSession, root: str, time_col: str = "ObservationTime") -> DataFrame:
@@ -141,13 +158,15 @@ def day_counts(df: DataFrame) -> DataFrame:
 
 
 def merge_days(spark: SparkSession, new: DataFrame, root: str, keys=("StationID",),
-               time_col: str = "ObservationTime") -> int:
+               time_col: str = "ObservationTime", arrival: str | None = None) -> int:
     """Merge ``new`` rows into the lake; only the days they touch are rewritten.
 
-    Existing rows of those days are read (the semi join on the partition columns prunes the scan),
-    unioned with the new rows, and one row per (keys, time) is kept, newest delivery first. The
-    merged days are materialised in the shared checkpoint folder before the dynamic overwrite,
-    because the job rewrites the very folders it read. Returns the number of touched days.
+    The touched days (one number per day) come to the driver and prune the existing rows' scan by
+    literal partition filters. One row per (keys, time) is kept: a new delivery beats the lake, a
+    later ``arrival`` beats an earlier one, and equal ones are told apart by their content, so the
+    result does not depend on row order. Where days are already there, the merged rows are
+    materialised in the shared checkpoint folder before the dynamic overwrite, because the job
+    rewrites the very folders it read. Returns the number of touched days.
 
     (Fixes the source behaviour where a mid-day update replaced a whole day with the new hours.)
     """
@@ -160,19 +179,24 @@ def merge_days(spark: SparkSession, new: DataFrame, root: str, keys=("StationID"
     for k, v in tf.time_parts(time_col).items():
         if k in PARTITION_COLUMNS:
             b = b.withColumn(k, v)
-    touched = b.select(*PARTITION_COLUMNS).distinct()
-    n_days = touched.count()
-    if n_days == 0:
+    touched = [r["d"] for r in b.select(_day_number().alias("d")).distinct().collect()]
+    if not touched:
         return 0
+    own = [c for c in b.columns if c != arrival]
     combined = b.withColumn("_prio", F.lit(1))
-    if has_data(spark, root):
-        existing = spark.read.parquet(root).join(touched, PARTITION_COLUMNS, "left_semi")
+    combined = combined.withColumn("_arrived", F.col(arrival).cast("timestamp") if arrival else F.lit(None).cast("timestamp"))
+    if arrival:
+        combined = combined.drop(arrival)
+    there = _days(spark, root, touched) if path_exists(spark, root) else []
+    if there:
+        existing = spark.read.parquet(root).filter(_day_number().isin(there))
         combined = existing.withColumn("_prio", F.lit(0)).unionByName(combined, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, time_col).orderBy(F.desc("_prio"))
-    merged = combined.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_prio")
-    merged = cut_lineage(merged)
+    w = Window.partitionBy(*keys, time_col).orderBy(F.desc("_prio"), F.desc_nulls_last("_arrived"), F.xxhash64(*own))
+    merged = combined.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_prio", "_arrived")
+    if there:
+        merged = cut_lineage(merged)
     write_days(merged, root, time_col, mode="dynamic")
-    return n_days
+    return len(touched)
 
 
 def incremental_load(spark: SparkSession, source: DataFrame, root: str, keys=("StationID",),

@@ -1,82 +1,70 @@
 """Structured Streaming jobs (ST1, ST2): incremental ingest of landed files and a rolling daily
 summary. Both run with ``trigger(availableNow=True)`` (process what has landed, then stop), keep
-their progress in a checkpoint location, and write through ``foreachBatch`` merges so a replayed
-micro-batch after a failure rewrites the same rows (idempotent).
-
-``withWatermark`` needs a TIMESTAMP column, while observations are TIMESTAMP_NTZ; ``event_time``
-maps the wall-clock value to the instant with the same UTC wall clock, so day windows line up with
-calendar days whatever the session time zone.
+their progress in a checkpoint location, and write through ``foreachBatch``. A micro-batch that is
+replayed after a failure writes the same rows again. Neither keeps state, so an observation may
+arrive any time after its day.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourcast.sources import lake
 
-def event_time(ts_ntz: str) -> Column:
-    return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', `{ts_ntz}`))")
+FILES_PER_TRIGGER = 500  # bounds a micro-batch, however much has landed
+
+
+def _landed(spark: SparkSession, landing: str, schema: T.StructType, files_per_trigger: int) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(landing)
 
 
 def ingest_stream(spark: SparkSession, landing: str, schema: T.StructType, root: str, checkpoint: str,
-                  keys=("StationID",), time_col: str = "ObservationTime", watermark: str = "2 hours") -> None:
-    """ST1: landed parquet -> de-duplicated within the watermark -> merged into the day lake."""
-    keys = list(keys)
-    src = spark.readStream.schema(schema).parquet(landing)
-    s = (src.withColumn("_et", event_time(time_col)).withWatermark("_et", watermark)
-         .dropDuplicatesWithinWatermark(keys + [time_col]))
+                  keys=("StationID",), time_col: str = "ObservationTime", files_per_trigger: int = FILES_PER_TRIGGER) -> None:
+    """ST1: landed parquet -> merged into the day lake, one row per (keys, time), the later file winning.
+
+    The merge removes duplicates within a batch and against the lake, so late rows of any age land.
+    """
+    src = _landed(spark, landing, schema, files_per_trigger).select("*", F.col("_metadata.file_modification_time").alias("_arrival"))
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         # an empty batch may follow the last one under availableNow: merge_days accepts 0 rows
-        lake.merge_days(batch.sparkSession, batch.drop("_et"), root, keys, time_col)
+        batch.persist()
+        try:
+            lake.merge_days(batch.sparkSession, batch, root, list(keys), time_col, arrival="_arrival")
+        finally:
+            batch.unpersist()
 
-    q = (s.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    q = (src.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def daily_summary_stream(spark: SparkSession, landing: str, schema: T.StructType, out: str, checkpoint: str,
                          keys=("StationID",), time_col: str = "ObservationTime", value_col: str = "Temperature",
-                         watermark: str = "1 day") -> None:
-    """ST2: per (series, day) count / mean / min / max of ``value_col``, updated as files land.
+                         files_per_trigger: int = FILES_PER_TRIGGER) -> None:
+    """ST2: per (series, day) count / sum / min / max of ``value_col``, updated as files land.
 
-    Update mode emits the windows a batch changed; ``foreachBatch`` replaces those (series, day)
-    rows in a date-partitioned table. State for days older than the watermark is dropped.
+    Each micro-batch writes its own partial sums under ``out/epoch=N`` (overwritten by a replay) and
+    ``read_daily_summary`` adds them up: late rows of any age count, nothing is read back, and no
+    state is kept. ``out`` and ``checkpoint`` belong together.
     """
     keys = list(keys)
-    src = spark.readStream.schema(schema).parquet(landing)
-    agg = (src.withColumn("_et", event_time(time_col)).withWatermark("_et", watermark)
-           .groupBy(*keys, F.window("_et", "1 day"), F.to_date(F.col(time_col)).alias("obs_date"))
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(value_col).alias("sum_value"),
-                F.min(value_col).alias("min_value"), F.max(value_col).alias("max_value")))
-
-    def upsert(batch: DataFrame, epoch_id: int) -> None:
-        b = batch.drop("window").withColumn("obs_day", F.col("obs_date").cast("string"))
-        if b.isEmpty():
-            return
-        sp = batch.sparkSession
-        touched = b.select("obs_day").distinct()
-        combined = b.withColumn("_prio", F.lit(1))
-        try:
-            existing = sp.read.parquet(out).join(touched, "obs_day", "left_semi")
-            combined = existing.withColumn("_prio", F.lit(0)).unionByName(combined)
-        except Exception:  # noqa: BLE001  (first batch: no table yet)
-            pass
-        w = Window.partitionBy(*keys, "obs_date").orderBy(F.desc("_prio"))
-        merged = combined.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_prio")
-        from hourcast.session import cut_lineage
-        merged = cut_lineage(merged)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("obs_day").parquet(out))
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(upsert).option("checkpointLocation", checkpoint)
+    src = _landed(spark, landing, schema, files_per_trigger)
+
+    def add(batch: DataFrame, epoch_id: int) -> None:
+        (batch.groupBy(*keys, F.to_date(time_col).alias("obs_date"))
+         .agg(F.count(F.lit(1)).alias("n"), F.count(value_col).alias("n_values"), F.sum(value_col).alias("sum_value"),
+              F.min(value_col).alias("min_value"), F.max(value_col).alias("max_value"))
+         .write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}"))
+
+    q = (src.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
 def read_daily_summary(spark: SparkSession, out: str, keys=("StationID",)) -> DataFrame:
-    d = spark.read.parquet(out)
-    return d.select(*keys, "obs_date", "n", (F.col("sum_value") / F.col("n")).alias("mean_value"),
-                    "min_value", "max_value")
+    return (spark.read.parquet(out).groupBy(*keys, "obs_date")
+            .agg(F.sum("n").alias("n"), (F.sum("sum_value") / F.sum("n_values")).alias("mean_value"),
+                 F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value")))

@@ -56,12 +56,33 @@ def test_every_query_has_oracle_or_note():
     assert set(q) == set(o) | set(n)
 
 
-def test_balanced_only_spreads_single_split_inputs(spark):
-    from hourcast.session import balanced
-    wide = spark.range(0, 1000, numPartitions=16)
-    assert balanced(wide) is wide  # already parallel: no extra shuffle
-    narrow = spark.range(0, 1000, numPartitions=1)
-    assert balanced(narrow).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_no_row_exchange_on_the_series_key_alone(spark):
+    """Positions, lengths and splits spread a series over its days: a plan's row exchanges hash on more than the key."""
+    import re
+
+    from hourcast.operators import models, split
+    from hourcast.plans import adapters as ad
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        h = ad.obs_hourly(spark, SF_SMALL).select("StationID", "ObservationTime", "Temperature")
+        for df in (split.holdout_split(h, ["StationID"], "ObservationTime"), split.recent_weeks(h, ["StationID"], "ObservationTime"),
+                   models.last_anchor(h, ["StationID"], "ObservationTime", "Temperature")):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            for line in plan.split("\n"):
+                if re.search(r"Exchange hashpartitioning\(StationID#\d+L?, \d+\)", line):
+                    below = plan[plan.index(line):].split("\n")[1]
+                    assert "HashAggregate" in below, line  # the (series, bucket) counts only
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lag_plan_does_not_grow_with_the_lags(spark):
+    from hourcast.operators import models
+    from hourcast.plans import adapters as ad
+    h = ad.obs_hourly(spark, SF_SMALL).select("StationID", "ObservationTime", "Temperature")
+    scans = [models.anchor_features(h, ["StationID"], "ObservationTime", "Temperature", lags)._jdf.queryExecution().executedPlan().toString().count("Scan parquet")
+             for lags in ((0, 1), (0, 1, 2, 23))]
+    assert scans[0] == scans[1] <= 3
 
 
 def test_ordinal_with_hour_buckets(spark):

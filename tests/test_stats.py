@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from hourcast.functions import pvalues as pv
 from hourcast.operators import profile, ranks
-from hourcast.operators import tests as st
+from hourcast.operators import significance as st
 
 
 def _avg_rank(values):

@@ -34,3 +34,28 @@ def test_stream_daily_equals_batch(spark):
         n, lo, hi = exp.get(k, (0, v, v))
         exp[k] = (n + 1, min(lo, v), max(hi, v))
     assert got == exp
+
+
+def test_stream_ingest_lands_late_and_corrected_rows(spark):
+    base = tempfile.mkdtemp(prefix="hourcast-stream-")
+    schema = "StationID string, ObservationTime timestamp_ntz, Temperature double"
+    args = None
+    for shift, value in ((48, 1.0), (0, 2.0), (48, 3.0)):  # a day, then rows two days older, then the first day again
+        df = spark.createDataFrame([("A", T0 + dt.timedelta(hours=shift + h), value) for h in range(24)], schema)
+        df.write.mode("append").parquet(os.path.join(base, "landing"))
+        args = args or (os.path.join(base, "landing"), df.schema, os.path.join(base, "lake"), os.path.join(base, "ckpt"))
+        jobs.ingest_stream(spark, *args)
+    got = spark.read.parquet(args[2]).groupBy("day").count().orderBy("day").collect()
+    assert [(r["day"], r["count"]) for r in got] == [(1, 24), (3, 24)]
+    assert spark.read.parquet(args[2]).where("day = 3 and Temperature = 3").count() == 24  # the later delivery wins
+
+
+def test_stream_daily_counts_late_rows(spark):
+    base = tempfile.mkdtemp(prefix="hourcast-stream-")
+    schema = "StationID string, ObservationTime timestamp_ntz, Temperature double"
+    for hours in (range(240, 260), range(0, 10)):
+        df = spark.createDataFrame([("A", T0 + dt.timedelta(hours=h), float(h)) for h in hours], schema)
+        df.write.mode("append").parquet(os.path.join(base, "landing"))
+        jobs.daily_summary_stream(spark, os.path.join(base, "landing"), df.schema, os.path.join(base, "out"), os.path.join(base, "ckpt"))
+    got = {str(r["obs_date"]): (r["n"], r["mean_value"]) for r in jobs.read_daily_summary(spark, os.path.join(base, "out")).collect()}
+    assert got == {"2024-01-01": (10, 4.5), "2024-01-11": (20, 249.5)}
