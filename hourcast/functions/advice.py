@@ -163,8 +163,9 @@ def format_1f(x) -> Column:
     return _format_1f_udf(_c(x).cast("double"))
 
 
-def clothing_sentence(temp, sensitivity) -> Column:
-    """clothing sentence; the band uses the adjusted temperature, the text shows the raw one."""
+def clothing_sentence(temp, sensitivity, shown: Column | None = None) -> Column:
+    """clothing sentence; the band uses the adjusted temperature, the text shows the raw one
+    (``shown``: its text, where it has been made before rows are fanned out)."""
     t = _c(temp)
     s = _c(sensitivity)
     shift_pairs = []
@@ -179,7 +180,7 @@ def clothing_sentence(temp, sensitivity) -> Column:
         cond = F.coalesce(adj >= F.lit(limit), F.lit(False))
         body = F.when(cond, F.lit(text)) if body is None else body.when(cond, F.lit(text))
     prefix_head, prefix_tail = CLOTH_SENSE_PREFIX.split("{t}")
-    return F.concat(F.lit(prefix_head), format_1f(t), F.lit(prefix_tail), body)
+    return F.concat(F.lit(prefix_head), format_1f(t) if shown is None else shown, F.lit(prefix_tail), body)
 
 
 def band_dimension(spark: SparkSession) -> DataFrame:

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 _EPS = 1e-15
 _TINY = 1e-300
-_MAXIT = 10000
+_MAXIT = 100_000
+_LARGE_DF = 1e6
 
 
 def _beta_cf(a: float, b: float, x: float) -> float:
@@ -41,8 +42,8 @@ def _beta_cf(a: float, b: float, x: float) -> float:
         step = d * c
         h *= step
         if abs(step - 1.0) < _EPS:
-            break
-    return h
+            return h
+    raise ArithmeticError(f"continued fraction did not converge for a={a}, b={b}, x={x}")
 
 
 def betainc_reg(a: float, b: float, x: float) -> float:
@@ -75,8 +76,8 @@ def gammaincc_reg(a: float, x: float) -> float:
             term *= x / ap
             total += term
             if abs(term) < abs(total) * _EPS:
-                break
-        return max(0.0, 1.0 - total * math.exp(ln_front))
+                return max(0.0, 1.0 - total * math.exp(ln_front))
+        raise ArithmeticError(f"series did not converge for a={a}, x={x}")
     b = x + 1.0 - a
     c = 1.0 / _TINY
     d = 1.0 / b
@@ -91,16 +92,19 @@ def gammaincc_reg(a: float, x: float) -> float:
         step = d * c
         h *= step
         if abs(step - 1.0) < _EPS:
-            break
-    return math.exp(ln_front) * h
+            return math.exp(ln_front) * h
+    raise ArithmeticError(f"continued fraction did not converge for a={a}, x={x}")
 
 
 def t_two_sided(t: float, df: float) -> float:
-    """Two-sided p of Student t: I_{df/(df+t^2)}(df/2, 1/2)."""
+    """Two-sided p of Student t: I_{df/(df+t^2)}(df/2, 1/2); the normal tail with its first corrections for large df."""
     if t is None or df is None or math.isnan(t) or df <= 0:
         return float("nan")
     if math.isinf(t):
         return 0.0
+    if df > _LARGE_DF:  # the log-gamma difference would cancel; the terms left out are of order df^-2
+        z = abs(t) * (1.0 - 1.0 / (4.0 * df)) / math.sqrt(1.0 + t * t / (2.0 * df))
+        return math.erfc(z / math.sqrt(2.0))
     return betainc_reg(df / 2.0, 0.5, df / (df + t * t))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hourcast.operators.profile import to_long
 from hourcast.operators.ranks import exact_quantiles, value_offsets
 from hourcast.schema import categorical_columns, numeric_columns
+from hourcast.session import cut_lineage
 
 ONE_HOT_MAX = 10
 UNSEEN = "unseen"
@@ -63,35 +64,33 @@ def fit_encoders(train: DataFrame, columns=None, one_hot_max: int = ONE_HOT_MAX,
     return fitted.select("column", "kind", "label", "idx")
 
 
-def apply_encoders(df: DataFrame, fitted: DataFrame, unseen_token: bool = False) -> DataFrame:
-    """One-hot columns become ``col_value`` doubles (unknown -> all 0); label columns become the
+def apply_encoders(df: DataFrame, fitted: DataFrame, unseen_token: bool = False, one_hot_type: str = "double") -> DataFrame:
+    """One-hot columns become ``col_value`` of ``one_hot_type`` (unknown -> all 0); label columns become the
     class index (unknown -> -1, or the index of 'unseen' with ``unseen_token``).
 
     One-hot categories are at most ``ONE_HOT_MAX`` per column, so they are collected to build the
     expressions; label tables may be large and are joined (AQE broadcasts them when small).
     """
-    onehot = {}
-    for r in fitted.filter(F.col("kind") == "onehot").select("column", "label", "idx").collect():
-        onehot.setdefault(r["column"], []).append((r["idx"], r["label"]))
-    label_cols = [r["column"] for r in fitted.filter(F.col("kind") == "label").select("column").distinct().collect()]
+    onehot, label_cols, unseen = {}, [], {}
+    state = fitted.groupBy("column", "kind").agg(F.collect_list(F.when(
+        (F.col("kind") == "onehot") | (F.col("label") == UNSEEN), F.struct("idx", "label"))).alias("entries"))
+    for r in state.collect():  # one row per column; at most ONE_HOT_MAX entries each
+        if r["kind"] == "onehot":
+            onehot[r["column"]] = [(e["idx"], e["label"]) for e in r["entries"]]
+        else:
+            label_cols.append(r["column"])
+            unseen[r["column"]] = r["entries"][0]["idx"] if unseen_token and r["entries"] else -1
     out = df
     for c in [c for c in df.columns if c in label_cols]:
         t = fitted.filter((F.col("column") == c) & (F.col("kind") == "label")).select(
             F.col("label").alias(c), F.col("idx").alias("_idx"))
         out = out.withColumn(c, F.col(c).cast("string")).join(t, c, "left")
-        if unseen_token:
-            unseen_idx = fitted.filter((F.col("column") == c) & (F.col("label") == UNSEEN)).select(
-                F.col("idx").alias("_u"))
-            u = [r["_u"] for r in unseen_idx.collect()]
-            fill = F.lit(u[0] if u else -1)
-        else:
-            fill = F.lit(-1)
-        out = out.withColumn(c, F.coalesce(F.col("_idx"), fill).cast("long")).drop("_idx")
+        out = out.withColumn(c, F.coalesce(F.col("_idx"), F.lit(unseen[c])).cast("long")).drop("_idx")
     order = list(out.columns)
     for c, cats in onehot.items():
         if c not in out.columns:
             continue
-        new = {f"{c}_{lab}": F.when(F.col(c).cast("string") == F.lit(lab), F.lit(1.0)).otherwise(F.lit(0.0))
+        new = {f"{c}_{lab}": F.when(F.col(c).cast("string") == F.lit(lab), F.lit(1)).otherwise(F.lit(0)).cast(one_hot_type)
                for _, lab in sorted(cats)}
         out = out.withColumns(new).drop(c)
         order = [x for x in order if x != c] + list(new)
@@ -101,6 +100,6 @@ def apply_encoders(df: DataFrame, fitted: DataFrame, unseen_token: bool = False)
 def encode_splits(train: DataFrame, others: dict[str, DataFrame], columns=None) -> tuple[DataFrame, dict, DataFrame]:
     """M5 script variant: fit on train, apply to train and the others, align the others to train."""
     from hourcast.operators.clean import align_features
-    fitted = fit_encoders(train, columns)
+    fitted = cut_lineage(fit_encoders(train, columns))  # fitted once, applied to every frame
     tr = apply_encoders(train, fitted)
     return tr, {k: align_features(apply_encoders(v, fitted), tr.columns) for k, v in others.items()}, fitted

@@ -22,19 +22,32 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-N_BUCKETS = 64
-SKETCH_ACCURACY = 1000
+N_BUCKETS = 64  # buckets of a key with up to N_BUCKETS * VALUES_PER_BUCKET distinct values; more for more
+VALUES_PER_BUCKET = 1_000_000
+MAX_BROADCAST_ROWS = 1_000_000  # of a bucket table; a larger one is joined by its keys
+
+
+def _hinted(small: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(small) if rows <= MAX_BROADCAST_ROWS else small
 
 
 def bucket_bounds(counts: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS) -> dict:
     """Approximate equal-count cut points of ``value_col``, per key, as driver literals.
 
-    The result is schema-sized (keys x (n_buckets - 1) doubles). Collecting it once pins the
-    bucketing: every later use sees the same cut points, whatever the merge order of the sketch.
+    The result has keys x (buckets - 1) doubles. Collecting it once pins the bucketing: every later
+    use sees the same cut points, whatever the merge order of the sketch. A key with more than
+    ``n_buckets * VALUES_PER_BUCKET`` distinct values is sketched again with as many buckets as keep
+    a bucket at that size.
     """
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    # 64 buckets need ~1/64 rank resolution: a 1/1000 sketch is ample and much cheaper than the default
-    rows = counts.groupBy(*keys).agg(F.percentile_approx(value_col, probs, SKETCH_ACCURACY).alias("_b")).collect()
+    def sketch(n: int, *more: Column):
+        probs = [i / n for i in range(1, n)]
+        # cut points need ~1/n rank resolution: a sketch of 16 n is ample and much cheaper than the default
+        return counts.groupBy(*keys).agg(F.percentile_approx(value_col, probs, 16 * n).alias("_b"), *more).collect()
+
+    rows = sketch(n_buckets, F.approx_count_distinct(value_col).alias("_nd"))
+    most = max((r["_nd"] for r in rows), default=0)
+    if most > n_buckets * VALUES_PER_BUCKET:
+        rows = sketch(-(-most // VALUES_PER_BUCKET))
     return {tuple(r[k] for k in keys): sorted(set(x for x in (r["_b"] or []) if x is not None)) for r in rows}
 
 
@@ -44,11 +57,12 @@ def text_pivots(counts: DataFrame, keys, value_col: str = "value", n_buckets: in
     ``n_buckets * per_bucket`` distinct values per key (rate from an HLL distinct count), sorted on
     the driver (code-point order = Spark's UTF-8 byte order), every ``per_bucket``-th kept.
     Both collections are bounded by ``keys x n_buckets x per_bucket`` values."""
-    want = n_buckets * per_bucket
     nd = {tuple(r[k] for k in keys): r["_nd"] for r in
           counts.groupBy(*keys).agg(F.approx_count_distinct(value_col).alias("_nd")).collect()}
     if not nd:
         return {}
+    n_buckets = max(n_buckets, -(-max(nd.values()) // VALUES_PER_BUCKET))
+    want = n_buckets * per_bucket
     rate = None
     for key, n in nd.items():
         cond = None
@@ -85,25 +99,27 @@ def with_bucket(counts: DataFrame, bounds: dict, keys, value_col: str = "value")
             for key, cuts in bounds.items()]
     table = spark.createDataFrame(rows, T.StructType(fields))
     v = F.col(value_col)
-    out = counts.join(F.broadcast(table), keys, "left")
+    out = counts.join(_hinted(table, sum(len(c) for c in bounds.values())), keys, "left")
     return out.withColumn("_bk", F.coalesce(F.size(F.filter(F.col("_cuts"), lambda b: b < v)), F.lit(0))).drop("_cuts")
 
 
 def bucketed_counts(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS,
-                    distinct_only: bool = False) -> tuple[DataFrame, DataFrame]:
+                    distinct_only: bool = False, weight: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(counts with bucket ``_bk``, bucket table with ``_bn`` rows, ``_boff`` rows before, ``_n`` total).
 
     Text values are bucketed by pivots drawn from a bounded hash sample of their distinct values.
+    ``weight`` names a count column of rows that stand for several.
     """
     keys = list(keys)
     is_text = isinstance(long_df.schema[value_col].dataType, T.StringType)
     valid = F.col(value_col).isNotNull() if is_text else (F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
     rows = long_df.filter(valid)
-    counts = rows.groupBy(*keys, value_col).agg(F.count(F.lit(1)).alias("cnt"))
+    counts = rows.groupBy(*keys, value_col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt"))
     if distinct_only:
         counts = counts.withColumn("cnt", F.lit(1).cast("long"))
     if is_text:
-        c = with_bucket(counts, text_pivots(counts, keys, value_col, n_buckets), keys, value_col)
+        bounds = text_pivots(counts, keys, value_col, n_buckets)
+        c = with_bucket(counts, bounds, keys, value_col)
     else:
         # equal-row cut points from the raw values (a map-side sketch): a bucket then holds at most
         # ~1/n_buckets of the rows, hence of the distinct values, plus any single hot value
@@ -112,32 +128,32 @@ def bucketed_counts(long_df: DataFrame, keys, value_col: str = "value", n_bucket
     tot = c.groupBy(*keys, "_bk").agg(F.sum("cnt").alias("_bn"))
     w_prev = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*keys)
-    # keys x buckets rows: bounded by the schema, broadcast back
+    # keys x buckets rows
     tot = tot.select(*keys, "_bk", "_bn", F.coalesce(F.sum("_bn").over(w_prev), F.lit(0)).alias("_boff"),
                      F.sum("_bn").over(w_all).alias("_n"))
-    return c, tot
+    return c, _hinted(tot, sum(len(b) + 1 for b in bounds.values()))
 
 
 def _running_less(c: DataFrame, tot: DataFrame, keys, value_col: str) -> DataFrame:
-    c = c.join(F.broadcast(tot), list(keys) + ["_bk"])
+    c = c.join(tot, list(keys) + ["_bk"])
     w_in = Window.partitionBy(*keys, "_bk").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
     return c.withColumn("less", (F.col("_boff") + F.coalesce(F.sum("cnt").over(w_in), F.lit(0))).cast("long"))
 
 
 def value_offsets(long_df: DataFrame, keys, value_col: str = "value", n_buckets: int = N_BUCKETS,
-                  distinct_only: bool = False) -> DataFrame:
+                  distinct_only: bool = False, weight: str | None = None) -> DataFrame:
     """(keys, value, cnt, less) per distinct value; ``distinct_only`` counts each value once, so
     ``less`` becomes the 0-based index of the value among the sorted distinct values."""
     keys = list(keys)
-    c, tot = bucketed_counts(long_df, keys, value_col, n_buckets, distinct_only)
+    c, tot = bucketed_counts(long_df, keys, value_col, n_buckets, distinct_only, weight)
     out = _running_less(c, tot, keys, value_col)
     return out.select(*keys, value_col, F.col("cnt").cast("long").alias("cnt"), "less")
 
 
 def average_ranks(long_df: DataFrame, keys, value_col: str = "value", rank_col: str = "rank",
-                  n_buckets: int = N_BUCKETS) -> DataFrame:
+                  n_buckets: int = N_BUCKETS, weight: str | None = None) -> DataFrame:
     """Rank table (keys, value, cnt, rank) with the average rank of each distinct value."""
-    off = value_offsets(long_df, keys, value_col, n_buckets)
+    off = value_offsets(long_df, keys, value_col, n_buckets, weight=weight)
     return off.withColumn(rank_col, F.col("less") + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
 
 
@@ -156,7 +172,7 @@ def exact_quantiles(long_df: DataFrame, keys, probs, value_col: str = "value",
     t = t.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
     inside = lambda i: (F.col("_boff") <= F.col(i)) & (F.col(i) < F.col("_boff") + F.col("_bn"))
     need = t.filter(inside("_lo") | inside("_hi")).select(*keys, "_bk").distinct()
-    x = _running_less(c.join(F.broadcast(need), keys + ["_bk"], "left_semi"), tot, keys, value_col)
+    x = _running_less(c.join(need, keys + ["_bk"], "left_semi"), tot, keys, value_col)
     x = x.withColumn("p", ps).withColumn("_h", (F.col("_n") - 1) * F.col("p"))
     x = x.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
     hit_lo = (F.col("less") <= F.col("_lo")) & (F.col("_lo") < F.col("less") + F.col("cnt"))

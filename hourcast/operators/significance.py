@@ -55,17 +55,20 @@ def spearman(df: DataFrame, target: str, features=None, sort: bool = True) -> Da
     cols = list(feats) + [target]
     src = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).withColumn(
         "_y", F.col(f"`{target}`"))
-    long_all = to_long(src.drop("_y"), cols)
-    rk = average_ranks(long_all.withColumn("column", F.when(F.col("column") == target, F.lit(TARGET_KEY))
-                                            .otherwise(F.col("column"))), ["column"]).select("column", "value", "rank")
+    rk = average_ranks(to_long(src.drop("_y"), cols).withColumn(
+        "column", F.when(F.col("column") == target, F.lit(TARGET_KEY)).otherwise(F.col("column"))), ["column"]).select("column", "value", "rank")
+    # Equal (column, value, target) are counted within tasks first: a hot value is a few rows afterwards.
+    cells = to_long(src, feats, ids=["_y"]).groupBy("column", "value", "_y").agg(F.count(F.lit(1)).alias("n"))
     rt = rk.filter(F.col("column") == TARGET_KEY).select(F.col("value").alias("_y"), F.col("rank").alias("_rt"))
-    base = src.join(rt, "_y", "left")
-    long = to_long(base, feats, ids=["_rt"])
-    j = long.join(rk.filter(F.col("column") != TARGET_KEY), ["column", "value"], "left")
+    j = cells.join(rk.filter(F.col("column") != TARGET_KEY), ["column", "value"], "left").join(rt, "_y", "left")
+    # Complete columns only: both mean ranks are (N + 1) / 2, taken off before the sums.
+    n_rows = src.count()
+    j = j.withColumn("_all", F.lit(n_rows))
+    x, y, w = F.col("rank") - (F.col("_all") + 1) / 2, F.col("_rt") - (F.col("_all") + 1) / 2, F.col("n")
     agg = j.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum("n").alias("n"),
         F.count_if(F.col("rank").isNull() | F.col("_rt").isNull()).alias("_nulls"),
-        safe_corr(F.col("rank"), F.col("_rt")).alias("_r"))
+        F.try_divide(F.sum(w * x * y), F.sqrt(F.sum(w * x * x)) * F.sqrt(F.sum(w * y * y))).alias("_r"))
     r = F.when(F.col("_nulls") == 0, F.col("_r"))
     out = agg.select(F.col("column").alias("Feature"), r.alias("Correlation"), "n")
     out = out.withColumn("t", _t_stat(F.col("Correlation"), F.col("n")))
@@ -137,11 +140,11 @@ def _spearman_with_gaps(df: DataFrame, feats: list[str], holed: list[str], id_co
                                         for a, b in pairs]))).where("x is not null and y is not null")
     cells = long.groupBy("i1", "i2", "x", "y").agg(F.count(F.lit(1)).alias("n"))
     key = ["i1", "i2"]
-    rank = lambda v, r: average_ranks(long.select(*key, F.col(v).alias("value")), key).select(*key, F.col("value").alias(v), F.col("rank").alias(r))
+    rank = lambda v, r: average_ranks(cells.select(*key, F.col(v).alias("value"), "n"), key, weight="n").select(*key, F.col("value").alias(v), F.col("rank").alias(r))
     ranked = cells.join(rank("x", "rx"), [*key, "x"]).join(rank("y", "ry"), [*key, "y"])
     # Pearson of the ranks with weights n; ranks are centred on their mean (N + 1) / 2 first.
-    total = cells.groupBy(*key).agg(F.sum("n").alias("N"))
-    c = ranked.join(F.broadcast(total), key).withColumns({"rx": F.col("rx") - (F.col("N") + 1) / 2, "ry": F.col("ry") - (F.col("N") + 1) / 2})
+    total = cells.groupBy(*key).agg(F.sum("n").alias("_all"))
+    c = ranked.join(F.broadcast(total), key).withColumns({"rx": F.col("rx") - (F.col("_all") + 1) / 2, "ry": F.col("ry") - (F.col("_all") + 1) / 2})
     s = lambda e: F.sum(F.col("n") * e)
     r = F.try_divide(s(F.col("rx") * F.col("ry")), F.sqrt(s(F.col("rx") * F.col("rx"))) * F.sqrt(s(F.col("ry") * F.col("ry"))))
     got = c.groupBy(*key).agg(r.alias("r"))
@@ -199,12 +202,14 @@ def kruskal(df: DataFrame, target: str, features=None, min_group_size: int = 5)
     long = base.select(F.col(target).cast("double").alias("_y"),
                        *[F.col(f"`{c}`").cast("string").alias(c) for c in feats]).unpivot(
         ["_y"], feats, "column", "grp").filter(F.col("grp").isNotNull())
-    sizes = long.groupBy("column", "grp").agg(F.count(F.lit(1)).alias("n_j")).filter(F.col("n_j") >= min_group_size)
-    kept = long.join(sizes.select("column", "grp"), ["column", "grp"], "left_semi")
-    ranks = average_ranks(kept.select("column", F.col("_y").alias("value")), ["column"])
+    # Equal (column, group, target) are counted within tasks first; all that follows works on these cells.
+    cells = long.groupBy("column", "grp", "_y").agg(F.count(F.lit(1)).alias("n"))
+    sizes = cells.groupBy("column", "grp").agg(F.sum("n").alias("n_j")).filter(F.col("n_j") >= min_group_size)
+    kept = cells.join(sizes.select("column", "grp"), ["column", "grp"], "left_semi")
+    ranks = average_ranks(kept.select("column", F.col("_y").alias("value"), "n"), ["column"], weight="n")
     ties = ranks.groupBy("column").agg(F.sum(F.pow(F.col("cnt"), 3) - F.col("cnt")).alias("_ties"))
     j = kept.join(ranks.select("column", F.col("value").alias("_y"), "rank"), ["column", "_y"])
-    g = j.groupBy("column", "grp").agg(F.sum("rank").alias("R_j"), F.count(F.lit(1)).alias("n_j"))
+    g = j.groupBy("column", "grp").agg(F.sum(F.col("rank") * F.col("n")).alias("R_j"), F.sum("n").alias("n_j"))
     per = g.groupBy("column").agg(F.sum("n_j").alias("N"), F.count(F.lit(1)).alias("k"),
                                   F.sum(F.col("R_j") * F.col("R_j") / F.col("n_j")).alias("_s"))
     per = per.filter(F.col("k") >= 2).join(ties, "column")

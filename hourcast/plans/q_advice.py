@@ -108,11 +108,24 @@ def q_style_items(spark, sf_dir):
     return advise.style_items(a, adv.band_dimension(spark))
 
 
-@register("advice_json", note="JSON text layout differs between engines; rows-only")
+@register("advice_json", oracle=sql_norm(f"""
+WITH a AS (SELECT StationID, date, avg(pred_Temperature) AS av, min(pred_Temperature) AS mn, max(pred_Temperature) AS mx,
+                  {adv.band_case_sql('avg(pred_Temperature)')} AS band FROM forecast GROUP BY 1, 2)
+SELECT a.StationID, a.date, strftime(a.date, '%Y-%m-%d') AS target_date, {printed('a.av', 2)} AS avg_temp, {printed('a.mn', 2)} AS min_temp,
+       {printed('a.mx', 2)} AS max_temp, {printed('a.mx - a.mn', 2)} AS temp_difference,
+       {adv.activity_case_sql('a.band')} AS activity_tip, {adv.layering_case_sql('(a.mx - a.mn)')} AS layering_tip,
+       d.style, d.category, d.item_pos, d.item
+FROM a JOIN ({_dim_values_sql()}) d ON a.band = d.band""".replace("WITH a AS", "SELECT * FROM (WITH a AS", 1) + ")",
+    doubles=["avg_temp", "min_temp", "max_temp", "temp_difference"], ints=["item_pos"], dates=["date"], with_=FC))
 def q_advice_json(spark, sf_dir):
-    """the nested day record (summary + styles map + tips) as JSON per station and day."""
-    a = advise.daily_advice(_fc(spark, sf_dir))
-    return advise.advice_json(a, adv.band_dimension(spark))
+    """the nested day record (summary + styles map + tips) as JSON per station and day, read back field by field."""
+    made = advise.advice_json(advise.daily_advice(_fc(spark, sf_dir)), adv.band_dimension(spark))
+    schema = ("target_date string, weather_summary struct<avg_temp double, min_temp double, max_temp double, temp_difference double>, "
+              "recommendations struct<styles map<string, map<string, array<string>>>, activity_tip string, layering_tip string>")
+    r = made.select("StationID", "date", F.from_json("advice_json", schema).alias("r")).select("StationID", "date", "r.target_date", "r.weather_summary.*", "r.recommendations.*")
+    r = r.select(*[c for c in r.columns if c != "styles"], F.explode("styles").alias("style", "categories"))
+    r = r.select(*[c for c in r.columns if c != "categories"], F.explode("categories").alias("category", "items"))
+    return r.select(*[c for c in r.columns if c != "items"], F.posexplode("items").alias("item_pos", "item"))
 
 
 def _sentence_sql(t: str, s: str) -> str:
@@ -128,9 +141,10 @@ SELECT StationID, datetime, s AS sensitivity, {_sentence_sql('pred_Temperature',
 FROM forecast, (VALUES ('cold'), ('normal'), ('hot')) v(s)""", ts=["datetime"], with_=FC))
 def q_clothing_sentence(spark, sf_dir):
     """The clothing sentence of every forecast hour for three sensitivities."""
-    fc = _fc(spark, sf_dir).withColumn("sensitivity", F.explode(F.array(F.lit("cold"), F.lit("normal"), F.lit("hot"))))
+    fc = _fc(spark, sf_dir).withColumn("shown", adv.format_1f("pred_Temperature"))
+    fc = fc.withColumn("sensitivity", F.explode(F.array(F.lit("cold"), F.lit("normal"), F.lit("hot"))))
     return fc.select("StationID", "datetime", "sensitivity",
-                     adv.clothing_sentence(F.col("pred_Temperature"), F.col("sensitivity")).alias("sentence"))
+                     adv.clothing_sentence(F.col("pred_Temperature"), F.col("sensitivity"), F.col("shown")).alias("sentence"))
 
 
 @register("suffix_increment", oracle=sql_norm("""
