@@ -97,9 +97,9 @@ def apply_encoders(df: DataFrame, fitted: DataFrame, unseen_token: bool = False,
     return out.select(*order)
 
 
-def encode_splits(train: DataFrame, others: dict[str, DataFrame], columns=None) -> tuple[DataFrame, dict, DataFrame]:
+def encode_splits(train: DataFrame, others: dict[str, DataFrame], columns=None, one_hot_type: str = "double") -> tuple[DataFrame, dict, DataFrame]:
     """M5 script variant: fit on train, apply to train and the others, align the others to train."""
     from hourcast.operators.clean import align_features
     fitted = cut_lineage(fit_encoders(train, columns))  # fitted once, applied to every frame
-    tr = apply_encoders(train, fitted)
-    return tr, {k: align_features(apply_encoders(v, fitted), tr.columns) for k, v in others.items()}, fitted
+    tr = apply_encoders(train, fitted, one_hot_type=one_hot_type)
+    return tr, {k: align_features(apply_encoders(v, fitted, one_hot_type=one_hot_type), tr.columns) for k, v in others.items()}, fitted

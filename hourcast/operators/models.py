@@ -27,6 +27,7 @@ from hourcast.operators.series import ordinal
 HORIZON = 168
 DEFAULT_LAGS = (0, 1, 2, 23)
 SEED = 0
+MAX_FIT_ROWS = 100_000
 
 
 def _lag_name(k: int) -> str:
@@ -52,8 +53,10 @@ def _with_lags(p: DataFrame, keys, time_col: str, target: str, lags, carry=()) -
 def horizon_steps(anchors: DataFrame, horizon: int, time_col: str) -> DataFrame:
     """Fan each anchor out to steps 1..horizon (a generator, not a join) with the target time."""
     h = anchors.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    t = F.col(time_col) + F.make_dt_interval(F.lit(0), F.col("h"))
-    h = h.withColumn("target_time", t)
+    return _target_calendar(h.withColumn("target_time", F.col(time_col) + F.make_dt_interval(F.lit(0), F.col("h"))))
+
+
+def _target_calendar(h: DataFrame) -> DataFrame:
     hour = F.hour("target_time")
     return h.withColumns({
         "target_hour": hour,
@@ -79,6 +82,36 @@ def training_rows(df: DataFrame, keys, time_col: str, target: str, horizon: int
     return steps.join(label, keys + ["target_time"])
 
 
+def bounded_rows(rows: DataFrame, limit: int = MAX_FIT_ROWS) -> DataFrame:
+    """At most about ``limit`` rows for a fit, by hash of the whole row: the documented bound of every fit here.
+
+    Only fitting is bounded; scoring, validation and forecasts use all rows.
+    """
+    every = -(-rows.count() // limit)
+    return rows if every <= 1 else rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(every)) == 0)
+
+
+def before_and_after(rows: DataFrame, cut) -> tuple[DataFrame, DataFrame]:
+    """(anchor, h) rows whose target lies up to ``cut`` (train), and those after it (validation): no label is in both."""
+    t = F.lit(cut.isoformat(sep=" ")).cast("timestamp_ntz")
+    return rows.filter(F.col("target_time") <= t), rows.filter(F.col("target_time") > t)
+
+
+def step_ahead(df: DataFrame, keys, time_col: str, target: str, last: int, lags=DEFAULT_LAGS) -> DataFrame:
+    """One row for each of the last ``last`` hours of each series, with the features of the row before it.
+
+    Lags come from the full series and no label is needed, so every one of these hours can be predicted.
+    """
+    keys = list(keys)
+    p = ordinal(df.select(*keys, time_col, target), keys, time_col, length_col="n")
+    p = p.filter(F.col("pos") > F.col("n") - (last + max(lags) + 1))
+    a = _with_lags(p, keys, time_col, target, lags, carry=("n",))
+    at = p.filter(F.col("pos") > F.col("n") - last).select(*keys, (F.col("pos") - 1).alias("pos"), F.col(time_col).alias("target_time"))
+    rows = a.drop("n").join(at, keys + ["pos"])
+    hours = F.expr(f"timestampdiff(HOUR, `{time_col}`, target_time)").cast("int")
+    return _target_calendar(rows.withColumn("h", hours))
+
+
 def feature_columns(lags=DEFAULT_LAGS) -> list[str]:
     return [_lag_name(k) for k in lags] + ["h", "target_hour_sin", "target_hour_cos", "target_weekday"]
 

@@ -75,19 +75,19 @@ def sliding_samples(df: DataFrame, keys, order_col: str, feature_cols, target_co
     # A row belongs to its block, and the first rows of a block to the one before as well.
     blk = F.floor((F.col("pos") - 1) / block)
     near = (((F.col("pos") - 1) % block) < total - 1) & (blk > 0)
-    p = ordinal(df, keys, order_col).withColumn("_home", blk)
+    p = ordinal(df, keys, order_col, length_col="_n").withColumn("_home", blk)
     p = p.withColumn("_vec", F.array(*[F.col(c).cast(dtype) for c in feature_cols])).withColumn(
         "_y", F.col(target_col).cast(dtype))
     u = (p.withColumn("_blk", F.explode(F.when(near, F.array(F.col("_home"), F.col("_home") - 1)).otherwise(F.array("_home"))))
          .withColumn("_own", F.col("_blk") == F.col("_home")).drop("_home"))
     w = Window.partitionBy(*keys, "_blk").orderBy("pos")
     out = u.select(
-        *keys, "pos", "_own", F.col(order_col).alias("start_time"),
+        *keys, "pos", "_n", "_own", F.col(order_col).alias("start_time"),
         F.collect_list("_vec").over(w.rowsBetween(0, seq_len - 1)).alias("x"),
         F.collect_list("_y").over(w.rowsBetween(seq_len, total - 1)).alias("y"),
         F.last(F.col(order_col)).over(w.rowsBetween(seq_len - 1, seq_len - 1)).alias("anchor_time"),
     )
-    keep = F.col("_own") & (F.size("x") == seq_len) & (F.size("y") == horizon)
+    keep = F.col("_own") & (F.col("pos") <= F.col("_n") - total + 1)  # its window is complete
     if stride > 1:
         keep = keep & (((F.col("pos") - 1) % stride) == 0)
-    return out.filter(keep).drop("_own").withColumnRenamed("pos", "start_pos")
+    return out.filter(keep).drop("_own", "_n").withColumnRenamed("pos", "start_pos")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from hourcast.functions import advice as adv
+from hourcast.operators import models as md
 from hourcast.plans import adapters as ad
 from hourcast.plans import pipelines as pl
 from hourcast.plans.catalog import printed, register, sql_norm
@@ -32,14 +33,21 @@ def q_pipeline_hourly_load(spark, sf_dir):
     return d.groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("pipeline_training", note="includes significance tests and fits; rows-only")
+@register("pipeline_training", oracle=sql_norm("SELECT StationID, count(*) - 2 * 503 - 1 AS n_samples FROM obs_wide GROUP BY 1",
+                                               ints=["n_samples"], with_=WIDE))
 def q_pipeline_training(spark, sf_dir):
-    """Entry 2 on the raw observations (L=24, H=12): clean, select, derive, split, scale, encode,
-    sample; reports samples per station and feature count."""
+    """Entry 2 on the raw observations (L=336, H=168): clean, select, derive, split, scale, encode, sample; samples per
+    station. A station's train frame lacks its last 504 rows, and 503 rows start no sample."""
     obs = ad.obs_wide(spark, sf_dir).drop("event_id")
-    out = pl.training_data(obs, seq_len=24, horizon=12)
-    n_feat = len(out["train"].columns)
-    return pl.sample_count(out["samples"]).withColumn("n_train_columns", F.lit(n_feat))
+    return pl.sample_count(pl.training_data(obs)["samples"])
+
+
+@register("pipeline_train_and_score", note="model fits on the prepared table; rows-only")
+def q_pipeline_train_and_score(spark, sf_dir):
+    """Entry 2 to its end: prepared table -> linear and tree models -> predictions of every validation row."""
+    obs = ad.obs_wide(spark, sf_dir).drop("event_id")
+    few = {k: v for k, v in md.regressors().items() if k in ("LinearRegression", "RandomForest")}
+    return pl.train_and_score(obs, few)[2]
 
 
 def _dim_rows_sql() -> str:
