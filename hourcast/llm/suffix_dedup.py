@@ -111,6 +111,7 @@ def _level(texts: DataFrame, q: int, width: int) -> DataFrame:
     """
     v, _ = difference_cover(q)
     n_buckets = bucket_count(texts.sparkSession, per_partition=2)
+    n_gather = max(1, n_buckets // 4)  # ranges are few beside suffix records
     inner = "open" in texts.columns
 
     def post(batches):
@@ -176,7 +177,7 @@ def _level(texts: DataFrame, q: int, width: int) -> DataFrame:
             first[cls] = True
             known += [_stands_for(rec[settled], v, True), _stands_for(rec[several & first], v, False)]
         known = np.concatenate(known)
-        batch = packed_batch([(b, _squeeze(np.frombuffer(x, _RANGE))) for b, x in pack(_row_bucket(known, n_buckets), known)])
+        batch = packed_batch([(b, _squeeze(np.frombuffer(x, _RANGE))) for b, x in pack(_row_bucket(known, n_gather), known)])
         return pa.Table.from_batches([batch])
 
     def gather(table: pa.Table) -> pa.Table:
