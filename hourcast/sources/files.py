@@ -79,6 +79,17 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").csv(path)
 
 
+def write_csv_lake(df: DataFrame, root: str, parts=("year", "month", "day", "hour")) -> None:
+    """One folder of CSV per hour, ``year=/month=/day=/hour=``; rows are exchanged by folder first."""
+    df.repartition(*parts).write.mode("overwrite").option("header", "true").partitionBy(*parts).csv(root)
+
+
+def read_csv_lake(spark: SparkSession, root: str, schema: T.StructType, parts=("year", "month", "day", "hour")) -> DataFrame:
+    """The whole lake with its partition columns; filters on these prune folders."""
+    full = T.StructType([*schema.fields, *[T.StructField(p, T.IntegerType()) for p in parts]])
+    return read_csv(spark, root, full)
+
+
 def round_trip(df: DataFrame, path: str) -> DataFrame:
     """Parquet write then read (column names may be non-ASCII)."""
     df.write.mode("overwrite").parquet(path)
