@@ -1,6 +1,6 @@
 """Wave 4 queries: average ranks, Spearman, Pearson to target, correlation pairs, Kruskal-Wallis,
-Jarque-Bera, high-correlation drop, feature selection. Oracles check r, t, H, JB; the p-value
-variants are rows-only here and checked against known values in the tests."""
+Jarque-Bera, high-correlation drop, feature selection. Oracles check r, t, H, JB, the t tail by finite
+sums, the chi-square tail by its closed form, and the selection against critical values."""
 
 from __future__ import annotations
 
@@ -40,7 +40,7 @@ def q_avg_rank(spark, sf_dir):
     return average_ranks(long, ["column"]).select("column", "value", "cnt", "rank")
 
 
-def spearman_sql(src: str, target: str, feats, with_: str = "") -> str:
+def spearman_sql(src: str, target: str, feats, with_: str = "", raw: bool = False) -> str:
     casted = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in feats)
     rt = _avg_rank_sql("y IS NULL", "y")
     rf = _avg_rank_sql('"column", value IS NULL', "value")
@@ -55,7 +55,19 @@ FROM (SELECT *, CASE WHEN value IS NOT NULL THEN {rf} END AS rf
 GROUP BY 1"""
     outer = f"""SELECT "Feature", "Correlation", n,
        "Correlation" * sqrt((n - 2) / ((1 - "Correlation") * (1 + "Correlation"))) AS t FROM ({inner})"""
-    return sql_norm(outer, doubles=["Correlation", "t"], ints=["n"], with_=with_)
+    return outer if raw else sql_norm(outer, doubles=["Correlation", "t"], ints=["n"], with_=with_)
+
+
+def _t_tail_sql(rows: str) -> str:
+    """``rows`` (with t and n) and the two-sided p of Student t with n - 2 degrees of freedom, by its finite sums
+    in cos(theta), theta = atan(|t| / sqrt(df)): one for even and one for odd degrees of freedom."""
+    return f"""WITH s AS (SELECT *, n - 2 AS df, atan(abs(t) / sqrt(n - 2)) AS th FROM ({rows})),
+d AS (SELECT DISTINCT df FROM s),
+k AS (SELECT df, k, sum(CASE WHEN k = 0 THEN 0 WHEN df % 2 = 0 THEN ln((2 * k - 1) / (2.0 * k)) ELSE ln((2 * k) / (2.0 * k + 1)) END)
+        OVER (PARTITION BY df ORDER BY k) AS lc FROM (SELECT df, unnest(range(0, CAST(CASE WHEN df % 2 = 0 THEN df // 2 ELSE (df - 1) // 2 END AS BIGINT))) AS k FROM d)),
+a AS (SELECT "Feature" AS f, sum(exp(lc + 2 * k * ln(cos(th)))) AS z FROM s JOIN k USING (df) GROUP BY 1)
+SELECT "Feature", "Correlation", s.n, t, CASE WHEN df % 2 = 0 THEN 1 - sin(th) * z ELSE 1 - 2 / pi() * (th + sin(th) * cos(th) * z) END AS "P-value"
+FROM s LEFT JOIN a ON a.f = s."Feature" """
 
 
 @register("spearman", oracle=spearman_sql("lineitem", LI_TARGET, LI_FEATS))
@@ -69,7 +81,8 @@ def q_spearman_observations(spark, sf_dir):
     return st.spearman(ad.obs_wide(spark, sf_dir), "Temperature", OBS_FEATS)
 
 
-@register("spearman_test", note="p-values need the t tail; checked in tests")
+@register("spearman_test", oracle=sql_norm("SELECT * FROM (" + _t_tail_sql(spearman_sql("lineitem", LI_TARGET, LI_FEATS, raw=True)) + ")",
+                                           doubles=["Correlation", "t", "P-value"], ints=["n"]))
 def q_spearman_test(spark, sf_dir):
     return st.spearman_test(ad.read(spark, sf_dir, "lineitem"), LI_TARGET, LI_FEATS)
 
@@ -208,7 +221,34 @@ def q_normality_test(spark, sf_dir):
     return st.normality_test(ad.obs_wide(spark, sf_dir), numeric_columns(RAW_SCHEMA))
 
 
-@register("feature_selection", note="depends on p-values; rows-only")
+# Upper 5 % points of chi-square for 1 to 12 degrees of freedom, and of the normal, two-sided.
+CHI2_95 = (3.841459, 5.991465, 7.814728, 9.487729, 11.070498, 12.591587, 14.067140, 15.507313, 16.918978, 18.307038, 19.675138, 21.026070)
+NORMAL_95 = 1.959963985
+
+
+def _selection_sql() -> str:
+    """Decisions of both tests against critical values, then the columns that stay in order and those that go."""
+    parts = ["year", "month", "day", "hour"]
+    columns = [f.name for f in RAW_SCHEMA.fields]
+    columns += [p for p in parts if p not in columns]
+    feats = [c for c in [*numeric_columns(RAW_SCHEMA, exclude=("Temperature",)), *parts] if c in columns]
+    feats = list(dict.fromkeys(feats))
+    order = [c for c in LEADING_COLUMNS if c in columns] + [c for c in columns if c not in LEADING_COLUMNS]
+    values = ", ".join(f"('{c}', {i}, {str(c in LEADING_COLUMNS).lower()}, {str(c in FIXED_EXCLUDE_COLUMNS).lower()})" for i, c in enumerate(order))
+    crit = " ".join(f"WHEN {i + 1} THEN {v}" for i, v in enumerate(CHI2_95))
+    kw = kruskal_sql("obs_wide", "Temperature", OBS_CATS, WIDE)
+    body = kw[:kw.rindex("SELECT * REPLACE")].rstrip()
+    return f"""{body},
+sp AS ({spearman_sql("obs_wide", "Temperature", feats, raw=True)}),
+gone AS (SELECT "Feature" AS c FROM sp WHERE abs(t) <= {NORMAL_95} + ({NORMAL_95} ** 3 + {NORMAL_95}) / (4.0 * (n - 2))
+         UNION SELECT feature FROM hs WHERE "H-statistic" <= CASE k - 1 {crit} END),
+cols AS (SELECT * FROM (VALUES {values}) v(c, i, safe, fixed)),
+marked AS (SELECT c, i, safe OR NOT (fixed OR c IN (SELECT c FROM gone)) AS kept FROM cols)
+SELECT CASE WHEN kept THEN CAST(row_number() OVER (PARTITION BY kept ORDER BY i) - 1 AS BIGINT) END AS position, c AS "column", kept, CAST(NULL AS BIGINT) AS n_rows FROM marked
+UNION ALL SELECT NULL, '__rows__', true, count(*) FROM obs_wide"""
+
+
+@register("feature_selection", oracle=_selection_sql())
 def q_feature_selection(spark, sf_dir):
     """M1 on the observations: drop insignificant and fixed columns, leading columns first."""
     df = ad.obs_wide(spark, sf_dir).drop("event_id")
