@@ -14,6 +14,9 @@ from hourcast.functions.numeric import round_exact
 from hourcast.functions.timefeat import to_fahrenheit
 
 
+# Labels of the statistics table, in its order.
+LABELS = ("최고기온", "최저기온", "평균기온", "일교차")
+
 def _keys(df: DataFrame, keys) -> list[str]:
     return [k for k in (keys or []) if k in df.columns]
 
@@ -98,10 +101,10 @@ def statistics_table(fc: DataFrame, unit: str = "C", temp_col: str = "pred_Tempe
                         value.alias("value"), at.cast("string").alias("at"))
 
     rows = F.array(
-        row(1, "최고기온", txt(f(F.col("max_temp")), u), hour_txt(F.col("max_hour"))),
-        row(2, "최저기온", txt(f(F.col("min_temp")), u), hour_txt(F.col("min_hour"))),
-        row(3, "평균기온", txt(f(F.col("avg_temp")), u), F.lit("-")),
-        row(4, "일교차", txt(F.col("_range"), "°C"), F.lit("-")),
+        row(1, LABELS[0], txt(f(F.col("max_temp")), u), hour_txt(F.col("max_hour"))),
+        row(2, LABELS[1], txt(f(F.col("min_temp")), u), hour_txt(F.col("min_hour"))),
+        row(3, LABELS[2], txt(f(F.col("avg_temp")), u), F.lit("-")),
+        row(4, LABELS[3], txt(F.col("_range"), "°C"), F.lit("-")),
     )
     return ex.select(*k, F.inline(rows))
 

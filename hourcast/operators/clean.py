@@ -98,8 +98,8 @@ def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """P13 / U2 (re-aimed): column comparison plus row differences on the shared columns.
 
     Rows: one per column name with ``status`` in {both, only_left, only_right} and the positions;
-    plus two rows ``__rows_only_left__`` / ``__rows_only_right__`` with the row counts of
-    ``exceptAll`` in each direction (bag semantics, shuffled on all shared columns).
+    plus two rows ``__rows_only_left__`` / ``__rows_only_right__`` with the rows that the other
+    side lacks (bag semantics, one shuffle on all shared columns).
     """
     ac, bc = a.columns, b.columns
     shared = [c for c in ac if c in bc]
@@ -113,14 +113,13 @@ def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     schema = "column string, status string, left_position int, right_position int, n_rows bigint"
     cols_df = spark.createDataFrame(meta, schema)
     if shared:
-        la, lb = a.select(*shared), b.select(*shared)
-        left = la.exceptAll(lb).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit("__rows_only_left__").alias("column"), F.lit("rows").alias("status"),
-            F.lit(None).cast("int").alias("left_position"), F.lit(None).cast("int").alias("right_position"), "n_rows")
-        right = lb.exceptAll(la).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit("__rows_only_right__").alias("column"), F.lit("rows").alias("status"),
-            F.lit(None).cast("int").alias("left_position"), F.lit(None).cast("int").alias("right_position"), "n_rows")
-        return cols_df.unionByName(left).unionByName(right)
+        # Signed counts of equal rows: what is left over on either side, in one aggregation.
+        both = a.select(*shared).withColumn("__side", F.lit(1)).unionByName(b.select(*shared).withColumn("__side", F.lit(-1)))
+        rest = both.groupBy(*shared).agg(F.sum("__side").alias("d")).agg(
+            F.coalesce(F.sum(F.greatest("d", F.lit(0))), F.lit(0)).alias("l"), F.coalesce(F.sum(F.greatest(-F.col("d"), F.lit(0))), F.lit(0)).alias("r"))
+        name = lambda side, n: F.struct(F.lit(f"__rows_only_{side}__").alias("column"), F.lit("rows").alias("status"),
+                                        F.lit(None).cast("int").alias("left_position"), F.lit(None).cast("int").alias("right_position"), F.col(n).alias("n_rows"))
+        return cols_df.unionByName(rest.select(F.inline(F.array(name("left", "l"), name("right", "r")))))
     return cols_df
 
 
@@ -128,7 +127,3 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     """Concatenate by column name, duplicates kept, missing columns filled with null."""
     return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), frames)
 
-
-def numeric_and_categorical(df: DataFrame, exclude=()) -> tuple[list[str], list[str]]:
-    """P7 column choice used by the tests and encoders."""
-    return numeric_columns(df.schema, exclude), categorical_columns(df.schema, exclude)

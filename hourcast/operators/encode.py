@@ -34,10 +34,6 @@ def apply_robust_scaler(df: DataFrame, fitted: DataFrame) -> DataFrame:
                            if c in df.columns and m is not None})
 
 
-def scale_columns(train: DataFrame, exclude=("Temperature",)) -> list[str]:
-    return numeric_columns(train.schema, exclude=tuple(exclude))
-
-
 # ---- M5: one-hot / label encoding -----------------------------------------------------------------------
 def fit_encoders(train: DataFrame, columns=None, one_hot_max: int = ONE_HOT_MAX, unseen_token: bool = False) -> DataFrame:
     """Fit table (column, kind, label, idx): ``kind`` 'onehot' for <= one_hot_max distinct values,

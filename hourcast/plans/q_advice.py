@@ -88,7 +88,7 @@ def q_statistics_table(spark, sf_dir):
     return advise.statistics_table(_fc(spark, sf_dir), unit="C")
 
 
-def _dim_values_sql() -> str:
+def dim_values_sql() -> str:
     rows = []
     for band, _ in adv.BANDS:
         for style, cats in adv.STYLE_RECOMMENDATIONS[band]["items"].items():
@@ -101,7 +101,7 @@ def _dim_values_sql() -> str:
 @register("style_items", oracle=sql_norm(f"""
 SELECT a.StationID, a.date, a.band, d.style, d.category, d.item_pos, d.item
 FROM (SELECT StationID, date, {adv.band_case_sql('avg(pred_Temperature)')} AS band FROM forecast GROUP BY 1, 2) a
-JOIN ({_dim_values_sql()}) d ON a.band = d.band""", ints=["item_pos"], dates=["date"], with_=FC))
+JOIN ({dim_values_sql()}) d ON a.band = d.band""", ints=["item_pos"], dates=["date"], with_=FC))
 def q_style_items(spark, sf_dir):
     """J3 + F22: each day's band joined to the (fixed-size, broadcast) style dimension."""
     a = advise.daily_advice(_fc(spark, sf_dir))
@@ -115,7 +115,7 @@ SELECT a.StationID, a.date, strftime(a.date, '%Y-%m-%d') AS target_date, {printe
        {printed('a.mx', 2)} AS max_temp, {printed('a.mx - a.mn', 2)} AS temp_difference,
        {adv.activity_case_sql('a.band')} AS activity_tip, {adv.layering_case_sql('(a.mx - a.mn)')} AS layering_tip,
        d.style, d.category, d.item_pos, d.item
-FROM a JOIN ({_dim_values_sql()}) d ON a.band = d.band""".replace("WITH a AS", "SELECT * FROM (WITH a AS", 1) + ")",
+FROM a JOIN ({dim_values_sql()}) d ON a.band = d.band""".replace("WITH a AS", "SELECT * FROM (WITH a AS", 1) + ")",
     doubles=["avg_temp", "min_temp", "max_temp", "temp_difference"], ints=["item_pos"], dates=["date"], with_=FC))
 def q_advice_json(spark, sf_dir):
     """the nested day record (summary + styles map + tips) as JSON per station and day, read back field by field."""

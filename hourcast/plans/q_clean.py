@@ -212,11 +212,15 @@ def q_html_title(spark, sf_dir):
 
 
 # ---- S15 / F28 / F29: JSON array embedded in HTML ---------------------------------------------------------
+# Weekday letters of the pages, Monday first.
+WEEKDAYS = ("월", "화", "수", "목", "금", "토", "일")
+
+
 def weekly_pages(spark, sf_dir):
     """HTML pages that Spark renders from the daily forecast: one page per (station, ISO week)."""
     fc = ad.with_forecast_time(ad.forecast(spark, sf_dir))
     daily = fc.groupBy("StationID", "date").agg(F.max("pred_Temperature").alias("mx"), F.min("pred_Temperature").alias("mn"))
-    ko = F.element_at(F.array(*[F.lit(x) for x in ["월", "화", "수", "목", "금", "토", "일"]]), (F.weekday("date") + 1).cast("int"))
+    ko = F.element_at(F.array(*[F.lit(x) for x in WEEKDAYS]), (F.weekday("date") + 1).cast("int"))
     item = F.struct(F.date_format("date", "yyyyMMdd").alias("aplYmd"),
                     F.format_string("%.0f", F.col("mx")).alias("maxTmpr"),
                     F.format_string("%.0f", F.col("mn")).alias("minTmpr"), ko.alias("dayString"))

@@ -11,6 +11,7 @@ from hourcast.operators import models as md
 from hourcast.plans import adapters as ad
 from hourcast.plans import pipelines as pl
 from hourcast.plans.catalog import printed, register, sql_norm
+from hourcast.plans.q_advice import dim_values_sql
 from hourcast.session_paths import scratch
 from hourcast.sources import files, text
 
@@ -50,16 +51,6 @@ def q_pipeline_train_and_score(spark, sf_dir):
     return pl.train_and_score(obs, few)[2]
 
 
-def _dim_rows_sql() -> str:
-    rows = []
-    for band, _ in adv.BANDS:
-        for style, cats in adv.STYLE_RECOMMENDATIONS[band]["items"].items():
-            for cat, items in cats.items():
-                for i, it in enumerate(items):
-                    rows.append(f"('{band}', '{style}', '{cat}', {i}, '{it}')")
-    return "(VALUES " + ", ".join(rows) + ") d(band, style, category, item_pos, item)"
-
-
 @register("pipeline_day_advice", oracle=sql_norm(f"""
 SELECT a.StationID, a.date, a.band, d.style, d.category, d.item_pos, d.item,
        {printed('a.av', 2)} AS avg_temp, {printed('a.mn', 2)} AS min_temp,
@@ -67,7 +58,7 @@ SELECT a.StationID, a.date, a.band, d.style, d.category, d.item_pos, d.item,
        {adv.activity_case_sql('a.band')} AS activity_tip, {adv.layering_case_sql('(a.mx - a.mn)')} AS layering_tip
 FROM (SELECT StationID, date, avg(pred_Temperature) AS av, min(pred_Temperature) AS mn, max(pred_Temperature) AS mx,
              {adv.band_case_sql('avg(pred_Temperature)')} AS band FROM forecast GROUP BY 1, 2) a
-JOIN {_dim_rows_sql()} ON a.band = d.band""",
+JOIN ({dim_values_sql()}) d ON a.band = d.band""",
     doubles=["avg_temp", "min_temp", "max_temp", "temp_difference"], ints=["item_pos"], dates=["date"],
     with_=ad.with_ctes("forecast")))
 def q_pipeline_day_advice(spark, sf_dir):

@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 
 from hourcast.functions.advice import WEEKDAY_KO_TO_EN
 
-# Fixed value: the page key whose array holds the weekly forecast.
-WEEKLY_KEY = "domesticWeeklyFcastList"
-WEEKLY_PATTERN = r'(?s)"' + WEEKLY_KEY + r'"\s*:\s*(\[\{.*?\}\])'
+# Fixed value: the pattern of the page key whose array holds the weekly forecast.
+WEEKLY_PATTERN = r'(?s)"domesticWeeklyFcastList"\s*:\s*(\[\{.*?\}\])'
 
 WEEKLY_ITEM = T.ArrayType(T.StructType([
     T.StructField("aplYmd", T.StringType()),

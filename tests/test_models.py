@@ -44,3 +44,35 @@ def test_training_rows_labels_are_gap_safe(spark):
     assert rows.filter(F.col("target_time") == T0 + dt.timedelta(hours=40)).count() == 0
     one = rows.filter((F.col("ObservationTime") == T0 + dt.timedelta(hours=30)) & (F.col("h") == 2)).first()
     assert one["label"] == 32 % 24 + 0.5 * (32 // 24) and one["target_hour"] == 8
+
+
+def test_fit_evaluate_and_forecast(spark):
+    df, rows = _series(spark, 24 * 20)
+    keys, t = ["StationID"], "ObservationTime"
+    all_rows = md.training_rows(df, keys, t, "Temperature", horizon=24)
+    train, val = md.before_and_after(all_rows, T0 + dt.timedelta(hours=24 * 17))
+    assert train.count() + val.count() == all_rows.count() and val.count() > 0
+    fitted = md.fit_models(train, md.feature_columns(), {k: v for k, v in md.regressors(n_estimators=5).items() if k != "GBT"})
+    report = md.evaluate_models(fitted, val).collect()
+    assert [r["RMSE"] for r in report] == sorted(r["RMSE"] for r in report) and report[0]["RMSE"] < 6.0
+    for r in report:  # the report's figure is the root mean square over all validation rows
+        assert math.isclose(md.rmse(fitted[r["Model"]][0].transform(val)).first()["RMSE"], r["RMSE"], rel_tol=1e-6)
+    assert [r["Model"] for r in md.top_models(md.evaluate_models(fitted, val), 2).collect()] == [r["Model"] for r in report[:2]]
+    fc = md.forecast(fitted["LinearRegression"][0], df, keys, t, "Temperature", horizon=48).orderBy("h").collect()
+    last = rows[-1][1]
+    assert [(r["day"], r["hour"]) for r in fc] == [((last + dt.timedelta(hours=h)).day, (last + dt.timedelta(hours=h)).hour) for h in range(1, 49)]
+
+
+def test_step_ahead_has_every_hour(spark):
+    df, rows = _series(spark, 24 * 9, skip=(190, 191, 200))
+    got = md.step_ahead(df, ["StationID"], "ObservationTime", "Temperature", last=168).orderBy("target_time").collect()
+    times = [r[1] for r in rows]
+    assert [r["target_time"] for r in got] == times[-168:]
+    assert all(r["lag_0"] is not None for r in got) and got[-1]["h"] == 1
+    assert {r["h"] for r in got} == {1, 2, 3}
+
+
+def test_fits_are_bounded(spark):
+    rows = spark.range(5000).withColumn("x", F.col("id") * 2)
+    assert md.bounded_rows(rows, 10_000).count() == 5000
+    assert 300 < md.bounded_rows(rows, 500).count() < 700

@@ -112,3 +112,72 @@ def test_csv_with_bom(spark):
     assert tuple(r) == ("2022-01-21", 2.5, 65)
     back = files.round_trip(files.read_csv(spark, d), os.path.join(d, "rt"))
     assert back.columns == ["날짜", "기온", "습도"]
+
+
+def test_write_days_bounds_the_files_of_a_day(spark):
+    import glob
+    root = os.path.join(_tmp(), "lake")
+    obs = _obs(spark, range(0, 24 * 3)).repartition(7)
+    lake.write_days(obs, root)
+    assert all(len(glob.glob(f"{d}/*.parquet")) == 1 for d in glob.glob(f"{root}/year=*/month=*/day=*"))
+    lake.write_days(obs, root, rows_per_file=6)
+    counts = [len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{root}/year=*/month=*/day=*")]
+    assert all(1 <= n <= 4 for n in counts) and spark.read.parquet(root).count() == 72
+
+
+def test_merge_reads_only_touched_days(spark, monkeypatch):
+    from hourcast import session
+    root = os.path.join(_tmp(), "lake")
+    lake.write_days(_obs(spark, range(0, 24 * 5)), root)
+    plans = []
+    cut = session.cut_lineage
+    monkeypatch.setattr(session, "cut_lineage", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    lake.merge_days(spark, _obs(spark, range(30, 40), value=9.0), root)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = [line for p in plans for line in p.split("\n") if "PartitionFilters" in line]
+    assert any("20240102" in f for f in filters)
+    lake.merge_days(spark, _obs(spark, range(24 * 9, 24 * 9 + 5)), root)  # a new day: nothing to merge with
+    assert len(plans) == 1 and spark.read.parquet(root).count() == 125
+
+
+def test_merge_resolves_duplicates_by_arrival(spark):
+    root = os.path.join(_tmp(), "lake")
+    rows = [("A", T0, float(v), T0 + dt.timedelta(minutes=m)) for v, m in ((1, 5), (2, 9), (3, 7))]
+    df = spark.createDataFrame(rows, "StationID string, ObservationTime timestamp_ntz, Temperature double, landed timestamp_ntz")
+    lake.merge_days(spark, df.repartition(3), root, arrival="landed")
+    got = spark.read.parquet(root)
+    assert [r["Temperature"] for r in got.collect()] == [2.0] and "landed" not in got.columns
+
+
+def test_newest_run_is_read_whole(spark):
+    import time as _t
+
+    from hourcast.sources import files
+    root = os.path.join(_tmp(), "fc")
+    fc = spark.range(200).selectExpr("2024 AS year", "1 AS month", "CAST(1 + id % 28 AS INT) AS day", "CAST(id % 24 AS INT) AS hour", "CAST(id AS FLOAT) AS pred_Temperature")
+    files.write_forecast(fc.limit(5), root, "z_old")
+    _t.sleep(1.1)
+    files.write_forecast(fc.repartition(4), root, "a_new")
+    assert files.latest_forecast(spark, root, by="mtime").count() == 200
+    newest = files.latest_forecast(spark, root)
+    assert newest.count() == 5 and "run_ts#" in newest._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1]
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from hourcast import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Session())
