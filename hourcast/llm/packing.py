@@ -9,8 +9,8 @@ Pieces of a class are numbered across all partitions (counts by partition and cl
 within each), so a class leaves at most one open sequence, not one for each worker. These open ends - fewer than
 k pieces for each class, a bound that only C sets - are packed together by decreasing length.
 
-Tokens are made once for each distinct space-separated word of a task: the tokenizer's normalizer and splitter
-never look across white space, so a text's ids are its words' ids in a row.
+Tokens are made once for each distinct word of a task: the tokenizer's normalizer and splitter never look across
+white space, so a text's ids are its words' ids in a row.
 
 Defined cases: a null or empty text is the end id alone. Repeated rows and null ids are documents of their own,
 which (doc_id, start) alone does not tell apart; ``sequence_id`` and ``offset`` do. An empty table gives an
@@ -19,72 +19,139 @@ empty result. Further columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourcast.llm.textbatch import chunks
+from hourcast.llm.textbatch import SPACE_WORDS, Rolling, chunks, lower_ascii, utf8
 from hourcast.session import cut_lineage
 
 CAPACITY = 4096
 END_ID = 2
 SLACK = 0.04  # part of a place that may stay empty
-MAX_CACHE = 1 << 19  # words a task remembers
+MAX_CACHE = 1 << 20  # words a worker remembers
+CHUNK = 1 << 20  # bytes of text that are encoded at once
 SPREAD = 64  # numbers of a class are given out in as many groups for each shuffle partition
 
 
 class WordTokenizer:
-    """Ids of whole texts, made word by word and remembered."""
+    """Ids of whole texts, made word by word and remembered.
+
+    A word is a run without ASCII white space; a full stop or comma between ASCII letters or digits and the end
+    of such a run, or further letters or digits, is a word of its own. A-Z are lower-cased first (as the
+    tokenizer does) in words of ASCII without ``<``. Words are remembered by 64-bit fingerprint.
+    """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallel part
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
+        if suffix:
+            self.closing[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.ends = [0]
-
-    def _learn(self, words: list[str]) -> None:
-        for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
-            got = e.ids
-            end = self.ends[-1] + len(got)
-            while end > len(self.ids):
+        self.keys, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each word in a row, and how many each has."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        size = np.array([len(g) for g in got], np.int64)
+        return np.array(list(chain.from_iterable(got)), np.uint32), size
+
+    def _letter_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of a-z: many are encoded as one text, in which every word ends with a closing id."""
+        ids, _ = self._ids([" ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)])
+        ends = np.flatnonzero(self.closing[ids]) + 1
+        if len(ends) != len(words) or ends[-1] != len(ids):
+            return self._ids(words)
+        return ids, np.diff(ends, prepend=0)
+
+    def _learn(self, keys: np.ndarray, words: list[str], letters: np.ndarray) -> None:
+        size, first = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        for which, ids_of in ((np.flatnonzero(letters), self._letter_ids), (np.flatnonzero(~letters), self._ids)):
+            if not len(which):
+                continue
+            ids, n = ids_of([words[i] for i in which])
+            while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
-            self.ids[self.ends[-1]:end] = got
-            self.ends.append(end)
-        for w in words:
-            self.number[w] = len(self.number)
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [(t or "").translate(_SPACES).split(" ") for t in texts]
-        new = list({w for words in split for w in words if w and w not in self.number})
-        if len(new) + len(self.number) > MAX_CACHE:
+            self.ids[self.used:self.used + len(ids)] = ids
+            size[which], first[which] = n, self.used + np.cumsum(n) - n
+            self.used += len(ids)
+        at = np.searchsorted(self.keys, keys)  # both are sorted
+        self.keys, self.first, self.size = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.size, at, size)
+
+    def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the bounds of each text's."""
+        data, offsets = utf8(col)
+        starts, ends, doc = _words(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        kept = np.concatenate([[0], np.cumsum((data >= 128) | (data == 0x3C))])
+        raw = kept[ends] > kept[starts]
+        shown = lower_ascii(data)
+        upper = np.flatnonzero(shown != data)
+        upper = upper[raw[np.searchsorted(starts, upper, side="right") - 1]]
+        shown[upper] = data[upper]
+        keys, where, word = np.unique(Rolling.of_bytes(shown).spans(starts, ends), return_index=True, return_inverse=True)
+        if len(keys) + len(self.keys) > MAX_CACHE:
             self.clear()
-            new = list({w for words in split for w in words if w})
-        if new:
-            self._learn(new)
-        ends = np.array(self.ends)
-        out = []
-        for words in split:
-            at = np.array([self.number[w] for w in words if w], np.int64)
-            if not len(at):
-                out.append(np.zeros(0, np.uint32))
-                continue
-            first, size = ends[at], ends[at + 1] - ends[at]
-            shift = np.concatenate([[0], np.cumsum(size)])
-            out.append(self.ids[np.repeat(first - shift[:-1], size) + np.arange(shift[-1])])
-        return out
-
-
-# ASCII white space only: every one of these ends a word for the tokenizer's splitter.
-_SPACES = {9: " ", 10: " ", 11: " ", 12: " ", 13: " "}
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        new = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), bool)
+        if new.any():
+            s, e = starts[where[new]], ends[where[new]]
+            other = np.concatenate([[0], np.cumsum((shown < 0x61) | (shown > 0x7A))])
+            text = shown.tobytes()
+            self._learn(keys[new], [text[i:j].decode() for i, j in zip(s.tolist(), e.tolist())], other[e] == other[s])
+            at = np.searchsorted(self.keys, keys)
+        first, size = self.first[at][word], self.size[at][word]
+        shift = np.concatenate([[0], np.cumsum(size)])
+        ids = self.ids[np.repeat(first - shift[:-1], size) + np.arange(shift[-1])]
+        return ids, shift[np.searchsorted(doc, np.arange(len(offsets)))]
+
+
+@cache
+def _tokenizer(path: str) -> WordTokenizer:
+    """One for each Python worker: later tasks of the worker know its words already."""
+    return WordTokenizer(path)
+
+
+_JOINED = 64
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if not len(data):
+        return (np.zeros(0, np.int64),) * 3
+    inside, alnum = SPACE_WORDS[data], _ALNUM[data]
+    edge = np.zeros(len(data) + 1, bool)  # a document begins here, or the data end
+    edge[offsets] = True
+    own = (data == 0x2E) | (data == 0x2C)
+    own[1:] &= alnum[:-1] & ~edge[1:-1]
+    own[0] = False
+    after = edge[1:].copy()
+    after[:-1] |= ~inside[1:] | alnum[1:]
+    own &= after
+    first, last = inside & (own | edge[:-1]), inside & (own | edge[1:])
+    first[1:] |= inside[1:] & (~inside[:-1] | own[:-1])
+    last[:-1] |= inside[:-1] & (~inside[1:] | own[1:])
+    starts = np.flatnonzero(first)
+    return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, side="right") - 1
+
+
+_ALNUM = np.zeros(256, bool)
+_ALNUM[0x30:0x3A] = _ALNUM[0x41:0x5B] = _ALNUM[0x61:0x7B] = True
 
 
 def cuts(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[int]:
@@ -112,11 +179,12 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
         part = TaskContext.get().partitionId()
         tokenizer = None
         for batch in batches:
-            for b in chunks(batch):
-                tokenizer = tokenizer or WordTokenizer(path)
+            for b in chunks(batch, limit=CHUNK):
+                tokenizer = tokenizer or _tokenizer(path)
                 out = defaultdict(list)
-                for doc, got in zip(b.column("doc_id").to_pylist(), tokenizer.encode(b.column("text").to_pylist())):
-                    got = np.append(got, np.uint32(end_id)).astype("<u4")
+                flat, bounds = tokenizer.encode(b.column("text"))
+                for doc, lo, hi in zip(b.column("doc_id").to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+                    got = np.append(flat[lo:hi], np.uint32(end_id)).astype("<u4")
                     at = 0
                     for n in cuts(len(got), capacity, slack):
                         piece = got[at:at + n]

@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20  # text handled at once inside a task; a longer single document is its own chunk
+CHUNK_BYTES = 1 << 20  # text handled at once inside a task; a longer single document is its own chunk
 
 # Bytes that separate words in the contracts (space and 0x09-0x0D).
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)

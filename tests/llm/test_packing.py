@@ -3,6 +3,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -61,11 +62,13 @@ def test_edges(edges, nothing, tokenizer):
     assert P.report(nothing).collect() == []
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(max_size=60))
-def test_word_by_word_equals_whole(text):
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=40), st.text(alphabet="aB.,' <|>1é\u0301\u030cJ\n\u2026", max_size=40)), max_size=4))
+def test_word_by_word_equals_whole(texts):
     words = test_word_by_word_equals_whole.__dict__.setdefault("words", P.WordTokenizer(P.tokenizer_path()))
-    assert words.encode([text])[0].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    ids, bounds = words.encode(pa.array(texts, pa.string()))
+    for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+        assert ids[a:b].tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 @given(st.integers(1, 30_000))
