@@ -38,7 +38,7 @@ RULES = (
     Rule(0, "min_words", "n_words < 50"),
     Rule(1, "repeat_words", "100 * n_repeat_words > 50 * n_words"),
     Rule(2, "symbols", "10 * n_symbols > n_words"),
-    Rule(3, "dup_lines", "n_lines > 1 and 100 * n_dup_lines > 30 * n_lines"),
+    Rule(3, "dup_lines", "n_lines >= 6 and 100 * n_dup_lines > 30 * n_lines"),
     Rule(4, "short_words", "word_chars < 3 * n_words"),
     Rule(5, "long_words", "word_chars > 12 * n_words"),
     Rule(6, "max_words", "n_words > 100000"),
@@ -55,13 +55,18 @@ POLICIES = {
 CURRENT = max(POLICIES)
 
 
+def _once(c: Column) -> Column:
+    """``c``, but no later filter moves below it: there each mention of ``c`` would make its arrays anew."""
+    return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
 def _measure(df: DataFrame) -> DataFrame:
     """Adds the measurements of ``text``; arrays are made in steps, so that each is computed once."""
     text = F.coalesce(F.col("text"), F.lit(""))
     trimmed = F.btrim(text, F.lit(SPACES))
     words = F.when(F.length(trimmed) > 0, F.split(trimmed, "[\\x20\\x09-\\x0D]+")).otherwise(F.array().cast("array<string>"))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
-    df = df.select("*", words.alias("_words"), lines.alias("_lines"),
+    df = df.select("*", _once(words).alias("_words"), lines.alias("_lines"),
                    (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
                    F.length(F.translate(text, SPACES, "")).cast("bigint").alias("word_chars"))
     n = F.size("_words")
@@ -70,17 +75,17 @@ def _measure(df: DataFrame) -> DataFrame:
         F.xxhash64(F.get("_words", i), F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"), i.alias("i")))))
     df = df.select("*", n.cast("bigint").alias("n_words"), F.size("_lines").cast("bigint").alias("n_lines"),
                    (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("bigint").alias("n_dup_lines"),
-                   windows.alias("_windows")).drop("_words", "_lines")
+                   _once(windows).alias("_windows")).drop("_words", "_lines")
     fingerprint = lambda i: F.get("_windows", i)["h"]
     twice = F.sort_array(F.transform(F.filter(
         F.sequence(F.lit(0), F.size("_windows") - 1),
         lambda i: F.coalesce(fingerprint(i) == fingerprint(i - 1), F.lit(False)) | F.coalesce(fingerprint(i) == fingerprint(i + 1), F.lit(False))),
         lambda i: F.get("_windows", i)["i"]))
-    df = df.select("*", F.when(F.col("_windows").isNotNull(), twice).alias("_twice")).drop("_windows")
+    df = df.select("*", _once(F.when(F.col("_windows").isNotNull(), twice)).alias("_twice")).drop("_windows")
     # Words under the windows: 3 each, less what the next window shares.
     covered = F.aggregate("_twice", F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
                           lambda a, i: F.struct((a["n"] + F.least(F.lit(3), i - a["last"])).alias("n"), i.alias("last")), lambda a: a["n"])
-    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("bigint")).drop("_twice")
+    return df.withColumn("n_repeat_words", _once(F.coalesce(covered, F.lit(0)).cast("bigint"))).drop("_twice")
 
 
 def ledger(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
