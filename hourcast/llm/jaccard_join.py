@@ -7,7 +7,8 @@ same set are one class, so copies never meet. The join is exact:
    global order of all shingles; the others are ordered by fingerprint. Any such order gives right results;
    this one keeps passages that many documents share out of most prefixes.
 2. Prefixes: linked sets share a shingle among the first ``n - ceil(share * n) + 1`` of each. Only these are
-   shuffled, packed by bucket; a bucket keeps the shingles that two classes or more have.
+   shuffled, packed by bucket; a bucket keeps the shingles that two classes of fitting sizes or more have. A class
+   whose shared shingles can't add up to what any of these sizes requires is done.
 3. Groups: a class joins the leader with which it shares most of them. A group is cut into blocks of about
    ``BLOCK`` classes of one leader and size class: the columns of the token-group matrix.
 4. Hub round: in each leader's group all classes are held against one block. What links there is settled,
@@ -48,9 +49,10 @@ BLOCK = 256  # classes in a block
 QUERIES = 4096  # queries that one task holds against a block
 FILTER_BITS = 1 << 26  # 8 MB at most: which classes' sets are worth moving; an exact semi-join follows
 _FLUSH = 1 << 20  # shingles that a task gathers before it passes them on
-_CLASS = 10  # bytes of a class id
+_CLASS = 12  # bytes of a class id: 4 of the set's size, big-endian, and 8 of its hash
 
-_POSTING = np.dtype([("token", "<u8"), ("cls", f"S{_CLASS}")])
+# A prefix shingle of a class: 48 bits of the shingle (a collision only adds a candidate), and the class.
+_POSTING = np.dtype([("token", "<u4"), ("token2", "<u2"), ("cls", f"S{_CLASS}")])
 
 
 def _ceil(a: int, b: int) -> int:
@@ -76,10 +78,18 @@ def shingle_sets(part: pa.RecordBatch, words: int) -> list[np.ndarray]:
 
 
 def _class(x: np.ndarray) -> bytes:
-    """Class id: 80 bits of the set. No byte string here ends in a zero byte (numpy would cut it)."""
-    d = bytearray(hashlib.blake2b(x.tobytes(), digest_size=_CLASS).digest())
+    """Class id of a set. It never ends in a zero byte, which numpy would cut from a byte string."""
+    d = bytearray(hashlib.blake2b(x.tobytes(), digest_size=_CLASS - 4).digest())
     d[-1] |= 1
-    return bytes(d)
+    return min(len(x), (1 << 32) - 1).to_bytes(4, "big") + bytes(d)
+
+
+def _sizes(cls: np.ndarray) -> np.ndarray:
+    return np.frombuffer(np.ascontiguousarray(cls).tobytes(), np.uint8).reshape(-1, _CLASS)[:, :4].copy().view(">u4").ravel().astype(np.int64)
+
+
+def _size_of(cls: str):
+    return F.conv(F.hex(F.substring(cls, 1, 4)), 16, 10).cast("bigint")
 
 
 def class_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -138,7 +148,11 @@ def _ordered(x: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share: int = SHARE) -> DataFrame:
-    """(token, cls, rep, n): prefix shingles that two classes or more have; rep is one class of that shingle."""
+    """(token, cls, leader): prefix shingles that a class shares with another one of a size it could link with.
+
+    Each shingle has one representative class; a class's leader represents most of its shingles. Rows of a class
+    whose shingles can't add up to the number that a link with any of these sizes takes are left out.
+    """
     n_buckets = bucket_count(docs.sparkSession)
     hot_value = docs.sparkSession.sparkContext.broadcast(hot)  # at most HOT values
 
@@ -146,9 +160,10 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share:
         seen, tokens, classes, n = set(), [], [], 0
 
         def flush():
-            rec = np.empty(n, _POSTING)
-            rec["token"], rec["cls"] = np.concatenate(tokens), np.repeat(np.array([c for c, _ in classes]), [k for _, k in classes])
-            return packed_batch(list(pack((rec["token"] >> np.uint64(20)) % np.uint64(n_buckets), rec)))
+            rec, token = np.empty(n, _POSTING), np.concatenate(tokens) >> np.uint64(16)
+            rec["token"], rec["token2"] = token & np.uint64(0xFFFFFFFF), token >> np.uint64(32)
+            rec["cls"] = np.repeat(np.array([c for c, _ in classes]), [k for _, k in classes])
+            return packed_batch(list(pack(token % np.uint64(n_buckets), rec)))
 
         for batch in batches:
             for part in chunks(batch):
@@ -168,70 +183,103 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share:
 
     def settle(table: pa.Table) -> pa.Table:
         rec = unpack(table, _POSTING)
-        order = np.argsort(rec["token"], kind="stable")
-        token = rec["token"][order]
-        first = group_starts(token)
-        many = np.repeat(np.diff(np.append(first, len(token))) > 1, np.diff(np.append(first, len(token))))
-        order, token = order[many], token[many]
-        cls = rec["cls"][order]
+        token = rec["token"].astype(np.int64) | rec["token2"].astype(np.int64) << 32
+        order = np.argsort(token, kind="stable")
+        token = token[order]
+        many = _repeated(token)
+        token, cls = token[many], rec["cls"][order][many]
         order = np.lexsort((cls, token))
         token, cls = token[order], cls[order]
         one = group_starts(token, cls)  # a class that several tasks have posted counts once
-        token, cls = token[one], cls[one]
+        many = _repeated(token[one])
+        token, cls = token[one][many], cls[one][many]
+        if not len(token):
+            return pa.table({"token": pa.array([], pa.int64()), "cls": pa.array([], pa.binary()), "rep": pa.array([], pa.binary()), "need": pa.array([], pa.int32())})
+        # Each list is in order of size. A link with any of its classes takes least with the smallest or largest
+        # one that x could link with.
+        n, at = _sizes(cls), np.arange(len(token))
+        key = (np.cumsum(np.concatenate([[0], token[1:] != token[:-1]])) << 32) + n
+        low = np.searchsorted(key, key - n + -(-share * n // 100), side="left")
+        high = np.searchsorted(key, key - n + 100 * n // share, side="right") - 1
+        ok = low < high  # x itself lies between them
+        smallest, largest = np.where(low == at, np.minimum(at + 1, high), low), np.where(high == at, np.maximum(at - 1, low), high)
+        need = np.minimum(_need(share, n, n[smallest]), _need(share, n, n[largest]))
+        own = cls.view(np.uint8).reshape(-1, _CLASS)[:, 4:].copy().view(">u8").ravel()
+        order = np.lexsort((own, token))
         first = group_starts(token)
-        size = np.diff(np.append(first, len(token)))
-        rep = np.repeat(cls[first], size)
-        many = np.repeat(size > 1, size)
-        return pa.table({"token": pa.array(token[many].astype(np.int64)), "cls": pa.array(cls[many].tolist(), pa.binary()),
-                         "rep": pa.array(rep[many].tolist(), pa.binary())})
+        rep = np.repeat(cls[order][first], np.diff(np.append(first, len(token))))
+        return pa.table({"token": pa.array(token[ok]), "cls": pa.array(cls[ok].tolist(), pa.binary()), "rep": pa.array(rep[ok].tolist(), pa.binary()),
+                         "need": pa.array(np.maximum(need[ok] - 1, 1).astype(np.int32))})
 
     packed = documents(docs).mapInArrow(post, "bucket int, cell binary")
-    return packed.groupBy("bucket").applyInArrow(settle, "token bigint, cls binary, rep binary")
+    lists = packed.groupBy("bucket").applyInArrow(settle, "token bigint, cls binary, rep binary, need int")
+    # A link of x that takes k shingles shows k rows of x with a need of k or less.
+    own = Window.partitionBy("cls")
+    lists = lists.withColumn("needs", F.sort_array(F.collect_list("need").over(own)))
+    lists = lists.where(F.exists(F.transform("needs", lambda v, i: v <= i + 1), lambda v: v)).drop("needs", "need")
+    lists = lists.withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("cls", "rep")))
+    return lists.withColumn("leader", F.max(F.struct("same", "rep")).over(own)["rep"]).select("token", "cls", "leader")
+
+
+def _need(share: int, n, m):
+    """Least number of shared prefix shingles of linked sets of n and m shingles, whichever prefix ends first."""
+    both = -(-share * (n + m) // (100 + share))
+    return np.minimum(1 - -(-share * n // 100), 1 - -(-share * m // 100)) + both
+
+
+def _repeated(token: np.ndarray) -> np.ndarray:
+    """Which of the sorted tokens stand there twice or more."""
+    same = token[1:] == token[:-1]
+    out = np.zeros(len(token), bool)
+    out[1:] |= same
+    out[:-1] |= same
+    return out
+
 
+def filter_bits(keys: int, most: int = FILTER_BITS) -> int:
+    """Bits of a filter for ``keys`` keys: at least 16 each, at most ``most``."""
+    return min(most, 1 << max(16, (16 * keys).bit_length()))
 
-def _class_filter(classes: DataFrame, bits: int) -> np.ndarray:
-    """Bit array over hashes of ``classes`` (column cls); its size is fixed, however many there are."""
-    h = F.pmod(F.xxhash64("cls"), F.lit(bits))
-    rows = (classes.select(F.shiftright(h, 6).alias("w"), F.pmod(h, F.lit(64)).cast("int").alias("b")).distinct()
-            .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("m")).collect())
+
+def _bit_filter(slots: DataFrame, bits: int) -> np.ndarray:
+    """Bit array with the bits of ``slots`` (column h) set; its size is fixed, however many there are."""
+    got = (slots.select(F.shiftright("h", 6).alias("w"), F.pmod("h", F.lit(64)).cast("int").alias("b")).distinct()
+           .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("m")).toArrow())
     out = np.zeros(bits >> 6, np.int64)
-    for r in rows:
-        out[r["w"]] = r["m"]
+    out[got.column("w").to_numpy()] = got.column("m").to_numpy()
     return out
 
 
-def class_sets(docs: DataFrame, table: DataFrame, classes: DataFrame, words: int = WORDS, bits: int = FILTER_BITS) -> DataFrame:
-    """(cls, set) of ``classes``, one row each; ``table`` is the class_table of ``docs``.
+def class_sets(docs: DataFrame, table: DataFrame, info: DataFrame, words: int = WORDS, bits: int = FILTER_BITS) -> DataFrame:
+    """``info`` (one row for each wanted cls) with the classes' sets; ``table`` is the class_table of ``docs``.
 
-    One document stands for a class. A bit filter of fixed size picks the documents whose text is shuffled;
+    One document stands for a class. A bit filter of fixed size picks the documents whose set is shuffled;
     the join that follows is exact.
     """
-    stand = (table.join(classes, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "row_key")).alias("r"))
-             .select("cls", "r.doc_id", "r.row_key"))
-    stand = cut_lineage(stand)
-    mask = _class_filter(stand.select(F.struct("doc_id", "row_key").alias("cls")), bits)
+    stand = (table.join(info.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "row_key")).alias("r")))
+    bits = filter_bits(info.count(), bits)
+    mask = _bit_filter(stand.select(F.pmod(F.xxhash64("r"), F.lit(bits)).alias("h")), bits)
     known = docs.sparkSession.sparkContext.broadcast(mask)  # bits / 8 bytes
 
     def run(batches):
+        seen = set()
         for batch in batches:
             h = batch.column("slot").to_numpy()
-            keep = (known.value[h >> 6] >> (h & 63)) & 1
-            batch = batch.filter(pa.array(keep.astype(bool)))
+            batch = batch.filter(pa.array(((known.value[h >> 6] >> (h & 63)) & 1).astype(bool)))
             for part in chunks(batch):
-                sets = [x.tobytes() for x in shingle_sets(part, words)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("row_key"), pa.array(sets, pa.binary())],
-                                                 names=["doc_id", "row_key", "set"])
+                out = {_class(x): x.tobytes() for x in shingle_sets(part, words) if len(x)}
+                new = [c for c in out if c not in seen]
+                seen.update(new)
+                yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), pa.array([out[c] for c in new], pa.binary())], names=["cls", "set"])
 
     d = documents(docs).withColumn("row_key", row_key())
-    d = d.withColumn("slot", F.pmod(F.xxhash64(F.struct("doc_id", "row_key")), F.lit(bits)))
-    sets = d.mapInArrow(run, "doc_id bigint, row_key bigint, set binary").alias("s")
-    s = stand.alias("t")
-    return (sets.join(s, F.col("s.doc_id").eqNullSafe(F.col("t.doc_id")) & (F.col("s.row_key") == F.col("t.row_key")))
-            .select("t.cls", "s.set").dropDuplicates(["cls"]))
+    d = d.select("text", F.pmod(F.xxhash64(F.struct("doc_id", "row_key")), F.lit(bits)).alias("slot"))
+    sets = d.mapInArrow(run, "cls binary, set binary")
+    return sets.join(info, "cls").dropDuplicates(["cls"])
 
 
 def _open(rows: DataFrame, share: int) -> DataFrame:
-    """Spanning links (a, b) of each (block, salt). rows: block, salt, member (else query), within, cls, comp, set.
+    """Spanning links (a, b) of each (block, salt). rows: block, salt, member (else query), within, cls, comp, n, set.
 
     ``within`` marks members that are held against each other as well.
     """
@@ -261,22 +309,22 @@ def _open(rows: DataFrame, share: int) -> DataFrame:
             token, owner = token[order], owner[order]
             first = group_starts(token)
             union, ends = token[first], np.append(first[1:], len(token))
-            sizes = np.array([len(sets[i]) for i in members])
+            sizes = np.array([t["n"][i] for i in members])
             # A shingle that only the query itself has doesn't count for it as a member.
             alone = ends - first == 1
             for i in rows_:
-                x, own = sets[i], t["member"][i]
+                x, n, own = sets[i], t["n"][i], t["member"][i]
                 if own and not t["within"][i]:
                     continue
                 place = np.minimum(np.searchsorted(union, x), len(union) - 1)
                 inside = place[union[place] == x]
                 bound = int((~alone[inside]).sum()) if own else len(inside)
-                if 100 * bound < share * len(x):
+                if 100 * bound < share * n:
                     continue
                 length = ends[inside] - first[inside]
                 flat = np.repeat(first[inside] - np.append(0, np.cumsum(length)[:-1]), length) + np.arange(int(length.sum()))
                 common = np.bincount(owner[flat], minlength=len(members))
-                for j in np.flatnonzero(100 * common >= share * (sizes + len(x) - common)):
+                for j in np.flatnonzero(100 * common >= share * (sizes + n - common)):
                     k = members[j]
                     if k != i and root(t["comp"][i]) != root(t["comp"][k]):
                         parent[root(t["comp"][i])] = root(t["comp"][k])
@@ -287,10 +335,10 @@ def _open(rows: DataFrame, share: int) -> DataFrame:
     return rows.groupBy("block", "salt").applyInArrow(run, "a binary, b binary")
 
 
-def _salted(members: DataFrame, queries: DataFrame) -> DataFrame:
+def _salted(members: DataFrame, queries: DataFrame, *extra: str) -> DataFrame:
     """Rows for ``_open``: blocks with many queries get several tasks, each with the block's members."""
     salts = queries.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
-    cols = ["block", "salt", "member", "within", "cls", "comp", "set"]
+    cols = ["block", "salt", "member", "within", "cls", "comp", "n", *extra]
     q = (queries.join(salts, "block").withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int"))
          .withColumns({"member": F.lit(False), "within": F.lit(False)}).select(cols))
     m = (members.join(salts, "block", "left")
@@ -299,86 +347,105 @@ def _salted(members: DataFrame, queries: DataFrame) -> DataFrame:
     return m.unionByName(q)
 
 
+def _blocks(info: DataFrame, key: list[str]) -> DataFrame:
+    """``info`` (cls, n, leader, ...) with blocks of about ``BLOCK`` classes of equal ``key`` and size class, and their sizes' range."""
+    info = info.withColumn("size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(1.05))))
+    key = [*key, "size_class"]
+    count = info.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("splits"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    same = [F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    return (info.alias("i").join(count.alias("c"), on).select("i.*", "c.splits", "c.n_min", "c.n_max")
+            .withColumn("block", F.xxhash64(*key, F.pmod(F.xxhash64("cls"), F.col("splits")))).drop("splits", "size_class"))
+
+
+def _asks(lists: DataFrame, info: DataFrame, share: int) -> DataFrame:
+    """(cls, comp, n, block): queries to blocks that may hold a set to link with. One of two blocks asks the other.
+
+    Blocks of other leaders are asked when the query shares enough prefix shingles with the block's union to reach
+    the required overlap with a set of the block's sizes, blocks of the query's own leader whenever sizes allow.
+    Classes of one component are never held against each other again.
+    """
+    lo = F.greatest(F.expr(f"ceil({share} * n / 100)"), F.col("n_min"))
+    hi = F.least(F.expr(f"floor(100 * n / {share})"), F.col("n_max"))
+    open_ = (F.col("block") < F.col("g_block")) & (lo <= hi) & (F.col("g_big").isNull() | (F.col("g_big") != F.col("comp_id")))
+    # Ids as 64-bit hashes: equal ones of different classes would only add a query.
+    slim = info.select("cls", "n", F.xxhash64("leader").alias("lead"), F.xxhash64("comp").alias("comp_id"),
+                       F.when(F.col("big").isNotNull(), F.xxhash64("big")).alias("g_big"), "block", "blocks", "n_min", "n_max")
+    tokens = lists.select("token", "cls").join(slim, "cls")
+    q = tokens.select("token", F.xxhash64("cls").alias("q"), "n", "lead", "comp_id", "block")
+    matrix = tokens.select("token", F.col("lead").alias("g_lead"), "g_big", F.col("block").alias("g_block"), "n_min", "n_max").distinct()
+    overlap = lambda m: F.ceil(share * (F.col("n") + m) / (100 + share))
+    need = F.least(1 - F.ceil(share * F.col("n") / 100) + overlap(lo), 1 - F.ceil(share * hi / 100) + overlap(hi))
+    found = (q.join(matrix, "token").where(open_ & (F.col("lead") != F.col("g_lead")))
+             .groupBy("q", "g_block").agg(F.count(F.lit(1)).alias("shared"), F.min(need).alias("need"))
+             .where(F.col("shared") >= F.col("need") - 1).select("q", "g_block"))
+    large = slim.where("blocks > 1")
+    blocks = large.select("lead", "g_big", F.col("block").alias("g_block"), "n_min", "n_max").distinct()
+    found = found.unionByName(large.drop("g_big", "n_min", "n_max").join(blocks, "lead").where(open_).select(F.xxhash64("cls").alias("q"), "g_block"))
+    return (info.withColumn("q", F.xxhash64("cls")).join(found.distinct(), "q").select("cls", "comp", "n", F.col("g_block").alias("block")))
+
+
 def links(docs: DataFrame, table: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """Links (a, b) between classes that connect exactly the components of all links; no more than a forest per block."""
-    hot = hot_shingles(docs, words)
-    lists = cut_lineage(shared_prefixes(docs, hot, words, share))
-    pairs = lists.groupBy("cls", "rep").agg(F.count(F.lit(1)).alias("n"))
-    leaders = pairs.groupBy("cls").agg(F.max(F.struct("n", "rep")).alias("m")).select("cls", F.col("m.rep").alias("leader"))
-    sizes = table.where("cls is not null").select("cls", "n_shingles").groupBy("cls").agg(F.first("n_shingles").alias("n"))
-    info = leaders.join(sizes, "cls")
+    lists = cut_lineage(shared_prefixes(docs, hot_shingles(docs, words), words, share))
+    leaders = lists.select("cls", "leader").distinct()
+    for _ in range(2):  # leaders follow their own leader
+        up = leaders.select(F.col("cls").alias("leader"), F.col("leader").alias("upper"))
+        leaders = leaders.join(up, "leader", "left").select("cls", F.coalesce("upper", "leader").alias("leader"))
+    info = leaders.withColumn("n", _size_of("cls"))
     group = info.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     info = cut_lineage(info.join(group, "leader"))
-    sets = cut_lineage(class_sets(docs, table, info.select("cls"), words))
+    at = cut_lineage(class_sets(docs, table, info, words))
 
     # Hub round: one block of each leader's group, and all others of the group as its queries.
-    at = info.join(sets, "cls").withColumns({
-        "block": F.xxhash64("leader"), "comp": F.col("cls"), "within": F.lit(True),
-        "hub": F.pmod(F.xxhash64("cls"), F.col("blocks")) == 0})
-    found = cut_lineage(_open(_salted(at.where("hub"), at.where("not hub")), share))
+    here = at.withColumns({"block": F.xxhash64("leader"), "comp": F.col("cls"), "within": F.lit(True),
+                           "hub": F.pmod(F.xxhash64("cls"), F.col("blocks")) == 0})
+    found = cut_lineage(_open(_salted(here.where("hub"), here.where("not hub"), "set"), share))
 
-    # Blocks of the matrix: one leader, one size class, one large component or none.
+    # Blocks of the matrix: one leader, one large component or none, one size class.
     comp = connected(found)
     big = comp.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= BLOCK // 4).select("root")
     info = (info.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
-            .join(big.withColumn("big", F.col("root")), "root", "left").drop("root")
-            .withColumn("size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(1.05)))))
-    key = ["leader", "big", "size_class"]
-    count = info.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("splits"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
-    i, c = info.alias("i"), count.alias("c")
-    info = (i.join(c, (F.col("i.leader") == F.col("c.leader")) & F.col("i.big").eqNullSafe(F.col("c.big"))
-                   & (F.col("i.size_class") == F.col("c.size_class")))
-            .select("i.*", "c.splits", "c.n_min", "c.n_max")
-            .withColumn("block", F.xxhash64(*key, F.pmod(F.xxhash64("cls"), F.col("splits")))))
-    info = cut_lineage(info)
-
-    # The matrix by prefix shingles, and queries that share enough of it with a block.
-    q = lists.select("token", "cls").join(info.select("cls", "n", "leader", "blocks", "comp", "block"), "cls")
-    matrix = (lists.select("token", "cls").join(info.select("cls", "leader", "big", "block", "n_min", "n_max"), "cls")
-              .select("token", F.col("leader").alias("g_leader"), F.col("big").alias("g_big"), F.col("block").alias("g_block"), "n_min", "n_max").distinct())
-    lo = F.greatest(F.expr(f"ceil({share} * n / 100)"), F.col("n_min"))
-    hi = F.least(F.expr(f"floor(100 * n / {share})"), F.col("n_max"))
-    overlap = lambda m: F.ceil(share * (F.col("n") + m) / (100 + share))
-    need = F.least(1 - F.ceil(share * F.col("n") / 100) + overlap(lo), 1 - F.ceil(share * hi / 100) + overlap(hi))
-    asks = (q.join(matrix, "token")
-            .where((F.col("block") < F.col("g_block")) & (lo <= hi) & ~((F.col("leader") == F.col("g_leader")) & (F.col("blocks") == 1))
-                   & (F.col("g_big").isNull() | (F.col("g_big") != F.col("comp"))))
-            .groupBy("cls", "comp", "g_block").agg(F.count(F.lit(1)).alias("shared"), F.min(need).alias("need"))
-            .where(F.col("shared") >= F.col("need") - 1).select("cls", "comp", F.col("g_block").alias("block")))
-    asks = cut_lineage(asks)
-    # Members of asked blocks, and of blocks of large groups that have never been held against themselves.
-    whole = info.select("cls", "comp", "block", ((F.col("blocks") > 1) & F.col("big").isNull()).alias("within"))
+            .join(big.withColumn("big", F.col("root")), "root", "left").drop("root"))
+    info = cut_lineage(_blocks(info, ["leader", "big"]))
+
+    # Exact round: queries to blocks that they may link into, and large groups' blocks against themselves.
+    asks = cut_lineage(_asks(lists, info, share))
+    whole = info.select("cls", "comp", "n", "block", ((F.col("blocks") > 1) & F.col("big").isNull()).alias("within"))
     members = whole.join(asks.select("block").distinct().withColumn("asked", F.lit(True)), "block", "left").where("within or asked").drop("asked")
-    more = _open(_salted(members.join(sets, "cls"), asks.join(sets, "cls")), share)
+    more = _open(_salted(members, asks).join(at.select("cls", "set"), "cls"), share)
     return found.unionByName(more)
 
 
 def components(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
-    """doc_id, row_key, n_shingles and component_id for every row."""
+    """doc_id, row_key, n_shingles, component_id and root (a class of the component; null for an empty set) for every row."""
     table = cut_lineage(class_table(docs, words))
     comp = connected(cut_lineage(links(docs, table, words, share)))
     least = table.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc"))
     rooted = least.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     top = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))
-    named = rooted.join(top, "root").select("cls", "component_id")
+    named = rooted.join(top, "root").select("cls", "root", "component_id")
     return (table.join(named, "cls", "left")
-            .select("doc_id", "row_key", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")))
+            .select("doc_id", "row_key", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root"))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
-    """``docs`` with one document of each component: the one whose id names it. All columns stay.
+    """``docs`` with one document of each component: the one with the least id (a null id only where there is no other).
 
-    Rows that repeat a kept ``doc_id`` collapse to one; rows with a null id are kept where no id names their component.
+    Of rows that repeat it one stays. Texts without words belong to no component and all stay. All columns stay.
     """
     comp = cut_lineage(components(docs, words, share))
-    stay = comp.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.min("row_key").alias("row_key"), F.count(F.lit(1)).alias("n"))
+    one = (comp.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("s"))
+           .select("s.doc_id", "s.row_key", F.lit(True).alias("__single")))
+    stay = one.unionByName(comp.where("root is null").select("doc_id", "row_key", F.lit(False).alias("__single")).distinct())
     d, s = docs.withColumn("__row_key", row_key()).alias("d"), stay.alias("s")
-    kept = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.__row_key") == F.col("s.row_key")), "left_semi")
-    if stay.where("n > 1").limit(1).count():  # else every row that stays is alone already
+    kept = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.__row_key") == F.col("s.row_key"))).select("d.*", "s.__single")
+    if comp.where("root is not null").groupBy("doc_id", "row_key").count().where("count > 1").limit(1).count():  # else each row is alone
         first = Window.partitionBy("doc_id", "__row_key").orderBy("__row_key")
-        kept = kept.withColumn("__copy", F.row_number().over(first)).where("__copy = 1").drop("__copy")
-    return kept.drop("__row_key")
+        kept = kept.withColumn("__copy", F.row_number().over(first)).where("__copy = 1 or not __single").drop("__copy")
+    return kept.drop("__row_key", "__single")
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -88,8 +88,15 @@ def test_edges(edges, nothing):
 def test_keep_one(edges):
     kept = J.keep_one(edges)
     assert kept.columns == edges.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 6, 7, 10, 11]
+    rows = kept.collect()
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == [1, 2, 3, 4, 5, 6, 7, 10, 11]
+    assert sorted(str(r.text) for r in rows if r.doc_id is None) == ["None", "no id at all"]
+
+
+def test_keep_one_without_ids(table):
+    texts = ["one text of more than five words", "another text of more than five words", "one text of more than five words", None, None]
+    kept = sorted(str(r.text) for r in J.keep_one(table([(None, t) for t in texts])).collect())
+    assert kept == ["None", "None", "another text of more than five words", "one text of more than five words"]
 
 
 def test_components(spark):
