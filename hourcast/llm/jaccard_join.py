@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.components import connected
+from hourcast.llm.keyfilter import maybe_in
 from hourcast.llm.spill import bucket_count, group_starts, pack, packed_batch, unpack
 from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, lower_ascii, row_key, utf8,
                                     word_hashes, word_spans)
@@ -47,7 +48,6 @@ SHARE = 80  # percent
 HOT = 1 << 16  # shingles that come last in the order: 0.5 MB
 BLOCK = 256  # classes in a block
 QUERIES = 4096  # queries that one task holds against a block
-FILTER_BITS = 1 << 26  # 8 MB at most: which classes' sets are worth moving; an exact semi-join follows
 _FLUSH = 1 << 20  # shingles that a task gathers before it passes them on
 _CLASS = 12  # bytes of a class id: 4 of the set's size, big-endian, and 8 of its hash
 
@@ -236,36 +236,18 @@ def _repeated(token: np.ndarray) -> np.ndarray:
     return out
 
 
-def filter_bits(keys: int, most: int = FILTER_BITS) -> int:
-    """Bits of a filter for ``keys`` keys: at least 16 each, at most ``most``."""
-    return min(most, 1 << max(16, (16 * keys).bit_length()))
-
-
-def _bit_filter(slots: DataFrame, bits: int) -> np.ndarray:
-    """Bit array with the bits of ``slots`` (column h) set; its size is fixed, however many there are."""
-    got = (slots.select(F.shiftright("h", 6).alias("w"), F.pmod("h", F.lit(64)).cast("int").alias("b")).distinct()
-           .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("m")).toArrow())
-    out = np.zeros(bits >> 6, np.int64)
-    out[got.column("w").to_numpy()] = got.column("m").to_numpy()
-    return out
-
-
-def class_sets(docs: DataFrame, table: DataFrame, info: DataFrame, words: int = WORDS, bits: int = FILTER_BITS) -> DataFrame:
+def class_sets(docs: DataFrame, table: DataFrame, info: DataFrame, words: int = WORDS) -> DataFrame:
     """``info`` (one row for each wanted cls) with the classes' sets; ``table`` is the class_table of ``docs``.
 
-    One document stands for a class. A bit filter of fixed size picks the documents whose set is shuffled;
-    the join that follows is exact.
+    One document stands for a class. A bit filter picks the documents whose set is shuffled; the join is exact.
     """
-    stand = (table.join(info.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "row_key")).alias("r")))
-    bits = filter_bits(info.count(), bits)
-    mask = _bit_filter(stand.select(F.pmod(F.xxhash64("r"), F.lit(bits)).alias("h")), bits)
-    known = docs.sparkSession.sparkContext.broadcast(mask)  # bits / 8 bytes
+    stand = (table.join(info.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "row_key")).alias("r"))
+             .select("r.doc_id", "r.row_key"))
+    maybe = maybe_in(cut_lineage(stand), "doc_id", "row_key")
 
     def run(batches):
         seen = set()
         for batch in batches:
-            h = batch.column("slot").to_numpy()
-            batch = batch.filter(pa.array(((known.value[h >> 6] >> (h & 63)) & 1).astype(bool)))
             for part in chunks(batch):
                 out = {_class(x): x.tobytes() for x in shingle_sets(part, words) if len(x)}
                 new = [c for c in out if c not in seen]
@@ -273,8 +255,7 @@ def class_sets(docs: DataFrame, table: DataFrame, info: DataFrame, words: int =
                 yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), pa.array([out[c] for c in new], pa.binary())], names=["cls", "set"])
 
     d = documents(docs).withColumn("row_key", row_key())
-    d = d.select("text", F.pmod(F.xxhash64(F.struct("doc_id", "row_key")), F.lit(bits)).alias("slot"))
-    sets = d.mapInArrow(run, "cls binary, set binary")
+    sets = d.where(maybe("doc_id", "row_key")).select("text").mapInArrow(run, "cls binary, set binary")
     return sets.join(info, "cls").dropDuplicates(["cls"])
 
 
@@ -436,16 +417,22 @@ def keep_one(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFra
 
     Of rows that repeat it one stays. Texts without words belong to no component and all stay. All columns stay.
     """
-    comp = cut_lineage(components(docs, words, share))
-    one = (comp.where("root is not null").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("s"))
-           .select("s.doc_id", "s.row_key", F.lit(True).alias("__single")))
-    stay = one.unionByName(comp.where("root is null").select("doc_id", "row_key", F.lit(False).alias("__single")).distinct())
-    d, s = docs.withColumn("__row_key", row_key()).alias("d"), stay.alias("s")
-    kept = d.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.__row_key") == F.col("s.row_key"))).select("d.*", "s.__single")
-    if comp.where("root is not null").groupBy("doc_id", "row_key").count().where("count > 1").limit(1).count():  # else each row is alone
+    comp = cut_lineage(components(docs, words, share)).where("root is not null")
+    one = comp.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("s")).select("s.doc_id", "s.row_key", F.lit(True).alias("stays"))
+    k, o = comp.groupBy("doc_id", "row_key").agg(F.count(F.lit(1)).alias("n")).alias("k"), one.alias("o")
+    special = (k.join(o, F.col("k.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("k.row_key") == F.col("o.row_key")), "left")
+               .select("k.doc_id", "k.row_key", "k.n", F.coalesce("o.stays", F.lit(False)).alias("__stays")))
+    # Rows that go, and rows that stand there several times and of which one stays; all others are kept as they are.
+    special = cut_lineage(special.where("n > 1 or not __stays"))
+    maybe = maybe_in(special, "doc_id", "row_key")
+    d = docs.withColumn("__row_key", row_key())
+    rest, s = d.where(maybe("doc_id", "__row_key")).alias("d"), special.alias("s")
+    rest = rest.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.__row_key") == F.col("s.row_key")), "left").select("d.*", "s.__stays")
+    rest = rest.where("__stays is null or __stays")
+    if special.where("__stays").limit(1).count():
         first = Window.partitionBy("doc_id", "__row_key").orderBy("__row_key")
-        kept = kept.withColumn("__copy", F.row_number().over(first)).where("__copy = 1 or not __single").drop("__copy")
-    return kept.drop("__row_key", "__single")
+        rest = rest.withColumn("__copy", F.row_number().over(first)).where("__stays is null or __copy = 1").drop("__copy")
+    return d.where(~maybe("doc_id", "__row_key")).unionByName(rest.drop("__stays")).drop("__row_key")
 
 
 def report(docs: DataFrame) -> DataFrame:

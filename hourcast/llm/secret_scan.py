@@ -29,7 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourcast.llm.keyfilter import maybe_in
 from hourcast.llm.textbatch import row_key
+from hourcast.session import cut_lineage
 
 # Kinds in order, and the base patterns of the contract.
 KINDS = ("assign", "access", "hex", "generic")
@@ -137,7 +139,10 @@ def redact(docs: DataFrame, owner: str = "source", min_owners: int = MIN_OWNERS,
     cut = (judged(docs, owner, min_owners)
            .select("doc_id", "row_key", F.transform(F.filter("spans", lambda s: s["status"] != "example"),
                                                     lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("__cut")))
-    d, c = docs.withColumn("__row_key", row_key()).alias("d"), cut.alias("c")
+    cut = cut_lineage(cut.where(F.size("__cut") > 0))
+    maybe = maybe_in(cut, "doc_id", "row_key")
+    docs_keyed = docs.withColumn("__row_key", row_key())
+    d, c = docs_keyed.where(maybe("doc_id", "__row_key")).alias("d"), cut.alias("c")
     on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.__row_key") == F.col("c.row_key"))
     rows = d.join(c, on, "left").select(*[F.col(f"d.`{x}`") for x in docs.columns], "c.__cut")
 
@@ -159,4 +164,5 @@ def redact(docs: DataFrame, owner: str = "source", min_owners: int = MIN_OWNERS,
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch
 
-    return rows.mapInArrow(run, docs.schema)
+    rest = docs_keyed.where(~maybe("doc_id", "__row_key")).drop("__row_key")
+    return rest.unionByName(rows.mapInArrow(run, docs.schema))

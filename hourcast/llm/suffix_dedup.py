@@ -29,18 +29,17 @@ from functools import cache
 from itertools import product
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hourcast.llm.keyfilter import maybe_in
 from hourcast.llm.spill import bucket_count, group_starts, pack, packed_batch, unpack
 from hourcast.llm.textbatch import Rolling, chunks, mix, row_key, utf8
 from hourcast.session import cut_lineage
 
 WIDTH = 400
 LEVELS = (17, 5, 0)  # cover orders q: v = q*q + q + 1; 0: every position
-FILTER_BITS = 1 << 26  # 8 MB at most: which rows may have open or settled ranges; an exact join follows
 _FLUSH_BYTES = 24 << 20
 
 # A sample suffix: rank key of its bytes (48 bits), key of its reach (40 bits), its row, its position, and
@@ -289,21 +288,10 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _picked(rows: DataFrame, named: DataFrame, columns: list[str]) -> DataFrame:
     """id, row_key, text and ``columns`` of the rows that ``named`` names.
 
-    Row keys' bits in an array of fixed size keep most other texts out of the shuffle; the join is exact.
+    A bit filter keeps most other texts out of the shuffle; the join is exact.
     """
-    slot = F.pmod(F.xxhash64("id", "row_key"), F.lit(FILTER_BITS))
-    bits = (named.select(F.shiftright(slot, 6).alias("w"), F.pmod(slot, F.lit(64)).cast("int").alias("b")).distinct()
-            .groupBy("w").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("m")).toArrow())
-    mask = np.zeros(FILTER_BITS >> 6, np.int64)
-    mask[bits.column("w").to_numpy()] = bits.column("m").to_numpy()
-    known = rows.sparkSession.sparkContext.broadcast(mask)  # FILTER_BITS / 8 bytes
-
-    @F.pandas_udf("boolean")
-    def maybe(h: pd.Series) -> pd.Series:
-        x = h.to_numpy()
-        return pd.Series(((known.value[x >> 6] >> (x & 63)) & 1).astype(bool))
-
-    return rows.where(maybe(slot)).join(named.select("id", "row_key", *columns), ["id", "row_key"])
+    maybe = maybe_in(named, "id", "row_key")
+    return rows.where(maybe("id", "row_key")).join(named.select("id", "row_key", *columns), ["id", "row_key"])
 
 
 def repeated_starts(docs: DataFrame, width: int = WIDTH, levels: tuple[int, ...] = LEVELS) -> DataFrame:
