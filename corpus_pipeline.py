@@ -11,10 +11,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from hourcast.llm import decontaminate, jaccard_join, packing, secret_scan, toxicity
+from hourcast.llm.textbatch import bounded_batches
 from hourcast.session_paths import scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -27,6 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the least id."""
+    bounded_batches(spark)
     return jaccard_join.keep_one(docs)
 
 
@@ -37,11 +40,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced; widely copied examples stay."""
+    bounded_batches(spark)
     return secret_scan.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces and their places in training sequences, with the ids."""
+    bounded_batches(spark)
     return packing.pack(docs, packing.tokenizer_path(), ids=True)
 
 

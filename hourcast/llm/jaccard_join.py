@@ -48,7 +48,7 @@ SHARE = 80  # percent
 HOT = 1 << 16  # shingles that come last in the order: 0.5 MB
 BLOCK = 256  # classes in a block
 QUERIES = 4096  # queries that one task holds against a block
-_FLUSH = 1 << 20  # shingles that a task gathers before it passes them on
+_FLUSH = 1 << 19  # shingles that a task gathers before it passes them on
 _CLASS = 12  # bytes of a class id: 4 of the set's size, big-endian, and 8 of its hash
 
 # A prefix shingle of a class: 48 bits of the shingle (a collision only adds a candidate), and the class.

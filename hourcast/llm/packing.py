@@ -36,7 +36,7 @@ from hourcast.session import cut_lineage
 CAPACITY = 4096
 END_ID = 2
 SLACK = 0.04  # part of a place that may stay empty
-MAX_CACHE = 1 << 20  # words a worker remembers
+MAX_CACHE = 1 << 19  # words a worker remembers
 CHUNK = 1 << 20  # bytes of text that are encoded at once
 SPREAD = 64  # numbers of a class are given out in as many groups for each shuffle partition
 
@@ -191,10 +191,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                         for k, v in zip(names, (doc, at, n, zlib.crc32(piece.tobytes()), len(got), capacity // n, part, piece)):
                             out[k].append(v)
                         at += n
-                types = {"k": pa.int32(), "part": pa.int32(), "ids": pa.list_(pa.int64())}
+                types = {"k": pa.int32(), "part": pa.int32(), "ids": pa.list_(pa.int32())}
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], types.get(n, pa.int64())) for n in names], names=names)
 
-    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, k int, part int" + (", ids array<bigint>" if ids else "")
+    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, k int, part int" + (", ids array<int>" if ids else "")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 

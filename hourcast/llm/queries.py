@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from hourcast.llm import (decontaminate, jaccard_join, language_id, packing, quality_rules, secret_scan, sharding, suffix_dedup,
                           toxicity, weak_quality)
 from hourcast.llm.oracles import ORACLE_SQL
+from hourcast.llm.textbatch import bounded_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from hourcast.llm.textbatch import give_back
+
 
 def bucket_count(spark: SparkSession, per_partition: int = 4) -> int:
     return per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -32,6 +34,7 @@ def packed_batch(cells: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 
 def unpack(table: pa.Table, dtype: np.dtype) -> np.ndarray:
+    give_back()
     return np.frombuffer(b"".join(table.column("cell").to_pylist()), dtype)
 
 

@@ -5,12 +5,14 @@ Everything here works on one Arrow batch inside a task; how rows reach the task
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 1 << 20  # text handled at once inside a task; a longer single document is its own chunk
@@ -24,6 +26,20 @@ _PRIME = (1 << 31) - 1
 _BASE31 = 1_103_515_245
 
 
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``BATCH_ROWS`` texts, where the session still has Spark's default of 10,000 rows.
+
+    A default batch holds tens of MB of text on both sides of each Python worker; tasks here cut batches into
+    chunks of ``CHUNK_BYTES`` anyway.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name, "10000") == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def row_key(text: str = "text") -> Column:
     """Key that tells rows of one doc_id apart; rows equal in doc_id and text share it."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -47,6 +63,21 @@ def utf8(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # another C library: nothing to call
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between tasks and stages."""
+    if _trim():
+        _trim()(0)
+    pa.default_memory_pool().release_unused()
+
+
 def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``limit`` bytes of text each (a longer text comes alone)."""
     if not batch.num_rows:
@@ -57,6 +88,7 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES)
         end = max(start + 1, int(np.searchsorted(size, done + limit, side="right")))
         yield batch.slice(start, end - start)
         start, done = end, int(size[end - 1])
+    give_back()
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
