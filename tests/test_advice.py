@@ -94,14 +94,21 @@ def test_weekday_monday_zero_and_names(spark):
 
 
 def test_advice_json_is_stable_across_partitionings(spark):
-    import __spark_entry__ as ent
+    from hourcast.functions import advice as adv
+    from hourcast.operators import advise
+    from hourcast.plans import q_advice
     from tests.conftest import SF_SMALL
+
+    def made():
+        rows = advise.advice_json(advise.daily_advice(q_advice._fc(spark, SF_SMALL)), adv.band_dimension(spark))
+        return sorted(r["advice_json"] for r in rows.collect())
+
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "7")
-        a = sorted(r["advice_json"] for r in ent.queries()["advice_json"](spark, SF_SMALL).collect())
+        a = made()
         spark.conf.set("spark.sql.shuffle.partitions", "3")
-        b = sorted(r["advice_json"] for r in ent.queries()["advice_json"](spark, SF_SMALL).collect())
+        b = made()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b and len(a) > 0
