@@ -36,7 +36,7 @@ from hourcast.session import cut_lineage
 CAPACITY = 4096
 END_ID = 2
 SLACK = 0.04  # part of a place that may stay empty
-MAX_CACHE = 1 << 19  # words a worker remembers
+MAX_CACHE = 3 << 18  # words a worker remembers, 16 bytes and their ids each
 CHUNK = 1 << 20  # bytes of text that are encoded at once
 SPREAD = 64  # numbers of a class are given out in as many groups for each shuffle partition
 
@@ -62,7 +62,7 @@ class WordTokenizer:
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.first, self.size = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +116,7 @@ class WordTokenizer:
             text = shown.tobytes()
             self._learn(keys[new], [text[i:j].decode() for i, j in zip(s.tolist(), e.tolist())], other[e] == other[s])
             at = np.searchsorted(self.keys, keys)
-        first, size = self.first[at][word], self.size[at][word]
+        first, size = self.first[at][word].astype(np.int64), self.size[at][word].astype(np.int64)
         shift = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(first - shift[:-1], size) + np.arange(shift[-1])]
         return ids, shift[np.searchsorted(doc, np.arange(len(offsets)))]
