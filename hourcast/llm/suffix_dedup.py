@@ -13,7 +13,8 @@ suffixes would show every such string as a tie of ``WIDTH`` bytes, but needs a r
    still open with every position (v = 1). Each level reads only texts that have open places.
 
 Two equal strings meet at a sample position of both, so one of them is settled there or both are handed on (one
-record stands for a settled class); nothing is missed. Ties are compared by fingerprints of 88 bits and the bucket's.
+record stands for a settled class); nothing is missed. Ties are compared by two fingerprints of 48 and 40 bits, each from a hash of its own: at v = 1,
+where key and reach cover the same bytes, they still make 88 bits.
 
 Within a task a key is passed on at most twice, however often the task holds it, so a passage or copy in any
 share of all documents gives a bucket no more than two records from each flush of a task.
@@ -150,7 +151,7 @@ def _level(texts: DataFrame, q: int, width: int) -> DataFrame:
                     left, right = np.minimum(pos, v - 1), np.minimum(size - pos, width)
                     clip = (left * (2 * width) + right).astype(np.uint64)
                     keys.append(roll.spans(at, at + width - v + 1) >> np.uint64(16))
-                    reaches.append((roll.spans(at - left, at + right) ^ mix(clip)) >> np.uint64(24))
+                    reaches.append((roll.second_spans(at - left, at + right) ^ mix(clip)) >> np.uint64(24))
                     rows.append(row + sum(map(len, ids)))
                     places.append(pos)
                 ids.append(part.column("id").to_numpy())

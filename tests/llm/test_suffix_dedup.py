@@ -2,9 +2,11 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from hourcast.llm import suffix_dedup as S
+from hourcast.llm.textbatch import Rolling
 
 
 def brute(rows, width):
@@ -66,3 +68,17 @@ def test_difference_covers():
         v, d = S.difference_cover(q)
         assert v == q * q + q + 1 and len(d) == q + 1
         assert {(i - j) % v for i in d for j in d} == set(range(v))
+
+
+@pytest.mark.parametrize("pair", [
+    ("cydnjpnanuspdwtvokrfbrekarbxovuu", "eagvuggpgswivtpmqqibjjgdjotxlnap"),
+    ("iphahctdqwqbrpojlslafqpuqhewyjsz", "rtlttvgzwomjexchlrpfqeaaajtichzj"),
+    ("qcafttvcqvbbolgdblcwkplaayqbhdiy", "hrqyaliwkaiithlwqoiynwycdhrlopny"),
+])
+def test_equal_keys_alone_remove_nothing(table, pair):
+    """Different strings with one 48-bit key (found by search): the reach must tell them apart at the last level too."""
+    keys = [Rolling.of_bytes(np.frombuffer(t.encode(), np.uint8), strong=True).spans(np.array([0]), np.array([32]))[0] >> np.uint64(16) for t in pair]
+    assert keys[0] == keys[1]
+    rows = [(1, pair[0]), (2, pair[1]), (3, pair[0] + "!")]
+    for rows in (rows[:2], rows):
+        assert sorted((tuple(r) for r in S.report(table(rows), 32, (0,)).collect()), key=str) == brute(rows, 32)
