@@ -11,7 +11,7 @@ from hourcast.plans import adapters as ad
 from hourcast.plans.catalog import register, sql_norm
 from hourcast.schema import RAW_SCHEMA, WEATHER_COLUMNS, WEATHER_KOREAN_COLUMNS
 from hourcast.session import path_exists
-from hourcast.session_paths import scratch, tag
+from hourcast.session_paths import scratch, state_tag, tag
 from hourcast.sources import files, html, lake, text
 
 WIDE = ad.with_ctes("obs_wide")
@@ -19,8 +19,8 @@ RAW_DOUBLES = [f.name for f in RAW_SCHEMA.fields if f.dataType.typeName() == "do
 
 
 def lake_root(spark, sf_dir: str) -> str:
-    """Day-partitioned lake of the wide observations for ``sf_dir`` (written on first use per app)."""
-    root = scratch(spark, "lake", tag(sf_dir))
+    """Day-partitioned lake of the wide observations for ``sf_dir`` (written on first use per app and state of the input's files)."""
+    root = scratch(spark, "lake", state_tag(spark, sf_dir, "events"))
     if not path_exists(spark, root + "/_SUCCESS"):
         lake.write_days(ad.obs_wide(spark, sf_dir).drop("event_id"), root, mode="dynamic")
     return root

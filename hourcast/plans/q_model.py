@@ -12,7 +12,7 @@ from hourcast.operators import models as md
 from hourcast.plans import adapters as ad
 from hourcast.plans.catalog import register, sql_norm
 from hourcast.session import cut_lineage, path_exists
-from hourcast.session_paths import scratch, tag
+from hourcast.session_paths import scratch, state_tag, tag
 from hourcast.sources import files
 
 HOURLY = ad.with_ctes("obs_hourly")
@@ -61,9 +61,9 @@ def _rows(spark, sf_dir):
 
 
 def _report(spark, sf_dir):
-    """The model report of ``sf_dir``: fitted and scored once, kept as CSV in the shared scratch folder."""
+    """The model report of ``sf_dir``: fitted and scored once per application and state of the input's files, kept as CSV in the shared scratch folder."""
     schema = "Model string, RMSE double, Training_Time double, n_scored long"
-    path = scratch(spark, "model_report", tag(sf_dir))
+    path = scratch(spark, "model_report", state_tag(spark, sf_dir, "events"))
     if not path_exists(spark, path + "/_SUCCESS"):
         _, train, val = _rows(spark, sf_dir)
         fitted = md.fit_models(cut_lineage(md.bounded_rows(train)), md.feature_columns(), md.regressors())
@@ -99,7 +99,7 @@ def q_top_models(spark, sf_dir):
 
 
 def _forecast(spark, sf_dir):
-    root = scratch(spark, "forecast168", tag(sf_dir))
+    root = scratch(spark, "forecast168", state_tag(spark, sf_dir, "events"))
     if not path_exists(spark, f"{root}/run_ts=20240131_0000/_SUCCESS"):
         h, train, val = _rows(spark, sf_dir)
         rows = cut_lineage(md.bounded_rows(train.unionByName(val)))
