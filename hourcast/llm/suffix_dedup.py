@@ -1,13 +1,13 @@
-"""Suffix-array dedup: repeated byte strings of ``WIDTH`` or more, by difference covers and suffix buckets.
+"""Suffix-array dedup: repeated byte strings of ``WIDTH`` or more, by difference covers and fingerprint classes.
 
 A byte is removed when a ``WIDTH``-byte string over it also starts anywhere else in the corpus. Sorting all
 suffixes would show every such string as a tie of ``WIDTH`` bytes, but needs a record for every byte. Instead:
 
 1. Cover sample. D is a perfect difference cover modulo v: any two positions meet in D at one common shift
-   below v. Only suffixes at sample positions become records (18 of 307), with the rank key of their next
-   ``WIDTH - v + 1`` bytes and that of all bytes within reach of a shift.
-2. Buckets. Records are spread over suffix buckets by their key; a task sorts one bucket at a time.
-   Long ties settle right there: where the whole reach is equal as well, all ``WIDTH``-byte strings that the
+   below v. Only suffixes at sample positions become records (18 of 307), with a fingerprint (key) of their next
+   ``WIDTH - v + 1`` bytes and one of all bytes within reach of a shift.
+2. Buckets. Records are spread over hash buckets by their key, a fingerprint; a task sorts one bucket by it at a
+   time. Suffix order and ranks of the cover samples are not needed, as only equality is asked for. Long ties settle right there: where the whole reach is equal as well, all ``WIDTH``-byte strings that the
    sample position stands for repeat, and no suffix between samples is ever looked at.
 3. What stays open - strings near the ends of a repeat - is done again with a finer cover (v = 31), and what is
    still open with every position (v = 1). Each level reads only texts that have open places.
@@ -43,7 +43,7 @@ WIDTH = 400
 LEVELS = (17, 5, 0)  # cover orders q: v = q*q + q + 1; 0: every position
 _FLUSH_BYTES = 24 << 20
 
-# A sample suffix: rank key of its bytes (48 bits), key of its reach (40 bits), its row, its position, and
+# A sample suffix: key of its bytes (48 bits), key of its reach (40 bits), its row, its position, and
 # whether its task holds it twice. A range: row, string starts [start, end), settled or open.
 _RECORD = np.dtype([("key", "<u8"), ("reach", "<u8"), ("id", "<i8"), ("row_key", "<u4"), ("pos", "<u4"), ("twice", "u1")])
 _RANGE = np.dtype([("id", "<i8"), ("row_key", "<u4"), ("settled", "u1"), ("start", "<u4"), ("end", "<u4")])
