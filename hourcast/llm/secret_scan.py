@@ -3,7 +3,7 @@
 Each whole text is scanned for base kinds (assignments, access keys, long hex runs) and for generic mixed
 tokens. Every candidate's value is hashed, and over the whole corpus each value is counted by distinct documents
 (repositories) and distinct owners. A value that several owners have is a copied example; one that a single
-owner has and that looks live (long, high entropy, no placeholder) is a live credential; the rest is unclear.
+owner has, in however many documents, and that looks live (long, high entropy, no placeholder) is a live credential; the rest is unclear.
 Generic tokens become spans only when they are live; base spans always stay.
 
 Values are counted per (value, owner) before owners are counted, so a value in a third of all documents is
@@ -39,11 +39,12 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 or more
 _KEYWORDS = ("passw", "secret", "token", "api")
-_GENERIC = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,128}(?![A-Za-z0-9_+/=-])")
+_GENERIC = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20,}(?![A-Za-z0-9_+/=-])")
 _PLACEHOLDER = re.compile(r"example|sample|placeholder|change_?me|your|dummy|test|xxxx|1234567|abcdef|deadbeef", re.I)
 
 MIN_ENTROPY = 3.0  # bits a character
 MIN_LIVE = 16  # characters
+LONG = 128  # characters; longer runs hold short placeholder words by chance and are judged by entropy alone
 MIN_OWNERS = 3  # owners that make a value a copied example
 MARK = "[SECRET]"
 
@@ -54,7 +55,7 @@ def entropy(value: str) -> float:
 
 
 def looks_live(value: str) -> bool:
-    return len(value) >= MIN_LIVE and entropy(value) >= MIN_ENTROPY and not _PLACEHOLDER.search(value)
+    return len(value) >= MIN_LIVE and entropy(value) >= MIN_ENTROPY and (len(value) > LONG or not _PLACEHOLDER.search(value))
 
 
 def candidates(text: str) -> list[tuple[int, int, int, str]]:

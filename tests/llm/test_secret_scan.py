@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from hourcast.llm import secret_scan as S
 
@@ -58,3 +60,15 @@ def test_redact(table, edges, nothing):
     assert out.select("row_key", "value").distinct().collect() == df.select("row_key", "value").distinct().collect()
     assert S.redact(edges).count() == edges.count()
     assert S.redact(nothing).collect() == [] and S.report(nothing).collect() == []
+
+
+def test_long_tokens_are_found(table):
+    """Session tokens, one-line keys and payloads have any length; a placeholder word in thousands of characters is chance."""
+    rng = random.Random(6)
+    run = lambda n: "".join(rng.choice(string.ascii_letters + string.digits + "+/_-") for _ in range(n))
+    tokens = {1: run(129), 2: run(400), 3: run(3000) + "test" + run(3000)}
+    rows = [(i, f"a {t} z", "en", "a") for i, t in tokens.items()] + [(4, "a " + "zy12" * 100 + " z", "en", "a")]
+    got = {r.doc_id: r.spans for r in S.report(table(rows)).collect()}
+    assert got == {**{i: f"generic:2:{2 + len(t)}" for i, t in tokens.items()}, 4: ""}
+    text = {r.doc_id: r.text for r in S.redact(table(rows)).collect()}
+    assert text == {1: "a [SECRET] z", 2: "a [SECRET] z", 3: "a [SECRET] z", 4: rows[3][1]}
