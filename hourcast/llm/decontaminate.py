@@ -5,9 +5,10 @@ consecutive words of a benchmark item; an item with fewer words (but some) is on
 every whole training text is looked up by fingerprint and each hit is verified word by word, so a
 fingerprint collision never counts. Words inside an occurrence of any window are hit words.
 
-The benchmark's windows are broadcast only up to ``max_windows`` of them. A larger benchmark is cut into
-slices of that size by fingerprint, the training table is scanned once for each slice, and the hit words of
-the slices are united by document, so results do not depend on the bound.
+The benchmark's windows are broadcast only up to ``max_windows`` rows and ``max_bytes`` of them. A larger benchmark
+is cut into slices, each counted against both bounds; a row is an (item, window), so the items of one window
+may lie in several slices. The training table is scanned once for each slice, and the hit words of the slices
+are united by document, so results do not depend on the bounds. Only a single row may exceed ``max_bytes``.
 
 Defined cases: a null or wordless text has no words, no hits and is not contaminated. Benchmark rows with a
 null id or without words have no windows; rows that repeat an ``item_id`` are one item. A repeated document
@@ -30,6 +31,7 @@ from hourcast.llm.textbatch import (ALNUM_WORDS, Rolling, chunks, documents, low
 
 WIDTH = 13
 MAX_WINDOWS = 1 << 19  # about 100 MB of window text at 13 words each
+MAX_BYTES = 128 << 20  # of windows and item ids in one broadcast
 SHARE = 20  # contaminated if SHARE * hit words >= words
 _FILTER = 1 << 20
 
@@ -106,15 +108,25 @@ class WindowSet:
         return np.diff(bounds), (starts, ends, bounds), hits
 
 
-def _slices(benchmark: DataFrame, width: int, max_windows: int) -> list[DataFrame]:
+def _slices(benchmark: DataFrame, width: int, max_windows: int, max_bytes: int = MAX_BYTES) -> list[DataFrame]:
+    """The rows of ``benchmark_windows`` in slices that are counted: no more than ``max_windows`` rows and ``max_bytes`` each."""
     windows = benchmark_windows(benchmark, width)
-    n = windows.count()
-    k = max(1, math.ceil(n / max_windows))
-    return [windows.where(F.pmod(F.xxhash64("hash"), F.lit(k)) == i) if k > 1 else windows for i in range(k)]
+    size = F.octet_length("window") + F.octet_length("item_id")
+    counts = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")]
+    all_ = windows.agg(*counts).first()
+    k = max(1, math.ceil(all_["n"] / max_windows), math.ceil(all_["bytes"] / max_bytes))
+    if k == 1:
+        return [windows]
+    while True:
+        at = F.pmod(F.xxhash64("item_id", "n_words", "window"), F.lit(k))
+        over = (F.col("n") > max_windows) | ((F.col("bytes") > max_bytes) & (F.col("n") > 1))
+        if not windows.groupBy(at.alias("slice")).agg(*counts).where(over).take(1):
+            return [windows.where(at == i) for i in range(k)]
+        k += max(1, k // 8)
 
 
 def _scan_slice(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    known = docs.sparkSession.sparkContext.broadcast(WindowSet(windows.collect()))  # at most max_windows rows (see _slices)
+    known = docs.sparkSession.sparkContext.broadcast(WindowSet(windows.collect()))  # bounded rows and bytes (see _slices)
 
     def run(batches):
         for batch in batches:
@@ -135,9 +147,13 @@ def _scan_slice(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: int = SHARE,
-         max_windows: int = MAX_WINDOWS) -> DataFrame:
+         max_windows: int = MAX_WINDOWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """doc_id, row_key, n_words, n_hit, items (sorted ids), hits (word positions) and contaminated for every row."""
-    parts = [_scan_slice(docs, s) for s in _slices(benchmark, width, max_windows)]
+    return _scan(docs, _slices(benchmark, width, max_windows, max_bytes), share)
+
+
+def _scan(docs: DataFrame, slices: list[DataFrame], share: int) -> DataFrame:
+    parts = [_scan_slice(docs, s) for s in slices]
     out = parts[0]
     if len(parts) > 1:
         for p in parts[1:]:
@@ -162,15 +178,20 @@ def report(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
-def _clean(docs: DataFrame, benchmark: DataFrame, width: int, share: int, max_windows: int, spans: bool) -> DataFrame:
-    slices = _slices(benchmark, width, max_windows)
-    if len(slices) > 1 and spans:
-        raise ValueError("remove_spans needs a benchmark within max_windows; raise it or remove documents")
+def _without(text: bytes, starts: np.ndarray, ends: np.ndarray, words) -> str:
+    """``text`` without the runs of the given words; starts and ends: of all its words."""
+    keep, at, last = [], 0, None
+    for k in sorted(words):
+        if last is None or last != k - 1:
+            keep.append(text[at:starts[k]])
+        at, last = ends[k], k
+    return b"".join([*keep, text[at:]]).decode()
+
+
+def _clean(docs: DataFrame, benchmark: DataFrame, width: int, share: int, max_windows: int, max_bytes: int, spans: bool) -> DataFrame:
+    slices = _slices(benchmark, width, max_windows, max_bytes)
     if len(slices) > 1:
-        bad = scan(docs, benchmark, width, share, max_windows).where("contaminated").select("doc_id", "row_key").distinct()
-        d, b = docs.withColumn("__row_key", row_key()).alias("d"), bad.alias("b")
-        return d.join(b, F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d.__row_key") == F.col("b.row_key")),
-                      "left_anti").select("d.*").drop("__row_key")
+        return _clean_by_scan(docs, _scan(docs, slices, share), spans)
     known = docs.sparkSession.sparkContext.broadcast(WindowSet(slices[0].collect()))
 
     def run(batches):
@@ -189,13 +210,8 @@ def _clean(docs: DataFrame, benchmark: DataFrame, width: int, share: int, max_wi
                 elif words:
                     texts, raw = part.column("text").to_pylist(), data.tobytes()
                     for d, w in words.items():
-                        keep, at = [], offsets[d]
-                        run_words = sorted(w)
-                        for j, k in enumerate(run_words):
-                            if j == 0 or run_words[j - 1] != k - 1:
-                                keep.append(raw[at:starts[bounds[d] + k]])
-                            at = ends[bounds[d] + k]
-                        texts[d] = b"".join([*keep, raw[at:offsets[d + 1]]]).decode()
+                        own = slice(bounds[d], bounds[d + 1])
+                        texts[d] = _without(raw[offsets[d]:offsets[d + 1]], starts[own] - offsets[d], ends[own] - offsets[d], w)
                     at = part.schema.get_field_index("text")
                     part = part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
                 if part.num_rows:
@@ -204,12 +220,40 @@ def _clean(docs: DataFrame, benchmark: DataFrame, width: int, share: int, max_wi
     return docs.mapInArrow(run, docs.schema)
 
 
+def _clean_by_scan(docs: DataFrame, found: DataFrame, spans: bool) -> DataFrame:
+    """``_clean`` from the united hits of all slices, joined to the rows by (doc_id, row_key)."""
+    d = docs.withColumn("__row_key", row_key()).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("d.__row_key") == F.col("b.row_key"))
+    if not spans:
+        bad = found.where("contaminated").select("doc_id", "row_key").distinct().alias("b")
+        return d.join(bad, same, "left_anti").select("d.*").drop("__row_key")
+    hit = found.where("n_hit > 0").select("doc_id", "row_key", "hits").dropDuplicates(["doc_id", "row_key"]).alias("b")
+    rows = d.join(hit, same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], F.col("b.hits").alias("__hits"))
+
+    def run(batches):
+        for batch in batches:
+            hits, part = batch.column("__hits").to_pylist(), batch.drop_columns(["__hits"])
+            if any(hits):
+                texts = part.column("text").to_pylist()
+                for i, words in enumerate(hits):
+                    if words:
+                        raw = texts[i].encode()
+                        data = lower_ascii(np.frombuffer(raw, np.uint8))
+                        starts, ends, _ = word_spans(data, np.array([0, len(data)]), ALNUM_WORDS)
+                        texts[i] = _without(raw, starts, ends, words)
+                at = part.schema.get_field_index("text")
+                part = part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+            yield part
+
+    return rows.mapInArrow(run, docs.schema)
+
+
 def remove_documents(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, share: int = SHARE,
-                     max_windows: int = MAX_WINDOWS) -> DataFrame:
+                     max_windows: int = MAX_WINDOWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``docs`` without the contaminated documents; all columns stay."""
-    return _clean(docs, benchmark, width, share, max_windows, spans=False)
+    return _clean(docs, benchmark, width, share, max_windows, max_bytes, spans=False)
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_windows: int = MAX_WINDOWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``docs`` with every hit run of words cut out of its text; all columns stay."""
-    return _clean(docs, benchmark, width, SHARE, max_windows, spans=True)
+    return _clean(docs, benchmark, width, SHARE, max_windows, max_bytes, spans=True)

@@ -79,3 +79,25 @@ def test_edges(spark, edges, nothing):
     assert got(D.report(edges, make(spark, items))) == brute(edge_rows(), items)
     assert got(D.report(edges, make(spark, []))) == brute(edge_rows(), [])
     assert D.report(nothing, make(spark, items)).collect() == []
+
+
+def test_slices_hold_both_bounds(spark, table):
+    """Items that share one window are dealt over slices, and long words count by their bytes."""
+    item = " ".join(f"w{i}" for i in range(13))
+    shared = make(spark, [(i, item) for i in range(60)])
+    assert all(s.count() <= 10 for s in D._slices(shared, 13, 10))
+    rows = [(1, "x " + item + " y"), (2, "none"), (3, None)]
+    items = [(i, item) for i in range(60)]
+    assert got(D.report(table(rows), shared, max_windows=10)) == brute(rows, items)
+    wide = [(i, f"{i}" + "中" * 3000) for i in range(12)]
+    sizes = [sum(len(r["window"]) + len(r["item_id"]) for r in s.collect()) for s in D._slices(make(spark, wide), 13, 1000, 30_000)]
+    assert max(sizes) <= 30_000 and sum(sizes) > 100_000
+
+
+def test_remove_spans_of_any_benchmark(spark, table):
+    """A benchmark of several slices is cut out of the same places as one that fits."""
+    rows, items = data()
+    rows = rows + rows[:3] + [(None, rows[7][1]), (500, None), (501, "É " + items[1][1].upper() + "!")]
+    assert len(D._slices(make(spark, items), 13, 30)) > 1
+    want, cut = (sorted((str(r.doc_id), str(r.text)) for r in D.remove_spans(table(rows), make(spark, items), max_windows=n).collect()) for n in (1 << 19, 30))
+    assert cut == want and want != sorted((str(i), str(t)) for i, t in rows)
