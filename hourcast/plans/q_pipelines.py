@@ -45,10 +45,10 @@ def q_pipeline_training(spark, sf_dir):
 
 @register("pipeline_train_and_score", note="model fits on the prepared table; rows-only")
 def q_pipeline_train_and_score(spark, sf_dir):
-    """Entry 2 to its end: prepared table -> linear and tree models -> predictions of every validation row."""
+    """Entry 2 to its end: prepared table (with the tree pipeline's |rho| > 0.95 selection) -> linear and tree models ->
+    predictions of every validation row by the best of all four."""
     obs = ad.obs_wide(spark, sf_dir).drop("event_id")
-    few = {k: v for k, v in md.regressors().items() if k in ("LinearRegression", "RandomForest")}
-    return pl.train_and_score(obs, few)[2]
+    return pl.train_and_score(obs, md.regressors(), high_corr=0.95)[2]
 
 
 @register("pipeline_day_advice", oracle=sql_norm(f"""
