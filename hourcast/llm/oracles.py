@@ -72,8 +72,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN words USING (k) LEFT JOIN found USING (k)
 """
 
+FILL_IN_MIDDLE = r"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w FROM documents),
+numbers AS (
+  SELECT *, CAST(len(w) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(w) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(w) + 1) AS y,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 THEN 'plain'
+      WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM base),
+parts AS (
+  SELECT doc_id, n, form, t, array_to_string(w[1:least(x, y)], '') AS prefix, array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS middle,
+    array_to_string(w[greatest(x, y) + 1:], '') AS suffix FROM numbers)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts
+"""
+
 ORACLE_SQL = {
     "op2_ngram_jaccard_join": JACCARD.strip(),
     "op8_quality_rules": QUALITY.strip(),
     "op10_benchmark_decontamination": DECONTAMINATE.strip(),
+    "op12_fill_in_middle": FILL_IN_MIDDLE.strip(),
 }
