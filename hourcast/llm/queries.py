@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourcast.llm import (decontaminate, fill_in_middle, jaccard_join, language_id, packing, quality_rules, secret_scan, sharding, suffix_dedup,
+from hourcast.llm import (decontaminate, fill_in_middle, jaccard_join, language_id, packing, piece_codec, quality_rules, secret_scan, sharding, suffix_dedup,
                           toxicity, weak_quality)
 from hourcast.llm.oracles import ORACLE_SQL
 from hourcast.llm.textbatch import bounded_batches
@@ -42,6 +42,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_harmonic_packing": _documents(packing.report),
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
         "op12_fill_in_middle": _documents(fill_in_middle.report),
+        "op13_sentencepiece": _documents(piece_codec.report),
     }
 
 
