@@ -89,9 +89,44 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BI
     ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256 FROM parts
 """
 
+# CRC-32 of the decimal id, bit by bit: a byte is XORed in, then eight shifts (-1) follow it.
+_CRC32 = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST({0} AS VARCHAR), ''),
+      lambda x: [CAST(ascii(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, o: CASE WHEN o >= 0 THEN xor(crc, o) WHEN crc & 1 = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END), CAST(4294967295 AS BIGINT))"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 100 AS family, {_CRC32.format("c")} % 6 AS h FROM (SELECT DISTINCT conv_id AS c FROM turns)),
+rebuilt AS (
+  SELECT c, 0 AS part, pos, role, text FROM convs JOIN turns ON conv_id = family AND pos <= h
+  UNION ALL SELECT c, 1, pos, role, text FROM convs JOIN turns ON conv_id = c AND pos > h),
+numbered AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d, role, text FROM rebuilt),
+members AS (
+  SELECT c, d, length(text) AS chars, md5(string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+    OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING)) AS k FROM numbered
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+linked AS (
+  SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS ends FROM members),
+nodes AS (
+  SELECT d, k, min(up) AS up, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM linked GROUP BY d, k),
+children AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+own AS (SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (d, k)),
+totals AS (
+  SELECT a.d, a.k, sum(CASE WHEN own.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(own.saved) AS saved_tokens
+  FROM own JOIN members a ON a.c = own.conv_id AND a.d <= own.d GROUP BY a.d, a.k)
+SELECT own.conv_id, own.d AS depth, p.conv_id AS parent_conv_id, own.n_convs, own.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, own.ends_sha256
+FROM own JOIN totals USING (d, k) LEFT JOIN nodes p ON p.d = own.d - 1 AND p.k = own.up
+"""
+
 ORACLE_SQL = {
     "op2_ngram_jaccard_join": JACCARD.strip(),
     "op8_quality_rules": QUALITY.strip(),
     "op10_benchmark_decontamination": DECONTAMINATE.strip(),
+    "op11_conversation_prefix_trie": PREFIX_TRIE.strip(),
     "op12_fill_in_middle": FILL_IN_MIDDLE.strip(),
 }

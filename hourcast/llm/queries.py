@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourcast.llm import (decontaminate, fill_in_middle, jaccard_join, language_id, packing, piece_codec, quality_rules, secret_scan, sharding, suffix_dedup,
-                          toxicity, weak_quality)
+from hourcast.llm import (decontaminate, fill_in_middle, jaccard_join, language_id, packing, piece_codec, prefix_trie, quality_rules, secret_scan,
+                          sharding, suffix_dedup, toxicity, weak_quality)
 from hourcast.llm.oracles import ORACLE_SQL
 from hourcast.llm.textbatch import bounded_batches
 
@@ -29,6 +29,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_array_dedup": _documents(suffix_dedup.report),
@@ -41,6 +45,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": _documents(quality_rules.report),
         "op9_harmonic_packing": _documents(packing.report),
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
+        "op11_conversation_prefix_trie": op11_conversation_prefix_trie,
         "op12_fill_in_middle": _documents(fill_in_middle.report),
         "op13_sentencepiece": _documents(piece_codec.report),
     }
