@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from hourcast.functions.numeric import null_if_nan
 from hourcast.functions.pvalues import chi2_sf_udf, t_two_sided_udf
+from hourcast.operators.gram import pair_correlations
 from hourcast.operators.profile import to_long
 from hourcast.operators.ranks import average_ranks
 from hourcast.schema import categorical_columns, numeric_columns
+from hourcast.session import cut_lineage
 
 ALPHA = 0.05
 TIE_TOLERANCE = 1e-12
@@ -103,69 +105,72 @@ def pearson_with_target(df: DataFrame, target: str, features=None, threshold: fl
 
 
 def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None) -> DataFrame:
-    """Correlation of every feature pair (f1 before f2 in ``features`` order) in long form.
+    """Correlation of every feature pair (f1 before f2 in ``features`` order) in long form, over the pair's complete rows.
 
-    Pearson: one aggregation pass with one expression per pair (features^2 expressions, not rows).
-    Spearman: per-column ranks in long form, pivoted back per row id, then the same pass.
+    Pearson: blocked matrix products (``gram``), so the plan does not grow with the pairs.
+    Spearman: per-column ranks in long form, pivoted back per row id, then the same products. Columns with gaps are
+    ranked anew over the rows of each mask; a column without any value has null with every other.
     """
     feats = list(features)
-    src = df
-    if method == "spearman":
-        gaps = df.agg(*[F.count_if(F.coalesce(F.isnan(F.col(f"`{c}`").cast("double")), F.lit(False)) | F.col(f"`{c}`").isNull()).alias(c)
-                        for c in feats]).first()
-        holed = [c for c in feats if gaps[c]]
-        if holed:
-            return _spearman_with_gaps(df, feats, holed, id_cols)
-        ids = list(id_cols) if id_cols else None
-        if ids is None:
-            # no unique key given: number the rows and pin the numbering in the shared checkpoint
-            # folder, so a recomputed partition can never renumber rows
-            from hourcast.session import cut_lineage
-            src = cut_lineage(src.select(*feats).withColumn("_rid", F.monotonically_increasing_id()))
-            ids = ["_rid"]
-        rl = rank_long(src, feats, carry=ids)
-        src = rl.groupBy(*ids).pivot("column", feats).agg(F.first("rank"))
-    return _pairs(src, feats)
-
-
-def _spearman_with_gaps(df: DataFrame, feats: list[str], holed: list[str], id_cols) -> DataFrame:
-    """Pairs with a column that has gaps are ranked over their own complete rows; the others once.
-
-    Equal (pair, x, y) are counted first, so hot values shrink within tasks; ranks come from the counts.
-    """
+    if method != "spearman":
+        return pair_correlations(df, feats)
+    held = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(_number(c)).alias(f"c{i}") for i, c in enumerate(feats)]).first()
+    count = {c: held[f"c{i}"] for i, c in enumerate(feats)}
+    whole = [c for c in feats if count[c] == held["n"]]
+    holed = [c for c in feats if 0 < count[c] < held["n"]]
+    found = _spearman_whole(df, whole, id_cols)
+    if holed:
+        found = found.unionByName(_spearman_with_gaps(df, whole, holed))
     at = {c: i for i, c in enumerate(feats)}
-    pairs = [(a, b) for a, b in itertools.combinations(feats, 2) if a in holed or b in holed]
-    value = lambda c: null_if_nan(F.col(f"`{c}`").cast("double"))
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(at[a]).alias("i1"), F.lit(at[b]).alias("i2"), value(a).alias("x"), value(b).alias("y"))
-                                        for a, b in pairs]))).where("x is not null and y is not null")
-    cells = long.groupBy("i1", "i2", "x", "y").agg(F.count(F.lit(1)).alias("n"))
-    key = ["i1", "i2"]
-    rank = lambda v, r: average_ranks(cells.select(*key, F.col(v).alias("value"), "n"), key, weight="n").select(*key, F.col("value").alias(v), F.col("rank").alias(r))
-    ranked = cells.join(rank("x", "rx"), [*key, "x"]).join(rank("y", "ry"), [*key, "y"])
+    pairs = df.sparkSession.createDataFrame([(a, b, at[a], at[b]) for a, b in itertools.combinations(feats, 2)], "f1 string, f2 string, i1 int, i2 int")
+    # One row for each pair on both sides; a pair is found in one of its two orders.
+    key = lambda a, b: (F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b"))
+    found = found.select(*key("f1", "f2"), "r")
+    return pairs.select("*", *key("f1", "f2")).join(F.broadcast(found), ["_a", "_b"], "left").select("f1", "f2", "i1", "i2", "r")
+
+
+def _number(c: str) -> Column:
+    return null_if_nan(F.col(f"`{c}`").cast("double"))
+
+
+def _spearman_whole(df: DataFrame, feats: list[str], id_cols) -> DataFrame:
+    """(f1, f2, r) of columns without gaps: each column is ranked once, over all rows."""
+    if len(feats) < 2:
+        return df.sparkSession.createDataFrame([], "f1 string, f2 string, r double")
+    src, ids = df, list(id_cols) if id_cols else None
+    if ids is None:
+        # no unique key given: number the rows and pin the numbering in the shared checkpoint folder, so a
+        # recomputed partition can never renumber rows
+        src = cut_lineage(df.select(*feats).withColumn("_rid", F.monotonically_increasing_id()))
+        ids = ["_rid"]
+    rows = rank_long(src, feats, carry=ids).groupBy(*ids).pivot("column", feats).agg(F.first("rank"))
+    return pair_correlations(cut_lineage(rows.select(*feats)), feats).select("f1", "f2", "r")
+
+
+def _spearman_with_gaps(df: DataFrame, whole: list[str], holed: list[str]) -> DataFrame:
+    """(f1, f2, r) of the pairs with a column that has gaps, f1 being the mask's column.
+
+    A mask is the rows where one such column, or both of two, have values. Every column of a mask is ranked
+    over its rows; the mask's own column once. Equal (mask, column, x, y) are counted first, so hot values
+    shrink within tasks, and all that follows works on these cells.
+    """
+    masks = [(g, list(whole)) for g in holed] + [(g, [c]) for g, c in itertools.combinations(holed, 2)]
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(c).alias("column"), _number(c).alias("x"), _number(g).alias("y"))
+                                        for m, (g, cols) in enumerate(masks) for c in cols]))).where("x is not null and y is not null")
+    cells = long.groupBy("mask", "column", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+    key = ["mask", "column"]
+    rx = average_ranks(cells.select(*key, F.col("x").alias("value"), "n"), key, weight="n").select(*key, F.col("value").alias("x"), F.col("rank").alias("rx"))
+    one = F.element_at(F.array(*[F.lit(cols[0] if cols else "") for _, cols in masks]), F.col("mask") + 1)
+    own = cells.where(F.col("column") == one).select("mask", F.col("y").alias("value"), "n")
+    ry = average_ranks(own, ["mask"], weight="n").select("mask", F.col("value").alias("y"), F.col("rank").alias("ry"))
+    total = own.groupBy("mask").agg(F.sum("n").alias("_all"))  # one row for each mask
+    c = cells.join(rx, [*key, "x"]).join(ry, ["mask", "y"]).join(F.broadcast(total), "mask")
     # Pearson of the ranks with weights n; ranks are centred on their mean (N + 1) / 2 first.
-    total = cells.groupBy(*key).agg(F.sum("n").alias("_all"))
-    c = ranked.join(F.broadcast(total), key).withColumns({"rx": F.col("rx") - (F.col("_all") + 1) / 2, "ry": F.col("ry") - (F.col("_all") + 1) / 2})
+    x, y = F.col("rx") - (F.col("_all") + 1) / 2, F.col("ry") - (F.col("_all") + 1) / 2
     s = lambda e: F.sum(F.col("n") * e)
-    r = F.try_divide(s(F.col("rx") * F.col("ry")), F.sqrt(s(F.col("rx") * F.col("rx"))) * F.sqrt(s(F.col("ry") * F.col("ry"))))
-    got = c.groupBy(*key).agg(r.alias("r"))
-    names = df.sparkSession.createDataFrame([(a, b, at[a], at[b]) for a, b in pairs], "f1 string, f2 string, i1 int, i2 int")
-    out = names.join(F.broadcast(got), key, "left").select("f1", "f2", "i1", "i2", "r")  # one row per pair
-    whole = [c for c in feats if c not in holed]
-    if len(whole) > 1:
-        rest = corr_matrix(df, whole, "spearman", id_cols).drop("i1", "i2")
-        index = df.sparkSession.createDataFrame([(a, b, at[a], at[b]) for a, b in itertools.combinations(whole, 2)], "f1 string, f2 string, i1 int, i2 int")
-        out = out.unionByName(index.join(F.broadcast(rest), ["f1", "f2"], "left").select("f1", "f2", "i1", "i2", "r"))
-    return out
-
-
-def _pairs(src: DataFrame, feats: list[str]) -> DataFrame:
-    pairs = [(i, j) for i in range(len(feats)) for j in range(i + 1, len(feats))]
-    cols = [F.col(f"`{c}`").cast("double") for c in feats]
-    wide = src.agg(*[safe_corr(cols[i], cols[j]).alias(f"{i}__{j}") for i, j in pairs])
-    entries = [F.struct(F.lit(feats[i]).alias("f1"), F.lit(feats[j]).alias("f2"),
-                        F.lit(i).alias("i1"), F.lit(j).alias("i2"), F.col(f"`{i}__{j}`").alias("r"))
-               for i, j in pairs]
-    return wide.select(F.inline(F.array(*entries)))
+    r = F.try_divide(s(x * y), F.sqrt(s(x * x)) * F.sqrt(s(y * y)))
+    f1 = F.element_at(F.array(*[F.lit(g) for g, _ in masks]), F.col("mask") + 1)
+    return c.groupBy(*key).agg(r.alias("r")).select(f1.alias("f1"), F.col("column").alias("f2"), "r")
 
 
 def high_corr_drop(df: DataFrame, target: str, features=None, threshold: float = 0.95,

@@ -49,7 +49,7 @@ def training_data(df: DataFrame, keys=("StationID",), time_col: str = "Observati
     # series keys and the time column stay (windows need them); the fixed list drops the rest
     protect = list(LEADING_COLUMNS) + keys + [time_col]
     selected, _dropped = st.feature_selection(cleaned, target, FIXED_EXCLUDE_COLUMNS, protect, high_corr=high_corr)
-    derived = features.add_features(selected, keys, time_col, target)
+    derived = cut_lineage(features.add_features(selected, keys, time_col, target))  # three frames and two fits read it
     parts = split.tail_split_frames(derived, keys, time_col, seq_len, horizon)
     if split_root:
         files.write_splits(parts, split_root, run_ts)              # unscaled splits, as the source saves them
@@ -89,6 +89,7 @@ def train_and_score(df: DataFrame, models: dict, keys=("StationID",), time_col:
     parts = training_data(df, keys, time_col, target, seq_len, horizon, with_samples=False, high_corr=high_corr, one_hot_type="int")
     train, feats = next_hour_rows(cut_lineage(parts["train"]), keys, time_col, target)
     val, _ = next_hour_rows(cut_lineage(parts["val"].select(*parts["train"].columns)), keys, time_col, target)
+    val = cut_lineage(val)  # every model is scored on it
     fitted = md.fit_models(cut_lineage(md.bounded_rows(train)), feats, models)
     report = md.evaluate_models(fitted, val)
     best = report.first()["Model"]

@@ -12,7 +12,8 @@ from hourcast.plans import adapters as ad
 from hourcast.plans import pipelines as pl
 from hourcast.plans.catalog import printed, register, sql_norm
 from hourcast.plans.q_advice import dim_values_sql
-from hourcast.session_paths import scratch
+from hourcast.session import path_exists
+from hourcast.session_paths import scratch, state_tag
 from hourcast.sources import files, text
 
 WIDE = ad.with_ctes("obs_wide")
@@ -43,12 +44,30 @@ def q_pipeline_training(spark, sf_dir):
     return pl.sample_count(pl.training_data(obs)["samples"])
 
 
+def _scored(spark, sf_dir):
+    """Predictions of the chain's best model: made once per application and state of the input's files, kept in the shared scratch folder."""
+    path = scratch(spark, "train_and_score", state_tag(spark, sf_dir, "events"))
+    if not path_exists(spark, path + "/_SUCCESS"):
+        obs = ad.obs_wide(spark, sf_dir).drop("event_id")
+        pl.train_and_score(obs, md.regressors(), high_corr=0.95)[2].write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @register("pipeline_train_and_score", note="model fits on the prepared table; rows-only")
 def q_pipeline_train_and_score(spark, sf_dir):
     """Entry 2 to its end: prepared table (with the tree pipeline's |rho| > 0.95 selection) -> linear and tree models ->
     predictions of every validation row by the best of all four."""
-    obs = ad.obs_wide(spark, sf_dir).drop("event_id")
-    return pl.train_and_score(obs, md.regressors(), high_corr=0.95)[2]
+    return _scored(spark, sf_dir)
+
+
+@register("pipeline_train_and_score_keys", oracle=sql_norm("""
+SELECT StationID, ObservationTime, label, true AS predicted FROM (
+  SELECT StationID, ObservationTime, lead("Temperature") OVER (PARTITION BY StationID ORDER BY ObservationTime) AS label,
+         row_number() OVER (PARTITION BY StationID ORDER BY ObservationTime DESC) AS r FROM obs_wide) WHERE r BETWEEN 2 AND 504""",
+    doubles=["label"], ts=["ObservationTime"], with_=WIDE))
+def q_pipeline_train_and_score_keys(spark, sf_dir):
+    """The same run: one prediction and the right label for every validation row that a next row follows."""
+    return _scored(spark, sf_dir).select("StationID", "ObservationTime", "label", (F.col("prediction").isNotNull() & ~F.isnan("prediction")).alias("predicted"))
 
 
 @register("pipeline_day_advice", oracle=sql_norm(f"""
