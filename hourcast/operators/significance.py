@@ -112,15 +112,7 @@ def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None)
     ranked anew over the rows of each mask; a column without any value has null with every other.
     """
     feats = list(features)
-    if method != "spearman":
-        return pair_correlations(df, feats)
-    held = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(_number(c)).alias(f"c{i}") for i, c in enumerate(feats)]).first()
-    count = {c: held[f"c{i}"] for i, c in enumerate(feats)}
-    whole = [c for c in feats if count[c] == held["n"]]
-    holed = [c for c in feats if 0 < count[c] < held["n"]]
-    found = _spearman_whole(df, whole, id_cols)
-    if holed:
-        found = found.unionByName(_spearman_with_gaps(df, whole, holed))
+    found = _spearman_pairs(df, feats, id_cols) if method == "spearman" else pair_correlations(df, feats)
     at = {c: i for i, c in enumerate(feats)}
     pairs = df.sparkSession.createDataFrame([(a, b, at[a], at[b]) for a, b in itertools.combinations(feats, 2)], "f1 string, f2 string, i1 int, i2 int")
     # One row for each pair on both sides; a pair is found in one of its two orders.
@@ -129,6 +121,16 @@ def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None)
     return pairs.select("*", *key("f1", "f2")).join(F.broadcast(found), ["_a", "_b"], "left").select("f1", "f2", "i1", "i2", "r")
 
 
+def _spearman_pairs(df: DataFrame, feats: list[str], id_cols) -> DataFrame:
+    """(f1, f2, r) of the pairs that have one."""
+    held = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(_number(c)).alias(f"c{i}") for i, c in enumerate(feats)]).first()
+    count = {c: held[f"c{i}"] for i, c in enumerate(feats)}
+    holed = [c for c in feats if 0 < count[c] < held["n"]]
+    whole = [c for c in feats if count[c] == held["n"]]
+    found = _spearman_whole(df, whole, id_cols)
+    return found.unionByName(_spearman_with_gaps(df, whole, holed)) if holed else found
+
+
 def _number(c: str) -> Column:
     return null_if_nan(F.col(f"`{c}`").cast("double"))
 
