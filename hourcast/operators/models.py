@@ -138,6 +138,17 @@ def fit_models(train: DataFrame, features, models: dict) -> dict:
     return out
 
 
+def boosted_with_stop(train: DataFrame, val: DataFrame, features, max_iter: int = 100, tolerance: float = 0.01,
+                      learning_rate: float = 0.1, max_depth: int = 5, seed: int = SEED):
+    """M6 with a validation stop: boosting ends when one more tree no longer lowers the error on ``val`` by ``tolerance``
+    (relative), and the model keeps the trees up to the best error. Returns the fitted pipeline; its last stage has ``getNumTrees``.
+    """
+    rows = train.withColumn("_held", F.lit(False)).unionByName(val.withColumn("_held", F.lit(True)))
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, stepSize=learning_rate, maxDepth=max_depth,
+                       seed=seed, validationIndicatorCol="_held", validationTol=tolerance)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"), gbt]).fit(rows)
+
+
 def rmse(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """sqrt(mean((y - p)^2)) over all cells, as a one-row frame."""
     d = F.col(label) - F.col(prediction)

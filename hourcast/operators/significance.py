@@ -1,4 +1,4 @@
-"""Statistical tests against a target (A12-A15, A17) and correlation-based selection (M1, M2).
+"""Statistical tests against a target (A12-A15), normality (A17) and correlation-based selection (M1, M2).
 
 Each test turns the frame into long form once, does the per-column work as grouped aggregations
 (ranks via ``ranks.average_ranks``), and ends with a one-row-per-feature table; only there do the
@@ -16,7 +16,7 @@ from hourcast.functions.numeric import null_if_nan
 from hourcast.functions.pvalues import chi2_sf_udf, t_two_sided_udf
 from hourcast.operators.gram import pair_correlations
 from hourcast.operators.profile import to_long
-from hourcast.operators.ranks import average_ranks
+from hourcast.operators.ranks import average_ranks, value_offsets
 from hourcast.schema import categorical_columns, numeric_columns
 from hourcast.session import cut_lineage
 
@@ -251,6 +251,66 @@ def normality_test(df: DataFrame, features=None, alpha: float = ALPHA) -> DataFr
     return j.withColumn("p-value", p).withColumn("normal", F.coalesce(p > alpha, F.lit(False)))
 
 
+# Numerator and denominator of the upper normal tail divided by exp(-x^2 / 2), highest power first
+# (published double-precision rational approximation, for x below the bound; a continued fraction beyond it).
+TAIL_NUMERATOR = (3.52624965998911e-02, 0.700383064443688, 6.37396220353165, 33.912866078383, 112.079291497871, 221.213596169931, 220.206867912376)
+TAIL_DENOMINATOR = (8.83883476483184e-02, 1.75566716318264, 16.064177579207, 86.7807322029461, 296.564248779674, 637.333633378831, 793.826512519948,
+                    440.413735824752)
+TAIL_BOUND, ROOT_TWO_PI = 7.07106781186547, 2.506628274631
+
+
+def _horner(x: Column, coefficients) -> Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def log_normal_cdf(z: Column) -> Column:
+    """ln of the standard normal distribution function, precise in the lower tail (no underflow)."""
+    x = F.abs(z)
+    fraction = x + 1 / (x + 2 / (x + 3 / (x + 4 / (x + F.lit(0.65)))))
+    ratio = F.when(x < TAIL_BOUND, _horner(x, TAIL_NUMERATOR) / _horner(x, TAIL_DENOMINATOR)).otherwise(1 / (fraction * ROOT_TWO_PI))
+    log_tail = -x * x / 2 + F.log(ratio)
+    return F.when(z <= 0, log_tail).otherwise(F.log1p(-F.exp(log_tail)))
+
+
+# P of the corrected statistic a, as exp(c0 + c1 a + c2 a^2) from a bound on, or 1 less that.
+AD_P = ((0.6, 1.2937, -5.709, 0.0186, False), (0.34, 0.9177, -4.279, -1.38, False), (0.2, -8.318, 42.796, -59.938, True),
+        (0.0, -13.436, 101.14, -223.73, True))
+
+
+def anderson_darling(df: DataFrame, features=None, alpha: float = ALPHA) -> DataFrame:
+    """A17 from order statistics: Anderson-Darling test of normality, mean and deviation estimated.
+
+    A^2 = -n - 1/n sum (2i - 1) [ln F(z_i) + ln(1 - F(z_(n+1-i)))]. The positions of equal values are L + 1 .. L + c (L values
+    below, c equal), so both sums are sums over distinct values with weights from L and c: positions come from bucketed
+    counts and prefix sums, and no task sorts a column. Columns: column, n, A2, statistic (with the correction for
+    estimated parameters), p-value, normal. Constant columns, and those with fewer than 8 values, have null statistics.
+    """
+    feats = list(features or numeric_columns(df.schema))
+    long = to_long(df, feats)
+    off = value_offsets(long, ["column"])
+    stats = long.groupBy("column").agg(F.count("value").alias("n"), F.avg("value").alias("_m"), F.stddev_samp("value").alias("_s")).where("n > 0")
+    j = off.join(F.broadcast(stats), "column")  # one row for each column
+    z = F.try_divide(F.col("value") - F.col("_m"), F.col("_s"))
+    low, c, n = F.col("less").cast("double"), F.col("cnt").cast("double"), F.col("n").cast("double")
+    up = (low + c) * (low + c) - low * low
+    down = c * (2 * n + 1) - ((low + c) * (low + c + 1) - low * (low + 1))
+    sums = j.groupBy("column", "n").agg(F.sum(up * log_normal_cdf(z) + down * log_normal_cdf(-z)).alias("_sum"))
+    n = F.col("n").cast("double")
+    a2 = F.when(F.col("n") >= 8, -n - F.col("_sum") / n)
+    out = sums.select("column", "n", a2.alias("A2")).withColumn("statistic", F.col("A2") * (1 + F.lit(0.75) / n + F.lit(2.25) / (n * n)))
+    a, p = F.col("statistic"), None
+    for bound, c0, c1, c2, upper in AD_P:
+        e = F.exp(F.lit(c0) + F.lit(c1) * a + F.lit(c2) * a * a)
+        e = 1 - e if upper else F.least(F.lit(1.0), e)
+        p = F.when(a >= bound, e) if p is None else p.when(a >= bound, e)
+    # The outer exponential turns upwards far out; p is 0 there.
+    p = F.when(a > 150, F.lit(0.0)).otherwise(p.when(a < 0, F.lit(1.0)))
+    return out.withColumn("p-value", p).withColumn("normal", F.coalesce(F.col("p-value") > alpha, F.lit(False)))
+
+
 def feature_selection(df: DataFrame, target: str, fixed_exclude, protect, alpha: float = ALPHA,
                       min_group_size: int = 5, high_corr: float | None = None, id_cols=None) -> tuple[DataFrame, list[str]]:
     """M1: drop Spearman-insignificant, Kruskal-insignificant (and, optionally, highly correlated)

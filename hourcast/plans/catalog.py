@@ -82,7 +82,7 @@ def printed(expr: str, digits: int) -> str:
 def _load_all() -> None:
     # Importing the query modules fills the registry.
     from hourcast.plans import (q_advice, q_clean, q_features, q_ingest, q_model, q_model_input,  # noqa: F401
-                                q_pipelines, q_profile, q_tests, q_variants)
+                                q_pipelines, q_profile, q_stored, q_tests, q_variants)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -221,6 +221,49 @@ def q_normality_test(spark, sf_dir):
     return st.normality_test(ad.obs_wide(spark, sf_dir), numeric_columns(RAW_SCHEMA))
 
 
+def ad_sql(src: str, feats, with_: str = "") -> str:
+    """Anderson-Darling over ranked rows, one row at a time."""
+    casted = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in feats)
+
+    def poly(coefficients):
+        out = str(coefficients[0])
+        for c in coefficients[1:]:
+            out = f"({out} * x + {c})"
+        return out
+
+    def p(bound, c0, c1, c2, upper):
+        e = f"exp({c0} + {c1} * a + {c2} * a * a)"
+        return f"WHEN a >= {bound} THEN " + (f"1 - {e}" if upper else f"least(1.0, {e})")
+
+    pre = (with_ + ",\n" if with_ else "WITH ")
+    body = pre + f"""long AS (FROM (SELECT {casted} FROM {src}) UNPIVOT (value FOR "column" IN ({_qc(feats)}))),
+zs AS (SELECT "column", row_number() OVER (PARTITION BY "column" ORDER BY value) AS i, count(*) OVER (PARTITION BY "column") AS n,
+         (value - avg(value) OVER (PARTITION BY "column")) / nullif(stddev_samp(value) OVER (PARTITION BY "column"), 0) AS z FROM long),
+xs AS (SELECT *, abs(z) AS x FROM zs),
+tails AS (SELECT *, -x * x / 2 + ln(CASE WHEN x < {st.TAIL_BOUND} THEN {poly(st.TAIL_NUMERATOR)} / {poly(st.TAIL_DENOMINATOR)}
+    ELSE 1 / ((x + 1 / (x + 2 / (x + 3 / (x + 4 / (x + 0.65))))) * {st.ROOT_TWO_PI}) END) AS t FROM xs),
+logs AS (SELECT *, CASE WHEN z <= 0 THEN t ELSE ln(1 - exp(t)) END AS below, CASE WHEN z >= 0 THEN t ELSE ln(1 - exp(t)) END AS above FROM tails),
+a2 AS (SELECT "column", n, CASE WHEN n >= 8 THEN -n - sum((2 * i - 1) * below + (2 * (n + 1 - i) - 1) * above) / n END AS "A2" FROM logs GROUP BY 1, 2),
+st AS (SELECT *, "A2" * (1 + 0.75 / n + 2.25 / (n * n)) AS a FROM a2),
+ps AS (SELECT *, CASE WHEN a > 150 THEN 0.0 {" ".join(p(*r) for r in st.AD_P)} WHEN a < 0 THEN 1.0 END AS pv FROM st)"""
+    return sql_norm('SELECT "column", n, "A2", a AS "statistic", pv AS "p-value", coalesce(pv > 0.05, false) AS normal FROM ps',
+                    doubles=["A2", "statistic", "p-value"], ints=["n"], with_=body)
+
+
+AD_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("anderson_darling", oracle=ad_sql("lineitem", AD_FEATS))
+def q_anderson_darling(spark, sf_dir):
+    """Normality from order statistics, positions by bucketed counts."""
+    return st.anderson_darling(ad.read(spark, sf_dir, "lineitem"), AD_FEATS)
+
+
+@register("anderson_darling_observations", oracle=ad_sql("obs_wide", ["Temperature", "GustTime", "LocalPressure", "Visibility"], WIDE))
+def q_anderson_darling_observations(spark, sf_dir):
+    return st.anderson_darling(ad.obs_wide(spark, sf_dir), ["Temperature", "GustTime", "LocalPressure", "Visibility"])
+
+
 # Upper 5 % points of chi-square for 1 to 12 degrees of freedom, and of the normal, two-sided.
 CHI2_95 = (3.841459, 5.991465, 7.814728, 9.487729, 11.070498, 12.591587, 14.067140, 15.507313, 16.918978, 18.307038, 19.675138, 21.026070)
 NORMAL_95 = 1.959963985

@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from hourcast.functions import timefeat as tf
 from hourcast.schema import PARTITION_COLUMNS
-from hourcast.session import path_exists
+from hourcast.session import cut_lineage, path_exists
 
 EPOCH_MARK = dt.datetime(2000, 1, 1)
 
@@ -170,33 +170,38 @@ def merge_days(spark: SparkSession, new: DataFrame, root: str, keys=("StationID"
 
     (Fixes the source behaviour where a mid-day update replaced a whole day with the new hours.)
     """
-    from pyspark.sql import Window
+    b, touched = with_days(new, time_col)
+    if not touched:
+        return 0
+    there = _days(spark, root, touched) if path_exists(spark, root) else []
+    existing = spark.read.parquet(root).filter(_day_number().isin(there)) if there else None
+    merged = newest_rows(existing, b, keys, time_col, arrival)
+    if there:
+        merged = cut_lineage(merged)
+    write_days(merged, root, time_col, mode="dynamic")
+    return len(touched)
 
-    from hourcast.session import cut_lineage
 
-    keys = list(keys)
+def with_days(new: DataFrame, time_col: str) -> tuple[DataFrame, list[int]]:
+    """``new`` with its day columns, and the days it touches as yyyymmdd numbers."""
     b = new
     for k, v in tf.time_parts(time_col).items():
         if k in PARTITION_COLUMNS:
             b = b.withColumn(k, v)
-    touched = [r["d"] for r in b.select(_day_number().alias("d")).distinct().collect()]
-    if not touched:
-        return 0
-    own = [c for c in b.columns if c != arrival]
-    combined = b.withColumn("_prio", F.lit(1))
+    return b, [r["d"] for r in b.select(_day_number().alias("d")).distinct().collect()]
+
+
+def newest_rows(existing: DataFrame | None, new: DataFrame, keys, time_col: str, arrival: str | None = None) -> DataFrame:
+    """One row per (keys, time): a new one beats an existing one, a later ``arrival`` an earlier one, then the content decides."""
+    own = [c for c in new.columns if c != arrival]
+    combined = new.withColumn("_prio", F.lit(1))
     combined = combined.withColumn("_arrived", F.col(arrival).cast("timestamp") if arrival else F.lit(None).cast("timestamp"))
     if arrival:
         combined = combined.drop(arrival)
-    there = _days(spark, root, touched) if path_exists(spark, root) else []
-    if there:
-        existing = spark.read.parquet(root).filter(_day_number().isin(there))
+    if existing is not None:
         combined = existing.withColumn("_prio", F.lit(0)).unionByName(combined, allowMissingColumns=True)
     w = Window.partitionBy(*keys, time_col).orderBy(F.desc("_prio"), F.desc_nulls_last("_arrived"), F.xxhash64(*own))
-    merged = combined.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_prio", "_arrived")
-    if there:
-        merged = cut_lineage(merged)
-    write_days(merged, root, time_col, mode="dynamic")
-    return len(touched)
+    return combined.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn", "_prio", "_arrived")
 
 
 def incremental_load(spark: SparkSession, source: DataFrame, root: str, keys=("StationID",),

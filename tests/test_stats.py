@@ -106,3 +106,42 @@ def test_histogram_counts(spark, bins):
     assert sum(r["count"] for r in h) == len(vals)
     edges = np.histogram(vals, bins=bins)[0]
     assert sorted((r["bin"], r["count"]) for r in h) == [(i + 1, int(c)) for i, c in enumerate(edges) if c]
+
+
+def test_anderson_darling_equals_the_direct_sum(spark):
+    import math
+    import random
+    rng = random.Random(4)
+    cols = {"normal": [rng.gauss(5, 2) for _ in range(300)], "ties": [float(round(rng.gauss(0, 2))) for _ in range(300)],
+            "skewed": [rng.expovariate(1) for _ in range(300)], "far": [rng.gauss(0, 1) for _ in range(299)] + [60.0], "constant": [3.0] * 300}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols)).repartition(4)
+    got = {r["column"]: r for r in st.anderson_darling(df, list(cols)).collect()}
+
+    def tail(z):  # ln P(Z <= z); asymptotic where erfc is 0
+        p = 0.5 * math.erfc(-z / math.sqrt(2))
+        return math.log(p) if p > 0 else -z * z / 2 - math.log(-z * math.sqrt(2 * math.pi))
+
+    for c, v in cols.items():
+        if c == "constant":
+            assert got[c]["A2"] is None and got[c]["p-value"] is None and not got[c]["normal"]
+            continue
+        n, m = len(v), sum(v) / len(v)
+        s = math.sqrt(sum((x - m) ** 2 for x in v) / (n - 1))
+        z = sorted((x - m) / s for x in v)
+        a2 = -n - sum((2 * i + 1) * (tail(z[i]) + tail(-z[n - 1 - i])) for i in range(n)) / n
+        assert got[c]["A2"] == pytest.approx(a2, rel=1e-8, abs=1e-8)
+        assert 0 <= got[c]["p-value"] <= 1
+    assert got["normal"]["normal"] and not got["skewed"]["normal"] and not got["far"]["normal"]
+    short = spark.createDataFrame([(1.0,), (2.0,), (None,)], "x double")
+    assert st.anderson_darling(short).first()["A2"] is None
+    assert st.anderson_darling(short.where("x is null")).collect() == []
+
+
+def test_log_normal_cdf_in_the_tails(spark):
+    import math
+    zs = [-60.0, -30.0, -8.0, -7.0710678, -7.0710679, -3.0, -1e-9, 0.0, 1.0, 5.0, 9.0, 40.0]
+    df = spark.createDataFrame([(z,) for z in zs], "z double").select("z", st.log_normal_cdf(F.col("z")).alias("l"))
+    for r in df.collect():
+        p = 0.5 * math.erfc(-r.z / math.sqrt(2))
+        want = math.log(p) if p > 0 else -r.z ** 2 / 2 - math.log(-r.z * math.sqrt(2 * math.pi)) - 1 / r.z ** 2
+        assert r.l == pytest.approx(want, rel=1e-7, abs=1e-15)
