@@ -44,8 +44,9 @@ m AS (
   FROM lines LEFT JOIN covered USING (k)),
 f AS (
   SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
-    + 8 * (n_lines >= 6 AND 100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 3 * n_words)::INT
-    + 32 * (word_chars > 12 * n_words)::INT + 64 * (n_words > 100000)::INT + 128 * (100 * n_repeat_words > 30 * n_words)::INT AS BIGINT) AS failed FROM m)
+    + 8 * (n_lines > 1 AND 100 * n_dup_lines > 30 * n_lines)::INT + 16 * (word_chars < 3 * n_words)::INT
+    + 32 * (word_chars > 12 * n_words)::INT + 64 * (n_words > 100000)::INT + 128 * (100 * n_repeat_words > 30 * n_words)::INT
+    + 256 * (n_dup_lines > 1 AND 100 * n_dup_lines > 30 * n_lines)::INT AS BIGINT) AS failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 AS base_failed,
   (failed & 63) = 0 AS kept, failed FROM f
 """

@@ -35,14 +35,15 @@ def test_measurements(table, edges, nothing):
 
 def test_policies_and_ablation(table):
     good = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(80))
-    rows = [(1, good), (2, good + " # # # # # # # # # # #"), (3, "short"), (4, "a b c " * 40), (5, "\n".join(["same line here"] * 6 + [good]))]
+    rows = [(1, good), (2, good + " # # # # # # # # # # #"), (3, "short"), (4, "a b c " * 40), (5, "\n".join(["same line here"] * 6 + [good])),
+            (6, "\n".join(["same line here", "same line here", good]))]
     book = Q.ledger(table(rows)).persist()
     kept = {v: sorted(r.doc_id for r in Q.apply_policy(book, v).where("kept").collect()) for v in Q.POLICIES}
-    assert kept == {1: [1, 2, 5], 2: [1, 5], 3: [1]}
+    assert kept == {1: [1, 2, 5, 6], 2: [1, 5, 6], 3: [1], 4: [1, 6]}
     for version, policy in Q.POLICIES.items():
         for r in Q.ablation(book, version).collect():
             without = policy & ~Q.BITS[r.rule]
-            assert r.documents == 5 and r.kept == len(kept[version])
+            assert r.documents == 6 and r.kept == len(kept[version])
             assert r.kept_without == sum(x.failed & without == 0 for x in book.collect())
             assert r.failing == sum(x.failed & Q.BITS[r.rule] != 0 for x in book.collect())
 
@@ -57,3 +58,14 @@ def test_filters_stay_above_the_arrays(table):
     report = Q.report(table([(1, "a b c")]))
     sorts = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("sort_array")
     assert sorts(report.where("kept and n_words > 5")) == sorts(report) == 2
+
+
+def test_limits_of_the_line_rules(table):
+    """Repeated lines are judged from two lines on (bit 3); the looser rule asks for two repeated ones (bit 8)."""
+    lines = lambda n, dup: "\n".join([f"line {i}" for i in range(n - dup)] + ["line 0"] * dup)
+    cases = {(2, 1): (True, False), (3, 1): (True, False), (4, 1): (False, False), (5, 2): (True, True), (6, 2): (True, True),
+             (10, 3): (False, False), (10, 4): (True, True), (1, 0): (False, False)}
+    rows = [(i, lines(*c)) for i, c in enumerate(cases)]
+    got = {r.doc_id: (bool(r.failed & Q.BITS["dup_lines"]), bool(r.failed & Q.BITS["several_dup_lines"])) for r in Q.ledger(table(rows)).collect()}
+    assert got == dict(enumerate(cases.values()))
+    assert Q.CURRENT == 3
