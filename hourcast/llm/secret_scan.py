@@ -2,9 +2,11 @@
 
 Each whole text is scanned for base kinds (assignments, access keys, long hex runs) and for generic mixed
 tokens. Every candidate's value is hashed, and over the whole corpus each value is counted by distinct documents
-(repositories) and distinct owners. A value that several owners have is a copied example; one that a single
-owner has, in however many documents, and that looks live (long, high entropy, no placeholder) is a live credential; the rest is unclear.
-Generic tokens become spans only when they are live; base spans always stay.
+(repositories) and distinct owners. A value is a copied example if ``MIN_OWNERS`` owners have it, or if two have it in
+``MIN_COPIES`` documents or more: between two owners the documents tell a leak that was forked or quoted from an example
+that is pasted widely. A single owner's value stays that owner's in however many documents (a key on every page of a site).
+Values that are no example and look live (long, high entropy, little of them placeholder words) are live credentials; the
+rest is unclear. Generic tokens become spans only when they are live; base spans always stay, and examples are not redacted.
 
 Values are counted per (value, owner) before owners are counted, so a value in a third of all documents is
 summed within tasks first. Values themselves never leave a task; 64-bit hashes do.
@@ -15,7 +17,7 @@ base spans.
 
 Defined cases: a null text is an empty one, without spans. A null owner is an owner of its own. Repeated rows
 (same id and text) are one document for the counts and each gets its own result. Further columns are ignored
-by ``scan`` and kept by ``redact``.
+by ``scan`` and kept by ``redact``, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.llm.keyfilter import maybe_in
-from hourcast.llm.textbatch import row_key
+from hourcast.llm.textbatch import free_name, row_key
 from hourcast.session import cut_lineage
 
 # Kinds in order, and the base patterns of the contract.
@@ -44,8 +46,9 @@ _PLACEHOLDER = re.compile(r"example|sample|placeholder|change_?me|your|dummy|tes
 
 MIN_ENTROPY = 3.0  # bits a character
 MIN_LIVE = 16  # characters
-LONG = 128  # characters; longer runs hold short placeholder words by chance and are judged by entropy alone
+PLACEHOLDER_PART = 1 / 16  # of a value's characters under placeholder words makes it one; thousands hold one by chance
 MIN_OWNERS = 3  # owners that make a value a copied example
+MIN_COPIES = 10  # documents that make a value of two owners one
 MARK = "[SECRET]"
 
 
@@ -55,7 +58,9 @@ def entropy(value: str) -> float:
 
 
 def looks_live(value: str) -> bool:
-    return len(value) >= MIN_LIVE and entropy(value) >= MIN_ENTROPY and (len(value) > LONG or not _PLACEHOLDER.search(value))
+    if len(value) < MIN_LIVE or entropy(value) < MIN_ENTROPY:
+        return False
+    return sum(m.end() - m.start() for m in _PLACEHOLDER.finditer(value)) < PLACEHOLDER_PART * len(value)
 
 
 def candidates(text: str) -> list[tuple[int, int, int, str]]:
@@ -94,20 +99,20 @@ def scan(docs: DataFrame, owner: str = "source") -> DataFrame:
     return rows.mapInArrow(run, f"doc_id bigint, row_key bigint, owner string, spans array<{_SPAN}>")
 
 
-def ownership(found: DataFrame, min_owners: int = MIN_OWNERS) -> DataFrame:
+def ownership(found: DataFrame, min_owners: int = MIN_OWNERS, min_copies: int = MIN_COPIES) -> DataFrame:
     """value, n_documents, n_owners and status (example, live, unclear) of every candidate value."""
     rows = found.select("doc_id", "row_key", "owner", F.explode(F.array_distinct(F.transform(
         "spans", lambda s: F.struct(s["value"].alias("value"), s["live"].alias("live"))))).alias("v"))
     by_owner = (rows.groupBy("v.value", "owner", "doc_id", "row_key").agg(F.max("v.live").alias("live"))
                 .groupBy("value", "owner").agg(F.count(F.lit(1)).alias("n"), F.max("live").alias("live")))
+    copied = (F.col("n_owners") >= min_owners) | ((F.col("n_owners") > 1) & (F.col("n_documents") >= min_copies))
     return (by_owner.groupBy("value").agg(F.sum("n").alias("n_documents"), F.count(F.lit(1)).alias("n_owners"), F.max("live").alias("live"))
-            .withColumn("status", F.when(F.col("n_owners") >= min_owners, "example").when(F.col("live") & (F.col("n_owners") == 1), "live")
-                        .otherwise("unclear")))
+            .withColumn("status", F.when(copied, "example").when(F.col("live"), "live").otherwise("unclear")))
 
 
 def judged(docs: DataFrame, owner: str = "source", min_owners: int = MIN_OWNERS) -> DataFrame:
     """doc_id, row_key, spans with a status, one row for each distinct (doc_id, row_key) that has candidates."""
-    found = scan(docs, owner).where(F.size("spans") > 0).persist()
+    found = cut_lineage(scan(docs, owner).where(F.size("spans") > 0))  # few rows beside the texts, read twice
     status = ownership(found, min_owners).select("value", "status")
     one = found.groupBy("doc_id", "row_key").agg(F.first("spans").alias("spans"))
     rows = one.select("doc_id", "row_key", F.explode("spans").alias("s")).withColumn("value", F.col("s.value"))
@@ -137,21 +142,22 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, owner: str = "source", min_owners: int = MIN_OWNERS, mark: str = MARK) -> DataFrame:
     """``docs`` with every found secret but the copied examples replaced by ``mark``; all rows and columns stay."""
+    cut_name, key_name = free_name(docs, "cut"), free_name(docs, "row_key")
     cut = (judged(docs, owner, min_owners)
            .select("doc_id", "row_key", F.transform(F.filter("spans", lambda s: s["status"] != "example"),
-                                                    lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("__cut")))
-    cut = cut_lineage(cut.where(F.size("__cut") > 0))
+                                                    lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias(cut_name)))
+    cut = cut_lineage(cut.where(F.size(cut_name) > 0))
     maybe = maybe_in(cut, "doc_id", "row_key")
-    docs_keyed = docs.withColumn("__row_key", row_key())
-    d, c = docs_keyed.where(maybe("doc_id", "__row_key")).alias("d"), cut.alias("c")
-    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.__row_key") == F.col("c.row_key"))
-    rows = d.join(c, on, "left").select(*[F.col(f"d.`{x}`") for x in docs.columns], "c.__cut")
+    docs_keyed = docs.withColumn(key_name, row_key())
+    d, c = docs_keyed.where(maybe("doc_id", key_name)).alias("d"), cut.alias("c")
+    on = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col(f"d.{key_name}") == F.col("c.row_key"))
+    rows = d.join(c, on, "left").select(*[F.col(f"d.`{x}`") for x in docs.columns], f"c.{cut_name}")
 
     def run(batches):
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            cuts = batch.column("__cut").to_pylist()
-            batch = batch.drop_columns(["__cut"])
+            cuts = batch.column(cut_name).to_pylist()
+            batch = batch.drop_columns([cut_name])
             if any(cuts):
                 texts = batch.column("text").to_pylist()
                 for i, spans in enumerate(cuts):
@@ -165,5 +171,5 @@ def redact(docs: DataFrame, owner: str = "source", min_owners: int = MIN_OWNERS,
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch
 
-    rest = docs_keyed.where(~maybe("doc_id", "__row_key")).drop("__row_key")
+    rest = docs_keyed.where(~maybe("doc_id", key_name)).drop(key_name)
     return rest.unionByName(rows.mapInArrow(run, docs.schema))

@@ -45,6 +45,14 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` for a helper column, with as many underscores in front as no column of ``df`` has (names differ beyond case)."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def documents(df: DataFrame, *extra: str) -> DataFrame:
     """The columns an operator uses, whatever else the table holds."""
     return df.select("doc_id", "text", *extra)

@@ -36,3 +36,16 @@ def edges(table):
 @pytest.fixture(scope="session")
 def nothing(table):
     return table([])
+
+
+HELPERS = ("row", "row_key", "_row_key", "__row_key", "cut", "_cut", "__cut", "stays", "__stays", "copy", "__copy", "__key", "__tie", "__size",
+           "__piece", "__offset", "piece", "key", "n", "s", "value", "Row_Key", "spans", "root", "comp", "cls", "block", "owner")
+
+
+@pytest.fixture(scope="session")
+def clashing(edges):
+    """The edge rows beside columns with every helper's name."""
+    from pyspark.sql import functions as F
+
+    names = list(dict.fromkeys(n for n in HELPERS if n.lower() not in {c.lower() for c in edges.columns} or n in edges.columns))
+    return edges.select("doc_id", "text", "lang", "source", *[F.lit(f"x{i}").alias(n) for i, n in enumerate(names) if n != "Row_Key"])

@@ -72,3 +72,31 @@ def test_long_tokens_are_found(table):
     assert got == {**{i: f"generic:2:{2 + len(t)}" for i, t in tokens.items()}, 4: ""}
     text = {r.doc_id: r.text for r in S.redact(table(rows)).collect()}
     assert text == {1: "a [SECRET] z", 2: "a [SECRET] z", 3: "a [SECRET] z", 4: rows[3][1]}
+
+
+def test_documents_decide_between_two_owners(table):
+    """A value of two owners is a leak in few documents and a copied example in many; a single owner's stays live in any number."""
+    few, many, own = "zK4mN8pQ2rT6vX9yB3cD", "aH7jL1kP5sW9dF3gZ8xC", "qU2wE6rT0yI4oP8aS1dG"
+    rows = [(i, f"a {few} z", "en", "ab"[i % 2]) for i in range(4)]
+    rows += [(100 + i, f"a {many} z token={many}", "en", "ab"[i % 2]) for i in range(S.MIN_COPIES)]
+    rows += [(200 + i, f"a {own} z", "en", "a") for i in range(3 * S.MIN_COPIES)]
+    got = {r.doc_id: r for r in S.report(table(rows)).collect()}
+    assert all(got[i].spans == "generic:2:22" and got[i].n_live == 1 for i in range(4))
+    assert all(got[i].spans == f"assign:25:{25 + 6 + len(many)}" and got[i].n_example == 1 for i in range(100, 100 + S.MIN_COPIES))
+    assert all(got[i].n_live == 1 for i in range(200, 200 + 3 * S.MIN_COPIES))
+    text = {r.doc_id: r.text for r in S.redact(table(rows)).collect()}
+    assert text[0] == "a [SECRET] z" and many in text[100] and "[SECRET]" in text[200]
+
+
+def test_placeholder_words_count_by_their_share():
+    run = "q7Wz1Lk9Vb3Xn5Rt8Yp2Mc4Jh6Gd0Fs"
+    assert S.looks_live(run) and not S.looks_live(run[:20] + "example" + run[:5])
+    assert not S.looks_live((run * 2)[:60] + "test") and S.looks_live((run * 2)[:61] + "test") and not S.looks_live(run * 4 + "example_example")
+    assert S.looks_live(run * 100 + "test")
+
+
+def test_columns_with_helper_names(clashing, edges):
+    out = S.redact(clashing)
+    assert out.columns == clashing.columns
+    assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, S.redact(edges).select("doc_id", "text").collect()))
+    assert out.select(*clashing.columns[4:]).distinct().count() == 1
