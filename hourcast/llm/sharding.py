@@ -9,8 +9,8 @@ their slot from the rows before their piece and their place within it.
 
 Defined cases: a null or empty text has size 1. Repeated rows, null ids and equal keys have places in the
 order of (key, doc_id, text hash); rows equal in all of these are interchangeable. An empty table gives an
-empty result. A row larger than a shard makes sizes differ by that row. Further columns stay; columns
-named shard or slot are replaced.
+empty result. A row larger than a shard makes sizes differ by that row. Further columns stay, whatever their
+names; columns named shard or slot are replaced.
 """
 
 from __future__ import annotations
@@ -92,9 +92,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, parts: int | None = None, toler
 
     ``parts`` pieces of a shard are ordered by a task each; by default there are as many pieces as shuffle partitions.
     """
-    rows = keyed(docs)
     if parts is None:
         parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // shards)
+    # Helper columns live beside one struct of the document, so names can't clash.
+    own = [c for c in docs.columns if c not in ("shard", "slot")]
+    rows = keyed(docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in own]).alias("row")))
     keys, below = splitters(cut_lineage(rows.select("__key", "__size")), shards * parts, tolerance)
     first = np.concatenate([[0], below])
     offset = first - first[(np.arange(shards * parts) // parts) * parts]
@@ -105,11 +107,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, parts: int | None = None, toler
     def piece_of(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(known.value, key.to_numpy(), side="right").astype(np.int32))
 
-    rows = rows.withColumn("__piece", piece_of("__key"))
+    rows = rows.select("doc_id", "row", "__key", "__tie", piece_of("__key").alias("__piece"))
     rows = rows.join(F.broadcast(cut), "__piece")  # shards * parts rows
     place = F.row_number().over(Window.partitionBy("__piece").orderBy("__key", "doc_id", "__tie")) - 1
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("shard", "slot")]
-    return rows.select(*own, F.floor(F.col("__piece") / parts).cast("int").alias("shard"), (F.col("__offset") + place).cast("bigint").alias("slot"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in own], F.floor(F.col("__piece") / parts).cast("int").alias("shard"),
+                       (F.col("__offset") + place).cast("bigint").alias("slot"))
 
 
 def report(docs: DataFrame) -> DataFrame:

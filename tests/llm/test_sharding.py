@@ -51,3 +51,10 @@ def test_splitters_meet_tolerance(table):
     for i, (k, n) in enumerate(zip(keys, below), 1):
         got = rows.where(F.col("__key") < int(k)).agg(F.sum("__size"), F.count("*")).first()
         assert abs(got[0] - total * i / 8) <= 0.01 * total / 8 + 50 and got[1] == n
+
+
+def test_columns_with_helper_names(clashing, edges):
+    out = H.shard(clashing)
+    assert out.columns == [*clashing.columns, "shard", "slot"]
+    assert sorted(map(str, out.select("doc_id", "text", "shard", "slot").collect())) == sorted(map(str, H.shard(edges).select("doc_id", "text", "shard", "slot").collect()))
+    assert out.select(*clashing.columns[4:]).distinct().count() == 1
