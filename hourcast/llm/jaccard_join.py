@@ -24,7 +24,7 @@ candidate is capped: a block with many queries is served by several tasks.
 Defined cases: null, empty and wordless texts have an empty set and link with nothing. A text with fewer words
 than a shingle has the whole sequence as its only shingle. Repeated rows and null ids are documents like any
 other; the component is the least non-null ``doc_id``. Further columns are ignored by ``components`` and kept
-by ``keep_one``.
+by ``keep_one``, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from hourcast.llm.components import connected
 from hourcast.llm.keyfilter import maybe_in
 from hourcast.llm.spill import bucket_count, group_starts, pack, packed_batch, unpack
-from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, lower_ascii, row_key, utf8,
+from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, free_name, lower_ascii, row_key, utf8,
                                     word_hashes, word_spans)
 from hourcast.session import cut_lineage
 
@@ -417,22 +417,23 @@ def keep_one(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFra
 
     Of rows that repeat it one stays. Texts without words belong to no component and all stay. All columns stay.
     """
+    stays, key, copy = (free_name(docs, n) for n in ("stays", "row_key", "copy"))
     comp = cut_lineage(components(docs, words, share)).where("root is not null")
     one = comp.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("s")).select("s.doc_id", "s.row_key", F.lit(True).alias("stays"))
     k, o = comp.groupBy("doc_id", "row_key").agg(F.count(F.lit(1)).alias("n")).alias("k"), one.alias("o")
     special = (k.join(o, F.col("k.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("k.row_key") == F.col("o.row_key")), "left")
-               .select("k.doc_id", "k.row_key", "k.n", F.coalesce("o.stays", F.lit(False)).alias("__stays")))
+               .select("k.doc_id", "k.row_key", "k.n", F.coalesce("o.stays", F.lit(False)).alias(stays)))
     # Rows that go, and rows that stand there several times and of which one stays; all others are kept as they are.
-    special = cut_lineage(special.where("n > 1 or not __stays"))
+    special = cut_lineage(special.where(f"n > 1 or not `{stays}`"))
     maybe = maybe_in(special, "doc_id", "row_key")
-    d = docs.withColumn("__row_key", row_key())
-    rest, s = d.where(maybe("doc_id", "__row_key")).alias("d"), special.alias("s")
-    rest = rest.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col("d.__row_key") == F.col("s.row_key")), "left").select("d.*", "s.__stays")
-    rest = rest.where("__stays is null or __stays")
-    if special.where("__stays").limit(1).count():
-        first = Window.partitionBy("doc_id", "__row_key").orderBy("__row_key")
-        rest = rest.withColumn("__copy", F.row_number().over(first)).where("__stays is null or __copy = 1").drop("__copy")
-    return d.where(~maybe("doc_id", "__row_key")).unionByName(rest.drop("__stays")).drop("__row_key")
+    d = docs.withColumn(key, row_key())
+    rest, s = d.where(maybe("doc_id", key)).alias("d"), special.select("doc_id", "row_key", stays).alias("s")
+    rest = rest.join(s, F.col("d.doc_id").eqNullSafe(F.col("s.doc_id")) & (F.col(f"d.{key}") == F.col("s.row_key")), "left").select("d.*", f"s.{stays}")
+    rest = rest.where(f"`{stays}` is null or `{stays}`")
+    if special.where(f"`{stays}`").limit(1).count():
+        first = Window.partitionBy("doc_id", key).orderBy(key)
+        rest = rest.withColumn(copy, F.row_number().over(first)).where(f"`{stays}` is null or `{copy}` = 1").drop(copy)
+    return d.where(~maybe("doc_id", key)).unionByName(rest.drop(stays)).drop(key)
 
 
 def report(docs: DataFrame) -> DataFrame:

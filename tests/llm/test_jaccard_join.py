@@ -103,3 +103,10 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101), (101, 100), (102, 100), (7, 7)]
     got = dict(connected(spark.createDataFrame(edges, "a int, b int")).collect())
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, 102: 100}
+
+
+def test_columns_with_helper_names(clashing, edges):
+    out = J.keep_one(clashing)
+    assert out.columns == clashing.columns
+    assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, J.keep_one(edges).select("doc_id", "text").collect()))
+    assert out.select(*clashing.columns[4:]).distinct().count() == 1
