@@ -6,11 +6,12 @@ the score when an identity term of a labelled sentence is swapped for another te
 group then weigh alike whichever group is named, so neutral mentions don't take on the tone of the sentences
 in which a group happens to appear.
 
-Feature selection counts the whole sample in Spark (document frequencies by label); the driver gets at most
-``MAX_FEATURES`` feature ids and the sample's values of these. The weights (``DIM`` floats) are broadcast.
+Feature selection counts the whole sample in Spark (document frequencies by label) and takes every feature whose
+frequencies differ by ``MIN_Z`` deviations; the driver gets their ids (fewer than ``DIM``) and the sample's values of
+them, and fits them sparsely. The weights (``DIM`` floats) are broadcast.
 
 Defined cases: null, empty and wordless texts have no features and get the intercept's score. Rows without a
-label, or labelled twice with different labels, teach nothing. Without any labelled row the score is 0.
+label, or labelled twice with different labels, teach nothing; an id that stands for several texts teaches one of them. Without any labelled row the score is 0.
 Repeated rows are scored alike; further columns are ignored by ``score`` and kept by ``keep_clean``.
 """
 
@@ -27,8 +28,7 @@ from hourcast.llm.language_id import fold
 from hourcast.llm.textbatch import Rolling, chunks, mix, utf8, word_spans, word_table
 
 DIM = 1 << 20
-SAMPLE = 20_000  # labelled rows that are fitted, by hash of the id; all where there are fewer
-MAX_FEATURES = 4096
+SAMPLE = 20_000  # labelled training rows that are fitted, by hash of the id; all where there are fewer
 MIN_Z = 3.5  # of the difference of document frequencies between the labels
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes
 SMOOTH = 30  # words added to a text's length
@@ -82,10 +82,13 @@ class Model:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
+    """doc_id, y and text of ``limit`` labelled rows of ``docs``, one for each id (of several texts the least)."""
     one = (labels.select("doc_id", F.col(label).cast("int").alias("y")).where("y in (0, 1) and doc_id is not null")
-           .groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top")
-           .orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit))
-    return docs.select("doc_id", "text").join(F.broadcast(one), "doc_id")  # at most ``limit`` rows
+           .groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("top")).where("y = top").drop("top"))
+    there = docs.select("doc_id").join(one, "doc_id").groupBy("doc_id").agg(F.min("y").alias("y"))
+    chosen = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")  # at most ``limit`` rows
+    return rows.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("text").alias("text"))
 
 
 def _document_frequencies(sample: DataFrame) -> DataFrame:
@@ -105,7 +108,7 @@ def _document_frequencies(sample: DataFrame) -> DataFrame:
 
 def _values(sample: DataFrame, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and rate of the sample's selected features, and its labels."""
-    known = sample.sparkSession.sparkContext.broadcast(ids)  # at most MAX_FEATURES and the identity terms
+    known = sample.sparkSession.sparkContext.broadcast(ids)  # fewer than DIM
 
     def run(batches):
         for batch in batches:
@@ -157,8 +160,8 @@ def _descend(row, col, val, y, n_cols, swaps, l2, swap, steps) -> tuple[np.ndarr
     return w / spread, b
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, max_features: int = MAX_FEATURES,
-        min_z: float = MIN_Z, l2: float = L2, swap: float = SWAP, steps: int = STEPS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, min_z: float = MIN_Z,
+         l2: float = L2, swap: float = SWAP, steps: int = STEPS) -> Model:
     rows = _sample(docs, labels, label, sample).persist()
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     pos, neg = counts.get(1, 0), counts.get(0, 0)
@@ -168,8 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     a, b = F.col("a") / max(pos, 1), F.col("b") / max(neg, 1)
     p = (F.col("a") + F.col("b")) / (pos + neg)
     z = (a - b) / F.sqrt(p * (1 - p) * (1 / max(pos, 1) + 1 / max(neg, 1)) + 1e-9)
-    top = (_document_frequencies(rows).where(F.col("a") + F.col("b") >= 3).select("id", F.abs(z).alias("z")).where(F.col("z") >= min_z)
-           .orderBy(F.desc("z"), "id").limit(max_features).collect())
+    top = _document_frequencies(rows).where(F.col("a") + F.col("b") >= 3).where(F.abs(z) >= min_z).select("id").collect()
     terms = _terms()
     ids = np.unique(np.concatenate([np.array([r["id"] for r in top], np.int64), *[t for _, _, t in terms]]))
     row, col, val, y = _values(rows, ids)
