@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from hourcast.llm.quality_rules import ledger
 from hourcast.llm.textbatch import SPACE_WORDS, by_document, chunks, mix, row_key, utf8, word_hashes, word_spans
+from hourcast.session import cut_lineage
 
 DIM = 1 << 14
 SAMPLE = 8_000
@@ -125,7 +126,7 @@ def _fit(rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, y: np.ndarray) ->
 
 def classify(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, posterior (of the votes), score (of the scorer) and predicted (1: good) for every row."""
-    ballots = votes(docs).persist()
+    ballots = cut_lineage(votes(docs))  # three numbers a row, read three times
     counted = ballots.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most 3^labellers rows
     patterns, counts = counted.column("pattern").to_numpy().astype(np.int64), counted.column("n").to_numpy().astype(float)
     post, _, good = estimate(patterns, counts)
@@ -137,7 +138,8 @@ def classify(docs: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD
               .orderBy(F.xxhash64("doc_id", "row_key"), "doc_id").limit(sample))
     texts = docs.select("doc_id", "text", row_key().alias("row_key")).alias("d")
     c = F.broadcast(chosen).alias("c")  # at most ``sample`` rows
-    train = texts.join(c, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.row_key") == F.col("c.row_key"))).select("d.text", "c.posterior")
+    train = (texts.join(c, F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.row_key") == F.col("c.row_key")))
+             .groupBy("c.doc_id", "c.row_key").agg(F.min(F.coalesce("d.text", F.lit(""))).alias("text"), F.first("c.posterior").alias("posterior")))  # repeated rows once
 
     def gather(batches):
         for batch in batches:

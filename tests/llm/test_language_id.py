@@ -51,3 +51,40 @@ def test_filter_returns_all_languages_of_a_gram(spark, table):
     assert len(model.langs) == 70 and np.all(shares > 0.9)
     gram, doc, _ = L.ngrams([chr(0x4E00 + 66) * 9])
     assert model.shares(gram, doc, 1)[0].argmax() == 66
+
+
+def slow_grams(text):
+    out, word = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            padded = "\0" + word + "\0"
+            out += [padded[i:i + n] for n in L.GRAMS for i in range(len(padded) - n + 1)]
+            word = ""
+    return out
+
+
+def test_predictions_equal_exact_membership(table):
+    """A slow reference with sets instead of the filter: the filter's false positives are taken out of the shares."""
+    rng = random.Random(11)
+    mixed = lambda: " ".join(rng.choice(WORDS[rng.choice(sorted(WORDS))].split()) + rng.choice(["", ".", "-x", "é"]) for _ in range(25))
+    data = rows(80, seed=4) + [(2000 + i, mixed(), None) for i in range(60)] + [(3000, "zzz qqq", None), (3001, "a", None), (3002, "Über ÉTÉ", None)]
+    counts = {}
+    for i, t, lang in data:
+        if lang and zlib.crc32(str(i).encode()) % 4 != 2:
+            for g in slow_grams(t):
+                counts.setdefault(lang, {}).setdefault(g, 0)
+                counts[lang][g] += 1
+    totals = {k: sum(c.values()) for k, c in counts.items()}
+    known = {k: {g for g, n in c.items() if n >= totals[k] * L.MIN_SHARE} for k, c in counts.items()}
+    for r in L.report(table(data)).collect():
+        grams = slow_grams(dict((i, t) for i, t, _ in data)[r.doc_id])
+        share = {k: sum(g in known[k] for g in grams) / max(len(grams), 1) for k in sorted(known)}
+        best = max(sorted(share), key=lambda k: share[k])
+        if not sum(share.values()):
+            assert r.score == 0 and r.lang_pred == max(totals, key=totals.get)
+            continue
+        runner_up = sorted(share.values())[-2]
+        assert abs(r.score - share[best] / sum(share.values())) < 1e-3
+        assert r.lang_pred == best or share[best] - runner_up < 1e-3

@@ -58,3 +58,24 @@ def test_columns_with_helper_names(clashing, edges):
     assert out.columns == [*clashing.columns, "shard", "slot"]
     assert sorted(map(str, out.select("doc_id", "text", "shard", "slot").collect())) == sorted(map(str, H.shard(edges).select("doc_id", "text", "shard", "slot").collect()))
     assert out.select(*clashing.columns[4:]).distinct().count() == 1
+
+
+def test_placing_equals_a_slow_reference(table):
+    """All rows sorted by (key, doc_id, hash) in one place: shards are consecutive runs of equal bytes, slots count within them."""
+    rng = random.Random(9)
+    rows = [(i, "y" * rng.randint(0, 400)) for i in range(1500)] + [(9000 + i, "the same text " * 5) for i in range(400)] + [(1, None)] * 3
+    docs = table(rows)
+    order = sorted(((r["__key"], r.doc_id, r["__tie"], r["__size"]) for r in H.keyed(docs).collect()))
+    got = {}
+    for r in H.keyed(H.shard(docs, shards=7)).collect():
+        got.setdefault((r["__key"], r.doc_id, r["__tie"]), []).append((r.shard, r.slot))
+    total, below, last, slot = sum(o[3] for o in order), 0, 0, 0
+    for key, doc_id, tie, size in order:
+        at = sorted(got[key, doc_id, tie]).pop(0)
+        got[key, doc_id, tie].remove(at)
+        slot = 0 if at[0] != last else slot
+        assert at == (at[0], slot) and at[0] - last in (0, 1)
+        if at[0] != last:  # a splitter: the bytes below it are near its goal
+            assert abs(below - total * at[0] / 7) <= 0.01 * total / 7 + 401
+        last, slot, below = at[0], slot + 1, below + size
+    assert last == 6
