@@ -9,8 +9,9 @@ same set are one class, so copies never meet. The join is exact:
 2. Prefixes: linked sets share a shingle among the first ``n - ceil(share * n) + 1`` of each. Only these are
    shuffled, packed by bucket; a bucket keeps the shingles that two classes of fitting sizes or more have. A class
    whose shared shingles can't add up to what any of these sizes requires is done.
+   The list of a very common shingle is dealt to several buckets.
 3. Groups: a class joins the leader with which it shares most of them. A group is cut into blocks of about
-   ``BLOCK`` classes of one leader and size class: the columns of the token-group matrix.
+   ``BLOCK`` classes, or ``GROUP_SHINGLES`` shingles, of one leader and size class: the columns of the token-group matrix.
 4. Hub round: in each leader's group all classes are held against one block. What links there is settled,
    which leaves large groups of near copies with a few components.
 5. Exact round: a class is a query to every block with which it shares enough prefix shingles to reach the
@@ -38,8 +39,8 @@ from pyspark.sql import functions as F
 
 from hourcast.llm.components import connected
 from hourcast.llm.keyfilter import maybe_in
-from hourcast.llm.spill import bucket_count, group_starts, pack, packed_batch, unpack
-from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, free_name, lower_ascii, row_key, utf8,
+from hourcast.llm.spill import bucket_keys, group_starts, pack, packed_batch, unpack
+from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, free_name, lower_ascii, mix, row_key, utf8,
                                     word_hashes, word_spans)
 from hourcast.session import cut_lineage
 
@@ -48,6 +49,8 @@ SHARE = 80  # percent
 HOT = 1 << 16  # shingles that come last in the order: 0.5 MB
 BLOCK = 256  # classes in a block
 QUERIES = 4096  # queries that one task holds against a block
+GROUP_SHINGLES = 1 << 21  # of a block's classes, and of the queries that one task holds against it: 16 MB each
+SPLIT = 1 << 18  # classes from which on a hot shingle's list is dealt to several buckets
 _FLUSH = 1 << 19  # shingles that a task gathers before it passes them on
 _CLASS = 12  # bytes of a class id: 4 of the set's size, big-endian, and 8 of its hash
 
@@ -108,9 +111,15 @@ def class_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
         run, "doc_id bigint, row_key bigint, n_shingles bigint, cls binary")
 
 
+class Hot(np.ndarray):
+    """Sorted shingles; ``counts`` holds how often each was seen, where that is known."""
+
+    counts: np.ndarray | None = None
+
+
 def hot_shingles(docs: DataFrame, words: int = WORDS, limit: int = HOT) -> np.ndarray:
-    """Shingles that are frequent within tasks, the most frequent ``limit`` of them. Which ones they are
-    touches the order of shingles only, and with it the speed, never the result."""
+    """Shingles that are frequent within tasks, the most frequent ``limit`` of them, with their counts. Which ones they
+    are touches the order of shingles and the dealing of lists only, and with it the speed, never the result."""
 
     def run(batches):
         seen, held, n = set(), [], 0
@@ -136,7 +145,12 @@ def hot_shingles(docs: DataFrame, words: int = WORDS, limit: int = HOT) -> np.nd
 
     top = (documents(docs).mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "token").limit(limit))
-    return np.sort(np.array([r["token"] for r in top.collect()], np.int64).astype(np.uint64))
+    rows = top.collect()
+    tokens, n = np.array([r["token"] for r in rows], np.int64).astype(np.uint64), np.array([r["n"] for r in rows], np.int64)
+    order = np.argsort(tokens)
+    hot = tokens[order].view(Hot)
+    hot.counts = n[order]
+    return hot
 
 
 def _ordered(x: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -147,14 +161,22 @@ def _ordered(x: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.concatenate([x[~is_hot], x[is_hot]]) if is_hot.any() else x
 
 
-def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share: int = SHARE) -> DataFrame:
+def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share: int = SHARE,
+                    split: int | None = None) -> DataFrame:
     """(token, cls, leader): prefix shingles that a class shares with another one of a size it could link with.
 
     Each shingle has one representative class; a class's leader represents most of its shingles. Rows of a class
     whose shingles can't add up to the number that a link with any of these sizes takes are left out.
+
+    The list of a hot shingle (seen ``split`` times or more) is dealt to several buckets by class, so no task gets it whole. There
+    the shingle itself is the representative, and the least requirement of any size that could link is taken.
     """
-    n_buckets = bucket_count(docs.sparkSession)
-    hot_value = docs.sparkSession.sparkContext.broadcast(hot)  # at most HOT values
+    keys = bucket_keys(docs)
+    context = docs.sparkSession.sparkContext
+    hot_value = context.broadcast(np.asarray(hot))  # at most HOT values
+    counts, split = getattr(hot, "counts", None), split or SPLIT
+    dealt = {} if counts is None else {int(t) >> 16: int(_ceil(int(n), split)) for t, n in zip(hot, counts) if n >= split}
+    split_value = context.broadcast((np.array(sorted(dealt), np.uint64), np.array([dealt[t] for t in sorted(dealt)], np.uint64)))  # at most HOT
 
     def post(batches):
         seen, tokens, classes, n = set(), [], [], 0
@@ -163,7 +185,13 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share:
             rec, token = np.empty(n, _POSTING), np.concatenate(tokens) >> np.uint64(16)
             rec["token"], rec["token2"] = token & np.uint64(0xFFFFFFFF), token >> np.uint64(32)
             rec["cls"] = np.repeat(np.array([c for c, _ in classes]), [k for _, k in classes])
-            return packed_batch(list(pack(token % np.uint64(n_buckets), rec)))
+            lists, parts = split_value.value
+            if len(lists):
+                at = np.minimum(np.searchsorted(lists, token), len(lists) - 1)
+                many = np.flatnonzero(lists[at] == token)
+                own = np.frombuffer(np.ascontiguousarray(rec["cls"][many]).tobytes(), np.uint8).reshape(-1, _CLASS)[:, 4:].copy().view("<u8").ravel()
+                token[many] = mix(token[many] * np.uint64(31) + own % parts[at[many]])
+            return packed_batch(list(pack(token, rec, keys)))
 
         for batch in batches:
             for part in chunks(batch):
@@ -186,12 +214,13 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share:
         token = rec["token"].astype(np.int64) | rec["token2"].astype(np.int64) << 32
         order = np.argsort(token, kind="stable")
         token = token[order]
-        many = _repeated(token)
+        dealt = lambda t: np.isin(t, split_value.value[0].astype(np.int64))
+        many = _repeated(token) | dealt(token)
         token, cls = token[many], rec["cls"][order][many]
         order = np.lexsort((cls, token))
         token, cls = token[order], cls[order]
         one = group_starts(token, cls)  # a class that several tasks have posted counts once
-        many = _repeated(token[one])
+        many = _repeated(token[one]) | dealt(token[one])
         token, cls = token[one][many], cls[one][many]
         if not len(token):
             return pa.table({"token": pa.array([], pa.int64()), "cls": pa.array([], pa.binary()), "rep": pa.array([], pa.binary()), "need": pa.array([], pa.int32())})
@@ -208,11 +237,19 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share:
         order = np.lexsort((own, token))
         first = group_starts(token)
         rep = np.repeat(cls[order][first], np.diff(np.append(first, len(token))))
+        part = dealt(token)
+        if part.any():
+            ok |= part
+            need = np.where(part, np.minimum(_need(share, n, -(-share * n // 100)), _need(share, n, 100 * n // share)), need)
+            stand = np.zeros((int(part.sum()), _CLASS), np.uint8)
+            stand[:, 3:_CLASS - 1] = token[part].astype("<u8").view(np.uint8).reshape(-1, 8)
+            stand[:, -1] = 1
+            rep[part] = np.frombuffer(stand.tobytes(), f"S{_CLASS}")
         return pa.table({"token": pa.array(token[ok]), "cls": pa.array(cls[ok].tolist(), pa.binary()), "rep": pa.array(rep[ok].tolist(), pa.binary()),
                          "need": pa.array(np.maximum(need[ok] - 1, 1).astype(np.int32))})
 
     packed = documents(docs).mapInArrow(post, "bucket int, cell binary")
-    lists = packed.groupBy("bucket").applyInArrow(settle, "token bigint, cls binary, rep binary, need int")
+    lists = packed.repartition(len(keys), "bucket").groupBy("bucket").applyInArrow(settle, "token bigint, cls binary, rep binary, need int")
     # A link of x that takes k shingles shows k rows of x with a need of k or less.
     own = Window.partitionBy("cls")
     lists = lists.withColumn("needs", F.sort_array(F.collect_list("need").over(own)))
@@ -241,8 +278,8 @@ def class_sets(docs: DataFrame, table: DataFrame, info: DataFrame, words: int =
 
     One document stands for a class. A bit filter picks the documents whose set is shuffled; the join is exact.
     """
-    stand = (table.join(info.select("cls"), "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "row_key")).alias("r"))
-             .select("r.doc_id", "r.row_key"))
+    one = table.where("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "row_key")).alias("r"))  # copies shrink within tasks
+    stand = one.join(info.select("cls"), "cls", "left_semi").select("r.doc_id", "r.row_key")
     maybe = maybe_in(cut_lineage(stand), "doc_id", "row_key")
 
     def run(batches):
@@ -316,9 +353,14 @@ def _open(rows: DataFrame, share: int) -> DataFrame:
     return rows.groupBy("block", "salt").applyInArrow(run, "a binary, b binary")
 
 
+def _parts(rows: int):
+    """Parts of a group (with sets of n shingles) that hold about ``rows`` classes and ``GROUP_SHINGLES`` at most, as an aggregate."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / rows, F.sum("n") / GROUP_SHINGLES))
+
+
 def _salted(members: DataFrame, queries: DataFrame, *extra: str) -> DataFrame:
-    """Rows for ``_open``: blocks with many queries get several tasks, each with the block's members."""
-    salts = queries.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("salts"))
+    """Rows for ``_open``: blocks with many queries, or long ones, get several tasks, each with the block's members."""
+    salts = queries.groupBy("block").agg(_parts(QUERIES).cast("int").alias("salts"))
     cols = ["block", "salt", "member", "within", "cls", "comp", "n", *extra]
     q = (queries.join(salts, "block").withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("salts")).cast("int"))
          .withColumns({"member": F.lit(False), "within": F.lit(False)}).select(cols))
@@ -332,7 +374,7 @@ def _blocks(info: DataFrame, key: list[str]) -> DataFrame:
     """``info`` (cls, n, leader, ...) with blocks of about ``BLOCK`` classes of equal ``key`` and size class, and their sizes' range."""
     info = info.withColumn("size_class", F.floor(F.log(F.col("n")) / F.log(F.lit(1.05))))
     key = [*key, "size_class"]
-    count = info.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("splits"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
+    count = info.groupBy(*key).agg(_parts(BLOCK).alias("splits"), F.min("n").alias("n_min"), F.max("n").alias("n_max"))
     same = [F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key]
     on = same[0]
     for s in same[1:]:
@@ -359,12 +401,19 @@ def _asks(lists: DataFrame, info: DataFrame, share: int) -> DataFrame:
     matrix = tokens.select("token", F.col("lead").alias("g_lead"), "g_big", F.col("block").alias("g_block"), "n_min", "n_max").distinct()
     overlap = lambda m: F.ceil(share * (F.col("n") + m) / (100 + share))
     need = F.least(1 - F.ceil(share * F.col("n") / 100) + overlap(lo), 1 - F.ceil(share * hi / 100) + overlap(hi))
-    found = (q.join(matrix, "token").where(open_ & (F.col("lead") != F.col("g_lead")))
+    # Pairs of leaders that share a shingle come first: queries meet blocks of other leaders only, never all of their own.
+    leads = tokens.select("token", "lead").distinct()
+    pairs = leads.join(leads.withColumnRenamed("lead", "g_lead"), "token").where("lead <> g_lead")
+    found = (q.join(pairs, ["token", "lead"]).join(matrix, ["token", "g_lead"]).where(open_)
              .groupBy("q", "g_block").agg(F.count(F.lit(1)).alias("shared"), F.min(need).alias("need"))
              .where(F.col("shared") >= F.col("need") - 1).select("q", "g_block"))
-    large = slim.where("blocks > 1")
-    blocks = large.select("lead", "g_big", F.col("block").alias("g_block"), "n_min", "n_max").distinct()
-    found = found.unionByName(large.drop("g_big", "n_min", "n_max").join(blocks, "lead").where(open_).select(F.xxhash64("cls").alias("q"), "g_block"))
+    # Within a leader's group the same for large components: queries meet blocks of other components only.
+    large = slim.where("blocks > 1").withColumn("part", F.coalesce("g_big", F.lit(0)))
+    blocks = large.select("lead", "g_big", F.col("part").alias("g_part"), F.col("block").alias("g_block"), "n_min", "n_max").distinct()
+    parts = large.select("lead", "part").distinct()
+    apart = parts.join(parts.withColumnRenamed("part", "g_part"), "lead").where("part <> g_part or part = 0")
+    own = large.drop("g_big", "n_min", "n_max").join(apart, ["lead", "part"]).join(blocks, ["lead", "g_part"]).where(open_)
+    found = found.unionByName(own.select(F.xxhash64("cls").alias("q"), "g_block"))
     return (info.withColumn("q", F.xxhash64("cls")).join(found.distinct(), "q").select("cls", "comp", "n", F.col("g_block").alias("block")))
 
 
@@ -376,7 +425,7 @@ def links(docs: DataFrame, table: DataFrame, words: int = WORDS, share: int = SH
         up = leaders.select(F.col("cls").alias("leader"), F.col("leader").alias("upper"))
         leaders = leaders.join(up, "leader", "left").select("cls", F.coalesce("upper", "leader").alias("leader"))
     info = leaders.withColumn("n", _size_of("cls"))
-    group = info.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    group = info.groupBy("leader").agg(_parts(BLOCK).alias("blocks"))
     info = cut_lineage(info.join(group, "leader"))
     at = cut_lineage(class_sets(docs, table, info, words))
 

@@ -10,17 +10,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from hourcast.llm.textbatch import give_back
 
 
-def bucket_count(spark: SparkSession, per_partition: int = 4) -> int:
-    return per_partition * int(spark.conf.get("spark.sql.shuffle.partitions"))
+BUCKET_BYTES = 16 << 20  # of text behind the records of a bucket
 
 
-def pack(bucket: np.ndarray, records: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(bucket, bytes) of a structured array, in bucket order."""
+def bucket_keys(docs: DataFrame, text: str = "text", bucket_bytes: int = BUCKET_BYTES, per_partition: int = 2) -> np.ndarray:
+    """A key for each bucket; ``repartition(len(keys), "bucket")`` gives every bucket a partition of its own.
+
+    There are as many buckets as the texts' bytes ask for, ``per_partition`` for each shuffle partition at least, so a
+    bucket's size does not grow with the input.
+    """
+    spark = docs.sparkSession
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    n = max(per_partition * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // bucket_bytes))
+    # Of the first numbers one for each partition that hash partitioning deals them to; 16 n leave e^-16 of them without.
+    at = F.pmod(F.hash(F.col("k")), F.lit(n)).alias("part")
+    found = spark.range(16 * n).select(F.col("id").cast("int").alias("k")).select("k", at).groupBy("part").agg(F.min("k").alias("k"))
+    return np.array(sorted(r["k"] for r in found.collect()), np.int32)  # n numbers
+
+
+def pack(token: np.ndarray, records: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """(bucket key, bytes) of a structured array, dealt by ``token``, in bucket order."""
+    bucket = keys[(token % np.uint64(len(keys))).astype(np.int64)]
     order = np.argsort(bucket, kind="stable")
     bucket, records = bucket[order], records[order]
     cuts = np.flatnonzero(np.diff(bucket)) + 1

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.llm.keyfilter import maybe_in
-from hourcast.llm.spill import bucket_count, group_starts, pack, packed_batch, unpack
+from hourcast.llm.spill import bucket_keys, group_starts, pack, packed_batch
 from hourcast.llm.textbatch import Rolling, chunks, mix, row_key, utf8
 from hourcast.session import cut_lineage
 
@@ -104,14 +104,13 @@ def _ranges(blob: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     return _merge(r[:, 0], r[:, 1])
 
 
-def _level(texts: DataFrame, q: int, width: int) -> DataFrame:
+def _level(texts: DataFrame, q: int, width: int, buckets: np.ndarray) -> DataFrame:
     """id, row_key, settled, open: ranges of string starts, as packed (start, end) pairs, for rows that have any.
 
     texts: id, row_key, text and, below the first level, open (packed ranges).
     """
     v, _ = difference_cover(q)
-    n_buckets = bucket_count(texts.sparkSession, per_partition=2)
-    n_gather = max(1, n_buckets // 4)  # ranges are few beside suffix records
+    gathered = buckets[::4]  # ranges are few beside suffix records
     inner = "open" in texts.columns
 
     def post(batches):
@@ -135,8 +134,8 @@ def _level(texts: DataFrame, q: int, width: int) -> DataFrame:
             send[cls[np.searchsorted(cls, group)[in_group > 1] + 1]] = True
             known = np.concatenate([_stands_for(rec[rec["twice"] > 0], v, True), _stands_for(rec[several & first], v, False)])
             sent = rec[send]
-            cells = [(b, b"R" + _squeeze_records(np.frombuffer(x, _RECORD))) for b, x in pack((sent["key"] >> np.uint64(8)) % np.uint64(n_buckets), sent)]
-            cells += [(b, b"L" + _squeeze(np.frombuffer(x, _RANGE))) for b, x in pack(_row_bucket(known, n_buckets), known)]
+            cells = [(b, b"R" + _squeeze_records(np.frombuffer(x, _RECORD))) for b, x in pack(sent["key"] >> np.uint64(8), sent, buckets)]
+            cells += [(b, b"L" + _squeeze(np.frombuffer(x, _RANGE))) for b, x in pack(_row_token(known), known, buckets)]
             return packed_batch(cells)
 
         for batch in batches:
@@ -177,7 +176,7 @@ def _level(texts: DataFrame, q: int, width: int) -> DataFrame:
             first[cls] = True
             known += [_stands_for(rec[settled], v, True), _stands_for(rec[several & first], v, False)]
         known = np.concatenate(known)
-        batch = packed_batch([(b, _squeeze(np.frombuffer(x, _RANGE))) for b, x in pack(_row_bucket(known, n_gather), known)])
+        batch = packed_batch([(b, _squeeze(np.frombuffer(x, _RANGE))) for b, x in pack(_row_token(known), known, gathered)])
         return pa.Table.from_batches([batch])
 
     def gather(table: pa.Table) -> pa.Table:
@@ -192,8 +191,8 @@ def _level(texts: DataFrame, q: int, width: int) -> DataFrame:
         return pa.table({k: pa.array(x, pa.binary()) if k in ("settled", "open") else pa.array(x) for k, x in out.items()})
 
     packed = texts.select("id", "row_key", "text", *(["open"] if inner else [])).mapInArrow(post, "bucket int, cell binary")
-    ranges = packed.groupBy("bucket").applyInArrow(settle, "bucket int, cell binary")
-    return ranges.groupBy("bucket").applyInArrow(gather, "id bigint, row_key bigint, settled binary, open binary")
+    ranges = packed.repartition(len(buckets), "bucket").groupBy("bucket").applyInArrow(settle, "bucket int, cell binary")
+    return ranges.repartition(len(gathered), "bucket").groupBy("bucket").applyInArrow(gather, "id bigint, row_key bigint, settled binary, open binary")
 
 
 def _ties(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -202,8 +201,8 @@ def _ties(rec: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     return group, cls, np.diff(np.append(cls, len(rec))), np.diff(np.append(np.searchsorted(cls, group), len(cls)))
 
 
-def _row_bucket(r: np.ndarray, n: int) -> np.ndarray:
-    return mix(r["id"].astype(np.uint64) + r["row_key"].astype(np.uint64)) % np.uint64(n)
+def _row_token(r: np.ndarray) -> np.ndarray:
+    return mix(r["id"].astype(np.uint64) + r["row_key"].astype(np.uint64))
 
 
 def _joined(r: np.ndarray) -> np.ndarray:
@@ -298,9 +297,9 @@ def _picked(rows: DataFrame, named: DataFrame, columns: list[str]) -> DataFrame:
 def repeated_starts(docs: DataFrame, width: int = WIDTH, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """id, row_key and starts: packed ranges of the positions whose ``width`` bytes start elsewhere too."""
     found, rows = [], _rows(docs)
-    texts = rows
+    texts, buckets = rows, bucket_keys(rows)
     for i, q in enumerate(levels):
-        got = cut_lineage(_level(texts, q, width))
+        got = cut_lineage(_level(texts, q, width, buckets))
         found.append(got.where(F.octet_length("settled") > 0).select("id", "row_key", "settled"))
         if i + 1 < len(levels):
             texts = _picked(rows, got.where(F.octet_length("open") > 0), ["open"])

@@ -110,3 +110,50 @@ def test_columns_with_helper_names(clashing, edges):
     assert out.columns == clashing.columns
     assert sorted(map(str, out.select("doc_id", "text").collect())) == sorted(map(str, J.keep_one(edges).select("doc_id", "text").collect()))
     assert out.select(*clashing.columns[4:]).distinct().count() == 1
+
+
+def near_copies(n, seed=1):
+    """A third of all documents are near copies of one text, each with a text of its own."""
+    rng = random.Random(seed)
+    vocabulary = ["v%d" % i for i in range(5000)]
+    text = [rng.choice(vocabulary) for _ in range(90)]
+    rows = []
+    for i in range(n):
+        if i % 3:
+            w = [rng.choice(vocabulary) for _ in range(rng.randint(20, 60))]
+        else:
+            w = list(text)
+            w[rng.randrange(len(w))] = f"own{i}"
+        rows.append((i, " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("split", [4, 11])
+def test_lists_of_hot_shingles_are_dealt_to_several_buckets(table, monkeypatch, split):
+    monkeypatch.setattr(J, "SPLIT", split)
+    monkeypatch.setattr(J, "BLOCK", 16)
+    for rows in (near_copies(240), clusters(5)):
+        docs = table(rows)
+        hot = J.hot_shingles(docs)
+        assert (hot.counts >= split).any()
+        assert rows_of(J.report(docs)) == brute(rows)
+
+
+def test_long_sets_fill_blocks_by_their_shingles(table, monkeypatch):
+    monkeypatch.setattr(J, "GROUP_SHINGLES", 300)
+    rows = near_copies(120)
+    assert rows_of(J.report(table(rows))) == brute(rows)
+
+
+def test_bucket_keys_fill_every_partition(table):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from hourcast.llm import spill
+
+    docs = table([(i, "x" * 1000) for i in range(300)])
+    for size in (1 << 20, 2000):
+        keys = spill.bucket_keys(docs, bucket_bytes=size)
+        assert len(keys) == max(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-300_000 // size))
+        df = docs.sparkSession.createDataFrame([(int(k),) for k in keys], "bucket int").repartition(len(keys), "bucket")
+        assert df.select(F.spark_partition_id()).distinct().count() == len(keys) == len(np.unique(keys))
