@@ -77,9 +77,20 @@ def training_rows(df: DataFrame, keys, time_col: str, target: str, horizon: int
     a = anchor_features(df, keys, time_col, target, lags).dropna(subset=[_lag_name(k) for k in lags])
     if anchor_stride > 1:
         a = a.filter((F.col("pos") % anchor_stride) == 0)
-    steps = horizon_steps(a, horizon, time_col)
+    return labelled_steps(a, df, keys, time_col, target, horizon)
+
+
+def bounded_anchors(anchors: DataFrame, horizon: int = HORIZON, limit: int = MAX_FIT_ROWS) -> DataFrame:
+    """Anchors (by hash) whose ``horizon`` steps make at most about ``limit`` rows: chosen before they are fanned out."""
+    every = -(-anchors.count() * horizon // limit)
+    return anchors if every <= 1 else anchors.filter(F.pmod(F.xxhash64(*anchors.columns), F.lit(every)) == 0)
+
+
+def labelled_steps(anchors: DataFrame, df: DataFrame, keys, time_col: str, target: str, horizon: int = HORIZON) -> DataFrame:
+    """(anchor, h) rows of ``anchors`` with the label = target observed exactly at anchor + h hours."""
+    keys = list(keys)
     label = df.select(*keys, F.col(time_col).alias("target_time"), F.col(target).alias("label"))
-    return steps.join(label, keys + ["target_time"])
+    return horizon_steps(anchors, horizon, time_col).join(label, keys + ["target_time"])
 
 
 def bounded_rows(rows: DataFrame, limit: int = MAX_FIT_ROWS) -> DataFrame:

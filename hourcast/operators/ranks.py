@@ -63,16 +63,12 @@ def text_pivots(counts: DataFrame, keys, value_col: str = "value", n_buckets: in
         return {}
     n_buckets = max(n_buckets, -(-max(nd.values()) // VALUES_PER_BUCKET))
     want = n_buckets * per_bucket
-    rate = None
-    for key, n in nd.items():
-        cond = None
-        for k, kv in zip(keys, key):
-            c = F.col(k).isNull() if kv is None else (F.col(k) == F.lit(kv))
-            cond = c if cond is None else cond & c
-        r = F.lit(min(1.0, want / max(n, 1)))
-        rate = F.when(cond, r) if rate is None else rate.when(cond, r)
+    # One row for each key, joined: the expression per row stays small whatever the number of keys.
+    spark = counts.sparkSession
+    rates = spark.createDataFrame([(*key, min(1.0, want / max(n, 1))) for key, n in nd.items()],
+                                  T.StructType([*[counts.schema[k] for k in keys], T.StructField("_rate", T.DoubleType())]))
     u = (F.pmod(F.xxhash64(F.col(value_col)), F.lit(1 << 30)) / F.lit(float(1 << 30)))
-    sample = counts.filter(u < rate).select(*keys, value_col).collect()
+    sample = counts.join(_hinted(rates, len(nd)), list(keys)).filter(u < F.col("_rate")).select(*keys, value_col).collect()
     by_key: dict = {}
     for r in sample:
         by_key.setdefault(tuple(r[k] for k in keys), []).append(r[value_col])

@@ -103,10 +103,16 @@ def _wide_numeric_sql(i: int) -> str:
     return f"CAST(((k * {i} + event_id) % 61) - 8 AS DOUBLE) / 2"
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores is dealt out over them; any larger one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def obs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourcast.schema import RAW_SCHEMA, WEATHER_COLUMNS
-    # 46 computed columns per row, then wide unpivots downstream: spread a single-split scan first
-    e = read(spark, sf_dir, "events").withColumn(
+    # 46 computed columns a row, and wide unpivots downstream: one small file would keep one core busy
+    e = _spread(read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")).withColumn(
         "k", F.get_json_object("props", "$.k").cast("bigint"))
     cols = []
     for i, f in enumerate(RAW_SCHEMA.fields):

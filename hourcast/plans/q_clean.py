@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hourcast.operators import clean
 from hourcast.plans import adapters as ad
 from hourcast.plans.catalog import register, sql_norm
-from hourcast.schema import RAW_SCHEMA, WEATHER_COLUMNS, WEATHER_KOREAN_COLUMNS
+from hourcast.schema import IMPOSSIBLE_NEGATIVE_COLUMNS, RAW_SCHEMA, WEATHER_COLUMNS, WEATHER_KOREAN_COLUMNS
 from hourcast.session import path_exists
 from hourcast.session_paths import scratch, state_tag, tag
 from hourcast.sources import files, html, lake, text
@@ -152,11 +152,10 @@ def q_clamp_negative(spark, sf_dir):
 
 @register("clamp_observations", oracle=sql_norm(
     "SELECT event_id, " + ", ".join(
-        f'CASE WHEN "{c}" < 0 THEN 0 ELSE "{c}" END AS "{c}"' for c in __import__("hourcast.schema", fromlist=["x"]).IMPOSSIBLE_NEGATIVE_COLUMNS)
+        f'CASE WHEN "{c}" < 0 THEN 0 ELSE "{c}" END AS "{c}"' for c in IMPOSSIBLE_NEGATIVE_COLUMNS)
     + " FROM obs_wide",
-    doubles=list(__import__("hourcast.schema", fromlist=["x"]).IMPOSSIBLE_NEGATIVE_COLUMNS), ints=["event_id"], with_=WIDE))
+    doubles=list(IMPOSSIBLE_NEGATIVE_COLUMNS), ints=["event_id"], with_=WIDE))
 def q_clamp_observations(spark, sf_dir):
-    from hourcast.schema import IMPOSSIBLE_NEGATIVE_COLUMNS
     df = ad.obs_wide(spark, sf_dir).select("event_id", *IMPOSSIBLE_NEGATIVE_COLUMNS)
     return clean.clamp_negative(df)
 

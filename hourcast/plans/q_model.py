@@ -52,12 +52,21 @@ def q_rmse(spark, sf_dir):
     return p.groupBy(*KEYS).agg(F.sqrt(F.avg(d * d)).alias("RMSE"), F.count(F.lit(1)).alias("n"))
 
 
-def _rows(spark, sf_dir):
-    """All (anchor, step 1..168) rows of the hourly series, cut by target time at the last week."""
+def _anchors(spark, sf_dir):
+    """The hourly series, its anchors with their lags, and the last week's beginning."""
     h = ad.obs_hourly(spark, sf_dir).select(*KEYS, T, "Temperature")
     cut = h.agg(F.max(T)).first()[0] - dt.timedelta(hours=md.HORIZON)
-    rows = cut_lineage(md.training_rows(h, KEYS, T, "Temperature", md.HORIZON))  # iterative fits read these many times
-    return h, *md.before_and_after(rows, cut)
+    return h, cut_lineage(md.anchor_features(h, KEYS, T, "Temperature").dropna()), cut
+
+
+def _rows(spark, sf_dir):
+    """(anchor, step 1..168) rows cut by target time at the last week: those of a bounded number of anchors for the fit, and
+    all for validation. Anchors are chosen first, so only rows that are used are fanned out."""
+    h, anchors, cut = _anchors(spark, sf_dir)
+    near = anchors.filter(F.col(T) > F.lit((cut - dt.timedelta(hours=md.HORIZON)).isoformat(sep=" ")).cast("timestamp_ntz"))
+    train, _ = md.before_and_after(md.labelled_steps(md.bounded_anchors(anchors), h, KEYS, T, "Temperature"), cut)
+    _, val = md.before_and_after(md.labelled_steps(near, h, KEYS, T, "Temperature"), cut)
+    return h, cut_lineage(train), cut_lineage(val)  # iterative fits and four models read these many times
 
 
 def _report(spark, sf_dir):
@@ -66,7 +75,7 @@ def _report(spark, sf_dir):
     path = scratch(spark, "model_report", state_tag(spark, sf_dir, "events"))
     if not path_exists(spark, path + "/_SUCCESS"):
         _, train, val = _rows(spark, sf_dir)
-        fitted = md.fit_models(cut_lineage(md.bounded_rows(train)), md.feature_columns(), md.regressors())
+        fitted = md.fit_models(train, md.feature_columns(), md.regressors())
         report = md.evaluate_models(fitted, val).withColumn("n_scored", F.lit(val.count()))
         files.write_csv(report, path)
     return spark.read.option("header", "true").schema(schema).csv(path)
@@ -101,8 +110,8 @@ def q_top_models(spark, sf_dir):
 def _forecast(spark, sf_dir):
     root = scratch(spark, "forecast168", state_tag(spark, sf_dir, "events"))
     if not path_exists(spark, f"{root}/run_ts=20240131_0000/_SUCCESS"):
-        h, train, val = _rows(spark, sf_dir)
-        rows = cut_lineage(md.bounded_rows(train.unionByName(val)))
+        h, anchors, _ = _anchors(spark, sf_dir)
+        rows = cut_lineage(md.labelled_steps(md.bounded_anchors(anchors), h, KEYS, T, "Temperature"))
         model = md.fit_models(rows, md.feature_columns(), {"rf": md.regressors()["RandomForest"]})["rf"][0]
         files.write_forecast(md.forecast(model, h, KEYS, T, "Temperature", md.HORIZON), root, "20240131_0000")
     return files.latest_forecast(spark, root).drop("run_ts")
@@ -129,8 +138,8 @@ def q_forecast_168_times(spark, sf_dir):
 
 
 def _inference(spark, sf_dir):
-    h, train, _ = _rows(spark, sf_dir)
-    near = md.bounded_rows(train.filter("h <= 3"))
+    h, anchors, cut = _anchors(spark, sf_dir)
+    near, _ = md.before_and_after(md.labelled_steps(md.bounded_anchors(anchors, 3), h, KEYS, T, "Temperature", 3), cut)
     model = md.fit_models(cut_lineage(near), md.feature_columns(), {"lr": md.regressors()["LinearRegression"]})["lr"][0]
     p = model.transform(md.step_ahead(h, KEYS, T, "Temperature", md.HORIZON))
     t = F.col("target_time")

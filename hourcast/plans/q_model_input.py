@@ -3,11 +3,15 @@ encoding, feature alignment, last-week comparison."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hourcast.operators import advise, clean, encode, split
 from hourcast.plans import adapters as ad
 from hourcast.plans.catalog import register, sql_norm
+from hourcast.session_paths import scratch, tag
+from hourcast.sources import files
 
 HOURLY = ad.with_ctes("obs_hourly")
 WIDE = ad.with_ctes("obs_wide")
@@ -167,10 +171,22 @@ UNION ALL SELECT 'train', StationID, count(*) FROM ({POS_SQL}) WHERE n - pos >=
     ints=["n_rows"], with_=HOURLY))
 def q_split_write(spark, sf_dir):
     """S11 + P5: write train / val / latest run-stamped (time parts dropped), read back the counts."""
-    from hourcast.session_paths import scratch, tag
-    from hourcast.sources import files
     h = ad.obs_hourly(spark, sf_dir)
     parts = {k: clean.drop_time_parts(v) for k, v in split.tail_split_frames(h, KEYS, "ObservationTime").items()}
     root = files.write_splits(parts, scratch(spark, "splits", tag(sf_dir)), "20240131_0000")
     d = spark.read.parquet(root)
     return d.groupBy(F.col("split").alias("split_name"), "StationID").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("split_write_values", oracle=sql_norm(f"""SELECT * FROM (
+  SELECT 'val' AS split_name, StationID, ObservationTime, Temperature, n_events, '' AS time_parts FROM ({POS_SQL}) WHERE n - pos < 504
+  UNION ALL SELECT 'latest', StationID, ObservationTime, Temperature, n_events, '' FROM ({POS_SQL}) WHERE n - pos < 336
+  UNION ALL SELECT 'train', StationID, ObservationTime, Temperature, n_events, '' FROM ({POS_SQL}) WHERE n - pos >= 504)""",
+    doubles=["Temperature"], ints=["n_events"], ts=["ObservationTime"], with_=HOURLY))
+def q_split_write_values(spark, sf_dir):
+    """S11 + P5: every written row read back, and the names of the time parts that are still there (none)."""
+    h = ad.obs_hourly(spark, sf_dir)
+    parts = {k: clean.drop_time_parts(v) for k, v in split.tail_split_frames(h, KEYS, "ObservationTime").items()}
+    d = spark.read.parquet(files.write_splits(parts, scratch(spark, "split_values", uuid.uuid4().hex[:12]), "20240131_0000"))
+    left = ",".join(c for c in d.columns if c in ("year", "month", "day", "hour"))
+    return d.select(F.col("split").alias("split_name"), "StationID", "ObservationTime", "Temperature", "n_events", F.lit(left).alias("time_parts"))
