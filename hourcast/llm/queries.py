@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourcast.llm import (decontaminate, fill_in_middle, jaccard_join, language_id, packing, piece_codec, prefix_trie, quality_rules, secret_scan,
                           sharding, suffix_dedup, toxicity, weak_quality)
@@ -21,6 +22,11 @@ def _documents(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession,
     return lambda spark, sf_dir: fn(_table(spark, sf_dir, "documents"))
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.report(_table(spark, sf_dir, "documents"))
+    return done.withColumn("repeated", F.col("n_removed") > 0)  # the document loses bytes
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -35,7 +41,7 @@ def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op1_suffix_array_dedup": _documents(suffix_dedup.report),
+        "op1_suffix_array_dedup": op1_suffix_array_dedup,
         "op2_ngram_jaccard_join": _documents(jaccard_join.report),
         "op3_language_id": _documents(language_id.report),
         "op4_toxicity": op4_toxicity,
