@@ -48,7 +48,7 @@ WORDS = 5
 SHARE = 80  # percent
 HOT = 1 << 16  # shingles that come last in the order: 0.5 MB
 BLOCK = 256  # classes in a block
-QUERIES = 4096  # queries that one task holds against a block
+QUERIES = 1024  # queries that one task holds against a block
 GROUP_SHINGLES = 1 << 21  # of a block's classes, and of the queries that one task holds against it: 16 MB each
 SPLIT = 1 << 18  # classes from which on a hot shingle's list is dealt to several buckets
 _FLUSH = 1 << 19  # shingles that a task gathers before it passes them on
@@ -350,7 +350,8 @@ def _open(rows: DataFrame, share: int) -> DataFrame:
                         b.append(t["cls"][k])
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return rows.groupBy("block", "salt").applyInArrow(run, "a binary, b binary")
+    # Dealt by both: a block's salts would otherwise stay together where a join has dealt its rows by block.
+    return rows.repartition("block", "salt").groupBy("block", "salt").applyInArrow(run, "a binary, b binary")
 
 
 def _parts(rows: int):
