@@ -1,7 +1,8 @@
 """Training-data pipeline over ``documents``: five stages, each of which applies one operator to all that the one before kept.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``. ``run`` writes every stage's rows as Parquet into the shared
-checkpoint folder and reads them again, so a lost executor never costs more than the stage at hand.
+checkpoint folder and reads them again, so a lost executor never costs more than the stage at hand. A stage's folder
+is removed once the next one is written; only the last one's stays for the result.
 """
 
 from __future__ import annotations
@@ -64,9 +65,17 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    base = scratch(spark, "pipeline", uuid.uuid4().hex)
+    base, before = scratch(spark, "pipeline", uuid.uuid4().hex), ""
     for i, (name, stage) in enumerate(STAGES):
         path = f"{base}/{i}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if i:
+            _remove(spark, before)
+        before = path
     return docs
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
