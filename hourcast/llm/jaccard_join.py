@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from hourcast.llm.components import connected
 from hourcast.llm.keyfilter import maybe_in
 from hourcast.llm.spill import bucket_keys, group_starts, pack, packed_batch, unpack
-from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, free_name, lower_ascii, mix, row_key, utf8,
+from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, free_name, give_back, lower_ascii, mix, row_key, utf8,
                                     word_hashes, word_spans)
 from hourcast.session import cut_lineage
 
@@ -137,7 +137,7 @@ def hot_shingles(docs: DataFrame, words: int = WORDS, limit: int = HOT) -> np.nd
                         seen.add(c)
                         held.append(x)
                         n += len(x)
-                if n >= 4 * _FLUSH:
+                if n >= 2 * _FLUSH:
                     yield flush()
                     seen, held, n = set(), [], 0
         if held:
@@ -171,7 +171,7 @@ def shared_prefixes(docs: DataFrame, hot: np.ndarray, words: int = WORDS, share:
     The list of a hot shingle (seen ``split`` times or more) is dealt to several buckets by class, so no task gets it whole. There
     the shingle itself is the representative, and the least requirement of any size that could link is taken.
     """
-    keys = bucket_keys(docs)
+    keys = bucket_keys(docs, bucket_bytes=8 << 20, per_partition=4)  # a list takes several times its bytes while it is settled
     context = docs.sparkSession.sparkContext
     hot_value = context.broadcast(np.asarray(hot))  # at most HOT values
     counts, split = getattr(hot, "counts", None), split or SPLIT
@@ -348,6 +348,7 @@ def _open(rows: DataFrame, share: int) -> DataFrame:
                         parent[root(t["comp"][i])] = root(t["comp"][k])
                         a.append(t["cls"][i])
                         b.append(t["cls"][k])
+        give_back()
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     # Dealt by both: a block's salts would otherwise stay together where a join has dealt its rows by block.

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.llm.keyfilter import maybe_in
-from hourcast.llm.textbatch import free_name, row_key
+from hourcast.llm.textbatch import free_name, give_back, row_key
 from hourcast.session import cut_lineage
 
 # Kinds in order, and the base patterns of the contract.
@@ -94,6 +94,7 @@ def scan(docs: DataFrame, owner: str = "source") -> DataFrame:
             kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.int64()), ("live", pa.bool_())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), batch.column("owner"), pa.array(spans, kind)],
                                              names=["doc_id", "row_key", "owner", "spans"])
+            give_back()
 
     rows = docs.select("doc_id", "text", row_key().alias("row_key"), F.col(owner).cast("string").alias("owner"))
     return rows.mapInArrow(run, f"doc_id bigint, row_key bigint, owner string, spans array<{_SPAN}>")
@@ -170,6 +171,7 @@ def redact(docs: DataFrame, owner: str = "source", min_owners: int = MIN_OWNERS,
                         texts[i] = "".join([*keep, texts[i][last:]])
                 batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
             yield batch
+            give_back()
 
     rest = docs_keyed.where(~maybe("doc_id", key_name)).drop(key_name)
     return rest.unionByName(rows.mapInArrow(run, docs.schema))
