@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.components import connected
-from hourcast.llm.keyfilter import maybe_in
+from hourcast.llm.keyfilter import KeyFilter, hit, maybe_in
 from hourcast.llm.spill import bucket_keys, group_starts, pack, packed_batch, unpack
 from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, free_name, give_back, lower_ascii, mix, row_key, utf8,
                                     word_hashes, word_spans)
@@ -280,19 +280,21 @@ def class_sets(docs: DataFrame, table: DataFrame, info: DataFrame, words: int =
     """
     one = table.where("cls is not null").groupBy("cls").agg(F.min(F.struct("doc_id", "row_key")).alias("r"))  # copies shrink within tasks
     stand = one.join(info.select("cls"), "cls", "left_semi").select("r.doc_id", "r.row_key")
-    maybe = maybe_in(cut_lineage(stand), "doc_id", "row_key")
+    maybe = KeyFilter(cut_lineage(stand), "doc_id", "row_key")
+    mask = maybe.mask
 
     def run(batches):
         seen = set()
         for batch in batches:
+            batch = batch.filter(pa.array(hit(mask.value, batch.column("slot").to_numpy())))
             for part in chunks(batch):
                 out = {_class(x): x.tobytes() for x in shingle_sets(part, words) if len(x)}
                 new = [c for c in out if c not in seen]
                 seen.update(new)
                 yield pa.RecordBatch.from_arrays([pa.array(new, pa.binary()), pa.array([out[c] for c in new], pa.binary())], names=["cls", "set"])
 
-    d = documents(docs).withColumn("row_key", row_key())
-    sets = d.where(maybe("doc_id", "row_key")).select("text").mapInArrow(run, "cls binary, set binary")
+    rows = docs.select("text", maybe.slot("doc_id", row_key()).alias("slot"))
+    sets = rows.mapInArrow(run, "cls binary, set binary")
     return sets.join(info, "cls").dropDuplicates(["cls"])
 
 
