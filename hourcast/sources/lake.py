@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from hourcast import session
 from hourcast.functions import timefeat as tf
 from hourcast.schema import PARTITION_COLUMNS
-from hourcast.session import cut_lineage, path_exists
+from hourcast.session import path_exists
 
 EPOCH_MARK = dt.datetime(2000, 1, 1)
 
@@ -177,7 +178,7 @@ def merge_days(spark: SparkSession, new: DataFrame, root: str, keys=("StationID"
     existing = spark.read.parquet(root).filter(_day_number().isin(there)) if there else None
     merged = newest_rows(existing, b, keys, time_col, arrival)
     if there:
-        merged = cut_lineage(merged)
+        merged = session.cut_lineage(merged)
     write_days(merged, root, time_col, mode="dynamic")
     return len(touched)
 
