@@ -20,6 +20,7 @@ empty result. Further columns are ignored.
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
 from collections import defaultdict
 from functools import cache
@@ -31,13 +32,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourcast.llm.textbatch import SPACE_WORDS, Rolling, chunks, lower_ascii, utf8
-from hourcast.session import cut_lineage
+from hourcast.session_paths import scratch
 
 CAPACITY = 4096
 END_ID = 2
 SLACK = 0.04  # part of a place that may stay empty
 MAX_CACHE = 3 << 18  # words a worker remembers, 16 bytes and their ids each
 CHUNK = 1 << 20  # bytes of text that are encoded at once
+PART_BYTES = 32 << 20  # of ids in a partition when they move to their places
 SPREAD = 64  # numbers of a class are given out in as many groups for each shuffle partition
 
 
@@ -170,14 +172,14 @@ def cuts(n: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[int]:
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, slack: float = SLACK, ids: bool = False) -> DataFrame:
-    """doc_id, start, length, ids_crc32, doc_tokens, k (class), part (task), and ``ids`` if asked for."""
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k", "part"] + (["ids"] if ids else [])
+    """doc_id, start, length, ids_crc32, doc_tokens, k (class), part (task), piece (number within the task), and ``ids`` if asked for."""
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "k", "part", "piece"] + (["ids"] if ids else [])
 
     def run(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        tokenizer = None
+        tokenizer, made = None, 0
         for batch in batches:
             for b in chunks(batch, limit=CHUNK):
                 tokenizer = tokenizer or _tokenizer(path)
@@ -188,13 +190,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                     at = 0
                     for n in cuts(len(got), capacity, slack):
                         piece = got[at:at + n]
-                        for k, v in zip(names, (doc, at, n, zlib.crc32(piece.tobytes()), len(got), capacity // n, part, piece)):
+                        for k, v in zip(names, (doc, at, n, zlib.crc32(piece.tobytes()), len(got), capacity // n, part, made, piece)):
                             out[k].append(v)
-                        at += n
+                        at, made = at + n, made + 1
                 types = {"k": pa.int32(), "part": pa.int32(), "ids": pa.list_(pa.int32())}
                 yield pa.RecordBatch.from_arrays([pa.array(out[n], types.get(n, pa.int64())) for n in names], names=names)
 
-    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, k int, part int" + (", ids array<int>" if ids else "")
+    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, k int, part int, piece bigint" + (", ids array<int>" if ids else "")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -218,9 +220,25 @@ def _ends(rows: list[tuple], capacity: int) -> list[tuple]:
 
 
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, slack: float = SLACK, ids: bool = False) -> DataFrame:
-    """Pieces with sequence_id and offset; every id of every document lies in exactly one piece."""
-    rows = pieces(docs, path, capacity, end_id, slack, ids)
-    rows = cut_lineage(rows)  # tokens are made once; the numbering below reads this twice
+    """Pieces with sequence_id and offset; every id of every document lies in exactly one piece.
+
+    Tokens are made once and written to the shared scratch folder. Numbers and places come from the pieces' lengths
+    alone; ``ids`` are read again and moved once, in partitions of about ``PART_BYTES``, to the places found.
+    """
+    spark = docs.sparkSession
+    stored = scratch(spark, "pieces", uuid.uuid4().hex)
+    pieces(docs, path, capacity, end_id, slack, ids).write.parquet(stored)
+    stored = spark.read.parquet(stored)
+    placed = _place(stored.drop("ids"), capacity)
+    if not ids:
+        return placed.drop("part", "piece")
+    size = 4 * (stored.agg(F.sum("length")).first()[0] or 0)
+    n, key = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES)), ["part", "piece"]
+    return placed.repartition(n, *key).join(stored.select(*key, "ids").repartition(n, *key), key).drop(*key)
+
+
+def _place(rows: DataFrame, capacity: int) -> DataFrame:
+    """Pieces without ids, with sequence_id and offset; (part, piece) names a piece."""
     group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SPREAD)).cast("int")
     rows = rows.withColumn("grp", F.when(F.col("k") > 1, group).otherwise(F.lit(0))).withColumn("grp", F.col("part") * SPREAD + F.col("grp"))
     # Numbers within a class: rows before the group, and the place in the group.
@@ -231,8 +249,8 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     inner = Window.partitionBy("k", "span").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     counts = (counts.withColumn("span", F.floor(F.col("grp") / 4096)).withColumn("own", F.coalesce(F.sum("n").over(inner), F.lit(0)))
               .join(spans, ["k", "span"]).select("k", "grp", (F.col("before") + F.col("own")).alias("base")))
-    place = F.row_number().over(Window.partitionBy("k", "grp").orderBy("doc_id", "start", "ids_crc32")) - 1
-    rows = rows.withColumn("place", place).join(counts, ["k", "grp"]).withColumn("number", F.col("base") + F.col("place")).drop("place", "base", "grp", "part")
+    place = F.row_number().over(Window.partitionBy("k", "grp").orderBy("doc_id", "start", "ids_crc32", "part", "piece")) - 1
+    rows = rows.withColumn("place", place).join(counts, ["k", "grp"]).withColumn("number", F.col("base") + F.col("place")).drop("place", "base", "grp")
 
     # Classes in order: whole sequences first, then the open ends of all classes together.
     totals = sorted((r["k"], r["n"]) for r in counts_by_class(rows))
@@ -240,18 +258,18 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
     for k, n in totals:
         first[k] = base
         base += n // k
-    classes = docs.sparkSession.createDataFrame([(k, first[k], (n // k) * k) for k, n in totals], "k int, first bigint, whole bigint")
+    classes = rows.sparkSession.createDataFrame([(k, first[k], (n // k) * k) for k, n in totals], "k int, first bigint, whole bigint")
     rows = rows.join(F.broadcast(classes), "k")  # at most one row for each class
     tail = rows.where(F.col("number") >= F.col("whole")).select("k", "number", "length").collect()  # fewer than k for each class
     ends = _ends([(r["length"], (r["k"], r["number"])) for r in tail], capacity)
-    end = docs.sparkSession.createDataFrame([(k, n, base + b, o) for (k, n), b, o in ends], "k int, number bigint, end_sequence bigint, end_offset int")
+    end = rows.sparkSession.createDataFrame([(k, n, base + b, o) for (k, n), b, o in ends], "k int, number bigint, end_sequence bigint, end_offset int")
     rows = rows.join(F.broadcast(end), ["k", "number"], "left")
     in_bin = Window.partitionBy("sequence_id").orderBy("slot")
     rows = rows.withColumn("sequence_id", F.coalesce("end_sequence", F.col("first") + F.floor(F.col("number") / F.col("k"))))
     rows = rows.withColumn("slot", F.coalesce(F.col("end_offset").cast("bigint"), F.pmod("number", F.col("k"))))
     start = F.coalesce(F.sum("length").over(in_bin.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.withColumn("offset", start.cast("bigint")).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("sequence_id").cast("bigint").alias("sequence_id"), "offset", *(["ids"] if ids else []))
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("sequence_id").cast("bigint").alias("sequence_id"), "offset", "part", "piece")
 
 
 def counts_by_class(rows: DataFrame) -> list:
