@@ -7,6 +7,7 @@ is removed once the next one is written; only the last one's stays for the resul
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,10 +73,17 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = spark.read.parquet(path)
         if i:
             _remove(spark, before)
+        _forget(spark)
         before = path
     return docs
 
 
+def _forget(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of frames that nothing refers to any more when the driver collects garbage: have it do so."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
