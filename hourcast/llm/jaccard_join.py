@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from hourcast.llm.components import connected
 from hourcast.llm.keyfilter import KeyFilter, hit, maybe_in
-from hourcast.llm.spill import bucket_keys, group_starts, pack, packed_batch, unpack
+from hourcast.llm.spill import bucket_keys, forget, group_starts, pack, packed_batch, unpack
 from hourcast.llm.textbatch import (SPACE_WORDS, Rolling, by_document, chunks, documents, free_name, give_back, lower_ascii, mix, row_key, utf8,
                                     word_hashes, word_spans)
 from hourcast.session import cut_lineage
@@ -432,6 +432,7 @@ def links(docs: DataFrame, table: DataFrame, words: int = WORDS, share: int = SH
     group = info.groupBy("leader").agg(_parts(BLOCK).alias("blocks"))
     info = cut_lineage(info.join(group, "leader"))
     at = cut_lineage(class_sets(docs, table, info, words))
+    forget(docs.sparkSession)
 
     # Hub round: one block of each leader's group, and all others of the group as its queries.
     here = at.withColumns({"block": F.xxhash64("leader"), "comp": F.col("cls"), "within": F.lit(True),
@@ -440,6 +441,7 @@ def links(docs: DataFrame, table: DataFrame, words: int = WORDS, share: int = SH
 
     # Blocks of the matrix: one leader, one large component or none, one size class.
     comp = connected(found)
+    forget(docs.sparkSession)
     big = comp.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= BLOCK // 4).select("root")
     info = (info.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls"))
             .join(big.withColumn("big", F.col("root")), "root", "left").drop("root"))
@@ -447,6 +449,7 @@ def links(docs: DataFrame, table: DataFrame, words: int = WORDS, share: int = SH
 
     # Exact round: queries to blocks that they may link into, and large groups' blocks against themselves.
     asks = cut_lineage(_asks(lists, info, share))
+    forget(docs.sparkSession)
     whole = info.select("cls", "comp", "n", "block", ((F.col("blocks") > 1) & F.col("big").isNull()).alias("within"))
     members = whole.join(asks.select("block").distinct().withColumn("asked", F.lit(True)), "block", "left").where("within or asked").drop("asked")
     more = _open(_salted(members, asks).join(at.select("cls", "set"), "cls"), share)
@@ -456,7 +459,9 @@ def links(docs: DataFrame, table: DataFrame, words: int = WORDS, share: int = SH
 def components(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """doc_id, row_key, n_shingles, component_id and root (a class of the component; null for an empty set) for every row."""
     table = cut_lineage(class_table(docs, words))
-    comp = connected(cut_lineage(links(docs, table, words, share)))
+    found = cut_lineage(links(docs, table, words, share))
+    forget(docs.sparkSession)
+    comp = connected(found)
     least = table.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("doc"))
     rooted = least.join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     top = rooted.groupBy("root").agg(F.min("doc").alias("component_id"))

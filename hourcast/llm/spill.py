@@ -6,11 +6,12 @@ small rows, and a bucket is unpacked, sorted and settled on its own.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.llm.textbatch import give_back
@@ -44,6 +45,12 @@ def pack(token: np.ndarray, records: np.ndarray, keys: np.ndarray) -> Iterator[t
         yield int(b), part.tobytes()
 
 
+def forget(spark: SparkSession) -> None:
+    """Spark deletes the shuffle files of frames that nothing refers to any more when the driver collects garbage: have it do so."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def packed_batch(cells: list[tuple[int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([b for b, _ in cells], pa.int32()), pa.array([x for _, x in cells], pa.binary())],
                                       names=["bucket", "cell"])
