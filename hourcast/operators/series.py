@@ -82,21 +82,25 @@ def diff_by_time(df: DataFrame, keys, time_col: str, col: str, hours: int = 24,
     return j.withColumn(out, F.col(col) - F.col(col + "__prev")).drop(col + "__prev")
 
 
-def backfill(df: DataFrame, keys, order_col: str, cols, bucket: Column | None = None) -> DataFrame:
+def backfill(df: DataFrame, keys, order_col: str, cols, bucket: Column | None = None, tiebreak=()) -> DataFrame:
     """Replace each null with the next non-null value of the same series (pandas ``bfill``).
 
     Level 1 fills inside (key, bucket); level 2 takes, per bucket, the first non-null value of the
-    later buckets from a small (keys x buckets) table and fills what is still null.
+    later buckets from a small (keys x buckets) table and fills what is still null. ``tiebreak`` orders rows of one time.
+
+    Both windows run from the last row to the first: "the next value" is then the last one seen, a running frame that
+    reads each row once. A frame that ends at the last row is scanned anew for each row: quadratic in a bucket's rows.
     """
     keys = list(keys)
     b = df.withColumn("_bk", bucket if bucket is not None else _day_bucket(order_col))
-    w_in = Window.partitionBy(*keys, "_bk").orderBy(order_col).rowsBetween(0, Window.unboundedFollowing)
-    b = b.withColumns({c: F.first(F.col(c), ignorenulls=True).over(w_in) for c in cols})
-    # first non-null value of each bucket (min_by on the order column over non-null rows)
+    order = [F.col(c) for c in (order_col, *tiebreak)]
+    w_in = Window.partitionBy(*keys, "_bk").orderBy(*[c.desc() for c in order]).rowsBetween(Window.unboundedPreceding, 0)
+    b = b.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w_in) for c in cols})
+    # first non-null value of each bucket (min_by on the order over non-null rows)
     firsts = b.groupBy(*keys, "_bk").agg(*[
-        F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(f"_f_{c}") for c in cols])
-    w_next = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(1, Window.unboundedFollowing)
-    carry = firsts.select(*keys, "_bk", *[F.first(F.col(f"_f_{c}"), ignorenulls=True).over(w_next).alias(f"_c_{c}")
+        F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_f_{c}") for c in cols])
+    w_next = Window.partitionBy(*keys).orderBy(F.desc("_bk")).rowsBetween(Window.unboundedPreceding, -1)
+    carry = firsts.select(*keys, "_bk", *[F.last(F.col(f"_f_{c}"), ignorenulls=True).over(w_next).alias(f"_c_{c}")
                                           for c in cols])
     out = b.join(carry, keys + ["_bk"], "left")
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_c_{c}")) for c in cols}).drop(

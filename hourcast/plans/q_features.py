@@ -104,8 +104,8 @@ FROM obs_wide""",
     doubles=["GustTime"], ts=["ObservationTime"], with_=WIDE))
 def q_backfill_sparse(spark, sf_dir):
     """W2 on raw observations where nulls are scattered (10 % of GustTime), not only leading."""
-    w = ad.obs_wide(spark, sf_dir).select("StationID", "ObservationTime", "GustTime")
-    return series.backfill(w, KEYS, "ObservationTime", ["GustTime"])
+    w = ad.obs_wide(spark, sf_dir).select("StationID", "ObservationTime", "GustTime", "event_id")
+    return series.backfill(w, KEYS, "ObservationTime", ["GustTime"], tiebreak=["event_id"]).drop("event_id")
 
 
 @register("next_hour_pair", oracle=sql_norm(

@@ -43,6 +43,17 @@ def test_backfill_across_buckets(spark):
     assert out[T0] == 50.0 and out[T0 + dt.timedelta(hours=60)] == 62.0
 
 
+def test_backfill_reads_each_row_once_and_orders_ties(spark):
+    """60,000 rows of one day (a frame to the bucket's end takes their square), six at each time, in the tiebreak's order."""
+    n = 60_000
+    rows = spark.range(n).select(F.lit("A").alias("k"), "id", (F.lit(T0) + F.make_dt_interval(secs=(F.col("id") / 6).cast("int"))).cast("timestamp_ntz").alias("t"),
+                                 F.when(F.col("id") % 4 == 3, F.col("id").cast("double")).alias("v"))
+    out = series.backfill(rows.orderBy(F.desc("id")), ["k"], "t", ["v"], tiebreak=["id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "unboundedfollowing" not in plan.lower()
+    assert out.where(F.col("v") != F.col("id") - F.col("id") % 4 + 3).count() == 0 and out.where("v is null").count() == 0
+
+
 def test_sliding_samples_count_and_content(spark):
     n, L, H = 60, 7, 4
     df = _series(spark, {"A": list(range(n)), "B": list(range(n // 2))})
