@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from hourcast.functions.numeric import null_if_nan, round_exact
 from hourcast.operators.ranks import exact_quantiles
 from hourcast.schema import MISSING_TOKEN, numeric_columns
+from hourcast.session import cut_lineage
 
 
 def to_long(df: DataFrame, columns, ids=(), value_type: str = "double") -> DataFrame:
@@ -70,7 +71,10 @@ def describe_all(df: DataFrame) -> DataFrame:
 def iqr_bounds(df: DataFrame, columns=None, threshold: float = 1.5) -> DataFrame:
     """A10 pass 1: q1, q3, lower and upper fences per column."""
     cols = columns or numeric_columns(df.schema)
-    q = exact_quantiles(to_long(df, cols), ["column"], [0.25, 0.75])
+    return _fences(exact_quantiles(to_long(df, cols), ["column"], [0.25, 0.75]), threshold)
+
+
+def _fences(q: DataFrame, threshold: float) -> DataFrame:
     w = q.groupBy("column").pivot("p", [0.25, 0.75]).agg(F.first("q")).withColumnsRenamed({"0.25": "q1", "0.75": "q3"})
     iqr = F.col("q3") - F.col("q1")
     return w.withColumns({"lower": F.col("q1") - F.lit(threshold) * iqr, "upper": F.col("q3") + F.lit(threshold) * iqr})
@@ -79,16 +83,17 @@ def iqr_bounds(df: DataFrame, columns=None, threshold: float = 1.5) -> DataFrame
 def outlier_iqr(df: DataFrame, columns=None, threshold: float = 1.5, digits: int = 3) -> DataFrame:
     """A10: outlier count and ratio (%) per column, strict fences, sorted by ratio descending.
 
-    Pass 2 joins the (columns-sized) fence table to the long form on ``column``; that table has one
-    row per column, so the join is broadcast by its bounded size.
+    The frame is read once: equal (column, value) are counted within tasks, and the quartiles and both counts come
+    from these cells. The fence table has one row per column, so its join is broadcast by its bounded size.
     """
     cols = columns or numeric_columns(df.schema)
-    long = to_long(df, cols)
-    b = iqr_bounds(df, cols, threshold)
-    j = long.join(F.broadcast(b), "column", "left")
+    cells = cut_lineage(to_long(df, cols).groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    b = _fences(exact_quantiles(cells, ["column"], [0.25, 0.75], weight="cnt"), threshold)
+    j = cells.join(F.broadcast(b), "column", "left")
+    beyond = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     cnt = j.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))).alias("outlier_count"))
+        F.sum("cnt").alias("n"),
+        F.sum(F.when(beyond, F.col("cnt")).otherwise(F.lit(0))).alias("outlier_count"))
     return (cnt.select(F.col("column").alias("Column"), F.col("outlier_count").alias("Outlier Count"),
                        round_exact(F.col("outlier_count") / F.col("n") * 100, digits).alias("Outlier Ratio (%)"))
             .orderBy(F.desc("Outlier Ratio (%)")))

@@ -9,11 +9,11 @@ key holding a smaller value). Then
 
 How it scales: ``groupBy(keys, value)`` combines duplicates map-side (a value holding a third of all
 rows becomes one row). The running count over values would need one window per key; instead each
-key's values are cut into ``n_buckets`` equal-row ranges by ``percentile_approx`` cut points
+key's distinct values are cut into ``n_buckets`` equal ranges by ``percentile_approx`` cut points
 (a map-side sketch, collected once as literals so every branch of the plan buckets identically;
 text values use pivots from a bounded hash sample of their distinct values), bucket totals (keys x buckets
 rows) get prefix sums, and the final running sum runs per (key, bucket). No step sees all values
-of a key in one task.
+of a key in one task. The input is read once: the counts are kept, and all that follows reads them.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourcast.session import cut_lineage
+
 N_BUCKETS = 64  # buckets of a key with up to N_BUCKETS * VALUES_PER_BUCKET distinct values; more for more
 VALUES_PER_BUCKET = 1_000_000
 MAX_BROADCAST_ROWS = 1_000_000  # of a bucket table; a larger one is joined by its keys
@@ -110,16 +112,15 @@ def bucketed_counts(long_df: DataFrame, keys, value_col: str = "value", n_bucket
     is_text = isinstance(long_df.schema[value_col].dataType, T.StringType)
     valid = F.col(value_col).isNotNull() if is_text else (F.col(value_col).isNotNull() & ~F.isnan(F.col(value_col)))
     rows = long_df.filter(valid)
-    counts = rows.groupBy(*keys, value_col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt"))
+    counts = cut_lineage(rows.groupBy(*keys, value_col).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("cnt")))
     if distinct_only:
         counts = counts.withColumn("cnt", F.lit(1).cast("long"))
     if is_text:
         bounds = text_pivots(counts, keys, value_col, n_buckets)
         c = with_bucket(counts, bounds, keys, value_col)
     else:
-        # equal-row cut points from the raw values (a map-side sketch): a bucket then holds at most
-        # ~1/n_buckets of the rows, hence of the distinct values, plus any single hot value
-        bounds = bucket_bounds(rows, keys, value_col, n_buckets)
+        # a bucket holds ~1/n_buckets of the distinct values, which are the rows from here on
+        bounds = bucket_bounds(counts, keys, value_col, n_buckets)
         c = with_bucket(counts, bounds, keys, value_col)
     tot = c.groupBy(*keys, "_bk").agg(F.sum("cnt").alias("_bn"))
     w_prev = Window.partitionBy(*keys).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
@@ -154,15 +155,16 @@ def average_ranks(long_df: DataFrame, keys, value_col: str = "value", rank_col:
 
 
 def exact_quantiles(long_df: DataFrame, keys, probs, value_col: str = "value",
-                    n_buckets: int = N_BUCKETS) -> DataFrame:
+                    n_buckets: int = N_BUCKETS, weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas / numpy default), one row per (keys, p).
 
     h = (n - 1) * p; q = x[floor h] + (h - floor h) * (x[floor h + 1] - x[floor h]).
     Only the buckets holding floor h or ceil h are ranked (a broadcast semi join on the bucket
     table), so the running-sum window touches a few buckets per key instead of all of them.
+    ``weight`` names a count column of rows that stand for several.
     """
     keys = list(keys)
-    c, tot = bucketed_counts(long_df, keys, value_col, n_buckets)
+    c, tot = bucketed_counts(long_df, keys, value_col, n_buckets, weight=weight)
     ps = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
     t = tot.withColumn("p", ps).withColumn("_h", (F.col("_n") - 1) * F.col("p"))
     t = t.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))

@@ -103,10 +103,14 @@ def _wide_numeric_sql(i: int) -> str:
     return f"CAST(((k * {i} + event_id) % 61) - 8 AS DOUBLE) / 2"
 
 
+WIDE_ROWS_PER_TASK = 200_000
+
+
 def _spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores is dealt out over them; any larger one stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A scan with fewer splits than cores, or than its rows need, is dealt out; any other stays as it is. Rows are few bytes in
+    the file and 46 columns afterwards, so a split that is small by its bytes is a long task; they are counted from the footers."""
+    want = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // WIDE_ROWS_PER_TASK))
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
 def obs_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

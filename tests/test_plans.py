@@ -98,3 +98,12 @@ def test_ordinal_with_hour_buckets(spark):
     got = ordinal(df, ["k"], "t", bucket=F.date_trunc("hour", "t"))
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t")))
     assert got.join(ref, ["k", "t"]).filter(F.col("pos") != F.col("rn")).count() == 0
+
+
+def test_wide_rows_are_dealt_out_by_their_number(spark, tmp_path):
+    """A file of few splits but many rows: tasks by rows, not by bytes."""
+    from hourcast.plans import adapters as ad
+    spark.range(0, ad.WIDE_ROWS_PER_TASK * 6, 1, 1).write.parquet(str(tmp_path / "t.parquet"))
+    df = spark.read.parquet(str(tmp_path / "t.parquet"))
+    spread = ad._spread(df)
+    assert spread.rdd.getNumPartitions() >= 6 and spread.count() == df.count()
