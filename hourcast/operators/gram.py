@@ -54,6 +54,17 @@ def _block(df: DataFrame, columns: list[str], left: range, right: range, centre:
     return sums.groupBy("i1", "i2").agg(*[F.sum(s).alias(s) for s in _SUMS])
 
 
+def column_sums(df: DataFrame, columns, target: str, centre: float, block: int = BLOCK) -> DataFrame:
+    """(f1, n, sx, sy, sxx, syy, sxy) of each column but ``target`` (the last one) with it, over the pair's complete rows, less ``centre``."""
+    columns, sums = list(columns), None
+    last = len(columns) - 1
+    for i in range(0, last, block):
+        part = _block(df, columns, range(i, min(i + block, last)), range(last, last + 1), dict.fromkeys(columns, centre))
+        sums = part if sums is None else sums.unionByName(part)
+    name = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("i1") + 1)
+    return sums.select(name.alias("f1"), *_SUMS)
+
+
 def pair_correlations(df: DataFrame, columns, block: int = BLOCK) -> DataFrame:
     """(f1, f2, i1, i2, r) for every pair of ``columns``, f1 before f2: Pearson r over the pair's complete rows.
 

@@ -9,18 +9,21 @@ from __future__ import annotations
 
 import itertools
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourcast.functions.numeric import null_if_nan
 from hourcast.functions.pvalues import chi2_sf_udf, t_two_sided_udf
-from hourcast.operators.gram import pair_correlations
+from hourcast.operators.gram import column_sums, pair_correlations
 from hourcast.operators.profile import to_long
 from hourcast.operators.ranks import average_ranks, value_offsets
 from hourcast.schema import categorical_columns, numeric_columns
 from hourcast.session import cut_lineage
 
 ALPHA = 0.05
+FREQUENT_VALUES = 10_000  # of a column whose ranks travel to the tasks
 TIE_TOLERANCE = 1e-12
 
 
@@ -35,44 +38,70 @@ def _t_stat(r: Column, n: Column) -> Column:
     return r * F.sqrt(F.try_divide(n - 2, (F.lit(1.0) - r) * (F.lit(1.0) + r)))
 
 
-def rank_long(df: DataFrame, features, carry=()) -> DataFrame:
-    """Long form (carry..., column, value, rank) with per-column average ranks."""
-    long = to_long(df, features, ids=carry)
-    ranks = average_ranks(long, ["column"]).select("column", "value", "rank")
-    return long.join(ranks, ["column", "value"], "left")
+def rank_columns(df: DataFrame, columns, most: int = FREQUENT_VALUES) -> DataFrame:
+    """The rows of ``df`` with the average rank of each of ``columns`` in its place (null where there is no value).
 
-
-TARGET_KEY = "__target__"
+    Rows stay wide. Ranks of frequent values, at most ``most`` for each column, go to the tasks and are looked up in
+    Arrow batches, so a hot value meets no shuffle. A column with more values has its other ones, of which none holds
+    more than 1 / ``most`` of the rows, joined by value; rows that need no such rank are dealt out by their hash.
+    """
+    columns = list(columns)
+    number = [null_if_nan(F.col(f"`{c}`").cast("double")).alias(f"x{i}") for i, c in enumerate(columns)]
+    rows = df.select(*number)
+    ranks = cut_lineage(average_ranks(to_long(rows, rows.columns), ["column"]).select("column", "value", "cnt", "rank"))
+    size = {r["column"]: r for r in ranks.groupBy("column").agg(F.count(F.lit(1)).alias("nd"), F.sum("cnt").alias("n")).collect()}
+    # A value stays with the rare ones if its count is below this: columns-sized literals.
+    least = {x: 0 if r["nd"] <= most else -(-r["n"] // most) for x, r in size.items()}
+    rare = [i for i, x in enumerate(rows.columns) if least.get(x, 0) > 0]
+    bar = F.element_at(F.create_map(*[F.lit(v) for x, n in least.items() for v in (x, n)]), F.col("column")) if least else F.lit(0)
+    known = ranks.where(F.col("cnt") >= bar).select("column", "value", "rank").toArrow()
+    names, values, places = np.array(known["column"].to_pylist(), dtype=object), known["value"].to_numpy(), known["rank"].to_numpy()
+    tables = []
+    for x in rows.columns:
+        own = np.flatnonzero(names == x)
+        own = own[np.argsort(values[own], kind="stable")]
+        tables.append((values[own], places[own]))
+    width = len(columns)
+
+    def look_up(batches):
+        for batch in batches:
+            out, left = [], []
+            for i, (v, r) in enumerate(tables):
+                x = batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64)
+                found = np.full(len(x), np.nan)
+                if len(v):
+                    at = np.minimum(np.searchsorted(v, x), len(v) - 1)
+                    found = np.where(v[at] == x, r[at], np.nan)
+                out.append(found)
+                if i in rare:
+                    left.append(np.where(np.isnan(found), x, np.nan))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.float64(), from_pandas=True) for a in out + left],
+                                             names=[f"x{i}" for i in range(width)] + [f"v{i}" for i in rare])
+
+    out = rows.mapInArrow(look_up, ", ".join([f"x{i} double" for i in range(width)] + [f"v{i} double" for i in rare]))
+    for i in rare:
+        mine = ranks.where((F.col("column") == f"x{i}") & (F.col("cnt") < least[f"x{i}"])).select(
+            F.col("value").alias("_v"), F.lit(0).cast("long").alias("_salt"), F.col("rank").alias("_r"))
+        spread = F.when(F.col(f"v{i}").isNull(), 1 + F.pmod(F.xxhash64(*out.columns), F.lit(1 << 30))).otherwise(F.lit(0).cast("long"))
+        out = (out.withColumns({"_v": F.coalesce(F.col(f"v{i}"), F.lit(0.0)), "_salt": spread}).join(mine, ["_v", "_salt"], "left")
+               .withColumn(f"x{i}", F.coalesce(F.col(f"x{i}"), F.col("_r"))).drop("_v", "_salt", "_r", f"v{i}"))
+    return out.select(*[F.col(f"x{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def spearman(df: DataFrame, target: str, features=None, sort: bool = True) -> DataFrame:
     """Spearman rho of each numeric feature vs the target, with t and n.
 
-    One rank table serves the target and every feature: the target is ranked as one more
-    "column" of the long form, so one pass of counts / cut points covers all of them.
+    Rows stay wide: the target and every feature have their ranks put in place, and each task sums its products.
     A feature (or target) with any null gives rho = null (pandas 'propagate'); a constant column
     gives null as well. Sorted by correlation descending.
     """
-    feats = features or numeric_columns(df.schema, exclude=(target,))
-    cols = list(feats) + [target]
-    src = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols]).withColumn(
-        "_y", F.col(f"`{target}`"))
-    rk = average_ranks(to_long(src.drop("_y"), cols).withColumn(
-        "column", F.when(F.col("column") == target, F.lit(TARGET_KEY)).otherwise(F.col("column"))), ["column"]).select("column", "value", "rank")
-    # Equal (column, value, target) are counted within tasks first: a hot value is a few rows afterwards.
-    cells = to_long(src, feats, ids=["_y"]).groupBy("column", "value", "_y").agg(F.count(F.lit(1)).alias("n"))
-    rt = rk.filter(F.col("column") == TARGET_KEY).select(F.col("value").alias("_y"), F.col("rank").alias("_rt"))
-    j = cells.join(rk.filter(F.col("column") != TARGET_KEY), ["column", "value"], "left").join(rt, "_y", "left")
+    feats = list(features or numeric_columns(df.schema, exclude=(target,)))
+    cols = feats + [target]
+    n_rows = df.count()
     # Complete columns only: both mean ranks are (N + 1) / 2, taken off before the sums.
-    n_rows = src.count()
-    j = j.withColumn("_all", F.lit(n_rows))
-    x, y, w = F.col("rank") - (F.col("_all") + 1) / 2, F.col("_rt") - (F.col("_all") + 1) / 2, F.col("n")
-    agg = j.groupBy("column").agg(
-        F.sum("n").alias("n"),
-        F.count_if(F.col("rank").isNull() | F.col("_rt").isNull()).alias("_nulls"),
-        F.try_divide(F.sum(w * x * y), F.sqrt(F.sum(w * x * x)) * F.sqrt(F.sum(w * y * y))).alias("_r"))
-    r = F.when(F.col("_nulls") == 0, F.col("_r"))
-    out = agg.select(F.col("column").alias("Feature"), r.alias("Correlation"), "n")
+    sums = column_sums(rank_columns(df, cols), cols, target, (n_rows + 1) / 2).where(F.lit(n_rows) > 0)
+    r = F.when(F.col("n") == n_rows, F.try_divide(F.col("sxy"), F.sqrt("sxx") * F.sqrt("syy")))
+    out = sums.select(F.col("f1").alias("Feature"), r.alias("Correlation"), F.lit(n_rows).cast("long").alias("n"))
     out = out.withColumn("t", _t_stat(F.col("Correlation"), F.col("n")))
     return out.orderBy(F.desc("Correlation")) if sort else out
 
@@ -104,15 +133,15 @@ def pearson_with_target(df: DataFrame, target: str, features=None, threshold: fl
     return r.filter(F.abs("r") >= threshold).orderBy(F.desc("r"))
 
 
-def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None) -> DataFrame:
+def corr_matrix(df: DataFrame, features, method: str = "pearson") -> DataFrame:
     """Correlation of every feature pair (f1 before f2 in ``features`` order) in long form, over the pair's complete rows.
 
     Pearson: blocked matrix products (``gram``), so the plan does not grow with the pairs.
-    Spearman: per-column ranks in long form, pivoted back per row id, then the same products. Columns with gaps are
+    Spearman: ranks put in place of the values, then the same products. Columns with gaps are
     ranked anew over the rows of each mask; a column without any value has null with every other.
     """
     feats = list(features)
-    found = _spearman_pairs(df, feats, id_cols) if method == "spearman" else pair_correlations(df, feats)
+    found = _spearman_pairs(df, feats) if method == "spearman" else pair_correlations(df, feats)
     at = {c: i for i, c in enumerate(feats)}
     pairs = df.sparkSession.createDataFrame([(a, b, at[a], at[b]) for a, b in itertools.combinations(feats, 2)], "f1 string, f2 string, i1 int, i2 int")
     # One row for each pair on both sides; a pair is found in one of its two orders.
@@ -121,13 +150,13 @@ def corr_matrix(df: DataFrame, features, method: str = "pearson", id_cols=None)
     return pairs.select("*", *key("f1", "f2")).join(F.broadcast(found), ["_a", "_b"], "left").select("f1", "f2", "i1", "i2", "r")
 
 
-def _spearman_pairs(df: DataFrame, feats: list[str], id_cols) -> DataFrame:
+def _spearman_pairs(df: DataFrame, feats: list[str]) -> DataFrame:
     """(f1, f2, r) of the pairs that have one."""
     held = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(_number(c)).alias(f"c{i}") for i, c in enumerate(feats)]).first()
     count = {c: held[f"c{i}"] for i, c in enumerate(feats)}
     holed = [c for c in feats if 0 < count[c] < held["n"]]
     whole = [c for c in feats if count[c] == held["n"]]
-    found = _spearman_whole(df, whole, id_cols)
+    found = _spearman_whole(df, whole)
     return found.unionByName(_spearman_with_gaps(df, whole, holed)) if holed else found
 
 
@@ -135,18 +164,11 @@ def _number(c: str) -> Column:
     return null_if_nan(F.col(f"`{c}`").cast("double"))
 
 
-def _spearman_whole(df: DataFrame, feats: list[str], id_cols) -> DataFrame:
+def _spearman_whole(df: DataFrame, feats: list[str]) -> DataFrame:
     """(f1, f2, r) of columns without gaps: each column is ranked once, over all rows."""
     if len(feats) < 2:
         return df.sparkSession.createDataFrame([], "f1 string, f2 string, r double")
-    src, ids = df, list(id_cols) if id_cols else None
-    if ids is None:
-        # no unique key given: number the rows and pin the numbering in the shared checkpoint folder, so a
-        # recomputed partition can never renumber rows
-        src = cut_lineage(df.select(*feats).withColumn("_rid", F.monotonically_increasing_id()))
-        ids = ["_rid"]
-    rows = rank_long(src, feats, carry=ids).groupBy(*ids).pivot("column", feats).agg(F.first("rank"))
-    return pair_correlations(cut_lineage(rows.select(*feats)), feats).select("f1", "f2", "r")
+    return pair_correlations(cut_lineage(rank_columns(df, feats)), feats).select("f1", "f2", "r")
 
 
 def _spearman_with_gaps(df: DataFrame, whole: list[str], holed: list[str]) -> DataFrame:
@@ -176,7 +198,7 @@ def _spearman_with_gaps(df: DataFrame, whole: list[str], holed: list[str]) -> Da
 
 
 def high_corr_drop(df: DataFrame, target: str, features=None, threshold: float = 0.95,
-                   method: str = "spearman", id_cols=None) -> DataFrame:
+                   method: str = "spearman") -> DataFrame:
     """M2: for each pair with |r| > threshold keep the feature closer to the target.
 
     If |r(f1, target)| >= |r(f2, target)| drop f2, else drop f1 (NaN comparisons are false).
@@ -184,7 +206,7 @@ def high_corr_drop(df: DataFrame, target: str, features=None, threshold: float =
     """
     feats = list(features or numeric_columns(df.schema, exclude=(target,)))
     # one matrix over features + target: the feature pairs and |r(feature, target)| in one pass
-    m = corr_matrix(df, feats + [target], method, id_cols)
+    m = corr_matrix(df, feats + [target], method)
     pairs = m.filter((F.col("f1") != target) & (F.col("f2") != target)).filter(
         F.coalesce(F.abs("r") > threshold, F.lit(False)))
     ct = m.filter(F.col("f2") == target).select(F.col("f1").alias("column"), F.abs("r").alias("ct"))
@@ -312,7 +334,7 @@ def anderson_darling(df: DataFrame, features=None, alpha: float = ALPHA) -> Data
 
 
 def feature_selection(df: DataFrame, target: str, fixed_exclude, protect, alpha: float = ALPHA,
-                      min_group_size: int = 5, high_corr: float | None = None, id_cols=None) -> tuple[DataFrame, list[str]]:
+                      min_group_size: int = 5, high_corr: float | None = None) -> tuple[DataFrame, list[str]]:
     """M1: drop Spearman-insignificant, Kruskal-insignificant (and, optionally, highly correlated)
     features plus the fixed list; never the protected columns; leading columns first.
 
@@ -323,7 +345,7 @@ def feature_selection(df: DataFrame, target: str, fixed_exclude, protect, alpha:
     kw = insignificant(kruskal_test(df, target, min_group_size=min_group_size, sort=False), "feature", "p-value", alpha)
     names = [r[0] for r in sp.collect()] + [r[0] for r in kw.collect()]
     if high_corr is not None:
-        names += [r[0] for r in high_corr_drop(df, target, threshold=high_corr, id_cols=id_cols).collect()]
+        names += [r[0] for r in high_corr_drop(df, target, threshold=high_corr).collect()]
     names += list(fixed_exclude)
     dropped = [c for c in dict.fromkeys(names) if c in df.columns and c not in protect]
     return lead_columns(drop_existing(df, dropped, protect)), dropped

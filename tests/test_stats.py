@@ -56,6 +56,28 @@ def test_spearman_constant_and_perfect(spark):
     assert st.insignificant(st.spearman_test(df, "y"), "Feature", "P-value").count() == 0
 
 
+def test_rank_columns_keeps_rows_and_looks_up_hot_values(spark):
+    """Frequent values by look-up, rare ones by a join, gaps stay gaps; a hot value makes no row exchange by its value."""
+    rng = np.random.default_rng(5)
+    rows = [(float(rng.integers(0, 4)), float(v) if i % 3 else 0.0, None if i % 7 == 0 else float(i % 5), float(i)) for i, v in enumerate(rng.permutation(400))]
+    df = spark.createDataFrame(rows, "few double, mixed double, holed double, id double")
+    got = [tuple(r) for r in st.rank_columns(df, df.columns, most=20).collect()]
+    ranks_of = [_avg_rank([r[c] for r in rows if r[c] is not None]) for c in range(4)]
+    want = [tuple(None if r[c] is None else ranks_of[c][r[c]] for c in range(4)) for r in rows]
+    assert sorted(got, key=lambda r: r[3]) == sorted(want, key=lambda r: r[3])
+    plan = st.rank_columns(df, ["few", "holed"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_outliers_read_the_frame_once(spark):
+    """Quartiles and counts come from counted cells: what is left after them scans none of the rows."""
+    df = spark.createDataFrame([(float(i % 10), float(i) if i else 1e6) for i in range(200)] + [(None, None)], "a double, b double")
+    out = profile.outlier_iqr(df)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    assert {r["Column"]: (r["Outlier Count"], r["Outlier Ratio (%)"]) for r in out.collect()} == {"a": (0, 0.0), "b": (1, round(100 / 201, 3))}
+
+
 def test_pvalue_tails_known_values():
     assert math.isclose(pv.t_two_sided(2.228138851986, 10), 0.05, rel_tol=1e-9)
     assert math.isclose(pv.chi2_sf(3.841458820694, 1), 0.05, rel_tol=1e-9)
