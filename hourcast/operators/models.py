@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from hourcast.functions import timefeat as tf
 from hourcast.functions.numeric import round_scaled
 from hourcast.operators.series import ordinal
+from hourcast.session import cut_lineage
 
 HORIZON = 168
 DEFAULT_LAGS = (0, 1, 2, 23)
@@ -96,8 +97,10 @@ def labelled_steps(anchors: DataFrame, df: DataFrame, keys, time_col: str, targe
 def bounded_rows(rows: DataFrame, limit: int = MAX_FIT_ROWS) -> DataFrame:
     """At most about ``limit`` rows for a fit, by hash of the whole row: the documented bound of every fit here.
 
-    Only fitting is bounded; scoring, validation and forecasts use all rows.
+    Only fitting is bounded; scoring, validation and forecasts use all rows. The rows are kept before they are filtered: above
+    a projection, the planner would write the condition anew for each set of its renamed columns (2 to their number).
     """
+    rows = cut_lineage(rows)
     every = -(-rows.count() // limit)
     return rows if every <= 1 else rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(every)) == 0)
 

@@ -76,3 +76,16 @@ def test_fits_are_bounded(spark):
     rows = spark.range(5000).withColumn("x", F.col("id") * 2)
     assert md.bounded_rows(rows, 10_000).count() == 5000
     assert 300 < md.bounded_rows(rows, 500).count() < 700
+
+
+def test_bounded_rows_plan_does_not_grow_with_renamed_columns(spark):
+    """A hash of many renamed columns as a filter: planning took 2 to their number, and only where rows were too many."""
+    import time
+
+    from hourcast.session import cut_lineage
+    base = spark.range(300).select(*[(F.col("id") * (i + 1)).alias(f"c{i}") for i in range(24)])
+    rows = cut_lineage(base).select(*[F.coalesce(F.col(f"c{i}").cast("double"), F.lit(0.0)).alias(f"f{i}") for i in range(24)])
+    t0 = time.time()
+    kept = cut_lineage(md.bounded_rows(rows, 100))
+    assert 50 <= kept.count() <= 200 and time.time() - t0 < 30
+    assert {r.f0 for r in kept.collect()} <= {float(i) for i in range(300)}
