@@ -29,6 +29,7 @@ HORIZON = 168
 DEFAULT_LAGS = (0, 1, 2, 23)
 SEED = 0
 MAX_FIT_ROWS = 100_000
+FIT_TASKS = 8
 
 
 def _lag_name(k: int) -> str:
@@ -105,6 +106,15 @@ def bounded_rows(rows: DataFrame, limit: int = MAX_FIT_ROWS) -> DataFrame:
     return rows if every <= 1 else rows.filter(F.pmod(F.xxhash64(*rows.columns), F.lit(every)) == 0)
 
 
+def fit_rows(rows: DataFrame) -> DataFrame:
+    """The bounded rows of a fit, kept, in at most ``FIT_TASKS`` partitions.
+
+    Boosting and forests run over a thousand stages on them, each with a task for every partition, and what the rows were
+    chosen from has more partitions the larger the input is. Rows are chosen in all of these; only the kept ones are put together.
+    """
+    return cut_lineage(rows).coalesce(FIT_TASKS)
+
+
 def before_and_after(rows: DataFrame, cut) -> tuple[DataFrame, DataFrame]:
     """(anchor, h) rows whose target lies up to ``cut`` (train), and those after it (validation): no label is in both."""
     t = F.lit(cut.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -90,7 +90,7 @@ def train_and_score(df: DataFrame, models: dict, keys=("StationID",), time_col:
     train, feats = next_hour_rows(cut_lineage(parts["train"]), keys, time_col, target)
     val, _ = next_hour_rows(cut_lineage(parts["val"].select(*parts["train"].columns)), keys, time_col, target)
     val = cut_lineage(val)  # every model is scored on it
-    fitted = md.fit_models(cut_lineage(md.bounded_rows(train)), feats, models)
+    fitted = md.fit_models(md.fit_rows(md.bounded_rows(train)), feats, models)
     report = md.evaluate_models(fitted, val)
     best = report.first()["Model"]
     return fitted, report, fitted[best][0].transform(val).select(*keys, time_col, "label", "prediction")

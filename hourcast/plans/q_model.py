@@ -53,8 +53,8 @@ def q_rmse(spark, sf_dir):
 
 
 def _anchors(spark, sf_dir):
-    """The hourly series, its anchors with their lags, and the last week's beginning."""
-    h = ad.obs_hourly(spark, sf_dir).select(*KEYS, T, "Temperature")
+    """The hourly series (kept: anchors, labels and forecasts read it), its anchors with their lags, and the last week's beginning."""
+    h = cut_lineage(ad.obs_hourly(spark, sf_dir).select(*KEYS, T, "Temperature"))
     cut = h.agg(F.max(T)).first()[0] - dt.timedelta(hours=md.HORIZON)
     return h, cut_lineage(md.anchor_features(h, KEYS, T, "Temperature").dropna()), cut
 
@@ -66,7 +66,7 @@ def _rows(spark, sf_dir):
     near = anchors.filter(F.col(T) > F.lit((cut - dt.timedelta(hours=md.HORIZON)).isoformat(sep=" ")).cast("timestamp_ntz"))
     train, _ = md.before_and_after(md.labelled_steps(md.bounded_anchors(anchors), h, KEYS, T, "Temperature"), cut)
     _, val = md.before_and_after(md.labelled_steps(near, h, KEYS, T, "Temperature"), cut)
-    return h, cut_lineage(train), cut_lineage(val)  # iterative fits and four models read these many times
+    return h, md.fit_rows(train), cut_lineage(val)  # iterative fits and four models read these many times
 
 
 def _report(spark, sf_dir):
@@ -111,7 +111,7 @@ def _forecast(spark, sf_dir):
     root = scratch(spark, "forecast168", state_tag(spark, sf_dir, "events"))
     if not path_exists(spark, f"{root}/run_ts=20240131_0000/_SUCCESS"):
         h, anchors, _ = _anchors(spark, sf_dir)
-        rows = cut_lineage(md.labelled_steps(md.bounded_anchors(anchors), h, KEYS, T, "Temperature"))
+        rows = md.fit_rows(md.labelled_steps(md.bounded_anchors(anchors), h, KEYS, T, "Temperature"))
         model = md.fit_models(rows, md.feature_columns(), {"rf": md.regressors()["RandomForest"]})["rf"][0]
         files.write_forecast(md.forecast(model, h, KEYS, T, "Temperature", md.HORIZON), root, "20240131_0000")
     return files.latest_forecast(spark, root).drop("run_ts")
@@ -140,7 +140,7 @@ def q_forecast_168_times(spark, sf_dir):
 def _inference(spark, sf_dir):
     h, anchors, cut = _anchors(spark, sf_dir)
     near, _ = md.before_and_after(md.labelled_steps(md.bounded_anchors(anchors, 3), h, KEYS, T, "Temperature", 3), cut)
-    model = md.fit_models(cut_lineage(near), md.feature_columns(), {"lr": md.regressors()["LinearRegression"]})["lr"][0]
+    model = md.fit_models(md.fit_rows(near), md.feature_columns(), {"lr": md.regressors()["LinearRegression"]})["lr"][0]
     p = model.transform(md.step_ahead(h, KEYS, T, "Temperature", md.HORIZON))
     t = F.col("target_time")
     out = p.select(*KEYS, F.year(t).alias("year"), F.month(t).alias("month"), F.dayofmonth(t).alias("day"),

@@ -4,6 +4,8 @@ import math
 from pyspark.sql import functions as F
 
 from hourcast.operators import models as md
+from hourcast.plans import q_model as qm
+from tests.conftest import SF_SMALL
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -89,3 +91,18 @@ def test_bounded_rows_plan_does_not_grow_with_renamed_columns(spark):
     kept = cut_lineage(md.bounded_rows(rows, 100))
     assert 50 <= kept.count() <= 200 and time.time() - t0 < 30
     assert {r.f0 for r in kept.collect()} <= {float(i) for i in range(300)}
+
+
+def test_fit_rows_are_in_few_partitions(spark):
+    """A fit runs a task for each partition in every of its stages: their number is bounded, whatever the rows were chosen from."""
+    rows = spark.range(5000, numPartitions=50).select("id", (F.col("id") % 7).alias("k"))
+    kept = md.fit_rows(md.bounded_rows(rows, 10_000))
+    assert kept.rdd.getNumPartitions() <= md.FIT_TASKS
+    assert sorted(r["id"] for r in kept.collect()) == list(range(5000))
+
+
+def test_hourly_series_is_made_once(spark):
+    """Anchors, labels and forecasts read the kept series, not the events again."""
+    h, anchors, _ = qm._anchors(spark, SF_SMALL)
+    steps = md.labelled_steps(md.bounded_anchors(anchors), h, qm.KEYS, qm.T, "Temperature")
+    assert not h.inputFiles() and not steps.inputFiles()
