@@ -59,6 +59,14 @@ def test_edges_at_full_width(edges):
     assert got == brute(edge_rows(), 400)
 
 
+def test_lengths_of_what_is_kept(table):
+    """A document without repeats keeps its own length, in bytes and characters; a repeated passage is missing from it."""
+    passage = "".join(chr(233 + i % 7) + str(i % 10) for i in range(30))  # 30 letters of two bytes, 30 of one
+    rows = [(1, "é" + passage), (2, passage + "ab"), (3, "déjà vu"), (4, None)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_bytes"], r["kept_chars"]) for r in S.left_over(table(rows), 40, (0,)).collect()}
+    assert got == {1: (92, 90, 2, 1), 2: (92, 90, 2, 2), 3: (9, 0, 9, 7), 4: (0, 0, 0, 0)}
+
+
 def test_empty(nothing):
     assert S.report(nothing).collect() == []
 
