@@ -30,6 +30,7 @@ DEFAULT_LAGS = (0, 1, 2, 23)
 SEED = 0
 MAX_FIT_ROWS = 100_000
 FIT_TASKS = 8
+FIT_TASK_ROWS = 100_000
 
 
 def _lag_name(k: int) -> str:
@@ -95,11 +96,11 @@ def labelled_steps(anchors: DataFrame, df: DataFrame, keys, time_col: str, targe
     return horizon_steps(anchors, horizon, time_col).join(label, keys + ["target_time"])
 
 
-def bounded_rows(rows: DataFrame, limit: int = MAX_FIT_ROWS) -> DataFrame:
-    """At most about ``limit`` rows for a fit, by hash of the whole row: the documented bound of every fit here.
+def bounded_rows(rows: DataFrame, limit: int) -> DataFrame:
+    """At most about ``limit`` rows, by hash of the whole row, for a caller that asks for them. No query does: fits use all rows.
 
-    Only fitting is bounded; scoring, validation and forecasts use all rows. The rows are kept before they are filtered: above
-    a projection, the planner would write the condition anew for each set of its renamed columns (2 to their number).
+    The rows are kept before they are filtered: above a projection, the planner would write the condition anew for each set
+    of its renamed columns (2 to their number).
     """
     rows = cut_lineage(rows)
     every = -(-rows.count() // limit)
@@ -107,12 +108,16 @@ def bounded_rows(rows: DataFrame, limit: int = MAX_FIT_ROWS) -> DataFrame:
 
 
 def fit_rows(rows: DataFrame) -> DataFrame:
-    """The bounded rows of a fit, kept, in at most ``FIT_TASKS`` partitions.
+    """All rows of a fit, kept, in ``FIT_TASKS`` partitions or one for each ``FIT_TASK_ROWS`` rows, if that is more.
 
-    Boosting and forests run over a thousand stages on them, each with a task for every partition, and what the rows were
-    chosen from has more partitions the larger the input is. Rows are chosen in all of these; only the kept ones are put together.
+    Boosting and forests run over a thousand stages on them, each with a task for every partition: small inputs go into few
+    partitions, and large ones into so many that a task's share stays bounded.
     """
-    return cut_lineage(rows).coalesce(FIT_TASKS)
+    rows = cut_lineage(rows)
+    want = -(-rows.count() // FIT_TASK_ROWS)
+    if rows.rdd.getNumPartitions() < want:
+        return cut_lineage(rows.repartition(max(FIT_TASKS, want)))
+    return rows.coalesce(max(FIT_TASKS, want))
 
 
 def before_and_after(rows: DataFrame, cut) -> tuple[DataFrame, DataFrame]:

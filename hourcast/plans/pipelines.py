@@ -84,13 +84,13 @@ def train_and_score(df: DataFrame, models: dict, keys=("StationID",), time_col:
     """Entry 2 to the end: prepare, fit on the prepared train frame, score and predict the validation frame.
 
     Returns the fitted models, the report (Model, RMSE, Training_Time) and every validation row's prediction by
-    the best model. Fits use at most ``models.MAX_FIT_ROWS`` rows; scoring uses all.
+    the best model. Fits and scoring use all rows.
     """
     parts = training_data(df, keys, time_col, target, seq_len, horizon, with_samples=False, high_corr=high_corr, one_hot_type="int")
     train, feats = next_hour_rows(cut_lineage(parts["train"]), keys, time_col, target)
     val, _ = next_hour_rows(cut_lineage(parts["val"].select(*parts["train"].columns)), keys, time_col, target)
     val = cut_lineage(val)  # every model is scored on it
-    fitted = md.fit_models(md.fit_rows(md.bounded_rows(train)), feats, models)
+    fitted = md.fit_models(md.fit_rows(train.select(*feats, "label")), feats, models)
     report = md.evaluate_models(fitted, val)
     best = report.first()["Model"]
     return fitted, report, fitted[best][0].transform(val).select(*keys, time_col, "label", "prediction")

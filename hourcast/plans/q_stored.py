@@ -75,7 +75,7 @@ def q_boosted_with_stop(spark, sf_dir):
     """M6: boosting of at most 100 trees that the validation rows stop; scored on every one of them."""
     train, val = _lag_rows(spark, sf_dir)
     features = ["lag_0", "lag_23", "target_hour_sin", "target_hour_cos"]
-    model = md.boosted_with_stop(md.fit_rows(md.bounded_rows(train)), md.fit_rows(md.bounded_rows(val)), features)
+    model = md.boosted_with_stop(md.fit_rows(train), md.fit_rows(val), features)
     spread = train.agg(F.stddev_pop("label")).first()[0]
     score = md.rmse(model.transform(val))
     return score.select("n", F.lit(model.stages[-1].getNumTrees < 100).alias("stopped"), (F.col("RMSE") < 2 * spread).alias("better_than_spread"))
