@@ -28,7 +28,6 @@ from hourcast.session import cut_lineage
 HORIZON = 168
 DEFAULT_LAGS = (0, 1, 2, 23)
 SEED = 0
-MAX_FIT_ROWS = 100_000
 FIT_TASKS = 8
 FIT_TASK_ROWS = 100_000
 
@@ -55,8 +54,12 @@ def _with_lags(p: DataFrame, keys, time_col: str, target: str, lags, carry=()) -
 
 def horizon_steps(anchors: DataFrame, horizon: int, time_col: str) -> DataFrame:
     """Fan each anchor out to steps 1..horizon (a generator, not a join) with the target time."""
+    return _target_calendar(_steps(anchors, horizon, time_col))
+
+
+def _steps(anchors: DataFrame, horizon: int, time_col: str) -> DataFrame:
     h = anchors.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-    return _target_calendar(h.withColumn("target_time", F.col(time_col) + F.make_dt_interval(F.lit(0), F.col("h"))))
+    return h.withColumn("target_time", F.col(time_col) + F.make_dt_interval(F.lit(0), F.col("h")))
 
 
 def _target_calendar(h: DataFrame) -> DataFrame:
@@ -83,17 +86,20 @@ def training_rows(df: DataFrame, keys, time_col: str, target: str, horizon: int
     return labelled_steps(a, df, keys, time_col, target, horizon)
 
 
-def bounded_anchors(anchors: DataFrame, horizon: int = HORIZON, limit: int = MAX_FIT_ROWS) -> DataFrame:
-    """Anchors (by hash) whose ``horizon`` steps make at most about ``limit`` rows: chosen before they are fanned out."""
-    every = -(-anchors.count() * horizon // limit)
+def bounded_anchors(anchors: DataFrame, horizon: int = HORIZON, limit: int | None = None) -> DataFrame:
+    """All anchors; those (by hash) whose ``horizon`` steps make at most about ``limit`` rows where a caller asks for that. No query does."""
+    every = 1 if limit is None else -(-anchors.count() * horizon // limit)
     return anchors if every <= 1 else anchors.filter(F.pmod(F.xxhash64(*anchors.columns), F.lit(every)) == 0)
 
 
 def labelled_steps(anchors: DataFrame, df: DataFrame, keys, time_col: str, target: str, horizon: int = HORIZON) -> DataFrame:
-    """(anchor, h) rows of ``anchors`` with the label = target observed exactly at anchor + h hours."""
+    """(anchor, h) rows of ``anchors`` with the label = target observed exactly at anchor + h hours.
+
+    Calendar parts are added to the joined rows: they need not pass the exchange, where there are ``horizon`` rows an anchor.
+    """
     keys = list(keys)
     label = df.select(*keys, F.col(time_col).alias("target_time"), F.col(target).alias("label"))
-    return horizon_steps(anchors, horizon, time_col).join(label, keys + ["target_time"])
+    return _target_calendar(_steps(anchors, horizon, time_col).join(label, keys + ["target_time"]))
 
 
 def bounded_rows(rows: DataFrame, limit: int) -> DataFrame:

@@ -59,14 +59,18 @@ def _anchors(spark, sf_dir):
     return h, cut_lineage(md.anchor_features(h, KEYS, T, "Temperature").dropna()), cut
 
 
+def _fit_rows(rows):
+    """What a fit reads of (anchor, step) rows: the features and the label of all of them, kept."""
+    return md.fit_rows(rows.select(*md.feature_columns(), "label"))
+
+
 def _rows(spark, sf_dir):
-    """(anchor, step 1..168) rows cut by target time at the last week: those of a bounded number of anchors for the fit, and
-    all for validation. Anchors are chosen first, so only rows that are used are fanned out."""
+    """(anchor, step 1..168) rows of every anchor cut by target time at the last week: all before it for the fit, all after it for validation."""
     h, anchors, cut = _anchors(spark, sf_dir)
     near = anchors.filter(F.col(T) > F.lit((cut - dt.timedelta(hours=md.HORIZON)).isoformat(sep=" ")).cast("timestamp_ntz"))
-    train, _ = md.before_and_after(md.labelled_steps(md.bounded_anchors(anchors), h, KEYS, T, "Temperature"), cut)
+    train, _ = md.before_and_after(md.labelled_steps(anchors, h, KEYS, T, "Temperature"), cut)
     _, val = md.before_and_after(md.labelled_steps(near, h, KEYS, T, "Temperature"), cut)
-    return h, md.fit_rows(train), cut_lineage(val)  # iterative fits and four models read these many times
+    return h, _fit_rows(train), cut_lineage(val)  # iterative fits and four models read these many times
 
 
 def _report(spark, sf_dir):
@@ -84,7 +88,7 @@ def _report(spark, sf_dir):
 @register("tree_models", note="model fits; rows-only")
 def q_tree_models(spark, sf_dir):
     """M6 + M9: fit linear / tree / forest / boosted regressors (100 estimators, 168 steps, every anchor), score RMSE
-    on every row whose target lies in the held-out last week, rank. Fits use at most MAX_FIT_ROWS rows."""
+    on every row whose target lies in the held-out last week, rank. Fits use every row whose target lies before it."""
     return _report(spark, sf_dir)
 
 
@@ -111,7 +115,7 @@ def _forecast(spark, sf_dir):
     root = scratch(spark, "forecast168", state_tag(spark, sf_dir, "events"))
     if not path_exists(spark, f"{root}/run_ts=20240131_0000/_SUCCESS"):
         h, anchors, _ = _anchors(spark, sf_dir)
-        rows = md.fit_rows(md.labelled_steps(md.bounded_anchors(anchors), h, KEYS, T, "Temperature"))
+        rows = _fit_rows(md.labelled_steps(anchors, h, KEYS, T, "Temperature"))
         model = md.fit_models(rows, md.feature_columns(), {"rf": md.regressors()["RandomForest"]})["rf"][0]
         files.write_forecast(md.forecast(model, h, KEYS, T, "Temperature", md.HORIZON), root, "20240131_0000")
     return files.latest_forecast(spark, root).drop("run_ts")
@@ -139,8 +143,8 @@ def q_forecast_168_times(spark, sf_dir):
 
 def _inference(spark, sf_dir):
     h, anchors, cut = _anchors(spark, sf_dir)
-    near, _ = md.before_and_after(md.labelled_steps(md.bounded_anchors(anchors, 3), h, KEYS, T, "Temperature", 3), cut)
-    model = md.fit_models(md.fit_rows(near), md.feature_columns(), {"lr": md.regressors()["LinearRegression"]})["lr"][0]
+    near, _ = md.before_and_after(md.labelled_steps(anchors, h, KEYS, T, "Temperature", 3), cut)
+    model = md.fit_models(_fit_rows(near), md.feature_columns(), {"lr": md.regressors()["LinearRegression"]})["lr"][0]
     p = model.transform(md.step_ahead(h, KEYS, T, "Temperature", md.HORIZON))
     t = F.col("target_time")
     out = p.select(*KEYS, F.year(t).alias("year"), F.month(t).alias("month"), F.dayofmonth(t).alias("day"),
